@@ -36,8 +36,8 @@ def accent_rule() -> tuple[str, str, tuple[tuple[str, str], ...]]:
     for first, stop in _BLOCKS:
         for ch in map(chr, range(first, stop)):
             plain = _plain(ch)
-            if plain == ch:
-                continue
+            if plain == ch or ch != ch.lower():
+                continue  # text is put in lower case first
             if len(plain) == 1:
                 single.append((ch, plain))
             elif plain == "":
@@ -119,25 +119,28 @@ def name_variants(
     these, and a later part's bare head word joined to the place of the first part.
     """
 
-    def fold(x: Column) -> Column:
-        return fold_name(x, stop_tokens)
+    def variants(folded: Column) -> Column:
+        # Places 0 and 1 hold the whole name and the cleaned one, the rest its parts.
+        parts = F.slice(folded, 3, F.greatest(F.size(folded) - 2, F.lit(0)))
+        later = F.slice(folded, 4, F.greatest(F.size(folded) - 3, F.lit(0)))
+        place = F.regexp_extract(F.coalesce(F.get(parts, 0), F.lit("")), place_pattern, 1)
+        carried = F.when(
+            (place != "") & F.exists(later, lambda p: p.isin(list(place_heads))),
+            F.array(F.concat(F.lit(f"{place_prefix} "), place)),
+        ).otherwise(F.array().cast("array<string>"))
+        every = F.concat(folded, F.transform(folded, lambda p: alias_name(p, prefixes)), carried)
+        return F.array_sort(F.filter(F.array_distinct(every), lambda p: p != ""))
 
     name, cleaned = as_col(c), without_parentheses(c)
-    whole_names = F.array_distinct(F.array(fold(name), fold(cleaned)))
     parts = F.when(
         F.contains(cleaned, F.lit("/")),
         F.filter(F.transform(F.split(cleaned, "/"), strip), lambda p: p != ""),
     ).otherwise(F.array().cast("array<string>"))
-    folded_parts = F.transform(parts, fold)
-    base = F.concat(whole_names, folded_parts)
-    place = F.regexp_extract(F.coalesce(F.get(folded_parts, 0), F.lit("")), place_pattern, 1)
-    later = F.slice(folded_parts, 2, F.greatest(F.size(folded_parts) - 1, F.lit(0)))
-    carried = F.when(
-        (place != "") & F.exists(later, lambda p: p.isin(list(place_heads))),
-        F.array(F.concat(F.lit(f"{place_prefix} "), place)),
-    ).otherwise(F.array().cast("array<string>"))
-    every = F.concat(base, F.transform(base, lambda p: alias_name(p, prefixes)), carried)
-    return F.array_sort(F.filter(F.array_distinct(every), lambda p: p != ""))
+    pieces = F.concat(F.array(name, cleaned), parts)
+    # Folding sits in one lambda and its result is bound to another, so it is
+    # planned and evaluated once for all uses.
+    folded = F.transform(pieces, lambda p: fold_name(p, stop_tokens))
+    return F.get(F.transform(F.array(folded), variants), 0)
 
 
 def contains_hint(folded: Column | str, rules: Sequence[tuple[str, str]] = K.LOCATION_HINTS) -> Column:

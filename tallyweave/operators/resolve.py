@@ -20,6 +20,7 @@ from tallyweave.functions.numbers import blank_to_null, parse_digits, strip
 from tallyweave.operators.keys import dedup, latest_per_key
 from tallyweave.operators.measures import match_rate, token_pattern_top_k
 from tallyweave.operators.similarity import similar_pairs
+from tallyweave.session import reused
 
 
 @dataclass(frozen=True)
@@ -222,11 +223,18 @@ def nearest_magnitude(
 
 @dataclass(frozen=True)
 class Resolution:
-    """Lazy results: one row per name, and the ranked candidates of open names."""
+    """Lazy results: one row per name, and the ranked candidates of open names.
+
+    Both are kept once computed, as the queues and the audit read them again.
+    """
 
     names: DataFrame
     candidates: DataFrame
 
+    def release(self) -> None:
+        self.names.unpersist()
+        self.candidates.unpersist()
+
 
 def resolve_entities(
     universe: DataFrame,
@@ -263,7 +271,7 @@ def resolve_entities(
     def pair(df: DataFrame, label: str, *extra: str) -> DataFrame:
         return df.select("name", F.struct("canonical", "group", *extra).alias(label))
 
-    base = (
+    base = reused(
         named.join(pair(manual, "_manual", "note"), "name", "left")
         .join(pair(direct, "_direct"), "name", "left")
         .join(pair(alias, "_alias"), "name", "left")
@@ -277,7 +285,7 @@ def resolve_entities(
         candidates = candidates.join(latest_reference_count(entries, counts, rules), ["canonical", "group"], "left")
     else:
         candidates = candidates.withColumn("count", F.lit(None).cast("bigint"))
-    candidates = candidates.select("name", "rank", "canonical", "group", "score", "count")
+    candidates = reused(candidates.select("name", "rank", "canonical", "group", "score", "count"))
     sized = nearest_magnitude(candidates, open_names, "name", rules)
     top = best_and_second(candidates, "name", ["canonical", "group", "score"])
     joined = base.join(pair(sized, "_sized", "size_note"), "name", "left").join(top, "name", "left")
@@ -341,7 +349,7 @@ def resolve_entities(
     required = F.lit(False)
     for flag in required_flags:
         required = required | F.coalesce(F.col(flag), F.lit(False))
-    return Resolution(out.withColumn("priority", priority_class("match_status", required)), candidates)
+    return Resolution(reused(out.withColumn("priority", priority_class("match_status", required))), candidates)
 
 
 _BRANCH = {

@@ -25,6 +25,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tallyweave import constants as K
+from tallyweave.session import reused
 
 _EPS = 1e-9
 
@@ -116,10 +117,11 @@ def candidate_pairs(
 ) -> DataFrame:
     """Pairs ``(a, b)`` that pass every lossless bound; both inputs are one column ``text``."""
     strings = left.select(F.lit("a").alias("side"), "text").union(right.select(F.lit("b").alias("side"), "text"))
-    strings = strings.filter("text <> ''").distinct().withColumns({"_b": _grams(F.col("text"), 2), "_u": _grams(F.col("text"), 1)})
+    grams = {"_b": _grams(F.col("text"), 2), "_u": _grams(F.col("text"), 1)}
+    strings = reused(strings.filter("text <> ''").distinct().withColumns(grams))
     both = F.concat(F.transform("_b", lambda g: F.concat(F.lit("b"), g)), F.transform("_u", lambda g: F.concat(F.lit("u"), g)))
     frequency = strings.select(F.explode(both).alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("n"))
-    ranked = _ranked(strings, frequency).withColumn("key", F.explode(_keys(threshold)))
+    ranked = reused(_ranked(strings, frequency)).withColumn("key", F.explode(_keys(threshold)))
 
     def side(name: str) -> DataFrame:
         return ranked.filter(F.col("side") == name).select(

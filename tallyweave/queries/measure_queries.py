@@ -9,6 +9,7 @@ from tallyweave.operators import joins, measures as M
 from tallyweave.operators.keys import dedup
 from tallyweave.queries import common as C
 from tallyweave.queries.common import sql_ratio, sql_round
+from tallyweave.session import reused
 
 
 def q_obs_long(spark: SparkSession, folder: str) -> DataFrame:
@@ -84,10 +85,11 @@ def q_status_rollup(spark, folder):
 
 
 def population(spark, folder) -> DataFrame:
-    return M.conditional_totals(
+    totals = M.conditional_totals(
         C.population_cells(spark, folder), ["year", "source_name", "group_name", "n_nationkey"],
         "member", "people", "ALL", ["BUILDING", "MACHINERY"], "people",
-    ).persist()
+    )
+    return reused(totals)
 
 
 def q_cond_totals(spark, folder):

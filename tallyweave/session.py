@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
@@ -13,6 +14,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Call sites on every Column slow plan building and serve debugging only.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
@@ -24,6 +27,12 @@ def local_session(cores: int | str = "*", app: str = "tallyweave", **extra: str)
     return builder.getOrCreate()
 
 
+def reused(df: DataFrame) -> DataFrame:
+    """Keep a result that several branches of one job read; it spills to disk and is
+    recomputed from its inputs if the executor that held it is lost."""
+    return df.persist(StorageLevel.MEMORY_AND_DISK)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint in the shared folder named by the session.
 

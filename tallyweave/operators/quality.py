@@ -206,8 +206,9 @@ def expect_preserved(before: DataFrame, after: DataFrame, table: str, keys: Sequ
     message = (
         F.when(F.col("_a").isNull(), "row was lost").when(F.col("_b").isNull(), "row was added").otherwise("columns changed")
     )
-    odd = both.filter(F.col("_a").isNull() | F.col("_b").isNull() | (F.size(changed) > 0))
-    return _violations(odd, "preserved", table, row_key(*keys), "", F.array_join(changed, "; "), message)
+    matched = F.col("_a").isNotNull() & F.col("_b").isNotNull()
+    odd = both.filter(~matched | (F.size(changed) > 0))
+    return _violations(odd, "preserved", table, row_key(*keys), "", F.when(matched, F.array_join(changed, "; ")), message)
 
 
 def expect_mapping(df: DataFrame, table: str, source: str, target: str, expected: dict[str, str], required: bool = False) -> DataFrame:

@@ -87,6 +87,26 @@ def unique_candidate_join(names: DataFrame, name: str, variants: Column, index:
     return hits.filter("_lo = _hi").select(name, "_lo.*")
 
 
+def unique_matches(names: DataFrame, name: str, folded: str, variants: Column, index: DataFrame) -> DataFrame:
+    """Unique match by the folded name itself and by any variant, as two structs.
+
+    One join serves both: the folded name is one of the variants.
+    """
+    exploded = names.select(name, folded, F.explode(variants).alias("variant"))
+    same = F.col("variant") == F.col(folded)
+    hits = exploded.join(index, "variant").groupBy(name).agg(
+        F.min("_lo").alias("_lo"),
+        F.max("_hi").alias("_hi"),
+        F.min(F.when(same, F.col("_lo"))).alias("_d_lo"),
+        F.max(F.when(same, F.col("_hi"))).alias("_d_hi"),
+    )
+    return hits.select(
+        name,
+        F.when(F.col("_d_lo") == F.col("_d_hi"), F.col("_d_lo")).alias("_direct"),
+        F.when(F.col("_lo") == F.col("_hi"), F.col("_lo")).alias("_alias"),
+    )
+
+
 def latest_counts(counts: DataFrame, name: str, year: str, count: str, order: str, rules: NameRules) -> DataFrame:
     """Rows ``(variant, count)``: the newest count per variant, the first row on ties."""
     usable = counts.select(
@@ -133,13 +153,15 @@ def similarity_join(
     names: DataFrame,
     name: str,
     folded: str,
-    register: DataFrame,
+    targets: DataFrame,
     rules: NameRules,
     threshold: float = K.SIMILARITY_REVIEW,
     k: int = K.CANDIDATES_KEPT,
 ) -> DataFrame:
     """``(name, rank, canonical, group, score)``: the best ``k`` register entries per name.
 
+    ``targets`` are the ``register_variants`` of the register.
+
     The score is the best over the spellings of both sides; it is compared with the
     threshold before it is rounded to 3 digits.
 
@@ -151,7 +173,6 @@ def similarity_join(
     spelled = names.select(
         name, F.explode(F.array_distinct(F.array(F.col(folded), alias_name(folded, rules.prefixes)))).alias("a")
     )
-    targets = register_variants(register, rules)
     first_entries = Window.partitionBy("variant").orderBy("canonical", "group")
     entries = targets.withColumn("_n", F.row_number().over(first_entries)).filter(F.col("_n") <= k).drop("_n")
     pairs = similar_pairs(
@@ -264,21 +285,16 @@ def resolve_entities(
     named = named.join(weights, "name", "left") if weights is not None else named.withColumn(
         "weight", F.lit(None).cast("bigint")
     )
-    index = unique_index(register_variants(register, rules))
-    direct = unique_candidate_join(named, "name", F.array("folded"), index)
-    alias = unique_candidate_join(named, "name", rules.variants("name"), index)
+    targets = reused(register_variants(register, rules))
+    matches = unique_matches(named, "name", "folded", rules.variants("name"), unique_index(targets))
 
     def pair(df: DataFrame, label: str, *extra: str) -> DataFrame:
         return df.select("name", F.struct("canonical", "group", *extra).alias(label))
 
-    base = reused(
-        named.join(pair(manual, "_manual", "note"), "name", "left")
-        .join(pair(direct, "_direct"), "name", "left")
-        .join(pair(alias, "_alias"), "name", "left")
-    )
+    base = reused(named.join(pair(manual, "_manual", "note"), "name", "left").join(matches, "name", "left"))
     is_open = ~F.col("excluded") & F.col("_manual").isNull() & F.col("_direct").isNull() & F.col("_alias").isNull()
     open_names = base.filter(is_open).select("name", "folded", "weight")
-    candidates = similarity_join(open_names, "name", "folded", register, rules, threshold)
+    candidates = similarity_join(open_names, "name", "folded", targets, rules, threshold)
     if counts is not None:
         # Counts are looked up for register entries that became candidates, each once.
         entries = candidates.select("canonical", "group").distinct()

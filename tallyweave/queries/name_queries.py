@@ -269,7 +269,7 @@ def q_unique_candidate(spark, folder):
 
 def q_similarity_top5(spark, folder):
     names = source_names(spark, folder).withColumn("folded", _RULES.fold("name"))
-    return R.similarity_join(names, "name", "folded", register(spark, folder), _RULES)
+    return R.similarity_join(names, "name", "folded", R.register_variants(register(spark, folder), _RULES), _RULES)
 
 
 def _weights(spark, folder) -> DataFrame:

@@ -166,19 +166,22 @@ def _cells(df: DataFrame, group: str, period: str, source: str, value: str, orde
     v = F.col(value)
     first = F.min_by(v, F.when(v.isNotNull(), F.col(order))) if order else F.min(v)
     return df.groupBy(group, period, source).agg(
-        F.count(v).alias("n"), F.sum(v.cast("double")).alias("s"), first.cast("double").alias("first")
+        F.count(v).alias("_n"), F.sum(v.cast("double")).alias("_s"), first.cast("double").alias("_first")
     )
 
 
 def _per_period(cells: DataFrame, group: str, period: str, source: str) -> DataFrame:
     name = F.when(F.col(source) != "", F.col(source))
+    named_value = F.when(F.col("_n") > 0, name)
     return cells.groupBy(group, period).agg(
-        F.count(name).alias("components"),
-        F.sum("n").alias("nonmissing"),
-        F.sum("s").alias("total"),
-        F.min_by("first", F.when(F.col("n") > 0, name)).alias("first"),
-        F.array_sort(F.collect_set(F.when(F.col("n") > 0, name))).alias("with_value"),
-        F.collect_set(name).alias("names"),
+        F.struct(
+            F.count(name).alias("components"),
+            F.sum("_n").alias("nonmissing"),
+            F.sum("_s").alias("total"),
+            F.min_by("_first", named_value).alias("first"),
+            F.array_sort(F.collect_set(named_value)).alias("with_value"),
+            F.collect_set(name).alias("names"),
+        ).alias("_p")
     )
 
 
@@ -211,14 +214,18 @@ def _averaged(c: str, group: str, period: Column) -> dict[str, Column]:
     }
 
 
+def _every_component() -> Column:
+    """Aggregate: sorted distinct component names over all periods of a group."""
+    return F.array_sort(F.array_distinct(F.flatten(F.collect_set("_p.names"))))
+
+
 def component_average(
     df: DataFrame, group: str, period: str, source: str, value: str, order: str | None = None
 ) -> DataFrame:
     """Per group and period: value, component counts, method and note."""
     periods = _per_period(_cells(df, group, period, source, value, order), group, period, source)
-    every = periods.groupBy(group).agg(F.array_sort(F.array_distinct(F.flatten(F.collect_set("names")))).alias("_all"))
-    out = periods.select(group, period, F.struct("components", "nonmissing", "total", "first", "with_value").alias("_p"))
-    out = out.join(every, group)
+    every = periods.groupBy(group).agg(_every_component().alias("_all"))
+    out = periods.join(every, group)
     columns = _averaged("_p", group, F.col(period))
     columns.pop("period")
     return out.select(group, period, *[c.alias(n) for n, c in columns.items()])
@@ -235,15 +242,16 @@ def strict_and_latest(
     """
     newest = df.agg(F.max(period).alias("p")).select("p").scalar()
     periods = _per_period(_cells(df, group, period, source, value, order), group, period, source)
-    part = F.struct(F.col(period).alias("period"), "components", "nonmissing", "total", "first", "with_value")
+    has_value = F.when(F.col("_p.nonmissing") > 0, F.col(period))
     groups = periods.withColumn("_newest", newest).groupBy(group).agg(
         F.max("_newest").alias("_newest"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_set("names")))).alias("_all"),
-        F.max_by(part, F.when(F.col(period) == F.col("_newest"), F.col(period))).alias("_strict"),
-        F.max_by(part, F.when(F.col("nonmissing") > 0, F.col(period))).alias("_latest"),
+        _every_component().alias("_all"),
+        F.max_by("_p", F.when(F.col(period) == F.col("_newest"), F.col(period))).alias("_strict"),
+        F.max_by("_p", has_value).alias("_latest"),
+        F.max(has_value).alias("_latest_period"),
     )
     strict = _averaged("_strict", group, F.col("_newest"))
-    latest = _averaged("_latest", group, F.col("_latest")["period"])
+    latest = _averaged("_latest", group, F.col("_latest_period"))
     latest["note"] = F.when(F.col("_latest").isNull(), F.lit("no value found in any period")).otherwise(latest["note"])
     return groups.select(
         group,

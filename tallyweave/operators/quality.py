@@ -15,6 +15,8 @@ from tallyweave import constants as K
 from tallyweave.functions.numbers import blank_to_null, parse_number
 from tallyweave.operators.keys import key_set_difference_both_ways
 
+# Keeps a difference of exactly the tolerance on the passing side despite float noise.
+_HAIR = 1e-9
 FIELDS = ["check", "table", "row_key", "column", "observed", "message"]
 
 
@@ -105,13 +107,12 @@ def expect_sum(
     for p in parts:
         added = added + F.col(p).cast("double")
     target = F.col(whole).cast("double") if whole else F.lit(total)
-    # The extra hair keeps a difference of exactly the tolerance on the passing side.
-    return Rule(name, whole or "+".join(parts), F.abs(added - target) > tolerance + 1e-9, F.round(added - target, 4), "parts do not add up")
+    return Rule(name, whole or "+".join(parts), F.abs(added - target) > tolerance + _HAIR, F.round(added - target, 4), "parts do not add up")
 
 
 def expect_ratio(column: str, numerator: str, denominator: str, tolerance: float = 0.02) -> Rule:
     ratio = F.try_divide(F.col(numerator).cast("double"), F.col(denominator).cast("double"))
-    return Rule("ratio", column, F.abs(F.col(column) - ratio) > tolerance, F.col(column), f"differs from {numerator}/{denominator}")
+    return Rule("ratio", column, F.abs(F.col(column) - ratio) > tolerance + _HAIR, F.col(column), f"differs from {numerator}/{denominator}")
 
 
 def expect_bounded_by(part: str, whole: str) -> Rule:
@@ -249,26 +250,27 @@ def expect_recomputed(
     v = F.col(value)
     newest = observations.agg(F.max(period).alias("p")).select("p").scalar()
     cells = observations.groupBy(group, period).agg(
-        F.count_distinct(F.when(F.col(source) != "", F.col(source))).alias("n_sources"),
-        F.count(v).alias("n"),
-        F.round(F.avg(v), 2).alias("mean"),
+        F.struct(
+            F.col(period).alias("period"),
+            F.count_distinct(F.when(F.col(source) != "", F.col(source))).alias("sources"),
+            F.count(v).alias("n"),
+            F.round(F.avg(v), 2).alias("mean"),
+        ).alias("_fact")
     )
-    sources = observations.groupBy(group).agg(F.count_distinct(source).alias("all_sources"))
-    with_newest = cells.withColumn("_newest", newest)
-    fact = F.struct(period, "n_sources", "n", "mean")
-    fresh = with_newest.groupBy(group).agg(
+    sources = observations.groupBy(group).agg(F.count_distinct(source).alias("_all_sources"))
+    fresh = cells.withColumn("_newest", newest).groupBy(group).agg(
         F.max("_newest").alias("_newest"),
-        F.max_by(fact, F.when(F.col(period) == F.col("_newest"), F.col(period))).alias("_s"),
-        F.max_by(fact, F.when(F.col("n") > 0, F.col(period))).alias("_l"),
+        F.max_by("_fact", F.when(F.col(period) == F.col("_newest"), F.col(period))).alias("_s"),
+        F.max_by("_fact", F.when(F.col("_fact.n") > 0, F.col(period))).alias("_l"),
     ).join(sources, group)
     joined = fresh.join(output.withColumn("_there", F.lit(True)), group, "left")
 
     def off(stored: str, expected: Column) -> Column:
-        return ~F.col(stored).eqNullSafe(expected) & ~F.coalesce(F.abs(F.col(stored) - expected) <= tolerance + 1e-9, F.lit(False))
+        return ~F.col(stored).eqNullSafe(expected) & ~F.coalesce(F.abs(F.col(stored) - expected) <= tolerance + _HAIR, F.lit(False))
 
     zero = F.lit(0).cast("bigint")
-    strict_n, strict_sources = F.coalesce(F.col("_s.n"), zero), F.coalesce(F.col("_s.n_sources"), F.col("all_sources"))
-    several = F.col("all_sources") > 1
+    strict_n, strict_sources = F.coalesce(F.col("_s.n"), zero), F.coalesce(F.col("_s.sources"), F.col("_all_sources"))
+    several = F.col("_all_sources") > 1
     allowed = [K.METHOD_SINGLE, K.METHOD_AVERAGE, K.METHOD_NONE]
     found = {
         "group is missing": F.col("_there").isNull(),
@@ -276,9 +278,9 @@ def expect_recomputed(
         "strict value": off("strict_value", F.col("_s.mean")),
         "strict component count": F.col("strict_component_count") != strict_sources,
         "strict nonmissing count": F.col("strict_nonmissing_component_count") != strict_n,
-        "latest period": ~F.col("latest_period").eqNullSafe(F.col(f"_l.{period}")),
+        "latest period": ~F.col("latest_period").eqNullSafe(F.col("_l.period")),
         "latest value": off("latest_value", F.col("_l.mean")),
-        "latest component count": F.col("latest_component_count") != F.coalesce(F.col("_l.n_sources"), F.col("all_sources")),
+        "latest component count": F.col("latest_component_count") != F.coalesce(F.col("_l.sources"), F.col("_all_sources")),
         "latest nonmissing count": F.col("latest_nonmissing_component_count") != F.coalesce(F.col("_l.n"), zero),
         "method": several & ~(F.col("strict_method").isin(allowed) & F.col("latest_method").isin(allowed)),
     }

@@ -20,7 +20,7 @@ from tallyweave.functions.numbers import blank_to_null, parse_digits, strip
 from tallyweave.operators.keys import dedup, latest_per_key
 from tallyweave.operators.measures import match_rate, token_pattern_top_k
 from tallyweave.operators.similarity import similar_pairs
-from tallyweave.session import reused
+from tallyweave.session import cut_lineage, reused
 
 
 @dataclass(frozen=True)
@@ -244,18 +244,11 @@ def nearest_magnitude(
 
 @dataclass(frozen=True)
 class Resolution:
-    """Lazy results: one row per name, and the ranked candidates of open names.
-
-    Both are kept once computed, as the queues and the audit read them again.
-    """
+    """One row per name, and the ranked candidates of open names; queues and audit read both."""
 
     names: DataFrame
     candidates: DataFrame
 
-    def release(self) -> None:
-        self.names.unpersist()
-        self.candidates.unpersist()
-
 
 def resolve_entities(
     universe: DataFrame,
@@ -273,7 +266,9 @@ def resolve_entities(
     Excluded total or group row; hand-made mapping; unique exact key; unique alias;
     nearest size among namesakes; high-confidence similarity; place hint, which gives
     the group only; else review. Candidates are scored only for names that the first
-    four leave open.
+    four leave open. The names with their exact matches, and then the candidates, are
+    checkpointed: later steps read them several times, and a lost executor costs none
+    of the work before them.
 
     ``universe`` has ``name`` and the flags; ``register`` canonical, group; ``manual``
     name, canonical, group, note; ``weights`` name, weight; ``counts`` variant, count.
@@ -291,7 +286,7 @@ def resolve_entities(
     def pair(df: DataFrame, label: str, *extra: str) -> DataFrame:
         return df.select("name", F.struct("canonical", "group", *extra).alias(label))
 
-    base = reused(named.join(pair(manual, "_manual", "note"), "name", "left").join(matches, "name", "left"))
+    base = cut_lineage(named.join(pair(manual, "_manual", "note"), "name", "left").join(matches, "name", "left"))
     is_open = ~F.col("excluded") & F.col("_manual").isNull() & F.col("_direct").isNull() & F.col("_alias").isNull()
     open_names = base.filter(is_open).select("name", "folded", "weight")
     candidates = similarity_join(open_names, "name", "folded", targets, rules, threshold)
@@ -301,7 +296,7 @@ def resolve_entities(
         candidates = candidates.join(latest_reference_count(entries, counts, rules), ["canonical", "group"], "left")
     else:
         candidates = candidates.withColumn("count", F.lit(None).cast("bigint"))
-    candidates = reused(candidates.select("name", "rank", "canonical", "group", "score", "count"))
+    candidates = cut_lineage(candidates.select("name", "rank", "canonical", "group", "score", "count"))
     sized = nearest_magnitude(candidates, open_names, "name", rules)
     top = best_and_second(candidates, "name", ["canonical", "group", "score"])
     joined = base.join(pair(sized, "_sized", "size_note"), "name", "left").join(top, "name", "left")
@@ -365,7 +360,7 @@ def resolve_entities(
     required = F.lit(False)
     for flag in required_flags:
         required = required | F.coalesce(F.col(flag), F.lit(False))
-    return Resolution(reused(out.withColumn("priority", priority_class("match_status", required))), candidates)
+    return Resolution(out.withColumn("priority", priority_class("match_status", required)), candidates)
 
 
 _BRANCH = {

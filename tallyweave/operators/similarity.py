@@ -11,9 +11,10 @@ and ratio >= t:
 So every pair over the threshold shares c bigrams, c growing with S. Order each
 string's bigrams from rare to common over the whole input. The first two shared ones
 then lie among the first |bigrams| - c + 2 of both strings, and those two together are
-the join key; a pair meets once, on its first two shared bigrams. Short strings, where
-c falls below 2 or 1, use one bigram or single characters as the key instead. Nothing
-is lost, and the scoring function only sees pairs that pass all of these bounds.
+the join key; a pair counts once, at its first two shared bigrams. Where c falls below
+2 or 1, in short strings, the key is one bigram or a single character; in long strings
+one bigram is rare enough and keeps the number of keys down. Nothing is lost, and the
+scoring function only sees pairs that pass all of these bounds.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ import math
 from difflib import SequenceMatcher
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from tallyweave import constants as K
 from tallyweave.session import reused
@@ -49,66 +50,80 @@ def _grams(text: Column, n: int) -> Column:
         F.length(text) >= n,
         F.transform(F.sequence(F.lit(1), F.length(text) - (n - 1)), lambda i: F.substring(text, i, F.lit(n))),
     ).otherwise(F.array().cast("array<string>"))
-    ordered = F.array_sort(grams)
-    return F.transform(
-        ordered, lambda g, i: F.concat(g, (i - F.array_position(ordered, g) + 2).cast("string"))
+    number = F.transform(
+        F.array(F.array_sort(grams)),
+        lambda s: F.transform(s, lambda g, i: F.concat(g, (i - F.array_position(s, g) + 2).cast("string"))),
     )
+    return F.get(number, 0)
 
 
-def _limits(threshold: float) -> tuple[float, float]:
-    """Length sums up to which single characters, then single bigrams, form the key."""
+# Sums of two lengths above which one bigram makes the key again.
+_LONG = 60
+
+
+def _limits(threshold: float) -> tuple[float, float, float]:
+    """Length sums up to which a character, one bigram, and two bigrams form the key."""
     slope = 1.5 * threshold - 1
     if slope <= 0:
-        return math.inf, math.inf
-    return math.floor(1 / slope + _EPS), math.floor(2 / slope + _EPS)
-
-
-def _ranked(strings: DataFrame, frequency: DataFrame) -> DataFrame:
-    """Bigrams and characters of each string from rare to common."""
-    token = F.explode(F.concat(F.transform("_b", lambda g: F.concat(F.lit("b"), g)), F.transform("_u", lambda g: F.concat(F.lit("u"), g))))
-    tokens = strings.select("side", "text", token.alias("token")).join(frequency, "token")
-    ordered = F.array_sort(F.collect_list(F.struct("n", "token")))
-    names = F.transform(ordered, lambda e: e["token"])
-    # A string has as many tokens as characters, so this list is as small as the string.
-    return tokens.groupBy("side", "text").agg(names.alias("_t")).select(
-        "side",
-        "text",
-        F.length("text").alias("len"),
-        F.filter("_t", lambda g: F.startswith(g, F.lit("b"))).alias("bigrams"),
-        F.filter("_t", lambda g: F.startswith(g, F.lit("u"))).alias("chars"),
+        return math.inf, math.inf, math.inf
+    s0, s1 = math.floor(1 / slope + _EPS), math.floor(2 / slope + _EPS)
+    return s0, s1, max(s1, _LONG)
+
+
+def _ranked(strings: DataFrame) -> DataFrame:
+    """Tokens of each string as numbers from rare to common over all strings.
+
+    The token table holds one row per distinct numbered bigram or character. That is
+    bounded by the alphabet, not by the strings, so one task may number it.
+    """
+    grams = F.concat(
+        F.transform(_grams(F.col("text"), 2), lambda g: F.concat(F.lit("b"), g)),
+        F.transform(_grams(F.col("text"), 1), lambda g: F.concat(F.lit("c"), g)),
     )
+    tokens = strings.select("side", "text", F.explode(grams).alias("token"))
+    frequency = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+    number = F.row_number().over(Window.orderBy("n", "token"))
+    numbered = tokens.join(frequency.select("token", number.alias("number")), "token")
+    is_bigram = F.startswith(F.col("token"), F.lit("b"))
+    # A string has as many tokens as characters, so these lists are as small as the string.
+    return numbered.groupBy("side", "text").agg(
+        F.array_sort(F.collect_list(F.when(is_bigram, F.col("number")))).alias("bigrams"),
+        F.array_sort(F.collect_list(F.when(~is_bigram, F.col("number")))).alias("chars"),
+    ).withColumn("len", F.length("text"))
+
+
+def _pair_key(x: Column, y: Column) -> Column:
+    return (x.cast("bigint") + 1) * F.lit(1 << 31) + y.cast("bigint")
 
 
 def _keys(threshold: float) -> Column:
-    """All join keys of a string, tagged by kind."""
-    s0, s1 = _limits(threshold)
+    """All join keys of a string: the numbers of single tokens, or of two bigrams as one."""
+    s0, s1, s2 = _limits(threshold)
     slope = 1.5 * threshold - 1
     length = F.col("len")
     least = length + F.ceil(length * (threshold / (2 - threshold)) - _EPS)
     most = length + F.floor(length * ((2 - threshold) / threshold) + _EPS)
 
-    def prefix(tokens: Column, shared: Column, width: int) -> Column:
+    def prefix(tokens: str, shared: Column, width: int) -> Column:
         size = F.size(tokens) - F.greatest(shared, F.lit(width)) + width
         return F.slice(tokens, 1, F.greatest(size, F.lit(0)).cast("int"))
 
-    def tagged(kind: str, keys: Column, use: Column) -> Column:
-        return F.when(use, F.transform(keys, lambda k: F.concat(F.lit(kind), k))).otherwise(
-            F.array().cast("array<string>")
-        )
+    def used(keys: Column, condition: Column) -> Column:
+        return F.when(condition, keys).otherwise(F.array().cast("array<bigint>"))
+
+    def shared_above(limit: float) -> Column:
+        return F.ceil(F.greatest(least, F.lit(limit + 1)) * slope - 1 - _EPS)
 
-    chars = prefix(F.col("chars"), F.ceil(least * (threshold / 2) - _EPS), 1)
-    parts = [tagged("0", chars, least <= F.lit(float(s0)))]
+    chars = prefix("chars", F.ceil(least * (threshold / 2) - _EPS), 1).cast("array<bigint>")
+    parts = [used(chars, least <= F.lit(float(s0)))]
     if slope > 0:
-        above0, above1 = F.greatest(least, F.lit(s0 + 1)), F.greatest(least, F.lit(s1 + 1))
-        one = prefix(F.col("bigrams"), F.ceil(above0 * slope - 1 - _EPS), 1)
-        two = prefix(F.col("bigrams"), F.ceil(above1 * slope - 1 - _EPS), 2)
+        one = prefix("bigrams", shared_above(s0), 1).cast("array<bigint>")
+        two = prefix("bigrams", shared_above(s1), 2)
         pairs = F.flatten(
-            F.transform(
-                two, lambda x, i: F.transform(F.slice(two, i + 2, F.size(two)), lambda y: F.concat(x, F.lit("|"), y))
-            )
+            F.transform(two, lambda x, i: F.transform(F.slice(two, i + 2, F.size(two)), lambda y: _pair_key(x, y)))
         )
-        parts.append(tagged("1", one, (least <= s1) & (most > s0)))
-        parts.append(tagged("2", pairs, most > s1))
+        parts.append(used(one, ((least <= s1) & (most > s0)) | (most > s2)))
+        parts.append(used(pairs, (most > s1) & (least <= s2)))
     return F.concat(*parts)
 
 
@@ -116,44 +131,35 @@ def candidate_pairs(
     left: DataFrame, right: DataFrame, threshold: float = K.SIMILARITY_REVIEW
 ) -> DataFrame:
     """Pairs ``(a, b)`` that pass every lossless bound; both inputs are one column ``text``."""
+    s0, s1, s2 = _limits(threshold)
     strings = left.select(F.lit("a").alias("side"), "text").union(right.select(F.lit("b").alias("side"), "text"))
-    grams = {"_b": _grams(F.col("text"), 2), "_u": _grams(F.col("text"), 1)}
-    strings = reused(strings.filter("text <> ''").distinct().withColumns(grams))
-    both = F.concat(F.transform("_b", lambda g: F.concat(F.lit("b"), g)), F.transform("_u", lambda g: F.concat(F.lit("u"), g)))
-    frequency = strings.select(F.explode(both).alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("n"))
-    ranked = reused(_ranked(strings, frequency)).withColumn("key", F.explode(_keys(threshold)))
+    ranked = reused(_ranked(reused(strings.filter("text <> ''").distinct())))
+    # Characters are only a key for short strings; others leave them behind.
+    short = F.length("text") <= F.lit(float(s0))
+    keyed = ranked.withColumn("chars_of_short", F.when(short, F.col("chars"))).withColumn("key", F.explode(_keys(threshold)))
 
     def side(name: str) -> DataFrame:
-        return ranked.filter(F.col("side") == name).select(
+        return keyed.filter(F.col("side") == name).select(
             "key",
             F.col("text").alias(name),
             F.col("len").alias(f"{name}_len"),
             F.col("bigrams").alias(f"{name}_bigrams"),
-            F.col("chars").alias(f"{name}_chars"),
+            F.col("chars_of_short").alias(f"{name}_chars"),
         )
 
-    s0, s1 = _limits(threshold)
     total = F.col("a_len") + F.col("b_len")
     matched = F.ceil(total * (threshold / 2) - _EPS)
-    kind = F.substring("key", 1, 1)
-    expected_kind = F.when(total <= F.lit(float(s0)), "0").when(total <= F.lit(float(s1)), "1").otherwise("2")
-    met = side("a").join(side("b"), "key").filter(
-        (F.least("a_len", "b_len") >= matched) & (kind == expected_kind)
-    )
-    shared_chars = F.array_intersect("a_chars", "b_chars")
-    shared_bigrams = F.array_intersect("a_bigrams", "b_bigrams")
-    first_meeting = F.concat(
-        kind,
-        F.when(kind == "0", F.array_join(F.slice(shared_chars, 1, 1), "|"))
-        .when(kind == "1", F.array_join(F.slice(shared_bigrams, 1, 1), "|"))
-        .otherwise(F.array_join(F.slice(shared_bigrams, 1, 2), "|")),
-    )
-    passing = met.filter(
-        (F.col("key") == first_meeting)
-        & (F.size(shared_chars) >= matched)
-        & (F.size(shared_bigrams) >= 3 * matched - total - 1)
+    shared = F.array_intersect("a_bigrams", "b_bigrams")
+    one = F.get(shared, 0).cast("bigint")
+    first_meeting = (
+        F.when(total <= F.lit(float(s0)), F.get(F.array_intersect("a_chars", "b_chars"), 0).cast("bigint"))
+        .when((total <= F.lit(float(s1))) | (total > F.lit(float(s2))), one)
+        .otherwise(_pair_key(F.get(shared, 0), F.get(shared, 1)))
     )
-    return passing.select("a", "b")
+    met = side("a").join(side("b"), "key").filter(F.least("a_len", "b_len") >= matched)
+    passing = met.filter((F.col("key") == first_meeting) & (F.size(shared) >= 3 * matched - total - 1))
+    shared_chars = F.array_intersect(_grams(F.col("a"), 1), _grams(F.col("b"), 1))
+    return passing.filter(F.size(shared_chars) >= matched).select("a", "b")
 
 
 def similar_pairs(left: DataFrame, right: DataFrame, threshold: float = K.SIMILARITY_REVIEW) -> DataFrame:

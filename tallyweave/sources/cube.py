@@ -15,14 +15,13 @@ CUBE_SCHEMA = (
 
 
 def parse_cube(df: DataFrame, json: str, key: str) -> DataFrame:
-    """One row per cube: ``key`` and the parsed parts."""
-    cube = F.from_json(F.col(json), CUBE_SCHEMA)
-    return df.select(key, cube.alias("_cube")).select(key, "_cube.*")
+    """One row per cube: ``key`` and the parsed parts in ``_cube``."""
+    return df.select(key, F.from_json(F.col(json), CUBE_SCHEMA).alias("_cube"))
 
 
 def _labels(cubes: DataFrame, key: str, dimension: str, prefix: str) -> DataFrame:
     """Members of one dimension: place in index order, code and label."""
-    category = F.col("dimension")[dimension]["category"]
+    category = F.col("_cube.dimension")[dimension]["category"]
     member = F.explode(F.map_entries(category["index"])).alias("_m")
     return (
         cubes.select(key, category["label"].alias("_label"), member)
@@ -47,31 +46,31 @@ def flatten_cube(
     names = list(names or dimensions)
     cubes = parse_cube(df, json, key)
     expected = F.array(*[F.lit(d) for d in dimensions])
-    cells_expected = F.aggregate("size", F.lit(1).cast("bigint"), lambda a, x: a * x)
+    cells_expected = F.aggregate("_cube.size", F.lit(1).cast("bigint"), lambda a, x: a * x)
     sizes_match: Column = reduce(
         lambda a, b: a & b,
         [
-            F.size(F.col("dimension")[d]["category"]["index"]) == F.get("size", i)
+            F.size(F.col("_cube.dimension")[d]["category"]["index"]) == F.get("_cube.size", i)
             for i, d in enumerate(dimensions)
         ],
     )
     problem = (
-        F.when(F.col("id").isNull() | (F.col("id") != expected), F.lit("unexpected dimension order"))
-        .when(F.size("value") != cells_expected, F.lit("values do not fill the cube"))
+        F.when(F.col("_cube.id").isNull() | (F.col("_cube.id") != expected), F.lit("unexpected dimension order"))
+        .when(F.size("_cube.value") != cells_expected, F.lit("values do not fill the cube"))
         .when(~sizes_match, F.lit("labels do not match the dimension size"))
     )
     # The guard sits on the exploded column itself, so it cannot be pruned away.
-    guarded = F.when(problem.isNull(), F.col("value")).otherwise(
+    guarded = F.when(problem.isNull(), F.col("_cube.value")).otherwise(
         F.raise_error(F.concat(F.lit("cube: "), problem)).cast("array<double>")
     )
-    cells = cubes.select(key, "size", F.posexplode(guarded).alias("_pos", "value"))
+    cells = cubes.select(key, F.col("_cube.size").alias("_size"), F.posexplode(guarded).alias("_pos", "value"))
     place = {}
     for i, name in enumerate(names):
         stride = F.aggregate(
-            F.slice("size", i + 2, len(names) - i), F.lit(1).cast("bigint"), lambda a, x: a * x
+            F.slice("_size", i + 2, len(names) - i), F.lit(1).cast("bigint"), lambda a, x: a * x
         )
-        place[f"_{name}"] = F.floor(F.col("_pos") / stride) % F.get("size", i)
-    cells = cells.withColumns(place).drop("size")
+        place[f"_{name}"] = F.floor(F.col("_pos") / stride) % F.get("_size", i)
+    cells = cells.withColumns(place).drop("_size")
     for dimension, name in zip(dimensions, names):
         labels = _labels(cubes, key, dimension, name)
         cells = cells.join(labels, [key, f"_{name}"], "left")

@@ -49,12 +49,15 @@ def accent_rule() -> tuple[str, str, tuple[tuple[str, str], ...]]:
 
 
 def remove_accents(c: Column) -> Column:
-    """Latin letters to their plain lower-case form, combining marks dropped."""
+    """Latin letters to their plain lower-case form, combining marks dropped.
+
+    Text with as many bytes as characters is plain already and skips the letter table.
+    """
     letters, plain, longer = accent_rule()
-    text = F.lower(c)
+    low = text = F.lower(c)
     for source, target in longer:
         text = F.replace(text, F.lit(source), F.lit(target))
-    return F.translate(text, letters, plain)
+    return F.when(F.octet_length(low) == F.char_length(low), low).otherwise(F.translate(text, letters, plain))
 
 
 @F.pandas_udf(T.StringType())

@@ -8,7 +8,7 @@ from tallyweave import constants as K
 
 # Spaces, tabs, line ends, no-break space.
 SPACES = " \t\r\n\f\u000b\u00a0"
-_PLAIN_NUMBER = r"^[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?$"
+NUMBER_PATTERN = r"^[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 
 
 def as_col(c: Column | str) -> Column:
@@ -29,7 +29,7 @@ def parse_number(c: Column | str, decimal_comma: bool = False) -> Column:
     text = strip(as_col(c).cast("string"))
     if decimal_comma:
         text = F.replace(text, F.lit(","), F.lit("."))
-    return F.when(text.rlike(_PLAIN_NUMBER), text.try_cast("double"))
+    return F.when(text.rlike(NUMBER_PATTERN), text.try_cast("double"))
 
 
 def parse_int(c: Column | str, decimal_comma: bool = False) -> Column:

@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tallyweave import constants as K
-from tallyweave.functions.numbers import blank_to_null, parse_number
+from tallyweave.functions.numbers import NUMBER_PATTERN, blank_to_null, strip
 from tallyweave.operators.keys import key_set_difference_both_ways
 
 # Keeps a difference of exactly the tolerance on the passing side despite float noise.
@@ -52,37 +52,43 @@ class Rule:
 
 
 def check_rows(df: DataFrame, table: str, key: Sequence[str], rules: Sequence[Rule]) -> DataFrame:
-    """All broken rules of all rows, in one scan and without a shuffle."""
-    found = [
-        F.when(
-            F.coalesce(r.broken, F.lit(False)),
-            F.struct(
-                F.lit(r.check).alias("check"),
-                F.lit(r.column).alias("column"),
-                _text(r.observed).alias("observed"),
-                F.lit(r.message).alias("message"),
-            ),
-        )
-        for r in rules
-    ]
-    broken = F.filter(F.array(*found), lambda v: v.isNotNull())
-    rows = df.select(row_key(*key).alias("row_key"), F.explode(broken).alias("_v"))
-    return rows.select("_v.check", F.lit(table).alias("table"), "row_key", "_v.column", "_v.observed", "_v.message")
+    """All broken rules of all rows, in one scan and without a shuffle.
+
+    A row carries the numbers of the rules it breaks; texts are made for those only.
+    """
+    numbers = F.array(*[F.when(r.broken, F.lit(i)).otherwise(F.lit(-1)) for i, r in enumerate(rules)])
+    broken = df.withColumn("_rule", F.explode(F.array_remove(numbers, -1)))
+
+    def of_rule(values: Sequence[Column]) -> Column:
+        chain = F.when(F.col("_rule") == 0, values[0])
+        for i, value in enumerate(values[1:], start=1):
+            chain = chain.when(F.col("_rule") == i, value)
+        return chain
+
+    return broken.select(
+        of_rule([F.lit(r.check) for r in rules]).alias("check"),
+        F.lit(table).alias("table"),
+        row_key(*key).alias("row_key"),
+        of_rule([F.lit(r.column) for r in rules]).alias("column"),
+        of_rule([_text(r.observed) for r in rules]).alias("observed"),
+        of_rule([F.lit(r.message) for r in rules]).alias("message"),
+    )
 
 
 def expect_numeric(column: str, allow_blank: bool = True) -> Rule:
-    text = blank_to_null(F.col(column).cast("string"))
-    broken = text.isNotNull() & parse_number(column).isNull()
-    if not allow_blank:
-        broken = broken | text.isNull()
-    return Rule("numeric", column, broken, F.col(column), "not a number")
+    text = F.coalesce(strip(F.col(column).cast("string")), F.lit(""))
+    allowed = NUMBER_PATTERN[1:-1] + "|(?i:nan)" + ("|" if allow_blank else "")
+    return Rule("numeric", column, ~text.rlike(f"^({allowed})$"), F.col(column), "not a number")
 
 
 def expect_range(
     column: str, low: float | None = None, high: float | None = None, above: float | None = None, whole: bool = False
 ) -> Rule:
-    """Values inside bounds (``above`` is exclusive), whole if asked; NULL passes."""
-    v = parse_number(column)
+    """Values inside bounds (``above`` is exclusive), whole if asked; NULL passes.
+
+    Text that is no number passes too; ``expect_numeric`` reports that.
+    """
+    v = F.nanvl(F.col(column).try_cast("double"), F.lit(None).cast("double"))
     broken = F.lit(False)
     if low is not None:
         broken = broken | (v < low)

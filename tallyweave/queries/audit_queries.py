@@ -122,8 +122,8 @@ def q_coverage_audit(spark, folder):
 
 def _line_table(spark, folder) -> DataFrame:
     """Lines with seeded defects in a few of them, by key arithmetic over all rows."""
-    lines = C.table(spark, folder, "lineitem")
-    k = (F.col("l_orderkey") * 7 + F.col("l_linenumber")) % 1000
+    lines = C.table(spark, folder, "lineitem").withColumn("k", (F.col("l_orderkey") * 7 + F.col("l_linenumber")) % 1000)
+    k = F.col("k")
     price = F.col("l_extendedprice").cast("decimal(18,2)")
     return lines.select(
         "l_orderkey", "l_linenumber", "l_partkey",

@@ -12,7 +12,10 @@ from tallyweave.functions.notes import sorted_list
 from tallyweave.operators.keys import append_sections
 
 
-def _entries(rows: DataFrame, section: str, items: Sequence[tuple[str, Column, Column]]) -> DataFrame:
+Item = tuple[str, Column, Column]
+
+
+def _sections(rows: DataFrame, sections: dict[str, Sequence[Item]]) -> DataFrame:
     """Turn one row of aggregates into ``(section, item, value, details)`` rows."""
     structs = [
         F.struct(
@@ -21,11 +24,16 @@ def _entries(rows: DataFrame, section: str, items: Sequence[tuple[str, Column, C
             value.cast("string").alias("value"),
             F.coalesce(details.cast("string"), F.lit("")).alias("details"),
         )
+        for section, items in sections.items()
         for item, value, details in items
     ]
     return rows.select(F.inline(F.array(*structs)))
 
 
+def _entries(rows: DataFrame, section: str, items: Sequence[Item]) -> DataFrame:
+    return _sections(rows, {section: items})
+
+
 def distinct_lists(df: DataFrame, section: str, items: dict[str, tuple[str, Column | None]]) -> DataFrame:
     """Count and sorted list of distinct values per item, in one pass.
 
@@ -248,67 +256,54 @@ def coverage_audit(
     row a source covers the key. Each input is read by one aggregate, not one per item.
     """
     flags = list(sources)
-    joined = spine.join(groups.select(key, share, F.lit(True).alias("_in_groups")), key, "full_outer")
+    joined = spine.withColumn("_in_spine", F.lit(True)).join(
+        groups.select(key, share, F.lit(True).alias("_in_groups")), key, "full_outer"
+    )
     presence = joined.withColumns({f: F.coalesce(c, F.lit(False)) for f, c in sources.items()})
     name = F.col(key)
-    fallback = F.col(strict).isNull() & F.col(latest).isNotNull()
-    several = F.col(components) > 1
-    weak = F.col("_in_groups") & (F.coalesce(F.col(share), F.lit(0.0)) < weak_below)
     pairs = list(permutations(flags, 2))
-    facts = presence.agg(
+    conditions = {
+        "fallback": F.col(strict).isNull() & F.col(latest).isNotNull(),
+        "several": F.col(components) > 1,
+        "weak": F.col("_in_groups") & (F.coalesce(F.col(share), F.lit(0.0)) < weak_below),
+        **{f: F.col(f) for f in flags},
+        **{f"{a}_not_{b}": F.col(a) & ~F.col(b) for a, b in pairs},
+    }
+    aggregates = [
         F.max(newest_period).alias("newest"),
-        *[
-            a
-            for label, condition in {
-                "fallback": fallback,
-                "several": several,
-                "weak": weak,
-                **{f: F.col(f) for f in flags},
-                **{f"{a}_not_{b}": F.col(a) & ~F.col(b) for a, b in pairs},
-            }.items()
-            for a in (
-                F.count_if(F.coalesce(condition, F.lit(False))).alias(f"n_{label}"),
-                sorted_list(name, condition).alias(f"l_{label}"),
-            )
-        ],
-    )
+        F.count("_in_spine").alias("spine_rows"),
+        F.count("_in_groups").alias("group_rows"),
+    ]
+    for label, condition in conditions.items():
+        aggregates.append(F.count_if(F.coalesce(condition, F.lit(False))).alias(f"n_{label}"))
+        aggregates.append(sorted_list(name, condition).alias(f"l_{label}"))
     blank = F.lit("")
 
-    def listed(label: str) -> tuple[Column, Column]:
-        return F.col(f"n_{label}"), F.col(f"l_{label}")
-
-    def row_count(df: DataFrame, item: str) -> DataFrame:
-        return _entries(df.agg(F.count(F.lit(1)).alias("n")), "summary", [(item, F.col("n"), blank)])
-
+    def listed(item: str, label: str) -> Item:
+        return item, F.col(f"n_{label}"), F.col(f"l_{label}")
+
+    sections: dict[str, Sequence[Item]] = {
+        "summary": [
+            ("spine_rows", F.col("spine_rows"), blank),
+            ("group_summary_rows", F.col("group_rows"), blank),
+            ("strict_latest_period", F.col("newest"), blank),
+            listed("latest_available_fallback_groups", "fallback"),
+            listed("multi_component_groups", "several"),
+            listed("weak_coverage_groups", "weak"),
+        ],
+        "coverage": [listed(f, f) for f in flags],
+        "join_gap_summary": [listed(f"{a}_not_{b}", f"{a}_not_{b}") for a, b in pairs],
+        "caveat": [(i, F.lit(v), F.lit(d)) for i, v, d in caveats],
+    }
+    entity_count = entities.agg(F.count(F.lit(1)).alias("n"))
+    gaps = gap_rows(presence, key, flags).select(
+        F.lit("join_gap").alias("section"),
+        F.col("comparison").alias("item"),
+        name.alias("value"),
+        F.concat_ws("; ", *[F.concat(F.lit(f"in_{f}="), F.col(f).cast("string")) for f in flags]).alias("details"),
+    )
     return append_sections(
-        row_count(spine, "spine_rows"),
-        row_count(entities, "entity_rows"),
-        row_count(groups, "group_summary_rows"),
-        _entries(
-            facts,
-            "summary",
-            [
-                ("strict_latest_period", F.col("newest"), blank),
-                ("latest_available_fallback_groups", *listed("fallback")),
-                ("multi_component_groups", *listed("several")),
-                ("weak_coverage_groups", *listed("weak")),
-            ],
-        ),
-        _entries(facts, "coverage", [(f, *listed(f)) for f in flags]),
-        _entries(facts, "join_gap_summary", [(f"{a}_not_{b}", *listed(f"{a}_not_{b}")) for a, b in pairs]),
-        gap_rows(presence, key, flags).select(
-            F.lit("join_gap").alias("section"),
-            F.col("comparison").alias("item"),
-            name.alias("value"),
-            F.concat_ws("; ", *[F.concat(F.lit(f"in_{f}="), F.col(f).cast("string")) for f in flags]).alias("details"),
-        ),
-        *(
-            [
-                _entries(
-                    facts.select(F.lit(1)), "caveat", [(i, F.lit(v), F.lit(d)) for i, v, d in caveats]
-                )
-            ]
-            if caveats
-            else []
-        ),
+        _sections(presence.agg(*aggregates), sections),
+        _entries(entity_count, "summary", [("entity_rows", F.col("n"), blank)]),
+        gaps,
     )

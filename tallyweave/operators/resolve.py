@@ -163,7 +163,7 @@ def similarity_join(
     ``targets`` are the ``register_variants`` of the register.
 
     The score is the best over the spellings of both sides; it is compared with the
-    threshold before it is rounded to 3 digits.
+    threshold before it is rounded to 3 digits, ties to the even digit.
 
     Spellings are scored once, however many names share them. An entry among a name's
     best ``k`` is among the best ``k`` of the spelling that gives its score, and among
@@ -177,7 +177,7 @@ def similarity_join(
     entries = targets.withColumn("_n", F.row_number().over(first_entries)).filter(F.col("_n") <= k).drop("_n")
     pairs = similar_pairs(
         spelled.select(F.col("a").alias("text")), targets.select(F.col("variant").alias("text")), threshold
-    ).withColumn("score", F.round("score", 3))
+    ).withColumn("score", F.bround("score", 3))
     scored = pairs.join(entries, pairs["b"] == entries["variant"]).groupBy("a", "canonical", "group").agg(
         F.max("score").alias("score")
     )
@@ -201,11 +201,9 @@ def similarity_accepted(
 ) -> Column:
     """The top candidate is near enough, clearly ahead, and not against the place hint."""
     first, second = F.col("first_score"), F.col("second_score")
-    # Scores carry 3 digits, so the difference is taken on whole thousandths.
-    ahead = F.round((first - second) * 1000) >= round(gap * 1000)
-    return F.coalesce(
-        (first >= accept) & (second.isNull() | ahead) & (hint.isNull() | (F.col("first_group") == hint)), F.lit(False)
-    )
+    ahead = second.isNull() | (first - second >= gap)
+    agrees = hint.isNull() | (F.col("first_group") == hint)
+    return F.coalesce((first >= accept) & ahead & agrees, F.lit(False))
 
 
 def nearest_magnitude(

@@ -56,8 +56,8 @@ def flatten_cube(
     )
     problem = (
         F.when(F.col("_cube.id").isNull() | (F.col("_cube.id") != expected), F.lit("unexpected dimension order"))
-        .when(F.size("_cube.value") != cells_expected, F.lit("values do not fill the cube"))
-        .when(~sizes_match, F.lit("labels do not match the dimension size"))
+        .when(~F.coalesce(F.size("_cube.value") == cells_expected, F.lit(False)), F.lit("values do not fill the cube"))
+        .when(~F.coalesce(sizes_match, F.lit(False)), F.lit("labels do not match the dimension size"))
     )
     # The guard sits on the exploded column itself, so it cannot be pruned away.
     guarded = F.when(problem.isNull(), F.col("_cube.value")).otherwise(

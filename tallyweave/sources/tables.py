@@ -10,22 +10,25 @@ from tallyweave import constants as K
 from tallyweave.functions.numbers import blank_to_null
 
 
-def read_text_table(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
+def read_text_table(
+    spark: SparkSession, path: str, columns: Sequence[str], line_breaks_in_cells: bool = False
+) -> DataFrame:
     """Header CSV in UTF-8; every column is text and blank cells are NULL.
 
     ``columns`` fixes the schema, so no pass over the files is spent on inference;
-    a file whose header disagrees fails the read.
+    a file whose header disagrees fails the read. Cells with line breaks are opt-in,
+    since they keep Spark from splitting a file.
     """
     schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
     df = (
         spark.read.schema(schema)
         .option("header", True)
         .option("enforceSchema", False)
-        .option("multiLine", False)
+        .option("multiLine", line_breaks_in_cells)
         .option("escape", '"')
         .csv(path)
     )
-    return df.select([blank_to_null(c).alias(c) for c in columns])
+    return df.select([F.when(blank_to_null(c).isNotNull(), F.col(c)).alias(c) for c in columns])
 
 
 def write_table(

@@ -112,7 +112,7 @@ def test_queues_and_audit(resolved):
 
 def test_acceptance(spark):
     df = spark.createDataFrame(
-        [(0.96, None, "g", None), (0.96, 0.93, "g", None), (0.97, 0.93, "g", None), (0.94, None, "g", None), (0.99, None, "g", "h"), (0.99, None, "g", "g"), (None, None, None, None)],
+        [(0.96, None, "g", None), (0.96, 0.93, "g", None), (0.99, 0.95, "g", None), (0.94, None, "g", None), (0.99, None, "g", "h"), (0.99, None, "g", "g"), (None, None, None, None)],
         "first_score double, second_score double, first_group string, hint string",
     )
     got = [r[0] for r in df.select(R.similarity_accepted(F.col("hint"))).collect()]

@@ -297,10 +297,12 @@ def by_period_profile(df: DataFrame, period: str, entity: str) -> DataFrame:
     return df.groupBy(period).agg(F.count_distinct(entity).alias("entities"), F.count(F.lit(1)).alias("n_rows"))
 
 
-def self_lookup_total(df: DataFrame, cells: DataFrame, key: str, total: Column, value: str, out: str) -> DataFrame:
+def self_lookup_total(
+    df: DataFrame, cells: DataFrame, keys: Sequence[str], total: Column, value: str, out: str
+) -> DataFrame:
     """The source's own total cell next to derived counts."""
-    totals = cells.filter(total).groupBy(key).agg(F.max(value).alias(out))
-    return df.join(totals, key, "left")
+    totals = cells.filter(total).groupBy(*keys).agg(F.max(value).alias(out))
+    return df.join(totals, list(keys), "left")
 
 
 def status_counts(df: DataFrame, *columns: str) -> DataFrame:

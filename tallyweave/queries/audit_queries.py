@@ -173,15 +173,13 @@ def _violation_sql(check: str, table: str, key: str, column: str, observed: str,
     )
 
 
-def q_dq_require_columns(spark, folder):
-    orders = C.table(spark, folder, "orders")
-    return Q.require_columns(orders, "orders", ["o_orderkey", "o_clerk", "o_comment", "o_orderdate"])
-
-
-def q_dq_require_rows(spark, folder):
-    customer = C.table(spark, folder, "customer")
+def q_dq_required(spark, folder):
+    """Columns that must exist, tables that must have rows, an exact row count."""
+    customer, orders = C.table(spark, folder, "customer"), C.table(spark, folder, "orders")
+    columns = Q.require_columns(orders, "orders", ["o_orderkey", "o_clerk", "o_comment", "o_orderdate"])
     empty = Q.require_rows(customer.filter("c_acctbal > 1e9"), "rich customers")
-    return empty.unionByName(Q.require_rows(customer, "customer", exactly=7)).unionByName(Q.require_rows(customer, "customer"))
+    exact = Q.require_rows(customer, "customer", exactly=7)
+    return keys.append_sections(columns, empty, exact, Q.require_rows(customer, "customer"))
 
 
 def q_dq_domain(spark, folder):
@@ -241,9 +239,9 @@ def q_dq_retained(spark, folder):
 
 
 def q_dq_referential(spark, folder):
-    orders = C.table(spark, folder, "orders").select(F.col("o_orderkey").alias("key"))
+    orders = C.table(spark, folder, "orders").filter("o_orderstatus <> 'P'").select(F.col("o_orderkey").alias("key"))
     lines = C.table(spark, folder, "lineitem").filter("l_linenumber > 1").select(F.col("l_orderkey").alias("key"))
-    return Q.expect_referential(lines, orders.filter("key % 50 <> 0"), "lines", ["key"], equal=True)
+    return Q.expect_referential(lines, orders, "lines", ["key"], equal=True)
 
 
 def q_dq_recomputed(spark, folder):
@@ -361,9 +359,9 @@ ORACLES = {
         _violation_sql(c, "lines", "row_key", col, seen, f"'{m}'", f"FROM k WHERE {cond}")
         for c, col, cond, seen, m in _LINE_VIOLATIONS
     ]),
-    "q_dq_require_columns": """SELECT 'columns' AS "check", 'orders' AS "table", '' AS row_key, c AS "column", '' AS observed, 'column is missing' AS message
-        FROM (VALUES ('o_clerk'), ('o_comment')) t(c)""",
-    "q_dq_require_rows": _violation_sql("rows", "rich customers", "''", "", "count(*)", "'table is empty'", "FROM customer WHERE c_acctbal > 1e9 HAVING count(*) = 0")
+    "q_dq_required": """SELECT 'columns' AS "check", 'orders' AS "table", '' AS row_key, c AS "column", '' AS observed, 'column is missing' AS message
+        FROM (VALUES ('o_clerk'), ('o_comment')) t(c) UNION ALL """
+    + _violation_sql("rows", "rich customers", "''", "", "count(*)", "'table is empty'", "FROM customer WHERE c_acctbal > 1e9 HAVING count(*) = 0")
     + " UNION ALL " + _violation_sql("rows", "customer", "''", "", "count(*)", "'expected 7 rows'", "FROM customer HAVING count(*) <> 7"),
     "q_dq_domain": _violation_sql("domain", "orders", "v", "o_orderpriority", "v", "'value outside the domain'",
         "FROM (SELECT DISTINCT o_orderpriority AS v FROM orders) WHERE v NOT IN ('1-URGENT', '2-HIGH', '3-MEDIUM', '6-NONE')")
@@ -399,7 +397,7 @@ ORACLES = {
     "q_dq_retained": f"""WITH {C.NATIONS_SQL}, {MQ._OUTCOMES} """ + _violation_sql("retained", "outcomes", "CAST(c_custkey AS VARCHAR)", "kept_group", "NULL",
         "CASE WHEN entity IS NULL THEN 'required entity is missing' ELSE 'required entity lost its group' END",
         "FROM customer LEFT JOIN outcomes ON entity = c_custkey WHERE entity IS NULL OR graduates IS NULL OR graduates <= 1"),
-    "q_dq_referential": """WITH c AS (SELECT DISTINCT l_orderkey AS key FROM lineitem WHERE l_linenumber > 1), p AS (SELECT o_orderkey AS key FROM orders WHERE o_orderkey % 50 <> 0) """
+    "q_dq_referential": """WITH c AS (SELECT DISTINCT l_orderkey AS key FROM lineitem WHERE l_linenumber > 1), p AS (SELECT o_orderkey AS key FROM orders WHERE o_orderstatus <> 'P') """
     + _violation_sql("referential", "lines", "CAST(key AS VARCHAR)", "key", "''", "'no parent row'", "FROM c WHERE key NOT IN (SELECT key FROM p)")
     + " UNION ALL " + _violation_sql("referential", "lines", "CAST(key AS VARCHAR)", "key", "''", "'no child row'", "FROM p WHERE key NOT IN (SELECT key FROM c)"),
     "q_dq_recomputed": "WITH " + ", ".join(MQ._REGION) + " " + _violation_sql("recomputed", "moved", "g", "value_pct", "''", "'latest value'",
@@ -409,3 +407,7 @@ ORACLES = {
         UNION ALL SELECT 'items', 'audit', 'rows', 'value', '', 'item is missing'
         UNION ALL SELECT 'items', 'audit', 'languages', 'value', CAST(count(DISTINCT lang) AS VARCHAR), 'item has another value' FROM documents HAVING count(DISTINCT lang) <> 4""",
 }
+ORACLES["q_dq_report"] = f"""WITH v AS ({ORACLES['q_dq_unique']} UNION ALL {ORACLES['q_dq_domain']}),
+  n AS (SELECT *, row_number() OVER (ORDER BY "check", "table", row_key, "column", observed, message) AS line FROM v)
+  SELECT CAST(0 AS BIGINT) AS line, CASE WHEN count(*) = 0 THEN 'PASS' ELSE 'FAIL' END AS result, count(*) || ' violation(s)' AS message FROM v
+  UNION ALL SELECT line, 'violation', concat_ws(' ', "table" || ':', "check", "column", row_key, '(' || observed || ')', message) FROM n WHERE line <= 30"""

@@ -263,14 +263,13 @@ def q_by_period(spark, folder):
 
 
 def q_self_total(spark, folder):
-    """Derived counts per year beside the ALL cell of the source itself."""
+    """Derived counts per year and nation beside the ALL cell of the source itself."""
     cells = C.population_cells(spark, folder)
     derived = cells.filter("member <> 'ALL'").groupBy("year", "source_name").agg(
         F.count_distinct("member").alias("segments"), F.sum("people").alias("people")
     )
-    one = cells.filter("source_name = 'NATION_1'")
     return M.self_lookup_total(
-        derived.filter("source_name = 'NATION_1'"), one, "year", F.col("member") == "ALL", "people", "source_total"
+        derived, cells, ["year", "source_name"], F.col("member") == "ALL", "people", "source_total"
     )
 
 
@@ -471,6 +470,6 @@ ORACLES = {
     "q_self_total": _sql(
         C.NATIONS_SQL, "seen AS (SELECT DISTINCT CAST(year(o_orderdate) AS INTEGER) AS year, c_custkey, c_nationkey, c_mktsegment FROM orders JOIN customer ON o_custkey = c_custkey)",
         select="""SELECT year, source_name, count(DISTINCT c_mktsegment) AS segments, count(*) AS people, count(*) AS source_total
-          FROM seen JOIN nations ON c_nationkey = n_nationkey WHERE source_name = 'NATION_1' GROUP BY ALL""",
+          FROM seen JOIN nations ON c_nationkey = n_nationkey GROUP BY ALL""",
     ),
 }

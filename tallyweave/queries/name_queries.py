@@ -203,10 +203,10 @@ def q_override_fields(spark, folder):
 
 
 def q_review_template(spark, folder):
-    """Edited label rows that hold an edit, and open documents as blank rows."""
+    """Edited label rows that hold an edit, and all other documents as blank rows."""
     _, edited = _manual(spark, folder)
     manual = edited.select("key", F.col("key").alias("folded"), "canonical", "group")
-    documents = C.table(spark, folder, "documents").filter("source = 'src1'")
+    documents = C.table(spark, folder, "documents")
     unresolved = documents.select(F.col("doc_id").cast("string").alias("key"), F.col("lang").alias("folded"))
     return H.review_template(manual, unresolved, "key", "folded", ["canonical", "group"])
 
@@ -244,17 +244,17 @@ def source_names(spark, folder) -> DataFrame:
         .when(k == 3, F.concat(F.substring("p_name", 1, 5), F.lit(" "), F.substring("p_name", 6, 20)))
         .otherwise(F.concat(F.lit("Very "), "p_name", F.lit(" kit")))
     )
-    names = part.select(spelling.alias("spelling"), "p_partkey")
+    names = part.select(spelling.alias("spelling"), "p_retailprice", "p_size")
     return R.presence_matrix(
-        {"in_sales": (names.filter("p_partkey % 2 = 0"), "spelling"), "in_stock": (names.filter("p_partkey % 3 <> 0"), "spelling")}
+        {"in_sales": (names.filter("p_retailprice >= 950"), "spelling"), "in_stock": (names.filter("p_size <= 35"), "spelling")}
     )
 
 
-_NAMES_SQL = """spellings AS (SELECT p_partkey, CASE p_partkey % 5 WHEN 0 THEN upper(p_name)
+_NAMES_SQL = """spellings AS (SELECT p_retailprice, p_size, CASE p_partkey % 5 WHEN 0 THEN upper(p_name)
     WHEN 1 THEN 'Smallenn i ' || string_split(p_name, ' ')[-1] WHEN 2 THEN p_name || ' ib'
     WHEN 3 THEN substr(p_name, 1, 5) || ' ' || substr(p_name, 6, 20) ELSE 'Very ' || p_name || ' kit' END AS spelling FROM part),
-names AS (SELECT spelling AS name, bool_or(p_partkey % 2 = 0) AS in_sales, bool_or(p_partkey % 3 <> 0) AS in_stock
-  FROM spellings WHERE p_partkey % 2 = 0 OR p_partkey % 3 <> 0 GROUP BY 1)"""
+names AS (SELECT spelling AS name, bool_or(p_retailprice >= 950) AS in_sales, bool_or(p_size <= 35) AS in_stock
+  FROM spellings WHERE p_retailprice >= 950 OR p_size <= 35 GROUP BY 1)"""
 
 
 def q_presence_names(spark, folder):
@@ -444,7 +444,7 @@ ORACLES = {
     "q_review_template": f"""WITH {_MANUAL_SQL}, kept AS (SELECT key, key AS folded, coalesce(canonical, ' ') AS canonical, "group"
           FROM edited WHERE canonical IS NOT NULL OR "group" IS NOT NULL)
         SELECT * FROM kept UNION ALL SELECT CAST(doc_id AS VARCHAR), lang, NULL, NULL FROM documents
-        WHERE source = 'src1' AND CAST(doc_id AS VARCHAR) NOT IN (SELECT key FROM kept)""",
+        WHERE CAST(doc_id AS VARCHAR) NOT IN (SELECT key FROM kept)""",
     "q_presence_names": f"WITH {_NAMES_SQL} SELECT * FROM names",
     "q_attach_weight": f"""WITH {_NAMES_SQL} SELECT name, weight FROM names LEFT JOIN
         (SELECT upper(p_name) AS name, CAST(arg_max(p_size, p_partkey) AS BIGINT) AS weight FROM part GROUP BY 1) USING (name)""",

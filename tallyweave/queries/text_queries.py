@@ -393,6 +393,11 @@ ORACLES = {
     "q_record_segments": """SELECT conv_id, turn, role, CAST(sum(CASE WHEN role = 'user' THEN 1 ELSE 0 END) OVER (PARTITION BY conv_id ORDER BY turn) AS BIGINT) AS record_no
         FROM conversations""",
     "q_sectioned_lines": f"WITH {_SECTION_SQL} SELECT * FROM vals",
+    "q_sectioned_issues": f"""WITH {_SECTION_SQL}, bad AS (SELECT *, o_orderkey * 8 AS at0, ((o_custkey + o_orderkey) % 100) || ',5%' AS pct FROM o WHERE k IN (3, 6)),
+        printed AS (SELECT *, at0 + 2 AS line_no, replace(y, '-', '–') AS raw_text FROM bad UNION ALL SELECT *, at0 + 3, pct FROM bad
+          UNION ALL SELECT *, at0 + 5, '7.5%' FROM bad UNION ALL SELECT *, at0 + 6, '100%' FROM bad WHERE k = 3)
+        SELECT o_custkey AS doc, line_no, record_no, raw_text,
+          CASE WHEN k = 3 THEN 'record without entity or period' ELSE 'unexpected value count: 2' END AS issue FROM printed""",
     "q_extraction_audit": f"""WITH {_SECTION_SQL} SELECT 'summary' AS section, 'rows_extracted' AS item, CAST(count(*) AS VARCHAR) AS value, '' AS details FROM vals
         UNION ALL SELECT 'summary', 'non_null_value_rows', CAST(count(value) AS VARCHAR), '' FROM vals
         UNION ALL SELECT 'summary', 'suppressed_or_missing_value_rows', CAST(count(*) FILTER (WHERE suppressed) AS VARCHAR), '' FROM vals

@@ -141,7 +141,7 @@ def test_small_measures(spark):
     assert rows(df.groupBy("g").agg(M.sum_or_null("n"), M.weighted_average("n", "w"))) == [("x", 5, 2.0), ("y", None, None)]
     cells = spark.createDataFrame([(1, "ALL", 9), (1, "a", 4), (2, "a", 5)], "y int, m string, v long")
     derived = cells.filter("m <> 'ALL'").select("y", "v")
-    assert rows(M.self_lookup_total(derived, cells, "y", F.col("m") == "ALL", "v", "total")) == [(1, 4, 9), (2, 5, None)]
+    assert rows(M.self_lookup_total(derived, cells, ["y"], F.col("m") == "ALL", "v", "total")) == [(1, 4, 9), (2, 5, None)]
     names = spark.createDataFrame([("a b c", 3), ("a b", 1), ("z", 0), ("q r", 2)], "f string, o int")
     assert [tuple(r) for r in M.token_pattern_top_k(names, "f", "o", 2).collect()] == [("a b", 2, 1), ("z", 1, 0)]
     flags = spark.createDataFrame([(True, False, 1), (True, True, None), (False, False, 1)], "p boolean, q boolean, g int")

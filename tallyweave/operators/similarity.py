@@ -9,12 +9,16 @@ and ratio >= t:
   bigrams, hence the strings share at least 3M - S - 1 >= S(1.5t - 1) - 1 bigrams.
 
 So every pair over the threshold shares c bigrams, c growing with S. Order each
-string's bigrams from rare to common over the whole input. The first two shared ones
-then lie among the first |bigrams| - c + 2 of both strings, and those two together are
-the join key; a pair counts once, at its first two shared bigrams. Where c falls below
-2 or 1, in short strings, the key is one bigram or a single character; in long strings
-one bigram is rare enough and keeps the number of keys down. Nothing is lost, and the
-scoring function only sees pairs that pass all of these bounds.
+string's bigrams from rare to common over the whole input: the rarest one two such
+strings share lies among the first |bigrams| - c + 1 of both. These are the join keys,
+and a pair counts once, at its rarest shared bigram. Where c falls below 1, in very
+short strings, characters take the place of bigrams.
+
+A key that very many strings share is split: its left rows are spread over salts and
+its right rows copied to each. Inside the join, parity bitmaps of characters and
+bigrams (bits that differ never outnumber the tokens that differ) turn most pairs away
+before any list is compared. Nothing is lost, and the scoring function only sees pairs
+that pass all of these bounds.
 """
 
 from __future__ import annotations
@@ -57,21 +61,29 @@ def _grams(text: Column, n: int) -> Column:
     return F.get(number, 0)
 
 
-# Sums of two lengths above which one bigram makes the key again.
-_LONG = 60
+# Left rows of one key that one join task may hold.
+_ROWS_PER_SALT = 5_000
+_BITS = 64
 
 
-def _limits(threshold: float) -> tuple[float, float, float]:
-    """Length sums up to which a character, one bigram, and two bigrams form the key."""
+def _short_limit(threshold: float) -> float:
+    """Length sum up to which a similar pair need not share a bigram."""
     slope = 1.5 * threshold - 1
-    if slope <= 0:
-        return math.inf, math.inf, math.inf
-    s0, s1 = math.floor(1 / slope + _EPS), math.floor(2 / slope + _EPS)
-    return s0, s1, max(s1, _LONG)
+    return math.floor(1 / slope + _EPS) if slope > 0 else math.inf
+
+
+def _bitmap(tokens: str, word: int) -> Column:
+    """Parity bitmap of the token numbers that fall into one 64-bit word of two."""
+
+    def flip(bits: Column, n: Column) -> Column:
+        one = F.call_function("shiftleft", F.lit(1).cast("bigint"), n % _BITS)
+        return F.when(F.floor(n / _BITS) % 2 == word, bits.bitwiseXOR(one)).otherwise(bits)
+
+    return F.aggregate(tokens, F.lit(0).cast("bigint"), flip)
 
 
 def _ranked(strings: DataFrame) -> DataFrame:
-    """Tokens of each string as numbers from rare to common over all strings.
+    """Tokens of each string as numbers from rare to common over all strings, and bitmaps.
 
     The token table holds one row per distinct numbered bigram or character. That is
     bounded by the alphabet, not by the strings, so one task may number it.
@@ -86,80 +98,73 @@ def _ranked(strings: DataFrame) -> DataFrame:
     numbered = tokens.join(frequency.select("token", number.alias("number")), "token")
     is_bigram = F.startswith(F.col("token"), F.lit("b"))
     # A string has as many tokens as characters, so these lists are as small as the string.
-    return numbered.groupBy("side", "text").agg(
+    ranked = numbered.groupBy("side", "text").agg(
         F.array_sort(F.collect_list(F.when(is_bigram, F.col("number")))).alias("bigrams"),
         F.array_sort(F.collect_list(F.when(~is_bigram, F.col("number")))).alias("chars"),
-    ).withColumn("len", F.length("text"))
-
-
-def _pair_key(x: Column, y: Column) -> Column:
-    return (x.cast("bigint") + 1) * F.lit(1 << 31) + y.cast("bigint")
+    )
+    bitmaps = {f"{t[0]}{w}": _bitmap(t, w) for t in ("bigrams", "chars") for w in (0, 1)}
+    return ranked.withColumns({"len": F.length("text"), **bitmaps})
 
 
 def _keys(threshold: float) -> Column:
-    """All join keys of a string: the numbers of single tokens, or of two bigrams as one."""
-    s0, s1, s2 = _limits(threshold)
-    slope = 1.5 * threshold - 1
+    """Join keys of a string: its rarest bigrams, and its characters if it is very short."""
+    limit, slope = _short_limit(threshold), 1.5 * threshold - 1
     length = F.col("len")
     least = length + F.ceil(length * (threshold / (2 - threshold)) - _EPS)
     most = length + F.floor(length * ((2 - threshold) / threshold) + _EPS)
 
-    def prefix(tokens: str, shared: Column, width: int) -> Column:
-        size = F.size(tokens) - F.greatest(shared, F.lit(width)) + width
-        return F.slice(tokens, 1, F.greatest(size, F.lit(0)).cast("int"))
-
-    def used(keys: Column, condition: Column) -> Column:
-        return F.when(condition, keys).otherwise(F.array().cast("array<bigint>"))
+    def prefix(tokens: str, shared: Column, use: Column) -> Column:
+        size = F.greatest(F.size(tokens) - F.greatest(shared, F.lit(1)) + 1, F.lit(0))
+        return F.when(use, F.slice(tokens, 1, size.cast("int"))).otherwise(F.array().cast("array<int>"))
 
-    def shared_above(limit: float) -> Column:
-        return F.ceil(F.greatest(least, F.lit(limit + 1)) * slope - 1 - _EPS)
-
-    chars = prefix("chars", F.ceil(least * (threshold / 2) - _EPS), 1).cast("array<bigint>")
-    parts = [used(chars, least <= F.lit(float(s0)))]
-    if slope > 0:
-        one = prefix("bigrams", shared_above(s0), 1).cast("array<bigint>")
-        two = prefix("bigrams", shared_above(s1), 2)
-        pairs = F.flatten(
-            F.transform(two, lambda x, i: F.transform(F.slice(two, i + 2, F.size(two)), lambda y: _pair_key(x, y)))
-        )
-        parts.append(used(one, ((least <= s1) & (most > s0)) | (most > s2)))
-        parts.append(used(pairs, (most > s1) & (least <= s2)))
-    return F.concat(*parts)
+    chars = prefix("chars", F.ceil(least * (threshold / 2) - _EPS), least <= F.lit(float(limit)))
+    if slope <= 0:
+        return chars
+    shared = F.ceil(F.greatest(least, F.lit(limit + 1)) * slope - 1 - _EPS)
+    return F.concat(chars, prefix("bigrams", shared, most > F.lit(float(limit))))
 
 
 def candidate_pairs(
     left: DataFrame, right: DataFrame, threshold: float = K.SIMILARITY_REVIEW
 ) -> DataFrame:
     """Pairs ``(a, b)`` that pass every lossless bound; both inputs are one column ``text``."""
-    s0, s1, s2 = _limits(threshold)
+    limit = F.lit(float(_short_limit(threshold)))
     strings = left.select(F.lit("a").alias("side"), "text").union(right.select(F.lit("b").alias("side"), "text"))
     ranked = reused(_ranked(reused(strings.filter("text <> ''").distinct())))
     # Characters are only a key for short strings; others leave them behind.
-    short = F.length("text") <= F.lit(float(s0))
-    keyed = ranked.withColumn("chars_of_short", F.when(short, F.col("chars"))).withColumn("key", F.explode(_keys(threshold)))
+    short_chars = F.when(F.col("len") <= limit, F.col("chars")).alias("chars")
+    keyed = ranked.select("side", "text", "len", "bigrams", short_chars, "b0", "b1", "c0", "c1", F.explode(_keys(threshold)).alias("key"))
 
     def side(name: str) -> DataFrame:
-        return keyed.filter(F.col("side") == name).select(
-            "key",
-            F.col("text").alias(name),
-            F.col("len").alias(f"{name}_len"),
-            F.col("bigrams").alias(f"{name}_bigrams"),
-            F.col("chars_of_short").alias(f"{name}_chars"),
-        )
+        columns = {c: "" if c == "text" else f"_{c}" for c in ("text", "len", "bigrams", "chars", "b0", "b1", "c0", "c1")}
+        return keyed.filter(F.col("side") == name).select("key", *[F.col(c).alias(name + end) for c, end in columns.items()])
+
+    # One row per key, so as small as the token table.
+    salts = side("a").groupBy("key").agg(F.ceil(F.count(F.lit(1)) / _ROWS_PER_SALT).alias("salts"))
+    spread = side("a").join(salts, "key").withColumn("salt", F.pmod(F.xxhash64("a"), F.col("salts"))).drop("salts")
+    copied = side("b").join(salts, "key").withColumn(
+        "salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("salts") - 1))
+    ).drop("salts")
 
     total = F.col("a_len") + F.col("b_len")
     matched = F.ceil(total * (threshold / 2) - _EPS)
+    shared_least = 3 * matched - total - 1
+
+    def differing(kind: str) -> Column:
+        words = [F.bit_count(F.col(f"a_{kind}{w}").bitwiseXOR(F.col(f"b_{kind}{w}"))) for w in (0, 1)]
+        return words[0] + words[1]
+
     shared = F.array_intersect("a_bigrams", "b_bigrams")
-    one = F.get(shared, 0).cast("bigint")
-    first_meeting = (
-        F.when(total <= F.lit(float(s0)), F.get(F.array_intersect("a_chars", "b_chars"), 0).cast("bigint"))
-        .when((total <= F.lit(float(s1))) | (total > F.lit(float(s2))), one)
-        .otherwise(_pair_key(F.get(shared, 0), F.get(shared, 1)))
+    rarest = F.when(total <= limit, F.get(F.array_intersect("a_chars", "b_chars"), 0)).otherwise(F.get(shared, 0))
+    met = spread.join(copied, ["key", "salt"]).filter(
+        (F.least("a_len", "b_len") >= matched)
+        & (differing("c") <= total - 2 * matched)
+        & (differing("b") <= total - 2 - 2 * shared_least)
+        & (F.col("key") == rarest)
+        & (F.size(shared) >= shared_least)
     )
-    met = side("a").join(side("b"), "key").filter(F.least("a_len", "b_len") >= matched)
-    passing = met.filter((F.col("key") == first_meeting) & (F.size(shared) >= 3 * matched - total - 1))
     shared_chars = F.array_intersect(_grams(F.col("a"), 1), _grams(F.col("b"), 1))
-    return passing.filter(F.size(shared_chars) >= matched).select("a", "b")
+    return met.filter(F.size(shared_chars) >= matched).select("a", "b")
 
 
 def similar_pairs(left: DataFrame, right: DataFrame, threshold: float = K.SIMILARITY_REVIEW) -> DataFrame:

@@ -3,7 +3,7 @@
 ratio(a, b) = 2M / (|a| + |b|), M the characters in matching blocks. With S = |a| + |b|
 and ratio >= t:
 
-* M >= tS/2, and M cannot exceed either length or the characters both strings share.
+* M >= tS/2, M cannot exceed either length, and at most S - 2M characters are not shared.
 * At most S - 2M characters stay unmatched, and one of them lies between any two
   blocks, so there are at most S - 2M + 1 blocks. A block of m characters holds m - 1
   bigrams, hence the strings share at least 3M - S - 1 >= S(1.5t - 1) - 1 bigrams.
@@ -48,17 +48,21 @@ def sequence_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series(out, dtype="float64")
 
 
-def _grams(text: Column, n: int) -> Column:
-    """Numbered n-grams: the second ``ab`` of a string is ``ab2``, so sets count repeats."""
-    grams = F.when(
-        F.length(text) >= n,
-        F.transform(F.sequence(F.lit(1), F.length(text) - (n - 1)), lambda i: F.substring(text, i, F.lit(n))),
-    ).otherwise(F.array().cast("array<string>"))
-    number = F.transform(
-        F.array(F.array_sort(grams)),
-        lambda s: F.transform(s, lambda g, i: F.concat(g, (i - F.array_position(s, g) + 2).cast("string"))),
-    )
-    return F.get(number, 0)
+def _tokens(strings: DataFrame) -> DataFrame:
+    """Rows ``(side, text, token)``: numbered bigrams and characters of each string.
+
+    The second ``ab`` of a string is token ``ab2``, so that sets of tokens count repeats.
+    """
+
+    def grams(n: int, kind: str) -> Column:
+        starts = F.sequence(F.lit(1), F.length("text") - (n - 1))
+        found = F.transform(starts, lambda i: F.concat(F.lit(kind), F.substring("text", i, F.lit(n))))
+        return F.when(F.length("text") >= n, found).otherwise(F.array().cast("array<string>"))
+
+    rows = strings.select("side", "text", F.explode(F.concat(grams(2, "b"), grams(1, "c"))).alias("gram"))
+    counted = rows.groupBy("side", "text", "gram").agg(F.count(F.lit(1)).alias("n"))
+    numbered = counted.select("side", "text", "gram", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("n"))).alias("k"))
+    return numbered.select("side", "text", F.concat("gram", F.col("k").cast("string")).alias("token"))
 
 
 # Left rows of one key that one join task may hold.
@@ -88,11 +92,7 @@ def _ranked(strings: DataFrame) -> DataFrame:
     The token table holds one row per distinct numbered bigram or character. That is
     bounded by the alphabet, not by the strings, so one task may number it.
     """
-    grams = F.concat(
-        F.transform(_grams(F.col("text"), 2), lambda g: F.concat(F.lit("b"), g)),
-        F.transform(_grams(F.col("text"), 1), lambda g: F.concat(F.lit("c"), g)),
-    )
-    tokens = strings.select("side", "text", F.explode(grams).alias("token"))
+    tokens = _tokens(strings)
     frequency = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
     number = F.row_number().over(Window.orderBy("n", "token"))
     numbered = tokens.join(frequency.select("token", number.alias("number")), "token")
@@ -163,8 +163,7 @@ def candidate_pairs(
         & (F.col("key") == rarest)
         & (F.size(shared) >= shared_least)
     )
-    shared_chars = F.array_intersect(_grams(F.col("a"), 1), _grams(F.col("b"), 1))
-    return met.filter(F.size(shared_chars) >= matched).select("a", "b")
+    return met.select("a", "b")
 
 
 def similar_pairs(left: DataFrame, right: DataFrame, threshold: float = K.SIMILARITY_REVIEW) -> DataFrame:

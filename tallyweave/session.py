@@ -33,18 +33,27 @@ def reused(df: DataFrame) -> DataFrame:
     return df.persist(StorageLevel.MEMORY_AND_DISK)
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the shared folder named by the session.
+def checkpoint_folder(spark: SparkSession) -> str:
+    """The shared folder that ``spark.checkpoint.dir`` names.
 
-    Only a local session that names no folder gets a temporary one; a cluster
-    session must set ``spark.checkpoint.dir`` to storage all executors share.
+    Only a local session that names none gets a temporary one; a cluster session must
+    name storage that all executors share.
     """
+    folder = spark.conf.get("spark.checkpoint.dir", None) or _own_folders.get(spark.sparkContext.applicationId)
+    if folder is None:
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder")
+        folder = tempfile.mkdtemp(prefix="checkpoint-", dir=os.environ.get("TMPDIR"))
+        _own_folders[spark.sparkContext.applicationId] = folder
+    return folder
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint in the shared folder, written when the first job needs it."""
     context = df.sparkSession.sparkContext
     if not context.getCheckpointDir():
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
-            if not context.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a shared folder")
-            folder = tempfile.mkdtemp(prefix="checkpoint-", dir=os.environ.get("TMPDIR"))
-        context.setCheckpointDir(folder)
-    return df.checkpoint()
+        context.setCheckpointDir(checkpoint_folder(df.sparkSession))
+    return df.checkpoint(eager=False)
+
+
+_own_folders: dict[str, str] = {}

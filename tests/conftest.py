@@ -9,8 +9,11 @@ from tallyweave.session import local_session
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = local_session(4, **{"spark.sql.shuffle.partitions": "4", "spark.driver.memory": "4g"})
+def spark(tmp_path_factory):
+    shared = str(tmp_path_factory.mktemp("shared"))
+    session = local_session(
+        4, **{"spark.sql.shuffle.partitions": "4", "spark.driver.memory": "4g", "spark.checkpoint.dir": shared}
+    )
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

@@ -18,7 +18,7 @@ _AWKWARD = ("  ", " \n", "\n ", "\n\n")
 # Marks that end a word and are a pre-token of their own there.
 _ENDS = frozenset(".,;:!?")
 # Entries kept per cache, at about 200 bytes each; a full cache starts afresh.
-CACHE_ENTRIES = 400_000
+CACHE_ENTRIES = 150_000
 # Longer pieces are encoded without being kept.
 LONGEST_KEPT = 64
 

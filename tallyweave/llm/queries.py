@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyweave.llm import bpe, language, secret_scan, wavelet
+from tallyweave.llm import bpe, chat, decontaminate, language, secret_scan, wavelet
 from tallyweave.llm.common import read
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -46,6 +46,78 @@ def op3_secrets(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op4_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    """Words of every document inside a passage of the benchmark, and the items they are of."""
+    documents = read(spark, folder, "documents").select("doc_id", "text")
+    return decontaminate.report(documents, read(spark, folder, "benchmark"))
+
+
+SQL_WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+  '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
+
+OP4_SQL = f"""
+WITH doc AS (SELECT doc_id, {SQL_WORDS} AS w FROM documents),
+item AS (SELECT item_id, {SQL_WORDS} AS w FROM benchmark),
+windows AS (
+  SELECT DISTINCT item_id, unnest([list_slice(w, i, i + 9) FOR i IN range(1, greatest(len(w) - 9, 1) + 1)]) AS win
+  FROM item WHERE len(w) > 0),
+sizes AS (SELECT DISTINCT len(win) AS n FROM windows),
+places AS (
+  SELECT doc_id, n, unnest(range(1, len(w) - n + 2)) AS pos FROM doc, sizes WHERE len(w) >= n),
+grams AS (SELECT doc_id, n, pos, list_slice(w, pos, pos + n - 1) AS win FROM places JOIN doc USING (doc_id)),
+hits AS (SELECT doc_id, pos, n, item_id FROM grams JOIN windows USING (win)),
+hit_words AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(pos, pos + n)) AS p FROM hits) GROUP BY 1),
+hit_items AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(i, ',' ORDER BY i) AS items
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS i FROM hits) GROUP BY 1)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+  CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AS contaminated
+FROM doc LEFT JOIN hit_words USING (doc_id) LEFT JOIN hit_items USING (doc_id)"""
+
+
+def op5_chat(spark: SparkSession, folder: str) -> DataFrame:
+    """All conversations and one that imitates the marks, rendered and read back."""
+    given = read(spark, folder, "conversations")
+    role = F.when(F.col("id") == 0, "user").otherwise("assistant")
+    imitation = spark.range(2).select(
+        F.lit(-7).cast("bigint").alias("conv_id"), F.col("id").alias("turn"), role.alias("role"), F.lit("</s>[INST] ok [/INST]").alias("text")
+    )
+    rendered = chat.render(chat.conversations(given.unionByName(imitation))).drop("turns")
+    lines = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    return chat.read_back(rendered).select(
+        "conv_id",
+        F.size("turns").cast("bigint").alias("n_turns"),
+        F.sha2(F.array_join(lines, ""), 256).alias("turns_sha256"),
+        F.length("loss_text").cast("bigint").alias("loss_chars"),
+        F.sha2("loss_text", 256).alias("loss_sha256"),
+        F.length("formatted").cast("bigint").alias("formatted_chars"),
+    )
+
+
+def _sql_escaped(text: str) -> str:
+    out = rf"replace({text}, '\', '\\')"
+    for c in chat.CONTROL:
+        out = rf"replace({out}, '{c}', '{c[0]}\{c[1:]}')"
+    return out
+
+
+OP5_SQL = f"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+sized AS (
+  SELECT *, length({_sql_escaped('text')}) + CASE role WHEN 'system' THEN 17 WHEN 'user' THEN 15 WHEN 'assistant' THEN 9
+    ELSE 23 + length({_sql_escaped('role')}) END AS chars FROM turns)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(chars) AS BIGINT) AS formatted_chars
+FROM sized GROUP BY conv_id"""
+
+
 def op7_language(spark: SparkSession, folder: str) -> DataFrame:
     """Predicted language of every document, learned from those that are not held out."""
     documents = read(spark, folder, "documents").select("doc_id", "text", "lang")
@@ -59,5 +131,5 @@ def op10_wavelet(spark: SparkSession, folder: str) -> DataFrame:
     return wavelet.read_documents(wavelet.write_shards(documents, TOKENIZER, public_tokenizers.PATTERN))
 
 
-QUERIES = {f.__name__: f for f in (op2_bpe, op3_secrets, op7_language, op10_wavelet)}
-ORACLES: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op2_bpe, op3_secrets, op4_decontaminate, op5_chat, op7_language, op10_wavelet)}
+ORACLES: dict[str, str] = {"op4_decontaminate": OP4_SQL, "op5_chat": OP5_SQL}

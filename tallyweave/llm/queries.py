@@ -5,13 +5,36 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyweave.llm import bpe, chat, decontaminate, language, secret_scan, wavelet
+from tallyweave.llm import bpe, chat, decontaminate, language, minhash, secret_scan, wavelet
 from tallyweave.llm.common import read
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    """Near-duplicate documents: 3-word shingles, similarity of 0.85 or more."""
+    return minhash.groups(read(spark, folder, "documents").select("doc_id", "text"), size=3, percent=85)
+
+
+OP1_SQL = r"""
+WITH RECURSIVE doc AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS w FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 3 THEN [list_slice(w, i, i + 2) FOR i IN range(1, len(w) - 1)]
+    WHEN len(w) > 0 THEN [w] ELSE [] END) AS s FROM doc),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY 1),
+shared AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM shingles a JOIN shingles b USING (s)
+  WHERE a.doc_id <> b.doc_id GROUP BY 1, 2),
+links AS (
+  SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * k >= 85 * (x.n + y.n - k)),
+reach AS (SELECT doc_id, doc_id AS r FROM doc UNION SELECT reach.doc_id, b FROM reach JOIN links ON r = a)
+SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, min(r) AS component_id, min(r) = doc_id AS kept
+FROM reach LEFT JOIN sizes USING (doc_id) GROUP BY doc_id, n"""
+
+
 def op2_bpe(spark: SparkSession, folder: str) -> DataFrame:
     """Token ids of every document and what they decode to."""
     documents = read(spark, folder, "documents").select("doc_id", "text")
@@ -131,5 +154,5 @@ def op10_wavelet(spark: SparkSession, folder: str) -> DataFrame:
     return wavelet.read_documents(wavelet.write_shards(documents, TOKENIZER, public_tokenizers.PATTERN))
 
 
-QUERIES = {f.__name__: f for f in (op2_bpe, op3_secrets, op4_decontaminate, op5_chat, op7_language, op10_wavelet)}
-ORACLES: dict[str, str] = {"op4_decontaminate": OP4_SQL, "op5_chat": OP5_SQL}
+QUERIES = {f.__name__: f for f in (op1_minhash, op2_bpe, op3_secrets, op4_decontaminate, op5_chat, op7_language, op10_wavelet)}
+ORACLES: dict[str, str] = {"op1_minhash": OP1_SQL, "op4_decontaminate": OP4_SQL, "op5_chat": OP5_SQL}

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyweave.llm import bpe, chat, decontaminate, language, minhash, secret_scan, wavelet
+from tallyweave.llm import ann, bpe, chat, decontaminate, language, minhash, secret_scan, wavelet
 from tallyweave.llm.common import read
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -148,11 +148,16 @@ def op7_language(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", language.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
+def op9_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    """The 10 nearest vectors of every hundredth one."""
+    return ann.nearest(read(spark, folder, "embeddings"), lambda vec_id: vec_id % 100 == 0)
+
+
 def op10_wavelet(spark: SparkSession, folder: str) -> DataFrame:
     """Place, count and checksum of every document's ids, read back from the shard files."""
     documents = read(spark, folder, "documents").select("doc_id", "text")
     return wavelet.read_documents(wavelet.write_shards(documents, TOKENIZER, public_tokenizers.PATTERN))
 
 
-QUERIES = {f.__name__: f for f in (op1_minhash, op2_bpe, op3_secrets, op4_decontaminate, op5_chat, op7_language, op10_wavelet)}
+QUERIES = {f.__name__: f for f in (op1_minhash, op2_bpe, op3_secrets, op4_decontaminate, op5_chat, op7_language, op9_neighbours, op10_wavelet)}
 ORACLES: dict[str, str] = {"op1_minhash": OP1_SQL, "op4_decontaminate": OP4_SQL, "op5_chat": OP5_SQL}

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyweave.llm import ann, bpe, chat, decontaminate, language, minhash, secret_scan, wavelet
+from tallyweave.llm import ann, bpe, chat, debruijn, decontaminate, language, minhash, secret_scan, wavelet
 from tallyweave.llm.common import read
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -148,6 +148,28 @@ def op7_language(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", language.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
+def op8_debruijn(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents without passages of 20 words that occur earlier."""
+    found = debruijn.dedup(read(spark, folder, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+OP8_SQL = r"""
+WITH doc AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+windows AS (SELECT doc_id, unnest(range(1, len(w) - 18)) AS pos FROM doc WHERE len(w) >= 20),
+hashed AS (SELECT doc_id, pos, list_slice(w, pos, pos + 19) AS win FROM windows JOIN doc USING (doc_id)),
+later AS (
+  SELECT doc_id, pos FROM (SELECT doc_id, pos, row_number() OVER (PARTITION BY win ORDER BY doc_id, pos) AS k FROM hashed) WHERE k > 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(pos, pos + 20)) AS p FROM later),
+word AS (SELECT doc_id, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS p FROM doc),
+kept AS (
+  SELECT word.doc_id, count(*) AS n, string_agg(x, ' ' ORDER BY p) AS t
+  FROM word ANTI JOIN gone ON word.doc_id = gone.doc_id AND word.p = gone.p GROUP BY 1)
+SELECT doc.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed,
+  sha256(coalesce(t, '')) AS kept_sha256
+FROM doc LEFT JOIN kept USING (doc_id)"""
+
+
 def op9_neighbours(spark: SparkSession, folder: str) -> DataFrame:
     """The 10 nearest vectors of every hundredth one."""
     return ann.nearest(read(spark, folder, "embeddings"), lambda vec_id: vec_id % 100 == 0)
@@ -159,5 +181,5 @@ def op10_wavelet(spark: SparkSession, folder: str) -> DataFrame:
     return wavelet.read_documents(wavelet.write_shards(documents, TOKENIZER, public_tokenizers.PATTERN))
 
 
-QUERIES = {f.__name__: f for f in (op1_minhash, op2_bpe, op3_secrets, op4_decontaminate, op5_chat, op7_language, op9_neighbours, op10_wavelet)}
-ORACLES: dict[str, str] = {"op1_minhash": OP1_SQL, "op4_decontaminate": OP4_SQL, "op5_chat": OP5_SQL}
+QUERIES = {f.__name__: f for f in (op1_minhash, op2_bpe, op3_secrets, op4_decontaminate, op5_chat, op7_language, op8_debruijn, op9_neighbours, op10_wavelet)}
+ORACLES: dict[str, str] = {"op1_minhash": OP1_SQL, "op4_decontaminate": OP4_SQL, "op5_chat": OP5_SQL, "op8_debruijn": OP8_SQL}

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyweave.llm import ann, bpe, chat, debruijn, decontaminate, language, minhash, secret_scan, wavelet
+from tallyweave.llm import ann, bpe, chat, debruijn, decontaminate, language, minhash, secret_scan, suffix, wavelet
 from tallyweave.llm.common import read
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -141,6 +141,12 @@ SELECT conv_id, count(*) AS n_turns,
 FROM sized GROUP BY conv_id"""
 
 
+def op6_suffix(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents without strings of 200 bytes that occur anywhere else."""
+    found = suffix.dedup(read(spark, folder, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op7_language(spark: SparkSession, folder: str) -> DataFrame:
     """Predicted language of every document, learned from those that are not held out."""
     documents = read(spark, folder, "documents").select("doc_id", "text", "lang")
@@ -181,5 +187,5 @@ def op10_wavelet(spark: SparkSession, folder: str) -> DataFrame:
     return wavelet.read_documents(wavelet.write_shards(documents, TOKENIZER, public_tokenizers.PATTERN))
 
 
-QUERIES = {f.__name__: f for f in (op1_minhash, op2_bpe, op3_secrets, op4_decontaminate, op5_chat, op7_language, op8_debruijn, op9_neighbours, op10_wavelet)}
+QUERIES = {f.__name__: f for f in (op1_minhash, op2_bpe, op3_secrets, op4_decontaminate, op5_chat, op6_suffix, op7_language, op8_debruijn, op9_neighbours, op10_wavelet)}
 ORACLES: dict[str, str] = {"op1_minhash": OP1_SQL, "op4_decontaminate": OP4_SQL, "op5_chat": OP5_SQL, "op8_debruijn": OP8_SQL}

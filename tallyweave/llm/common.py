@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import hashlib
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -74,8 +73,12 @@ def texts_of(batch: pa.RecordBatch, column: str = "text") -> list[str]:
     return ["" if x is None else x for x in batch.column(column).to_pylist()]
 
 
-def sha256_hex(data: bytes | str) -> str:
-    return hashlib.sha256(data.encode() if isinstance(data, str) else data).hexdigest()
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, with as many underscores behind it as no column of ``df`` has."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
 
 
 def lower_ascii(c: Column | str) -> Column:

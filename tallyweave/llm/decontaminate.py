@@ -128,7 +128,8 @@ def report(df: DataFrame, items: DataFrame, key: str = "doc_id", **names) -> Dat
     )
 
 
-def contaminated(df: DataFrame, items: DataFrame, key: str = "doc_id", **names) -> DataFrame:
-    """The ``(d, h)`` of rows that hold a window of an item, once each (see ``row_key``)."""
-    rows, _ = find(df, items, key, **names)
-    return rows.filter("n_hit > 0").select("d", "h").distinct()
+def clean(df: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", **names) -> DataFrame:
+    """The rows of ``df`` that hold no window of an item, with all their columns."""
+    rows, _ = find(df, items, key, text, **names)
+    hit = rows.filter("n_hit > 0").select(F.col("d").alias("hit_key"), F.col("h").alias("hit_hash")).distinct()
+    return df.join(hit, (F.coalesce(df[key].cast("bigint"), F.lit(0)) == hit["hit_key"]) & (F.xxhash64(df[key].cast("bigint"), df[text]) == hit["hit_hash"]), "left_anti")

@@ -169,16 +169,14 @@ def samples(labelled: DataFrame, text: str, label: str, bounds: Sample = Sample(
 _models: dict[tuple, Model] = {}
 
 
-def predict(df: DataFrame, learned: dict[str, str], text: str = "text") -> DataFrame:
-    """Adds ``lang_pred`` and ``score`` (0 to 1) from the whole text.
+def predict(df: DataFrame, learned: dict[str, str], text: str = "text", into: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """Adds the language and its score (0 to 1), from the whole text, as columns ``into``.
 
     ``und`` with score 0 where the text is null or has no letter, or nothing was learned.
     Ties go to the language that sorts first. Columns of these names are replaced.
     """
-    kept = df.drop("lang_pred", "score")
-    schema = T.StructType(
-        [*kept.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
-    )
+    kept = df.drop(*into)
+    schema = T.StructType([*kept.schema.fields, T.StructField(into[0], T.StringType()), T.StructField(into[1], T.DoubleType())])
     shared = df.sparkSession.sparkContext.broadcast(learned)
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -188,12 +186,14 @@ def predict(df: DataFrame, learned: dict[str, str], text: str = "text") -> DataF
             _models[key] = Model(shared.value)
         found = _models[key].predict(texts_of(batch, text))
         columns = [pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64())]
-        return pa.RecordBatch.from_arrays([*batch.columns, *columns], names=[*batch.schema.names, "lang_pred", "score"])
+        return pa.RecordBatch.from_arrays([*batch.columns, *columns], names=[*batch.schema.names, *into])
 
     return map_batches(kept, schema, run)
 
 
-def identify(df: DataFrame, key: str = "doc_id", text: str = "text", label: str = "lang", bounds: Sample = Sample()) -> DataFrame:
-    """Learns from the rows that are not held out, then predicts every row."""
+def identify(
+    df: DataFrame, key: str = "doc_id", text: str = "text", label: str = "lang", bounds: Sample = Sample(), into: tuple[str, str] = ("lang_pred", "score")
+) -> DataFrame:
+    """Learns from the rows that are not held out and have a key, then predicts every row."""
     learning = df.filter(F.col(key).isNotNull() & ~held_out(F.col(key)))
-    return predict(df, samples(learning, text, label, bounds), text)
+    return predict(df, samples(learning, text, label, bounds), text, into)

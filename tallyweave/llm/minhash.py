@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tallyweave.llm.common import map_batches, written
+from tallyweave.llm.common import fresh, map_batches, written
 from tallyweave.llm.components import components
 from tallyweave.llm.hashing import Words, mix, prefix_sums, spans_hash, window_starts
 
@@ -264,6 +264,22 @@ def links(df: DataFrame, classes: DataFrame, key: str, text: str, size: int, per
     return cells.groupBy("cell", "i", "j").applyInArrow(compare, "a BIGINT, b BIGINT")
 
 
+def _placed(df: DataFrame, key: str, text: str, size: int, percent: int) -> DataFrame:
+    """Rows ``(d, h, n_shingles, component)``, one per row of ``df``."""
+    rows = written(sketched(df, key, text, size))
+    known = rows.filter("set_id IS NOT NULL AND d IS NOT NULL")
+    grouped = known.groupBy("set_id").agg(
+        F.min(F.struct("d", "h")).alias("rep"), F.first("n_shingles").alias("n_shingles"),
+        F.first("registers").alias("registers"), F.count(F.lit(1)).alias("rows"),
+    )
+    classes = written(grouped.select("set_id", F.col("rep.d").alias("node"), F.col("rep.h").alias("h"), "n_shingles", "registers", "rows"))
+    found = links(df, classes, key, text, size, percent)
+    copies = known.join(classes.filter("rows > 1").select("set_id", "node"), "set_id").filter("d <> node")
+    of = components(found.union(copies.select(F.col("d").alias("a"), F.col("node").alias("b"))))
+    joined = rows.join(of.withColumnRenamed("node", "d"), "d", "left")
+    return joined.select("d", "h", "n_shingles", F.coalesce("component", "d").alias("component"))
+
+
 def groups(df: DataFrame, key: str = "doc_id", text: str = "text", size: int = 5, percent: int = 80) -> DataFrame:
     """Per row of ``df``: ``(key, n_shingles, component_id, kept)``.
 
@@ -275,19 +291,19 @@ def groups(df: DataFrame, key: str = "doc_id", text: str = "text", size: int = 5
     document. A row with a null key is linked with nothing: its ``component_id`` is null
     and it is kept. ``key`` is an integer.
     """
-    rows = written(sketched(df, key, text, size))
-    best = F.min(F.struct("d", "h")).alias("rep")
-    grouped = rows.filter("set_id IS NOT NULL AND d IS NOT NULL").groupBy("set_id").agg(
-        best, F.first("n_shingles").alias("n_shingles"), F.first("registers").alias("registers"), F.count(F.lit(1)).alias("rows")
-    )
-    classes = written(grouped.select("set_id", F.col("rep.d").alias("node"), F.col("rep.h").alias("h"), "n_shingles", "registers", "rows"))
-    # A repeated key may stand for several classes; they meet through the key.
-    found = links(df, classes, key, text, size, percent)
-    shared_keys = rows.filter("set_id IS NOT NULL AND d IS NOT NULL").join(
-        classes.filter("rows > 1").select("set_id", "node"), "set_id"
-    ).filter("d <> node").select(F.col("d").alias("a"), F.col("node").alias("b"))
-    of = components(found.union(shared_keys))
-    out = rows.join(of.withColumnRenamed("node", "d"), "d", "left").select(
-        F.col("d").alias(key), "n_shingles", F.coalesce("component", "d").alias("component_id")
-    )
-    return out.withColumn("kept", F.col("component_id").isNull() | (F.col("component_id") == F.col(key)))
+    out = _placed(df, key, text, size, percent)
+    own = F.col("component").isNull() | (F.col("component") == F.col("d"))
+    return out.select(F.col("d").alias(key), "n_shingles", F.col("component").alias("component_id"), own.alias("kept"))
+
+
+def representatives(df: DataFrame, key: str = "doc_id", text: str = "text", size: int = 5, percent: int = 80) -> DataFrame:
+    """``df`` with one row of each group: that of the least key, of a repeated key the one
+    with the least hash of its text. Rows with a null key stay, but for exact repeats."""
+    placed = _placed(df, key, text, size, percent)
+    first = placed.filter("component IS NOT NULL").groupBy("component").agg(F.min(F.struct("d", "h")).alias("rep"))
+    stay = first.select("rep.d", "rep.h").union(placed.filter("component IS NULL").select("d", "h").distinct())
+    d, h = fresh(df, "key_of_row"), fresh(df, "hash_of_row")
+    named = df.withColumns({d: F.col(key).cast("bigint"), h: F.xxhash64(key, text)})
+    stay = stay.withColumnsRenamed({"d": "kept_key", "h": "kept_hash"})
+    found = named.join(stay, named[d].eqNullSafe(stay["kept_key"]) & (named[h] == stay["kept_hash"]), "left_semi")
+    return found.dropDuplicates([d, h]).drop(d, h)

@@ -187,5 +187,12 @@ def op10_wavelet(spark: SparkSession, folder: str) -> DataFrame:
     return wavelet.read_documents(wavelet.write_shards(documents, TOKENIZER, public_tokenizers.PATTERN))
 
 
-QUERIES = {f.__name__: f for f in (op1_minhash, op2_bpe, op3_secrets, op4_decontaminate, op5_chat, op6_suffix, op7_language, op8_debruijn, op9_neighbours, op10_wavelet)}
+def pipeline(spark: SparkSession, folder: str) -> DataFrame:
+    """The stages of ``corpus_pipeline`` one after the other."""
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, folder)
+
+
+QUERIES = {f.__name__: f for f in (op1_minhash, op2_bpe, op3_secrets, op4_decontaminate, op5_chat, op6_suffix, op7_language, op8_debruijn, op9_neighbours, op10_wavelet, pipeline)}
 ORACLES: dict[str, str] = {"op1_minhash": OP1_SQL, "op4_decontaminate": OP4_SQL, "op5_chat": OP5_SQL, "op8_debruijn": OP8_SQL}

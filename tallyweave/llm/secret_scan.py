@@ -161,6 +161,7 @@ def redact(df: DataFrame, text: str = "text", spans: str = "secrets", mark: str
     Rows without spans stay as they are, null texts included.
     """
     kept = df.drop(spans)
+    names = kept.columns
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         texts = batch.column(text).to_pylist()
@@ -171,8 +172,8 @@ def redact(df: DataFrame, text: str = "text", spans: str = "secrets", mark: str
                     out += [texts[i][at:a], mark]
                     at = b
                 texts[i] = "".join(out) + texts[i][at:]
-        columns = [pa.array(texts, pa.string()) if f.name == text else batch.column(f.name) for f in kept.schema]
-        return pa.RecordBatch.from_arrays(columns, names=kept.columns)
+        columns = [pa.array(texts, pa.string()) if c == text else batch.column(c) for c in names]
+        return pa.RecordBatch.from_arrays(columns, names=names)
 
     return map_batches(df, kept.schema, run)
 

@@ -15,6 +15,7 @@ import math
 import re
 from collections import Counter
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +25,8 @@ from tallyweave.llm.common import map_batches, texts_of
 
 # Characters of a block that is parsed in one run.
 BLOCK = 512
-# Distinct characters with transitions of their own; class 0 is any other character.
+# Class 0 is a letter that no sample has often, class 1 anything that is no letter, and the
+# commonest letters have classes of their own.
 CLASSES = 64
 # Characters of evidence that the score counts at most.
 EVIDENCE = 40
@@ -32,6 +34,11 @@ EVIDENCE = 40
 _LETTER = re.compile(r"[^\W\d_]")
 
 
+@lru_cache(maxsize=1)
+def _is_letter() -> np.ndarray:
+    return np.fromiter((chr(c).isalpha() for c in range(0x110000)), dtype=bool, count=0x110000)
+
+
 @dataclass(frozen=True)
 class Sample:
     """Bounds of the labelled sample: languages by frequency, documents per language by
@@ -79,21 +86,31 @@ class Model:
 
     def __init__(self, samples: dict[str, str]) -> None:
         self.languages = sorted(samples)
-        seen = Counter(c for text in samples.values() for c in text)
-        common = sorted(sorted(seen), key=lambda c: -seen[c])[: CLASSES - 1]
-        self.classes = np.zeros(0x110000, dtype=np.uint8)
-        for number, c in enumerate(sorted(common), start=1):
+        seen = Counter(c for text in samples.values() for c in text if c.isalpha())
+        common = sorted(sorted(seen), key=lambda c: -seen[c])[: CLASSES - 2]
+        self.classes = np.where(_is_letter(), 0, 1).astype(np.uint8)
+        for number, c in enumerate(sorted(common), start=2):
             self.classes[ord(c)] = number
-        self.tables = [self._table(samples[name]) for name in self.languages]
-        self.weights = np.array([math.log2(max(2, len(samples[name]))) for name in self.languages])
-
-    def codes(self, text: str) -> np.ndarray:
-        return self.classes[np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32)]
+        coded = [self.codes([samples[name]])[0] for name in self.languages]
+        self.tables = [self._table(codes) for codes in coded]
+        self.weights = np.array([math.log2(max(2, len(codes))) for codes in coded])
 
-    def _table(self, text: str) -> np.ndarray:
-        """For state and class: twice the offset of the next state's row, plus 1 where a
-        phrase ended and the character starts the next one."""
-        follow = suffix_automaton(self.codes(text).tolist())
+    def codes(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Classes of all characters, a run of others than letters being one, and their
+        number in each text."""
+        lengths = np.fromiter(map(len, texts), dtype=np.int64, count=len(texts))
+        codes = self.classes[np.frombuffer("".join(texts).encode("utf-32-le"), dtype=np.uint32)]
+        stay = codes != 1
+        stay[1:] |= codes[:-1] != 1
+        ends = np.cumsum(lengths)
+        stay[(ends - lengths)[lengths > 0]] = True
+        kept = np.concatenate([[0], np.cumsum(stay)])
+        return codes[stay], kept[ends] - kept[ends - lengths]
+
+    def _table(self, codes: np.ndarray) -> np.ndarray:
+        """For state and class: four times the offset of the next state's row, plus the
+        phrases that end there. A character that the sample lacks is one of its own."""
+        follow = suffix_automaton(codes.tolist())
         root = np.zeros(CLASSES, dtype=np.int64)
         for symbol, target in follow[0].items():
             root[symbol] = target
@@ -102,13 +119,13 @@ class Model:
         for state, out in enumerate(follow):
             for symbol, target in out.items():
                 table[state, symbol], ended[state, symbol] = target, 0
-        # A character that the sample lacks is a phrase of its own.
-        return ((table * CLASSES) * 2 + ended).astype(np.int32).reshape(-1)
+        unknown = [c for c in range(CLASSES) if c not in follow[0]]
+        ended[1:, unknown] = 2
+        return (table * CLASSES * 4 + ended).astype(np.int32).reshape(-1)
 
     def bits(self, texts: list[str]) -> np.ndarray:
         """Estimated bits per character of each text under each language."""
-        codes = self.codes("".join(texts))
-        lengths = np.fromiter(map(len, texts), dtype=np.int64, count=len(texts))
+        codes, lengths = self.codes(texts)
         blocks = -(-lengths // BLOCK)
         of = np.repeat(np.arange(len(texts)), blocks)
         place = np.arange(len(of)) - np.repeat(np.cumsum(blocks) - blocks, blocks)
@@ -124,8 +141,8 @@ class Model:
             symbol = codes[start[:n] + t]
             for table, s, count in zip(self.tables, state, phrases):
                 step = table[s[:n] + symbol]
-                count[:n] += step & 1
-                s[:n] = step >> 1
+                count[:n] += step & 3
+                s[:n] = step >> 2
         phrases += state != 0
         sums = np.stack([np.bincount(of, weights=p, minlength=len(texts)) for p in phrases], axis=1)
         return sums * self.weights / np.maximum(lengths, 1)[:, None]

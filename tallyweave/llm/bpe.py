@@ -20,8 +20,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, types as T
 
-from tallyweave.llm.common import map_batches, texts_of
-from tallyweave.llm.pretokens import PieceEncoder
+from tallyweave.llm.common import map_batches
+from tallyweave.llm.pretokens import PieceEncoder, spans
 
 NONE = np.int64(1) << 40
 
@@ -73,8 +73,12 @@ class Vocabulary:
 
     def __init__(self, ranks: dict[bytes, int]) -> None:
         self.ranks = ranks
-        self.tokens = {i: t for t, i in ranks.items()}
         self.size = max(ranks.values()) + 1
+        tokens = {i: t for t, i in ranks.items()}
+        lengths = [len(tokens.get(i, b"")) for i in range(self.size)]
+        self.token_length = np.array(lengths, dtype=np.int64)
+        self.token_start = np.cumsum(self.token_length) - self.token_length
+        self.token_bytes = np.frombuffer(b"".join(tokens.get(i, b"") for i in range(self.size)), dtype=np.uint8)
         self.bytes_ = np.array([ranks[bytes([b])] for b in range(256)], dtype=np.int64)
         pairs = {}
         for token, rank in ranks.items():
@@ -133,13 +137,13 @@ class Vocabulary:
             tokens[at : at + 2] = [int(best)]
         return tokens
 
-    def encode(self, words: list[bytes]) -> list[bytes]:
-        """Ids of each pre-token, packed as 32-bit integers."""
+    def encode(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all pre-tokens one after the other, and how many each has."""
         lengths = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
         ends = np.cumsum(lengths)
         n = int(ends[-1]) if len(words) else 0
         if not n:
-            return [b""] * len(words)
+            return np.empty(0, dtype=np.int32), lengths
         token = self.bytes_[np.frombuffer(b"".join(words), dtype=np.uint8)]
         of = np.repeat(np.arange(len(words)), lengths)
         following = np.arange(1, n + 1)
@@ -185,12 +189,14 @@ class Vocabulary:
                 words_here, times = np.unique(of[at], return_counts=True)
                 redo.update(np.intersect1d(words_here[times > 1], of[changed[early]]).tolist())
             self._file(queue, changed, rank)
-        packed = token[alive].astype(np.int32).tobytes()
-        cuts = [0, *(4 * np.cumsum(np.bincount(of[alive], minlength=len(words)))).tolist()]
-        out = [packed[a:b] for a, b in zip(cuts, cuts[1:])]
-        for w in redo:
-            out[w] = np.array(self._one(words[w]), dtype=np.int32).tobytes()
-        return out
+        ids = token[alive].astype(np.int32)
+        counts = np.bincount(of[alive], minlength=len(words))
+        if redo:
+            parts = np.split(ids, np.cumsum(counts)[:-1])
+            for w in redo:
+                parts[w] = np.array(self._one(words[w]), dtype=np.int32)
+            ids, counts = np.concatenate(parts), np.array([len(p) for p in parts])
+        return ids, counts
 
     @staticmethod
     def _file(queue: RankQueue, positions: np.ndarray, rank: np.ndarray) -> None:
@@ -206,8 +212,10 @@ class Vocabulary:
         for a, b in zip(starts, starts[1:]):
             queue.push(int(ranks[a]), positions[a:b])
 
-    def decode(self, ids: np.ndarray) -> bytes:
-        return b"".join(map(self.tokens.__getitem__, ids.tolist()))
+    def decode(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Bytes of all ids one after the other, and how many each id has."""
+        lengths = self.token_length[ids]
+        return self.token_bytes[spans(self.token_start[ids], lengths)], lengths
 
 
 def _alternate(at: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -228,10 +236,14 @@ def vocabulary(path: str) -> Vocabulary:
 def _encoder(path: str, pattern: str) -> PieceEncoder:
     words = vocabulary(path)
 
-    def encode_many(pretokens: list[str]) -> list[bytes]:
+    def encode_many(pretokens: list[str]) -> tuple[np.ndarray, np.ndarray]:
         return words.encode([p.encode() for p in pretokens])
 
-    return PieceEncoder(pattern, encode_many)
+    return PieceEncoder(pattern, encode_many, np.int32)
+
+
+def _offsets(counts: np.ndarray) -> np.ndarray:
+    return np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
 
 
 def encode(df: DataFrame, path: str, pattern: str, text: str = "text", into: str = "ids") -> DataFrame:
@@ -245,9 +257,8 @@ def encode(df: DataFrame, path: str, pattern: str, text: str = "text", into: str
     schema = T.StructType([*kept.schema.fields, T.StructField(into, T.ArrayType(T.IntegerType(), False))])
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        packed = _encoder(path, pattern).encode(texts_of(batch, text))
-        offsets = np.concatenate([[0], np.cumsum([len(x) // 4 for x in packed])]).astype(np.int32)
-        ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(packed), dtype=np.int32)))
+        flat, counts = _encoder(path, pattern).encode(batch.column(text))
+        ids = pa.ListArray.from_arrays(pa.array(_offsets(counts)), pa.array(flat))
         return pa.RecordBatch.from_arrays([*batch.columns, ids], names=[*batch.schema.names, into])
 
     return map_batches(kept, schema, run)
@@ -259,11 +270,11 @@ def decode(df: DataFrame, path: str, ids: str = "ids", into: str = "decoded") ->
     schema = T.StructType([*kept.schema.fields, T.StructField(into, T.BinaryType())])
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        words = vocabulary(path)
         lists = batch.column(ids)
-        flat, offsets = lists.values.to_numpy(zero_copy_only=False), lists.offsets.to_numpy()
-        valid = lists.is_valid().to_numpy(zero_copy_only=False)
-        out = [words.decode(flat[a:b]) if ok else b"" for a, b, ok in zip(offsets, offsets[1:], valid)]
-        return pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.binary())], names=[*batch.schema.names, into])
+        flat, lengths = vocabulary(path).decode(lists.flatten().to_numpy(zero_copy_only=False))
+        total = np.concatenate([[0], np.cumsum(lengths)])
+        ends = _offsets(lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
+        out = pa.Array.from_buffers(pa.binary(), len(lists), [None, pa.py_buffer(total[ends].astype(np.int32)), pa.py_buffer(flat)])
+        return pa.RecordBatch.from_arrays([*batch.columns, out], names=[*batch.schema.names, into])
 
     return map_batches(kept, schema, run)

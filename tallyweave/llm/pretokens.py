@@ -1,90 +1,203 @@
-"""Splitting text into pre-tokens for byte-level BPE, and bounded caches of their ids.
+"""Splitting text into pre-tokens for byte-level BPE, and compact caches of their ids.
 
-The pattern of the public rank files never lets a match run across a position that has
-visible text on its left and a single white-space character and visible text on its
-right. So a text may be cut there, and equal pieces have equal tokens wherever they
-stand. Pieces are looked up in a cache; only unknown ones go through the pattern, and
-only unknown pre-tokens through the merges.
+No match of the rank files' pattern runs from visible text into white space, and what
+follows such a place does not depend on what stands before it. So a text is cut into
+pieces there (white space and the visible text behind it), and equal pieces have equal
+tokens wherever they stand. All pieces of a batch are hashed and looked up at once; only
+unknown pieces go through the pattern, and only unknown pre-tokens through the merges.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable
 
+import numpy as np
+import pyarrow as pa
 import regex
 
-# White space that the quick cut does not handle: such texts take the pattern as a whole.
-_AWKWARD = ("  ", " \n", "\n ", "\n\n")
+from tallyweave.llm.hashing import byte_table, mix, prefix_sums, spans_hash, text_bytes
+
+# White space as UTF-8.
+_ASCII_SPACE = np.zeros(256, dtype=bool)
+_ASCII_SPACE[[9, 10, 11, 12, 13, 32]] = True
+_WIDE_SPACE = [chr(c).encode() for c in (0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)]
+_WIDE_BY_LEAD = {lead: [m for m in _WIDE_SPACE if m[0] == lead] for lead in sorted({m[0] for m in _WIDE_SPACE})}
 # Marks that end a word and are a pre-token of their own there.
 _ENDS = frozenset(".,;:!?")
-# Entries kept per cache, at about 200 bytes each; a full cache starts afresh.
-CACHE_ENTRIES = 150_000
+# Entries kept in a cache, at about 40 bytes each; a full cache starts afresh.
+CACHE_ENTRIES = 1_200_000
 # Longer pieces are encoded without being kept.
 LONGEST_KEPT = 64
 
 
+def spans(start: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """The places ``start`` to ``start + count`` of every span, one after the other."""
+    ends = np.cumsum(count)
+    return np.repeat(start - (ends - count), count) + np.arange(int(ends[-1]) if len(ends) else 0)
+
+
+class IdCache:
+    """Ids by the 128 bits of two hashes of a piece, in arrays with open addressing."""
+
+    def __init__(self, kind: type) -> None:
+        self.kind = kind
+        self.clear()
+
+    def clear(self) -> None:
+        self.bits, self.size = 12, 0
+        self.slots = np.full(1 << self.bits, -1, dtype=np.int32)
+        self.keys = np.empty((0, 2), dtype=np.uint64)
+        self.start, self.count = np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int32)
+        self.ids = np.empty(0, dtype=self.kind)
+
+    def find(self, one: np.ndarray, two: np.ndarray) -> np.ndarray:
+        """Entry of each piece, -1 where there is none."""
+        out = np.full(len(one), -1, dtype=np.int64)
+        if not self.size:
+            return out
+        open_ = np.arange(len(one))
+        slot = (one >> np.uint64(64 - self.bits)).astype(np.int64)
+        while len(open_):
+            entry = self.slots[slot]
+            taken = entry >= 0
+            open_, slot, entry = open_[taken], slot[taken], entry[taken]
+            hit = (self.keys[entry, 0] == one[open_]) & (self.keys[entry, 1] == two[open_])
+            out[open_[hit]] = entry[hit]
+            open_, slot = open_[~hit], (slot[~hit] + 1) & ((1 << self.bits) - 1)
+        return out
+
+    def add(self, one: np.ndarray, two: np.ndarray, ids: np.ndarray, count: np.ndarray) -> None:
+        """New pieces, all distinct and not held yet."""
+        if self.size + len(one) > CACHE_ENTRIES:
+            self.clear()
+        begin = len(self.ids) + np.cumsum(count) - count
+        self.keys = np.concatenate([self.keys, np.stack([one, two], axis=1)])
+        self.start, self.count = np.concatenate([self.start, begin]), np.concatenate([self.count, count.astype(np.int32)])
+        self.ids = np.concatenate([self.ids, ids])
+        new = np.arange(self.size, len(self.keys))
+        self.size = len(self.keys)
+        if self.size * 2 > 1 << self.bits:
+            self.bits = int(self.size * 4 - 1).bit_length()
+            self.slots = np.full(1 << self.bits, -1, dtype=np.int32)
+            new = np.arange(self.size)
+        slot = (self.keys[new, 0] >> np.uint64(64 - self.bits)).astype(np.int64)
+        while len(new):
+            free = np.flatnonzero(self.slots[slot] < 0)
+            _, first = np.unique(slot[free], return_index=True)
+            put = free[first]
+            self.slots[slot[put]] = new[put]
+            left = np.ones(len(new), dtype=bool)
+            left[put] = False
+            new, slot = new[left], (slot[left] + 1) & ((1 << self.bits) - 1)
+
+
 class PieceEncoder:
-    """Packed ids of whole texts, by way of cached pieces.
+    """Ids of whole texts by way of cached pieces.
 
-    ``encode_many`` gets distinct pre-tokens and returns the packed ids of each. A text
-    that holds one of ``specials`` goes to it as a whole.
+    ``encode_many`` gets distinct pre-tokens and returns the ids of all of them, and how
+    many each has. A text that holds one of ``specials`` goes to it as a whole.
     """
 
-    def __init__(self, pattern: str, encode_many: Callable[[list[str]], list[bytes]], specials: tuple[str, ...] = ()) -> None:
+    def __init__(
+        self, pattern: str, encode_many: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], kind: type, specials: tuple[str, ...] = ()
+    ) -> None:
+        self.matches = regex.compile(pattern).findall
+        self.encode_many, self.kind = encode_many, kind
         self.specials = specials
-        self.find = regex.compile(pattern).findall
-        self.encode_many = encode_many
-        # A piece is kept without the blank before it.
-        self.pieces: dict[str, bytes] = {}
-        self.pretokens: dict[str, bytes] = {}
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        odd_marks = (*_AWKWARD, *self.specials)
-        awkward = [any(x in t for x in odd_marks) for t in texts]
-        whole = {t: [t] if any(s in t for s in self.specials) else self.find(t) for t, odd in zip(texts, awkward) if odd}
-        # A line end stands for the blank that is put before it.
-        cut = [[] if odd else t.replace("\n", " \n").split(" ") for t, odd in zip(texts, awkward)]
-        get = self.pieces.get
-        # The first piece has no blank before it, so it is treated like a text of its own.
-        found = [[get(p) for p in pieces[1:]] for pieces in cut]
-        unknown = {p for pieces, ids in zip(cut, found) if None in ids for p, i in zip(pieces[1:], ids) if i is None}
-        split = {p: self._split(p if p[:1] == "\n" else " " + p) for p in unknown}
-        heads = {pieces[0]: self.find(pieces[0]) for pieces in cut if pieces}
-        ids_of = self._pretokens([*split.values(), *heads.values(), *whole.values()])
-        new = {p: b"".join([ids_of[t] for t in tokens]) for p, tokens in split.items()}
-        out = []
-        for text, odd, pieces, ids in zip(texts, awkward, cut, found):
-            if odd:
-                out.append(b"".join([ids_of[t] for t in whole[text]]))
-                continue
-            if None in ids:
-                ids = [new[p] if i is None else i for p, i in zip(pieces[1:], ids)]
-            out.append(b"".join([ids_of[t] for t in heads[pieces[0]]]) + b"".join(ids))
-        self.pieces = _kept(self.pieces, new)
-        return out
+        self.pieces, self.pretokens = IdCache(kind), IdCache(kind)
+
+    def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts of a column one after the other, and how many each text has."""
+        data, offsets = text_bytes(column)
+        cut = np.zeros(len(data) + 1, dtype=bool)
+        blank = _blanks(data)
+        cut[1 : len(data)] = blank[1:] & ~blank[:-1]
+        raw = data.tobytes()
+        for i in self._special_texts(raw, offsets):
+            cut[offsets[i] : offsets[i + 1]] = False
+        cut[offsets] = True
+        cut[len(data)] = False
+        start = np.flatnonzero(cut)
+        end = np.append(start[1:], len(data))
+        one, two = _hashes(data, start, end)
+        entry = self.pieces.find(one, two)
+        at = np.searchsorted(start, offsets)
+        count = np.empty(len(start), dtype=np.int64)
+        known = entry >= 0
+        place = np.zeros(len(start), dtype=np.int64)
+        count[known], place[known] = self.pieces.count[entry[known]], self.pieces.start[entry[known]]
+        table = self.pieces.ids
+        if not known.all():
+            unknown = np.flatnonzero(~known)
+            _, first, back = np.unique(one[unknown], return_index=True, return_inverse=True)
+            new = unknown[first]
+            texts = [raw[a:b].decode() for a, b in zip(start[new].tolist(), end[new].tolist())]
+            ids, sizes = self._encode_pieces(texts)
+            place[unknown] = (len(table) + np.cumsum(sizes) - sizes)[back]
+            count[unknown] = sizes[back]
+            table = np.concatenate([table, ids])
+            keep = end[new] - start[new] <= LONGEST_KEPT
+            self.pieces.add(one[new][keep], two[new][keep], ids[np.repeat(keep, sizes)], sizes[keep])
+        total = np.concatenate([[0], np.cumsum(count)])
+        return table[spans(place, count)], total[at[1:]] - total[at[:-1]]
+
+    def _special_texts(self, raw: bytes, offsets: np.ndarray) -> list[int]:
+        marks = [m.encode() for m in self.specials]
+        if not any(m in raw for m in marks):
+            return []
+        return [i for i in range(len(offsets) - 1) if any(m in raw[offsets[i] : offsets[i + 1]] for m in marks)]
 
     def _split(self, piece: str) -> list[str]:
-        """Pre-tokens of a blank and visible text."""
-        word, end = piece[1:-1], piece[-1]
-        if piece[0] == " " and (word.isalpha() or not word):
-            if end.isalpha():
-                return [piece]
-            if end in _ENDS and word:
-                return [piece[:-1], end]
-        return self.find(piece)
-
-    def _pretokens(self, lists: Iterable[list[str]]) -> dict[str, bytes]:
-        known = self.pretokens
-        needed = {t for tokens in lists for t in tokens}
-        new = sorted(t for t in needed if t not in known)
-        found = dict(zip(new, self.encode_many(new), strict=True)) if new else {}
-        out = {t: found.get(t) or known.get(t, b"") for t in needed}
-        self.pretokens = _kept(known, found)
-        return out
+        body = piece[1:] if piece[0] == " " else piece
+        if body.isalpha():
+            return [piece]
+        if body[-1:] in _ENDS and body[:-1].isalpha():
+            return [piece[:-1], piece[-1]]
+        if any(s in piece for s in self.specials):
+            return [piece]
+        return self.matches(piece)
+
+    def _encode_pieces(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        split = [self._split(p) for p in pieces]
+        tokens = [t for s in split for t in s]
+        sizes = np.fromiter(map(len, split), dtype=np.int64, count=len(split))
+        data, offsets = text_bytes(pa.array(tokens, pa.string()))
+        one, two = _hashes(data, offsets[:-1], offsets[1:])
+        entry = self.pretokens.find(one, two)
+        known = entry >= 0
+        count, place = np.zeros(len(tokens), dtype=np.int64), np.zeros(len(tokens), dtype=np.int64)
+        count[known], place[known] = self.pretokens.count[entry[known]], self.pretokens.start[entry[known]]
+        table = self.pretokens.ids
+        if not known.all():
+            unknown = np.flatnonzero(~known)
+            _, first, back = np.unique(one[unknown], return_index=True, return_inverse=True)
+            new = unknown[first]
+            ids, each = self.encode_many([tokens[i] for i in new.tolist()])
+            place[unknown] = (len(table) + np.cumsum(each) - each)[back]
+            count[unknown] = each[back]
+            table = np.concatenate([table, ids])
+            keep = (offsets[1:] - offsets[:-1])[new] <= LONGEST_KEPT
+            self.pretokens.add(one[new][keep], two[new][keep], ids[np.repeat(keep, each)], each[keep])
+        total = np.concatenate([[0], np.cumsum(count)])
+        at = np.concatenate([[0], np.cumsum(sizes)])
+        return table[spans(place, count)], total[at[1:]] - total[at[:-1]]
+
+
+def _blanks(data: np.ndarray) -> np.ndarray:
+    """Which bytes belong to white space."""
+    out = _ASCII_SPACE[data]
+    # Few texts have other white space; their lead bytes are looked for first.
+    for lead_byte, marks in _WIDE_BY_LEAD.items():
+        lead = np.flatnonzero(data == lead_byte)
+        for mark in marks if len(lead) else ():
+            at = lead[lead + len(mark) <= len(data)]
+            for k, b in enumerate(mark[1:], start=1):
+                at = at[data[at + k] == b]
+            for k in range(len(mark)):
+                out[at + k] = True
+    return out
 
 
-def _kept(known: dict[str, bytes], new: dict[str, bytes]) -> dict[str, bytes]:
-    if len(known) + len(new) > CACHE_ENTRIES:
-        known = {}
-    known.update((k, v) for k, v in new.items() if len(k) <= LONGEST_KEPT)
-    return known
+def _hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    first, second = (prefix_sums(byte_table(seed)[data]) for seed in (0, 1))
+    return spans_hash(first, start, end), mix(spans_hash(second, start, end))

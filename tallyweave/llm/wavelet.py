@@ -17,6 +17,7 @@ import struct
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +25,7 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tallyweave.llm.common import in_small_batches, map_batches, texts_of, written
+from tallyweave.llm.common import ROWS_HANDED, in_small_batches, map_batches, written
 from tallyweave.llm.pretokens import PieceEncoder
 
 MAGIC = b"WVM1"
@@ -174,11 +175,13 @@ def _encoder(path: str, pattern: str) -> tuple[PieceEncoder, int]:
     size = tokenizer.get_vocab_size()
     kind = np.uint16 if size <= 1 << 16 else np.uint32
 
-    def encode_many(pretokens: list[str]) -> list[bytes]:
-        encoded = tokenizer.encode_batch_fast(pretokens, add_special_tokens=False)
-        return [np.array(e.ids, dtype=kind).tobytes() for e in encoded]
+    def encode_many(pretokens: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        encoded = [e.ids for e in tokenizer.encode_batch_fast(pretokens, add_special_tokens=False)]
+        counts = np.fromiter(map(len, encoded), dtype=np.int64, count=len(encoded))
+        return np.fromiter(chain.from_iterable(encoded), dtype=kind, count=int(counts.sum())), counts
 
-    return PieceEncoder(pattern, encode_many, specials=tuple(t.content for t in tokenizer.get_added_tokens_decoder().values())), size
+    specials = tuple(t.content for t in tokenizer.get_added_tokens_decoder().values())
+    return PieceEncoder(pattern, encode_many, kind, specials), size
 
 
 SHARDS = "part INT, shard INT, n_docs BIGINT, n_tokens BIGINT, file BINARY"
@@ -198,31 +201,39 @@ def write_shards(
     dealt = df.select(F.col(key).cast("bigint").alias("key"), F.col(text).alias("text"), spread.alias("spread"))
     dealt = dealt.repartitionByRange("key", "spread").sortWithinPartitions("key", "spread")
 
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ROWS_HANDED)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, size = _encoder(path, pattern)
         bits, kind = (16, np.uint16) if size <= 1 << 16 else (32, np.uint32)
-        mark = np.array([end], dtype=kind).tobytes()
         part, shard = TaskContext.get().partitionId(), 0
         keys: list[int | None] = []
-        packed: list[bytes] = []
+        parts: list[np.ndarray] = []
+        counts: list[int] = []
         tokens = 0
 
         def flush() -> pa.RecordBatch:
-            counts = [len(p) // kind().itemsize + 1 for p in packed]
-            ids = np.frombuffer(b"".join(x for p in packed for x in (p, mark)), dtype=kind)
+            ids = np.concatenate(parts)
             row = [[part], [shard], [len(keys)], [len(ids)], [to_file(ids, keys, counts, bits)]]
             types = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary()]
             arrays = [pa.array(v, t) for v, t in zip(row, types)]
             return pa.RecordBatch.from_arrays(arrays, names=["part", "shard", "n_docs", "n_tokens", "file"])
 
         for batch in in_small_batches(batches):
-            for k, ids in zip(batch.column("key").to_pylist(), encoder.encode(texts_of(batch))):
+            ids, sizes = encoder.encode(batch.column("text"))
+            # The end mark goes behind each document's ids.
+            ids = np.insert(ids, np.cumsum(sizes), end)
+            ends = np.cumsum(sizes + 1)
+            at = 0
+            for i, (k, e) in enumerate(zip(batch.column("key").to_pylist(), ends.tolist())):
                 keys.append(k)
-                packed.append(ids)
-                tokens += len(ids) // kind().itemsize + 1
+                counts.append(int(sizes[i]) + 1)
+                tokens += counts[-1]
                 if tokens >= shard_tokens:
+                    parts.append(ids[at:e])
                     yield flush()
-                    shard, keys, packed, tokens = shard + 1, [], [], 0
+                    shard, keys, parts, counts, tokens, at = shard + 1, [], [], [], 0, e
+            parts.append(ids[at:])
         if keys:
             yield flush()
 

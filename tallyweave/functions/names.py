@@ -17,8 +17,12 @@ from pyspark.sql import Column, functions as F, types as T
 from tallyweave import constants as K
 from tallyweave.functions.numbers import as_col, strip
 
-# Latin letters, combining marks, extended Latin letters.
-_BLOCKS = [(0x80, 0x250), (0x300, 0x370), (0x1E00, 0x1F00)]
+# Latin letters, phonetic and extended Latin letters, and their compatibility forms:
+# super- and subscripts, letter-like symbols, number forms, enclosed, ligature and wide forms.
+_BLOCKS = [
+    (0x80, 0x370), (0x1AB0, 0x1B00), (0x1D00, 0x1F00), (0x2070, 0x20A0), (0x20D0, 0x2190), (0x2460, 0x2500),
+    (0x2C60, 0x2C80), (0xA720, 0xA800), (0xAB30, 0xAB70), (0xFB00, 0xFB07), (0xFE20, 0xFE30), (0xFF00, 0xFFF0),
+]
 
 
 def _plain(text: str) -> str:
@@ -54,9 +58,14 @@ def remove_accents(c: Column) -> Column:
     Text with as many bytes as characters is plain already and skips the letter table.
     """
     letters, plain, longer = accent_rule()
-    low = text = F.lower(c)
-    for source, target in longer:
-        text = F.replace(text, F.lit(source), F.lit(target))
+    low = F.lower(c)
+    # Few texts hold a letter with a longer form; those go through one replacement each.
+    spelled = F.aggregate(
+        F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a, b in longer]),
+        low,
+        lambda text, pair: F.replace(text, pair["a"], pair["b"]),
+    )
+    text = F.when(low.rlike("[" + "".join(a for a, _ in longer) + "]"), spelled).otherwise(low)
     return F.when(F.octet_length(low) == F.char_length(low), low).otherwise(F.translate(text, letters, plain))
 
 
@@ -72,8 +81,8 @@ def _words(c: Column) -> Column:
 def fold_key(c: Column | str, exact: bool = False) -> Column:
     """Group-name key: case, accents, dashes and punctuation do not count.
 
-    ``exact`` covers every script through Python's Unicode tables in Arrow
-    batches; the default covers the Latin blocks inside the JVM.
+    ``exact`` covers every character through Python's Unicode tables in Arrow batches;
+    the default covers Latin letters and their compatibility forms inside the JVM.
     """
     text = as_col(c)
     return _words(_remove_accents_exact(text) if exact else remove_accents(text))

@@ -8,6 +8,8 @@ from tallyweave import constants as K
 
 # Spaces, tabs, line ends, no-break space.
 SPACES = " \t\r\n\f\u000b\u00a0"
+# Digits kept beyond the last one before rounding; doubles carry 15 to 17 in all.
+GUARD_DIGITS = 10
 NUMBER_PATTERN = r"^[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 
 
@@ -50,8 +52,8 @@ def percent_value(c: Column | str) -> Column:
 
 
 def percent_suppressed(c: Column | str) -> Column:
-    """True where the source prints a dash or nothing instead of a percent."""
-    return strip(c).isin(K.SUPPRESSED_MARKS)
+    """True where the source prints a dash or nothing instead of a percent; NULL is nothing."""
+    return F.coalesce(strip(c), F.lit("")).isin(K.SUPPRESSED_MARKS)
 
 
 def percent_issue(c: Column | str) -> Column:
@@ -64,14 +66,16 @@ def percent_issue(c: Column | str) -> Column:
 
 
 def stable_round(c: Column | str, digits: int = 2) -> Column:
-    """Round a DOUBLE half up after clearing float noise far below the last digit.
+    """Round a DOUBLE half up after clearing float noise at the end of its precision.
 
     Partial sums reach the final aggregate in any order, so the same average can
-    differ in its last bits from run to run. Passing through a decimal keeps such
-    noise from flipping a value that sits on a rounding tie.
+    differ in its last bits from run to run. A decimal with ``GUARD_DIGITS`` more
+    digits keeps such noise from flipping a value that sits on a rounding tie, and
+    is fine enough not to turn a value just under a tie into one. Values too great for
+    that decimal are rounded as they are.
     """
     value = as_col(c).cast("double")
-    exact = F.round(value.try_cast(f"decimal(38,{digits + 4})"), digits).cast("double")
+    exact = F.round(value.try_cast(f"decimal(38,{digits + GUARD_DIGITS})"), digits).cast("double")
     return F.coalesce(exact, F.round(value, digits))
 
 

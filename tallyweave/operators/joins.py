@@ -43,12 +43,21 @@ def entity_outer_join(
     """One row per name found in any table, with its columns and a ``has_`` flag per table.
 
     Every table has one row per ``key`` (aggregate it first where it does not); column
-    names are distinct across tables. ``lookup`` adds attributes of the name.
+    names are distinct across tables. NULL keys meet as one row. ``lookup`` adds
+    attributes of the name.
     """
     parts = [
-        df.select(key, *columns, F.lit(True).alias(f"has_{label}")) for label, (df, columns) in tables.items()
+        df.select(F.col(key).isNull().alias("_none"), key, *columns, F.lit(True).alias(f"has_{label}"))
+        for label, (df, columns) in tables.items()
     ]
-    joined = reduce(lambda a, b: a.join(b, key, "full_outer"), parts)
+
+    def meet(a: DataFrame, b: DataFrame) -> DataFrame:
+        same = a["_none"].eqNullSafe(b["_none"]) & a[key].eqNullSafe(b[key])
+        rest = [c for df in (a, b) for c in df.columns if c not in (key, "_none")]
+        both = [F.coalesce(a[c], b[c]).alias(c) for c in ("_none", key)]
+        return a.join(b, same, "full_outer").select(*both, *rest)
+
+    joined = reduce(meet, parts).drop("_none")
     flags = {f"has_{label}": F.coalesce(F.col(f"has_{label}"), F.lit(False)) for label in tables}
     joined = joined.withColumns(flags)
     if lookup is not None:

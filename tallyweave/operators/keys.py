@@ -16,28 +16,30 @@ def dedup(
 
     ``last`` / ``first`` keep the row with the greatest / least ``order``; ``sum`` adds
     the ``sums`` columns and takes the rest from the last row; ``error`` fails on a
-    repeated key. All of them are aggregates with a map-side step, so a key that owns
-    a third of the rows reaches its reducer as one row per task, not as all its rows.
+    repeated key. Rows with a NULL ``order`` only count where a key has no others, and
+    equal orders go by the other columns, except maps. All of them are aggregates with a map-side step, so a
+    key that owns a third of the rows reaches its reducer as one row per task.
     """
     if on_duplicate not in ON_DUPLICATE:
         raise ValueError(f"on_duplicate must be one of {ON_DUPLICATE}")
     order = F.col(order) if isinstance(order, str) else order
     rest = [c for c in df.columns if c not in keys]
     picked = F.struct(*rest) if rest else F.struct(F.lit(1).alias("_"))
-    pick = (F.min_by if on_duplicate == "first" else F.max_by)(picked, order).alias("_row")
+    ties = [c for c, kind in df.dtypes if c in rest and "map<" not in kind and kind != "variant"]
+    ranked = F.struct(order.isNull() if on_duplicate == "first" else order.isNotNull(), order, *ties)
+    pick = (F.min_by if on_duplicate == "first" else F.max_by)(picked, ranked).alias("_row")
     extra = [F.sum(c).alias(f"_sum_{c}") for c in sums] if on_duplicate == "sum" else []
     out = df.groupBy(*keys).agg(pick, F.count(F.lit(1)).alias("_n"), *extra)
 
     def column(c: str) -> Column:
         if on_duplicate == "sum" and c in sums:
             return F.col(f"_sum_{c}").alias(c)
-        value = F.col(f"_row.{c}")
-        if on_duplicate == "error":
-            value = F.when(F.col("_n") == 1, value).otherwise(
-                F.raise_error(F.concat(F.lit("duplicate key: "), F.concat_ws(", ", *[F.col(k).cast("string") for k in keys])))
-            )
-        return value.alias(c)
+        return F.col(f"_row.{c}").alias(c)
 
+    if on_duplicate == "error":
+        # A filter, as it is kept whatever columns are read later.
+        named = F.concat(F.lit("duplicate key: "), F.concat_ws(", ", *[F.col(k).cast("string") for k in keys]))
+        out = out.filter(F.when(F.col("_n") == 1, F.lit(True)).otherwise(F.raise_error(named).cast("boolean")))
     return out.select(*[column(c) if c in rest else F.col(c) for c in df.columns])
 
 

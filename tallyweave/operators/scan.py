@@ -6,8 +6,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tallyweave.session import reused
-
 BLOCK_ROWS = 65_536
 
 
@@ -19,7 +17,6 @@ def ordered_scan(
     sums: dict[str, Column] | None = None,
     since: dict[str, tuple[Column, Column]] | None = None,
     block_rows: int = BLOCK_ROWS,
-    keep: bool = False,
 ) -> DataFrame:
     """Running values per ``keys`` in ``order``, the current row included.
 
@@ -33,9 +30,8 @@ def ordered_scan(
     state across, and the two are joined: a document that holds a third of all rows
     spreads over as many tasks as it has blocks. ``order`` is a unique, roughly dense
     line number and ``keys`` are not NULL. The join keeps the partitioning of the
-    windows, so the rows themselves are shuffled once. The block summary reads the
-    input a second time; ``keep`` holds on to the rows instead, for an input that costs
-    more to compute than to store.
+    windows, so the rows themselves are shuffled once; the block summary reads the same
+    exchange again.
     """
     last, sums, since = last or {}, sums or {}, since or {}
     keys = list(keys)
@@ -62,8 +58,6 @@ def ordered_scan(
     if marks:
         rows = rows.withColumns(marks)
 
-    if keep:
-        rows = reused(rows)
     totals: list[Column] = []
     for n in last:
         value = F.col(f"_last_{n}")

@@ -10,7 +10,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tallyweave.functions.numbers import school_year, stable_round
 from tallyweave.operators.measures import typed_entity_rows, unpivot_measures
-from tallyweave.session import reused
 
 METRICS = ["pct_urgent", "pct_high", "pct_rest", "pct_urgent_high"]
 MEASURES = ["gross", "net", "returned"]
@@ -43,7 +42,9 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def sql_round(expression: str, digits: int = 2) -> str:
-    return f"CAST(round(CAST({expression} AS DECIMAL(38,{digits + 4})), {digits}) AS DOUBLE)"
+    """Half up by floor, with room for the noise of doubles; no decimals, unlike the operator."""
+    value, scale = f"CAST({expression} AS DOUBLE)", f"1{'0' * digits}.0::DOUBLE"
+    return f"(sign({value}) * floor(abs({value}) * {scale} + 0.5::DOUBLE + 1e-7::DOUBLE) / {scale})"
 
 
 def sql_ratio(a: str, b: str, digits: int = 2) -> str:
@@ -89,9 +90,7 @@ def observation_cells(spark: SparkSession, folder: str) -> DataFrame:
     counts = placed.groupBy("c_nationkey", "year", "term").agg(
         F.sum("n").alias("n"), F.sum("urgent").alias("urgent"), F.sum("high").alias("high")
     )
-    # Kept, as the suppression limit and the newest period read it again: it has one
-    # row per nation, year and term, whatever the size of orders.
-    return reused(counts)
+    return counts
 
 
 def observations(spark: SparkSession, folder: str) -> DataFrame:

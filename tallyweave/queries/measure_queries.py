@@ -9,7 +9,6 @@ from tallyweave.operators import joins, measures as M
 from tallyweave.operators.keys import dedup
 from tallyweave.queries import common as C
 from tallyweave.queries.common import sql_ratio, sql_round
-from tallyweave.session import reused
 
 
 def q_obs_long(spark: SparkSession, folder: str) -> DataFrame:
@@ -89,7 +88,7 @@ def population(spark, folder) -> DataFrame:
         C.population_cells(spark, folder), ["year", "source_name", "group_name", "n_nationkey"],
         "member", "people", "ALL", ["BUILDING", "MACHINERY"], "people",
     )
-    return reused(totals)
+    return totals
 
 
 def q_cond_totals(spark, folder):
@@ -257,6 +256,15 @@ def q_weighted_average(spark, folder):
     )
 
 
+def q_ratio_ties(spark, folder):
+    """Ratios at a rounding tie and a hair beside it, one of each for every line."""
+    lines = C.table(spark, folder, "lineitem")
+    nudge = F.explode(F.array(F.lit(-1), F.lit(0), F.lit(1))).alias("nudge")
+    rows = lines.select("l_orderkey", "l_linenumber", nudge)
+    amount = F.col("l_orderkey") * 40_000 + 20_000 + F.col("nudge")
+    return rows.select("l_orderkey", "l_linenumber", "nudge", M.safe_ratio(amount, F.lit(4_000_000)).alias("ratio"))
+
+
 def q_by_period(spark, folder):
     orders = C.table(spark, folder, "orders")
     return M.by_period_profile(orders.select(F.year("o_orderdate").alias("year"), "o_custkey"), "year", "o_custkey")
@@ -400,6 +408,9 @@ SUMMARY_CTES = (*OUTCOME_CTES, _SUMMARY)
 QUERIES = {n: f for n, f in list(globals().items()) if n.startswith("q_")}
 
 ORACLES = {
+    "q_ratio_ties": """SELECT l_orderkey, l_linenumber, nudge,
+        ((l_orderkey * 40000 + 20000 + nudge) * 200 + 4000000) // 8000000 / 100.0::DOUBLE AS ratio
+        FROM lineitem, (SELECT CAST(unnest([-1, 0, 1]) AS INTEGER) AS nudge)""",
     "q_obs_long": _sql(C.OBSERVATIONS_SQL, select="SELECT *, value_pct IS NULL AS suppressed FROM obs"),
     "q_component_average": _sql(
         C.OBSERVATIONS_SQL, _base("group_name"), _AVERAGED,

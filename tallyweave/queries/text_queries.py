@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tallyweave.functions import notes as T, numbers as P
 from tallyweave.operators.coverage import extraction_audit
@@ -171,7 +171,7 @@ def _priced_rows(spark, folder) -> DataFrame:
     return S.parse_regex_line(
         _priced_lines(spark, folder), ["page"], "line_no", "text", _ROW,
         [("name", "string"), ("first_value", "double"), ("second_value", "double"), ("count", "bigint")],
-        "heading", skip_prefixes=["Table "], small_group_labels=["red ring", "Brand#7 block"], block_rows=64,
+        "heading", skip_prefixes=["Table "], small_group_labels=["red ring", "Brand#7 block"],
     )
 
 
@@ -190,12 +190,12 @@ def q_carry_heading(spark, folder):
     """The latest user text above every turn of a conversation."""
     turns = C.table(spark, folder, "conversations").select("conv_id", "turn", "role", F.md5("text").alias("digest"))
     user = F.when(F.col("role") == "user", F.col("digest"))
-    return carry_down(turns, ["conv_id"], "turn", user, "asked", block_rows=2)
+    return carry_down(turns, ["conv_id"], "turn", user, "asked")
 
 
 def q_record_segments(spark, folder):
     turns = C.table(spark, folder, "conversations").select("conv_id", "turn", "role")
-    return record_segments(turns, ["conv_id"], "turn", F.col("role") == "user", "record_no", block_rows=2)
+    return record_segments(turns, ["conv_id"], "turn", F.col("role") == "user", "record_no")
 
 
 _SECTION_METRICS = ["m1", "m2", "m3"]
@@ -226,15 +226,17 @@ def _section_lines(spark, folder) -> DataFrame:
         F.when(~inline, F.when(k == 5, dash).otherwise(F.lit("7.5%"))),
         F.when(~inline & (k != 6), F.lit("100%")),
     )
-    lines = orders.select("o_custkey", "o_orderkey", F.posexplode(texts).alias("i", "text"))
-    # Order keys count on from 0 without a gap, so key and place make a line number.
+    # A document counts its own orders, so its line numbers are dense.
+    number = F.row_number().over(Window.partitionBy("o_custkey").orderBy("o_orderkey")).cast("bigint")
+    numbered = orders.select("o_custkey", number.alias("n"), texts.alias("texts"))
+    lines = numbered.select("o_custkey", "n", F.posexplode("texts").alias("i", "text"))
     return lines.filter("text IS NOT NULL").select(
-        F.col("o_custkey").alias("doc"), (F.col("o_orderkey") * 8 + F.col("i")).alias("line_no"), "text"
+        F.col("o_custkey").alias("doc"), (F.col("n") * 8 + F.col("i")).alias("line_no"), "text"
     )
 
 
 def _sections(spark, folder):
-    rules = S.SectionRules(metrics=_SECTION_METRICS, periods=_TERMS, skip_lines=["Page"], block_rows=4096)
+    rules = S.SectionRules(metrics=_SECTION_METRICS, periods=_TERMS, skip_lines=["Page"])
     return S.parse_sectioned_lines(_section_lines(spark, folder), "doc", "line_no", rules)
 
 
@@ -253,16 +255,21 @@ def q_extraction_audit(spark, folder):
     return extraction_audit(rows, "value", ["year", "period", "metric"], "suppressed")
 
 
-def q_source_choice(spark, folder):
+def _sourced(spark, folder) -> DataFrame:
+    """All documents with their source's place in line; the entities are languages, and the
+    first sources in line name the language of their English texts only."""
     documents = C.table(spark, folder, "documents").withColumn("priority", P.parse_digits(F.substring("source", 4, 9)))
-    return B.choose_source(documents.filter("lang <> 'en'"), "source", "doc_id", "priority", 17)
+    return documents.withColumn("entity", F.when((F.col("priority") > 2) | (F.col("lang") == "en"), F.col("lang")))
+
+
+def q_source_choice(spark, folder):
+    return B.choose_source(_sourced(spark, folder), "source", "entity", "priority", 4)
 
 
 def q_rows_of_chosen(spark, folder):
-    documents = C.table(spark, folder, "documents").withColumn("priority", P.parse_digits(F.substring("source", 4, 9)))
-    some = documents.filter("lang <> 'en'")
-    choice = B.choose_source(some, "source", "doc_id", "priority", 17)
-    return B.rows_of_chosen(some, "source", choice).select("doc_id", "source", "lang")
+    documents = _sourced(spark, folder)
+    choice = B.choose_source(documents, "source", "entity", "priority", 4)
+    return B.rows_of_chosen(documents, "source", choice).select("doc_id", "source", "lang")
 
 
 def q_valid_records(spark, folder):
@@ -351,9 +358,10 @@ vals AS (SELECT o_custkey AS doc, record_no, y AS year, term AS period, entity,
   UNION ALL SELECT o_custkey, record_no, y, term, entity, 'm3', CASE WHEN k = 2 THEN p ELSE 100::DOUBLE END, false FROM good)"""
 
 _COMMA = "replace(CAST(CAST(value AS DECIMAL(18,2)) AS VARCHAR), '.', ',')"
-_CHOICE_SQL = """counts AS (SELECT source, count(DISTINCT doc_id) AS entities, min(CAST(substr(source, 4) AS BIGINT)) AS priority
-  FROM documents WHERE lang <> 'en' GROUP BY source),
-best AS (SELECT coalesce(min(priority) FILTER (WHERE entities >= 17), max(priority)) AS best FROM counts)"""
+_CHOICE_SQL = """counts AS (SELECT source, min(CAST(substr(source, 4) AS BIGINT)) AS priority,
+    count(DISTINCT lang) FILTER (WHERE CAST(substr(source, 4) AS BIGINT) > 2 OR lang = 'en') AS entities
+  FROM documents GROUP BY source),
+best AS (SELECT coalesce(min(priority) FILTER (WHERE entities >= 4), max(priority)) AS best FROM counts)"""
 
 QUERIES = {n: f for n, f in list(globals().items()) if n.startswith("q_")}
 
@@ -393,7 +401,7 @@ ORACLES = {
     "q_record_segments": """SELECT conv_id, turn, role, CAST(sum(CASE WHEN role = 'user' THEN 1 ELSE 0 END) OVER (PARTITION BY conv_id ORDER BY turn) AS BIGINT) AS record_no
         FROM conversations""",
     "q_sectioned_lines": f"WITH {_SECTION_SQL} SELECT * FROM vals",
-    "q_sectioned_issues": f"""WITH {_SECTION_SQL}, bad AS (SELECT *, o_orderkey * 8 AS at0, ((o_custkey + o_orderkey) % 100) || ',5%' AS pct FROM o WHERE k IN (3, 6)),
+    "q_sectioned_issues": f"""WITH {_SECTION_SQL}, bad AS (SELECT *, record_no * 8 AS at0, ((o_custkey + o_orderkey) % 100) || ',5%' AS pct FROM o WHERE k IN (3, 6)),
         printed AS (SELECT *, at0 + 2 AS line_no, replace(y, '-', '–') AS raw_text FROM bad UNION ALL SELECT *, at0 + 3, pct FROM bad
           UNION ALL SELECT *, at0 + 5, '7.5%' FROM bad UNION ALL SELECT *, at0 + 6, '100%' FROM bad WHERE k = 3)
         SELECT o_custkey AS doc, line_no, record_no, raw_text,
@@ -405,11 +413,11 @@ ORACLES = {
         UNION ALL SELECT 'domain', 'period', CAST(count(DISTINCT period) AS VARCHAR), string_agg(DISTINCT period, '; ' ORDER BY period) FROM vals
         UNION ALL SELECT 'domain', 'metric', CAST(count(DISTINCT metric) AS VARCHAR), string_agg(DISTINCT metric, '; ' ORDER BY metric) FROM vals""",
     "q_source_choice": f"""WITH {_CHOICE_SQL} SELECT source, entities, priority, priority = best AS chosen,
-        CASE WHEN priority = best AND entities >= 17 THEN 'first source with enough entities'
+        CASE WHEN priority = best AND entities >= 4 THEN 'first source with enough entities'
           WHEN priority = best THEN 'fallback: no source has enough entities'
-          WHEN entities >= 17 THEN 'a preferred source is complete' ELSE 'too few entities' END AS reason FROM counts, best""",
+          WHEN entities >= 4 THEN 'a preferred source is complete' ELSE 'too few entities' END AS reason FROM counts, best""",
     "q_rows_of_chosen": f"""WITH {_CHOICE_SQL} SELECT doc_id, source, lang FROM documents
-        WHERE lang <> 'en' AND source = (SELECT source FROM counts, best WHERE priority = best)""",
+        WHERE source = (SELECT source FROM counts, best WHERE priority = best)""",
     "q_valid_records": """SELECT p_partkey, CAST(p_size AS VARCHAR) AS year, p_brand AS area FROM part WHERE p_size % 3 <> 0 AND p_size % 4 <> 0""",
     "q_scalars": f"""SELECT event_id, CASE WHEN event_id % 8 IN (1, 2, 3) THEN NULL ELSE CAST(CAST(value AS DECIMAL(18,2)) AS DOUBLE) END AS number,
         CASE WHEN event_id % 8 IN (1, 2, 3) THEN NULL ELSE CAST(trunc(value) AS BIGINT) END AS whole,

@@ -9,12 +9,9 @@ from collections.abc import Sequence
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from tallyweave import constants as K
 from tallyweave.functions.numbers import as_col
 
-_SCRIPTS = r"(?is)<(script|style).*?>.*?</\1>"
-_BREAKS = r"(?i)<br\s*/?>"
-_BLOCK_ENDS = r"(?i)</(p|div|tr|td|th|li|h[1-6]|section|article|table)>"
-_TAGS = r"(?s)<[^>]+>"
 _LINE_ENDS = r"\r\n|[\n\r\u000B\f\u001C-\u001E\u0085\u2028\u2029]"
 _SPACE_RUNS = r"(?U)\s+"
 _LINK = r"""(?is)<a\s(?:[^>]*?\s)?href\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+)"""
@@ -72,10 +69,10 @@ def unescape(c: Column | str, exact: bool = False) -> Column:
 
 def page_lines(c: Column | str, exact: bool = False) -> Column:
     """Clean non-blank text lines of a page, in order, as an array."""
-    text = F.regexp_replace(as_col(c), _SCRIPTS, "\n")
-    text = F.regexp_replace(text, _BREAKS, "\n")
-    text = F.regexp_replace(text, _BLOCK_ENDS, "\n")
-    text = F.regexp_replace(text, _TAGS, " ")
+    text = F.regexp_replace(as_col(c), K.SCRIPTS, "\n")
+    text = F.regexp_replace(text, K.BREAKS, "\n")
+    text = F.regexp_replace(text, K.BLOCK_ENDS, "\n")
+    text = F.regexp_replace(text, K.TAGS, " ")
     text = unescape(text, exact)
     lines = F.transform(
         F.split(text, _LINE_ENDS), lambda line: F.btrim(F.regexp_replace(line, _SPACE_RUNS, " "))
@@ -121,7 +118,7 @@ def resolve_url(base: Column | str, href: Column | str) -> Column:
 
 
 def _links(html: Column, base: Column, suffix: str | None, contains: Sequence[str]) -> Column:
-    visible = F.regexp_replace(F.regexp_replace(html, _COMMENTS, " "), _SCRIPTS, " ")
+    visible = F.regexp_replace(F.regexp_replace(html, _COMMENTS, " "), K.SCRIPTS, " ")
     raw = F.regexp_extract_all(visible, F.lit(_LINK), F.lit(1))
     hrefs = F.transform(raw, lambda h: unescape(F.regexp_replace(h, "^[\"']|[\"']$", "")))
     urls = F.transform(F.filter(hrefs, lambda h: h != ""), lambda h: resolve_url(base, h))

@@ -132,7 +132,6 @@ def _placed(lines: DataFrame, doc: str, order: str, rules: SectionRules) -> Data
             "_closers": ((~is_year & ~is_mark).cast("bigint"), is_year),
         },
         block_rows=rules.block_rows,
-        keep=True,
     ).filter("_stops = 0")
     inline = F.col("_line_inline")
     place = inline + F.col("_marks")
@@ -160,7 +159,6 @@ def _placed(lines: DataFrame, doc: str, order: str, rules: SectionRules) -> Data
             ),
         },
         block_rows=rules.block_rows,
-        keep=True,
     )
 
 

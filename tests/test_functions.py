@@ -28,7 +28,7 @@ def test_parse_int_cuts_and_whole_rounds(spark):
 @pytest.mark.parametrize(
     "text, value, suppressed, issue",
     [("71,5%", 71.5, False, None), ("71.5%", 71.5, False, None), ("–", None, True, None), ("-", None, True, None),
-     ("", None, True, None), ("71,5", None, False, "unexpected percent value: 71,5")],
+     ("", None, True, None), (None, None, True, None), ("71,5", None, False, "unexpected percent value: 71,5")],
 )
 def test_percent(spark, text, value, suppressed, issue):
     assert one(spark, text, P.percent_value) == value
@@ -44,6 +44,12 @@ def test_rounding_ignores_float_noise(spark):
     assert one(spark, 1e30, P.stable_round, "double") == 1e30
 
 
+@pytest.mark.parametrize("top, bottom, want", [(10699999, 4000000, 2.67), (10700000, 4000000, 2.68), (10700001, 4000000, 2.68), (-10699999, 4000000, -2.67)])
+def test_values_just_under_a_tie_stay_below(spark, top, bottom, want):
+    df = spark.createDataFrame([(top, bottom)], "a bigint, b bigint")
+    assert df.select(P.safe_ratio("a", "b")).first()[0] == want
+
+
 def test_ratio_and_formats(spark):
     df = spark.createDataFrame([(10.0, 4.0), (10.0, 0.0), (None, 4.0), (10.0, None)], "a double, b double")
     assert rows(df.select(P.safe_ratio("a", "b"))) == sorted([(2.5,), (None,), (None,), (None,)], key=repr)
@@ -79,6 +85,10 @@ def test_group_rule_equals_unicode_tables_on_every_latin_letter(spark):
         assert got[w] == (_group_key(w), _group_key(w)), w
 
 
+def test_compatibility_forms_fold_by_default(spark):
+    assert one(spark, "ﬁskur Ａ１ ⒜ ①", N.fold_key) == "fiskur a1 a 1"
+
+
 def test_two_rules_differ(spark):
     assert one(spark, "Garðabær", N.fold_key) == "gar ab r"
     assert one(spark, "Garðabær", N.fold_name) == "gardabaer"

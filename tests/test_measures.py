@@ -97,6 +97,28 @@ def test_dedup(spark):
         keys.dedup(df, ["k"], "o", "some")
 
 
+def test_dedup_keeps_values_without_an_order(spark):
+    df = spark.createDataFrame([("a", None, 10), ("b", None, 1), ("b", 2, 2), ("b", None, 9), ("t", 1, 5), ("t", 1, 4)], "k string, o int, v int")
+    assert rows(keys.dedup(df, ["k"], "o")) == [("a", None, 10), ("b", 2, 2), ("t", 1, 5)]
+    assert rows(keys.dedup(df, ["k"], "o", "first")) == [("a", None, 10), ("b", 2, 2), ("t", 1, 4)]
+
+
+def test_dedup_error_is_not_pruned(spark):
+    df = spark.createDataFrame([("a", 1, 1), ("a", 2, 2)], "k string, o int, v int")
+    for read in (lambda d: d.select("k").collect(), lambda d: d.count(), lambda d: d.collect()):
+        with pytest.raises(Exception, match="duplicate key: a"):
+            read(keys.dedup(df, ["k"], "o", "error"))
+    assert keys.dedup(df.filter("o = 1"), ["k"], "o", "error").count() == 1
+
+
+def test_null_names_meet_in_one_row(spark):
+    a = spark.createDataFrame([(None, 1), ("x", 2)], "k string, a int")
+    b = spark.createDataFrame([(None, 3), ("y", 4)], "k string, b int")
+    c = spark.createDataFrame([(None, 5)], "k string, c int")
+    got = joins.entity_outer_join("k", {"a": (a, ["a"]), "b": (b, ["b"]), "c": (c, ["c"])})
+    assert rows(got, "k", "a", "b", "c") == sorted([(None, 1, 3, 5), ("x", 2, None, None), ("y", None, 4, None)], key=repr)
+
+
 def test_key_sets(spark):
     a = spark.createDataFrame([("x",), ("y",), ("",), (None,)], "k string")
     b = spark.createDataFrame([("y",), ("z",)], "k string")

@@ -1,5 +1,6 @@
 import json
 import tempfile
+from pathlib import Path
 from urllib.parse import urljoin
 
 import pytest
@@ -16,6 +17,11 @@ def test_csv_round_trip(spark):
     back = tables.read_text_table(spark, folder, ["k", "t", "v"])
     assert back.columns == ["k", "t", "v"]
     assert rows(back) == [("a", None, "1.0"), ("b", 'say "hi", x', None)]
+    many = spark.range(1000).select(F.concat(F.lit("k"), F.col("id") * 7919 % 1000).alias("k"), F.lit("t").alias("t"), F.lit(None).cast("string").alias("v"))
+    tables.write_table(many.repartition(7), folder + "s", ["k"], "csv", sort_by=["k"])
+    files = sorted(Path(folder + "s").glob("part-*"))
+    written = [line for f in files for line in f.read_text().splitlines()[1:]]
+    assert written == sorted(written) and len(written) == 1000
     tables.write_table(df, folder + "p", ["v", "k"], "parquet", partition_by=["k"])
     assert set(spark.read.parquet(folder + "p").columns) == {"v", "k"}
 

@@ -15,17 +15,23 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tallyweave.llm.common import lower_ascii, written
 
-# Fixed value: what a word is.
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+# Fixed value: what separates words; upper-case letters are told apart afterwards.
+SEPARATORS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 WINDOW = 10
+# Windows that may be sent to every task, at about 100 bytes each.
+MOST_SENT = 100_000
 
 
 def words_of(text: Column | str) -> Column:
     """Words of a text with A-Z lower-cased; none for null."""
     text = F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit(""))
-    # An all-ASCII text has nothing else that lower() would change.
-    lowered = F.when(F.octet_length(text) == F.char_length(text), F.lower(text)).otherwise(lower_ascii(text))
-    return F.regexp_extract_all(lowered, F.lit(WORD), F.lit(0))
+
+    def lowered(word: Column) -> Column:
+        # An all-ASCII word has nothing else that lower() would change.
+        plain = F.octet_length(word) == F.char_length(word)
+        return F.when(plain, F.lower(word)).when(word.rlike("[A-Z]"), lower_ascii(word)).otherwise(word)
+
+    return F.transform(F.array_remove(F.split(text, SEPARATORS), ""), lowered)
 
 
 def item_windows(items: DataFrame, key: str, text: str = "text", size: int = WINDOW) -> DataFrame:
@@ -37,16 +43,20 @@ def item_windows(items: DataFrame, key: str, text: str = "text", size: int = WIN
     return cut.select("item", F.array_join("window", " ").alias("phrase"), F.size("window").alias("n")).distinct()
 
 
-def rarest_terms(windows: DataFrame, rows: DataFrame) -> DataFrame:
+def rarest_terms(windows: DataFrame, rows: DataFrame, sent: bool) -> DataFrame:
     """Rows ``(term, offset, phrase, n)``: each window that can occur, under its rarest term.
 
-    Counts are summed per task before the shuffle and then meet the windows' terms, so
-    what is moved is the vocabulary. A window with a term that no text has is dropped.
+    Terms are counted over all ``words`` of ``rows``, with sums per task before the
+    shuffle. If the windows may be ``sent`` to all tasks, only their terms are counted. A
+    window with a term that no text has is dropped.
     """
-    counts = rows.select(F.explode("words").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("times"))
     distinct = windows.select("phrase", "n").distinct()
     terms = distinct.select("phrase", "n", F.posexplode(F.split("phrase", " ")).alias("offset", "term"))
     needed = terms.select("term").distinct()
+    words = rows.select(F.explode("words").alias("term"))
+    if sent:
+        words = words.join(F.broadcast(needed), "term", "left_semi")
+    counts = words.groupBy("term").agg(F.count(F.lit(1)).alias("times"))
     known = written(counts.join(needed, "term"))
     least = F.min(F.struct("times", "offset", "term")).alias("least")
     met = terms.join(known, "term").groupBy("phrase", "n").agg(least, F.count(F.lit(1)).alias("seen"))
@@ -75,30 +85,34 @@ def find(
     """
     windows = written(item_windows(items, item, item_text, size))
     source = df.select(F.col(key).cast("bigint").alias(key), F.col(text).alias("text")).select(key, "text", *row_key(key, "text"))
-    rare = written(rarest_terms(windows, source.select(words_of("text").alias("words"))))
-
-    postings = source.select("d", "h", F.posexplode(words_of("text")).alias("pos", "term"))
-    postings = postings.join(rare.select("term").distinct(), "term", "left_semi")
-    met = postings.join(rare, "term").select("d", "h", (F.col("pos") - F.col("offset")).alias("start"), "n", "phrase")
-    if slop == 0:
-        met = met.filter("start >= 0")
-    # One array per text: as long as its occurrences of rare terms.
-    candidates = written(met.groupBy("d", "h").agg(F.collect_set(F.struct("start", "n", "phrase")).alias("candidates")))
-
-    worded = source.join(candidates, ["d", "h"], "left").select(
-        key, "d", "h", words_of("text").alias("words"), F.coalesce("candidates", F.array().cast(candidates.schema["candidates"].dataType)).alias("candidates")
-    )
-
-    def exact(c: Column) -> Column:
-        return F.array_join(F.slice("words", c["start"] + 1, c["n"]), " ") == c["phrase"]
-
-    def near(c: Column) -> Column:
-        first = F.greatest(c["start"] - slop, F.lit(0))
-        around = F.slice("words", first + 1, c["start"] + c["n"] + slop - first)
-        return F.size(F.array_except(F.split(c["phrase"], " "), around)) == 0
-
-    matched = worded.select(key, "d", "h", F.size("words").cast("bigint").alias("n_words"),
-                            F.array_sort(F.filter("candidates", near if slop else exact)).alias("matches"))
+    source = source.select(key, "d", "h", words_of("text").alias("words"))
+    worded = written(source.withColumn("n_words", F.size("words").cast("bigint")))
+    sent = windows.count() <= MOST_SENT
+    rare = written(rarest_terms(windows, worded, sent))
+
+    def exact(words: Column, start: Column, n: Column, phrase: Column) -> Column:
+        return (start >= 0) & (F.array_join(F.slice(words, F.greatest(start, F.lit(0)) + 1, n), " ") == phrase)
+
+    def near(words: Column, start: Column, n: Column, phrase: Column) -> Column:
+        first = F.greatest(start - slop, F.lit(0))
+        around = F.slice(words, first + 1, F.greatest(start + n + slop - first, F.lit(0)))
+        return F.size(F.array_except(F.split(phrase, " "), around)) == 0
+
+    found = (near if slop else exact)(*map(F.col, ("words", "start", "n", "phrase")))
+    start = (F.col("pos") - F.col("offset")).alias("start")
+    if sent:
+        # The windows meet the postings where the words are; nothing but matches moves.
+        postings = worded.select("d", "h", "words", F.posexplode("words").alias("pos", "term"))
+        met = postings.join(F.broadcast(rare), "term").select("d", "h", "words", start, "n", "phrase")
+    else:
+        postings = worded.select("d", "h", F.posexplode("words").alias("pos", "term"))
+        met = postings.join(rare, "term").select("d", "h", start, "n", "phrase")
+        met = met.join(worded.select("d", "h", "words"), ["d", "h"])
+    # One array per text: as long as its matches. Repeated rows have the same ones.
+    matches = met.filter(found).groupBy("d", "h").agg(F.array_sort(F.collect_set(F.struct("start", "n", "phrase"))).alias("matches"))
+    matches = written(matches)
+    none = F.array().cast(matches.schema["matches"].dataType)
+    matched = worded.drop("words").join(matches, ["d", "h"], "left").withColumn("matches", F.coalesce("matches", none))
     covered = F.aggregate(
         "matches",
         F.struct(F.lit(0).alias("end"), F.lit(0).alias("words")),
@@ -109,8 +123,7 @@ def find(
         lambda end: end["words"].cast("bigint"),
     )
     rows = matched.select(key, "d", "h", "n_words", covered.alias("n_hit"), "matches")
-    rows = written(rows)
-    phrases = rows.filter("n_hit > 0").select("d", "h", F.explode(F.array_distinct(F.transform("matches", lambda m: m["phrase"]))).alias("phrase"))
+    phrases = matches.select("d", "h", F.explode(F.array_distinct(F.transform("matches", lambda m: m["phrase"]))).alias("phrase"))
     links = phrases.join(windows.select("item", "phrase"), "phrase").select("d", "h", "item").distinct()
     return rows, links
 

@@ -24,7 +24,7 @@ from tallyweave.llm.hashing import byte_table, prefix_sums
 
 LENGTH, SEED = 200, 32
 # Contents of one anchor that may meet in one task; bytes of a task on average.
-CONTENTS, TASK_BYTES = 4_000, 1_500_000
+CONTENTS, TASK_BYTES = 3_000, 900_000
 
 
 def _order(*keys: np.ndarray) -> np.ndarray:

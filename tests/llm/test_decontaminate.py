@@ -1,6 +1,7 @@
 import re
 
 import frames
+import pytest
 from pyspark.sql import functions as F
 from tallyweave.llm import decontaminate
 
@@ -30,7 +31,10 @@ def run(spark, docs, items):
     return rows
 
 
-def test_against_brute_force(spark):
+@pytest.mark.parametrize("most_sent", [100_000, 0])
+def test_against_brute_force(spark, monkeypatch, most_sent):
+    # With 0, windows meet the postings in a shuffle.
+    monkeypatch.setattr(decontaminate, "MOST_SENT", most_sent)
     passage = frames.words(20, 25)
     items = [(1, passage), (2, "Short item"), (3, "Short item"), (4, None), (5, " .. "), (6, frames.words(21, 10)), (None, "e f"), (20, "ß É9")]
     docs = [
@@ -60,7 +64,9 @@ def test_empty_tables(spark):
     assert decontaminate.report(docs.limit(0), none).count() == 0
 
 
-def test_proximity(spark):
+@pytest.mark.parametrize("most_sent", [100_000, 0])
+def test_proximity(spark, monkeypatch, most_sent):
+    monkeypatch.setattr(decontaminate, "MOST_SENT", most_sent)
     items = spark.createDataFrame([(1, "alpha beta gamma")], "item_id BIGINT, text STRING")
     docs = spark.createDataFrame([(1, "gamma x beta alpha"), (2, "alpha x x x x x beta gamma"), (3, "alpha beta")], "doc_id BIGINT, text STRING")
     assert decontaminate.find(docs, items)[0].filter("n_hit > 0").count() == 0

@@ -11,32 +11,35 @@ from tallyweave.queries import common as C, measure_queries as MQ, name_queries
 
 
 def _nation_sources(spark, folder) -> dict[str, DataFrame]:
-    """Three tables that name nations: rich customers, rich suppliers, late urgent orders."""
+    """All customers, suppliers and orders with their nation's name, which some nations leave blank.
+
+    Which ones, nation keys say, so there are gaps between the sources at every size.
+    """
     nation = C.table(spark, folder, "nation")
-    customer = C.table(spark, folder, "customer").filter("c_acctbal > 9000")
-    supplier = C.table(spark, folder, "supplier").filter("s_acctbal > 5000")
-    orders = C.table(spark, folder, "orders").filter(
-        "o_orderpriority = '1-URGENT' AND o_orderdate >= TIMESTAMP_NTZ '2001-07-20'"
-    )
-    buyers = orders.join(C.table(spark, folder, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+    customer = C.table(spark, folder, "customer")
+    buyers = C.table(spark, folder, "orders").join(customer, F.col("o_custkey") == F.col("c_custkey"))
 
-    def named(df: DataFrame, key: str) -> DataFrame:
+    def named(df: DataFrame, key: str, every: int, left_out: int) -> DataFrame:
+        name = F.when(F.col(key) % every != left_out, F.col("n_name"))
         spelling = F.when(F.col(key) % 4 == 0, F.lower("n_name")).otherwise(F.col("n_name"))
-        return df.join(nation, F.col(key) == F.col("n_nationkey")).select("n_name", spelling.alias("spelling"))
+        return df.join(nation, F.col(key) == F.col("n_nationkey")).select(name.alias("n_name"), spelling.alias("spelling"))
 
     return {
-        "reading": named(customer, "c_nationkey"),
-        "spending": named(supplier, "s_nationkey"),
-        "outcomes": named(buyers, "c_nationkey"),
+        "reading": named(customer, "c_nationkey", *_GAPS["reading"]),
+        "spending": named(C.table(spark, folder, "supplier"), "s_nationkey", *_GAPS["spending"]),
+        "outcomes": named(buyers, "c_nationkey", *_GAPS["outcomes"]),
     }
 
 
+# Nation keys whose remainder is left blank, by source.
+_GAPS = {"reading": (7, 2), "spending": (5, 3), "outcomes": (6, 2)}
+
+
 _FLAGS = ["reading", "spending", "outcomes"]
 _PRESENCE_SQL = """sources AS (
-  SELECT 'reading' AS src, c_nationkey AS k FROM customer WHERE c_acctbal > 9000
-  UNION ALL SELECT 'spending', s_nationkey FROM supplier WHERE s_acctbal > 5000
-  UNION ALL SELECT 'outcomes', c_nationkey FROM orders JOIN customer ON o_custkey = c_custkey
-    WHERE o_orderpriority = '1-URGENT' AND o_orderdate >= TIMESTAMP '2001-07-20'),
+  SELECT 'reading' AS src, c_nationkey AS k FROM customer WHERE c_nationkey % 7 <> 2
+  UNION ALL SELECT 'spending', s_nationkey FROM supplier WHERE s_nationkey % 5 <> 3
+  UNION ALL SELECT 'outcomes', c_nationkey FROM orders JOIN customer ON o_custkey = c_custkey WHERE c_nationkey % 6 <> 2),
 presence AS (SELECT n_name AS name, n_nationkey AS k, bool_or(src = 'reading') AS reading, bool_or(src = 'spending') AS spending,
     bool_or(src = 'outcomes') AS outcomes FROM sources JOIN nation ON k = n_nationkey GROUP BY ALL)"""
 _PAIRS = [(a, b) for a in _FLAGS for b in _FLAGS if a != b]
@@ -62,8 +65,10 @@ def q_gap_classified(spark, folder):
 
 def _key_sets(spark, folder) -> tuple[DataFrame, DataFrame]:
     buyers = keys.key_set(C.table(spark, folder, "orders"), "o_custkey", "entity")
-    holders = keys.key_set(C.table(spark, folder, "customer").filter("c_acctbal > 0"), "c_custkey", "entity")
-    return buyers, holders
+    # Some customers' keys are blank; the key set leaves them out.
+    customer = C.table(spark, folder, "customer")
+    known = customer.select(F.when(F.col("c_custkey") % 5 != 2, F.col("c_custkey")).alias("c_custkey"))
+    return buyers, keys.key_set(known, "c_custkey", "entity")
 
 
 def q_key_union(spark, folder):
@@ -238,8 +243,11 @@ def q_dq_retained(spark, folder):
 
 
 def q_dq_referential(spark, folder):
-    orders = C.table(spark, folder, "orders").filter("o_orderstatus <> 'P'").select(F.col("o_orderkey").alias("key"))
-    lines = C.table(spark, folder, "lineitem").filter("l_linenumber > 1").select(F.col("l_orderkey").alias("key"))
+    def wrong_at(key: str, place: int):
+        return F.when(F.col(key) % 100 == place, -F.col(key) - 1).otherwise(F.col(key)).alias("key")
+
+    orders = C.table(spark, folder, "orders").select(wrong_at("o_orderkey", 3))
+    lines = C.table(spark, folder, "lineitem").select(wrong_at("l_orderkey", 4))
     return Q.expect_referential(lines, orders, "lines", ["key"], equal=True)
 
 
@@ -261,7 +269,8 @@ def q_dq_queue(spark, folder):
     unresolved = resolution.names.filter(
         (F.col("match_status") == K.NEEDS_MANUAL_REVIEW) & (F.col("priority") == K.REQUIRED)
     )
-    return Q.expect_queue(queue, unresolved.filter("name NOT LIKE 'Very hot%'"), "review", "name")
+    renamed = F.when(F.startswith("name", F.lit("Very hot")), F.concat("name", F.lit("!"))).otherwise(F.col("name"))
+    return Q.expect_queue(queue, unresolved.withColumn("name", renamed), "review", "name")
 
 
 def q_dq_items(spark, folder):
@@ -340,10 +349,10 @@ ORACLES = {
         UNION ALL SELECT 'summary', 'all_sources', '', NULL, NULL, NULL, 'coverage_count', 'summary', '',
           'reading=' || count(*) FILTER (WHERE reading) || '; spending=' || count(*) FILTER (WHERE spending) || '; outcomes=' || count(*) FILTER (WHERE outcomes) FROM presence
         UNION ALL {_union([f"SELECT 'summary', '{c}', '', NULL, NULL, NULL, 'gap_count', 'summary', '', CAST(count(*) FILTER (WHERE comparison = '{c}') AS VARCHAR) FROM gaps" for c in _COMPARISONS])}""",
-    "q_key_union": "SELECT o_custkey AS entity FROM orders UNION SELECT c_custkey FROM customer WHERE c_acctbal > 0",
-    "q_key_difference": "SELECT o_custkey AS entity FROM orders EXCEPT SELECT c_custkey FROM customer WHERE c_acctbal > 0",
-    "q_key_set_equality": """SELECT entity, 'left_only' AS side FROM (SELECT o_custkey AS entity FROM orders EXCEPT SELECT c_custkey FROM customer WHERE c_acctbal > 0)
-        UNION ALL SELECT entity, 'right_only' FROM (SELECT c_custkey AS entity FROM customer WHERE c_acctbal > 0 EXCEPT SELECT o_custkey FROM orders)""",
+    "q_key_union": "SELECT o_custkey AS entity FROM orders UNION SELECT c_custkey FROM customer WHERE c_custkey % 5 <> 2",
+    "q_key_difference": "SELECT o_custkey AS entity FROM orders EXCEPT SELECT c_custkey FROM customer WHERE c_custkey % 5 <> 2",
+    "q_key_set_equality": """SELECT entity, 'left_only' AS side FROM (SELECT o_custkey AS entity FROM orders EXCEPT SELECT c_custkey FROM customer WHERE c_custkey % 5 <> 2)
+        UNION ALL SELECT entity, 'right_only' FROM (SELECT c_custkey AS entity FROM customer WHERE c_custkey % 5 <> 2 EXCEPT SELECT o_custkey FROM orders)""",
     "q_distinct_list": """SELECT 'domain' AS section, 'languages' AS item, CAST(count(DISTINCT lang) AS VARCHAR) AS value,
           string_agg(DISTINCT lang, '; ' ORDER BY lang) AS details FROM documents
         UNION ALL SELECT 'domain', 'foreign_sources', CAST(count(DISTINCT source) AS VARCHAR), string_agg(DISTINCT source, '; ' ORDER BY source)
@@ -396,7 +405,8 @@ ORACLES = {
     "q_dq_retained": f"""WITH {C.NATIONS_SQL}, {MQ._OUTCOMES} """ + _violation_sql("retained", "outcomes", "CAST(c_custkey AS VARCHAR)", "kept_group", "NULL",
         "CASE WHEN entity IS NULL THEN 'required entity is missing' ELSE 'required entity lost its group' END",
         "FROM customer LEFT JOIN outcomes ON entity = c_custkey WHERE entity IS NULL OR graduates IS NULL OR graduates <= 1"),
-    "q_dq_referential": """WITH c AS (SELECT DISTINCT l_orderkey AS key FROM lineitem WHERE l_linenumber > 1), p AS (SELECT o_orderkey AS key FROM orders WHERE o_orderstatus <> 'P') """
+    "q_dq_referential": """WITH c AS (SELECT DISTINCT CASE WHEN l_orderkey % 100 = 4 THEN -l_orderkey - 1 ELSE l_orderkey END AS key FROM lineitem),
+        p AS (SELECT CASE WHEN o_orderkey % 100 = 3 THEN -o_orderkey - 1 ELSE o_orderkey END AS key FROM orders) """
     + _violation_sql("referential", "lines", "CAST(key AS VARCHAR)", "key", "''", "'no parent row'", "FROM c WHERE key NOT IN (SELECT key FROM p)")
     + " UNION ALL " + _violation_sql("referential", "lines", "CAST(key AS VARCHAR)", "key", "''", "'no child row'", "FROM p WHERE key NOT IN (SELECT key FROM c)"),
     "q_dq_recomputed": "WITH " + ", ".join(MQ._REGION) + " " + _violation_sql("recomputed", "moved", "g", "value_pct", "''", "'latest value'",

@@ -117,7 +117,7 @@ def q_denominators_summed(spark, folder):
 
 def q_missing_denominators(spark, folder):
     """Money of years without any order has no denominator."""
-    people = population(spark, folder).filter("year <= 1999")
+    people = population(spark, folder).withColumn("source_name", F.when(F.col("year") <= 1999, F.col("source_name")))
     return M.missing_denominators(spending(spark, folder), ["year", "source_name"], people, "source_name")
 
 
@@ -134,13 +134,18 @@ def q_align_metrics(spark, folder):
     )
 
 
+def _but(name: str):
+    """The source name, blank for one nation, so that the spine has a gap there."""
+    return F.when(F.col("source_name") != name, F.col("source_name"))
+
+
 def spine(spark, folder) -> DataFrame:
     """One row per nation: reading values, 1998 money of two metrics, denominators, flags."""
-    obs = C.reading_slice(spark, folder).filter("source_name <> 'NATION_3'")
+    obs = C.reading_slice(spark, folder)
     reading = M.strict_and_latest(
-        obs.withColumn("own", F.col("source_name")), "own", "school_year", "source_name", "value_pct"
+        obs.withColumn("own", _but("NATION_3")), "own", "school_year", "source_name", "value_pct"
     ).withColumnRenamed("own", "name")
-    money = denominated(spark, folder).filter("year = 1998 AND source_name <> 'NATION_7'")
+    money = denominated(spark, folder).filter("year = 1998").withColumn("source_name", _but("NATION_7"))
     wide = M.pivot_metrics(
         money, ["source_name"], "metric", ["net", "gross"], ["amount", "per_person", "total"]
     ).withColumnRenamed("source_name", "name")

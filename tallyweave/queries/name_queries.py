@@ -221,8 +221,8 @@ _RULES = R.NameRules(
 def register(spark, folder) -> DataFrame:
     """Part names in brands: most names are in many brands, so they are ambiguous."""
     part = C.table(spark, folder, "part")
-    return part.filter("p_name NOT LIKE 'cold%'").select(
-        F.initcap("p_name").alias("canonical"),
+    return part.select(
+        F.when(~F.startswith("p_name", F.lit("cold")), F.initcap("p_name")).alias("canonical"),
         F.when(F.col("p_name").like("large%") | F.col("p_name").like("red%"), F.lit("Brand#1"))
         .otherwise(F.concat(F.lit("Brand#"), (F.length("p_type") % 3 + 1).cast("string"))).alias("group"),
     )
@@ -244,10 +244,10 @@ def source_names(spark, folder) -> DataFrame:
         .when(k == 3, F.concat(F.substring("p_name", 1, 5), F.lit(" "), F.substring("p_name", 6, 20)))
         .otherwise(F.concat(F.lit("Very "), "p_name", F.lit(" kit")))
     )
-    names = part.select(spelling.alias("spelling"), "p_retailprice", "p_size")
-    return R.presence_matrix(
-        {"in_sales": (names.filter("p_retailprice >= 950"), "spelling"), "in_stock": (names.filter("p_size <= 35"), "spelling")}
+    names = part.select(
+        F.when(F.col("p_retailprice") >= 950, spelling).alias("sold"), F.when(F.col("p_size") <= 35, spelling).alias("stocked")
     )
+    return R.presence_matrix({"in_sales": (names, "sold"), "in_stock": (names, "stocked")})
 
 
 _NAMES_SQL = """spellings AS (SELECT p_retailprice, p_size, CASE p_partkey % 5 WHEN 0 THEN upper(p_name)

@@ -297,6 +297,29 @@ def by_period_profile(df: DataFrame, period: str, entity: str) -> DataFrame:
     return df.groupBy(period).agg(F.count_distinct(entity).alias("entities"), F.count(F.lit(1)).alias("n_rows"))
 
 
+def period_audit(
+    df: DataFrame, period: str, entity: str, category: str, cells: DataFrame, value: str, totals: dict[str, Column]
+) -> DataFrame:
+    """Long profile ``(section, period, category, item, value)`` of rows and their source.
+
+    Distinct entities per period; per period the source's own total cells, named by the
+    conditions in ``totals`` (NULL where the source has none); rows per category. The
+    totals are read from ``cells`` in one pass.
+    """
+    blank, text = F.lit(""), F.col(period).cast("string")
+    entities = df.groupBy(period).agg(F.count_distinct(entity).alias("n"))
+    per_period = cells.groupBy(period).agg(*[F.max(F.when(c, F.col(value))).cast("string").alias(t) for t, c in totals.items()])
+    found = entities.join(per_period, period, "left")
+    items = [F.struct(F.lit("entities_with_rows").alias("item"), F.col("n").cast("string").alias("value"))]
+    items += [F.struct(F.lit(t).alias("item"), F.col(t).alias("value")) for t in totals]
+    by_period = found.select(F.lit("by_period").alias("section"), text.alias("period"), blank.alias("category"), F.inline(F.array(*items)))
+    by_category = df.groupBy(category).agg(F.count(F.lit(1)).cast("string").alias("value")).select(
+        F.lit("by_category").alias("section"), blank.alias("period"), F.col(category).cast("string").alias("category"),
+        F.lit("rows").alias("item"), "value",
+    )
+    return by_period.unionByName(by_category)
+
+
 def self_lookup_total(
     df: DataFrame, cells: DataFrame, keys: Sequence[str], total: Column, value: str, out: str
 ) -> DataFrame:

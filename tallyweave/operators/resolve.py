@@ -20,7 +20,7 @@ from tallyweave.functions.numbers import blank_to_null, parse_digits, strip
 from tallyweave.operators.keys import dedup, latest_per_key
 from tallyweave.operators.measures import match_rate, token_pattern_top_k
 from tallyweave.operators.similarity import similar_pairs
-from tallyweave.session import cut_lineage, reused
+from tallyweave.session import cut_lineage
 
 
 @dataclass(frozen=True)
@@ -278,7 +278,7 @@ def resolve_entities(
     named = named.join(weights, "name", "left") if weights is not None else named.withColumn(
         "weight", F.lit(None).cast("bigint")
     )
-    targets = reused(register_variants(register, rules))
+    targets = register_variants(register, rules)
     matches = unique_matches(named, "name", "folded", rules.variants("name"), unique_index(targets))
 
     def pair(df: DataFrame, label: str, *extra: str) -> DataFrame:
@@ -397,9 +397,20 @@ def review_queue(resolution: Resolution, priority: str, flags: Sequence[str]) ->
     return rows.select("name", "folded", *columns, "weight", evidence.alias("size_note"), *flags, note.alias("note"))
 
 
-def resolution_audit(resolution: Resolution, flags: Sequence[str], group: str = "group", order: str = "name") -> DataFrame:
-    """Long audit ``(section, dataset, item, value)``: classes, rates, open names, patterns."""
+def resolution_audit(
+    resolution: Resolution, flags: Sequence[str], group: str = "group", order: str = "name",
+    required_flags: Sequence[str] | None = None, group_status: str | None = None,
+) -> DataFrame:
+    """Long audit ``(section, dataset, item, value)``: classes, rates, open names, patterns.
+
+    ``required_flags`` (all ``flags`` by default) make an excluded name count towards the
+    relevant total; ``group_status`` is the column that says how a group was carried over.
+    """
     names = resolution.names
+    wanted = F.lit(False)
+    for flag in flags if required_flags is None else required_flags:
+        wanted = wanted | F.coalesce(F.col(flag), F.lit(False))
+    carried = F.col(group_status) if group_status else F.lit(None).cast("string")
     text = F.lit("").alias("dataset")
     counts = names.groupBy("priority", "match_status").agg(F.count(F.lit(1)).alias("n")).select(
         F.lit("summary").alias("section"),
@@ -412,7 +423,11 @@ def resolution_audit(resolution: Resolution, flags: Sequence[str], group: str =
         F.count_if(F.col(group).isNotNull()).alias("names_with_group"),
         F.count_if(F.col("priority") == K.REQUIRED).alias("required_total"),
         F.count_if(F.col("priority") == K.REFERENCE_ONLY).alias("reference_only_total"),
-    ).unpivot([], ["total_names", "names_with_group", "required_total", "reference_only_total"], "item", "n").select(
+        F.count_if((F.col("priority") == K.REQUIRED) | ((F.col("priority") == K.EXCLUDED) & wanted)).alias("relevant_total_with_excluded"),
+        F.count_if(carried == K.HARMONIZED).alias("groups_harmonized"),
+        F.count_if(carried == K.NEEDS_REVIEW).alias("groups_needing_review"),
+    )
+    totals = totals.unpivot([], totals.columns, "item", "n").select(
         F.lit("summary").alias("section"), text, "item", F.col("n").cast("string").alias("value")
     )
     rates = match_rate(names, flags, F.col(group).isNotNull(), F.col("priority") != K.EXCLUDED).select(
@@ -429,6 +444,7 @@ def resolution_audit(resolution: Resolution, flags: Sequence[str], group: str =
             "; ",
             F.concat(F.lit("weight="), F.coalesce(F.col("weight").cast("string"), F.lit(""))),
             F.concat(F.lit("possible_match_1="), F.coalesce("possible_match_1", F.lit(""))),
+            F.concat(F.lit("group="), F.coalesce("possible_match_1_group", F.lit(""))),
             F.concat(F.lit("score="), F.coalesce(F.col("possible_match_1_score").cast("string"), F.lit(""))),
         ).alias("value"),
     )

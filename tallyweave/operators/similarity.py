@@ -34,7 +34,6 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from tallyweave import constants as K
-from tallyweave.session import reused
 
 _EPS = 1e-9
 
@@ -134,7 +133,7 @@ def candidate_pairs(
     """Pairs ``(a, b)`` that pass every lossless bound; both inputs are one column ``text``."""
     limit = F.lit(float(_short_limit(threshold)))
     strings = left.select(F.lit("a").alias("side"), "text").union(right.select(F.lit("b").alias("side"), "text"))
-    ranked = reused(_ranked(reused(strings.filter("text <> ''").distinct())))
+    ranked = _ranked(strings.filter("text <> ''").distinct())
     # Characters are only a key for short strings; others leave them behind.
     short_chars = F.when(F.col("len") <= limit, F.col("chars")).alias("chars")
     keyed = ranked.select("side", "text", "len", "bigrams", short_chars, "b0", "b1", "c0", "c1", F.explode(_keys(threshold)).alias("key"))

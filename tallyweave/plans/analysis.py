@@ -11,7 +11,6 @@ from tallyweave import constants as K
 from tallyweave.functions.notes import first_nonblank, join_notes, presence_flag
 from tallyweave.operators import coverage, joins, measures as M
 from tallyweave.operators.keys import dedup
-from tallyweave.session import reused
 
 READING_COLUMNS = ["period", "value", "component_count", "nonmissing_component_count", "method", "note"]
 
@@ -30,17 +29,13 @@ class AnalysisSettings:
 
 @dataclass(frozen=True)
 class AnalysisTables:
-    """Lazy outputs; spine, entities and groups are kept because the audit reads them again."""
+    """Lazy outputs; a caller who reads several of them may persist what they share."""
 
     spine: DataFrame
     entities: DataFrame
     groups: DataFrame
     audit: DataFrame
 
-    def release(self) -> None:
-        for df in (self.spine, self.entities, self.groups):
-            df.unpersist()
-
 
 def build_spine(observations: DataFrame, spending: DataFrame, population: DataFrame, s: AnalysisSettings) -> DataFrame:
     """One row per harmonised group with reading, spending and population columns.
@@ -150,9 +145,9 @@ def build_analysis(
     caveats: Sequence[tuple[str, str, str]] = (),
 ) -> AnalysisTables:
     """All analysis tables and their coverage audit."""
-    spine = reused(build_spine(observations, spending, population, settings))
-    entities = reused(build_entities(graduates, grades, paired, crosswalk, values, total_names))
-    groups = reused(build_groups(entities, values))
+    spine = build_spine(observations, spending, population, settings)
+    entities = build_entities(graduates, grades, paired, crosswalk, values, total_names)
+    groups = build_groups(entities, values)
     audit = coverage.coverage_audit(
         spine, entities, groups, "group",
         {"reading": F.col("in_reading"), "spending": F.col("in_spending"), "outcomes": F.col("_in_groups")},

@@ -56,5 +56,5 @@ def build_crosswalk(
         R.review_queue(resolved, K.REQUIRED, flags),
         R.review_queue(resolved, K.REFERENCE_ONLY, flags),
         template,
-        R.resolution_audit(resolved, flags),
+        R.resolution_audit(resolved, flags, required_flags=required, group_status="group_status"),
     )

@@ -275,6 +275,17 @@ def q_by_period(spark, folder):
     return M.by_period_profile(orders.select(F.year("o_orderdate").alias("year"), "o_custkey"), "year", "o_custkey")
 
 
+def q_period_audit(spark, folder):
+    """People per year and segment with the source's own ALL and MACHINERY cells."""
+    cells = C.population_cells(spark, folder)
+    rows = cells.filter("member <> 'ALL'")
+    own = F.col("source_name") == "NATION_0"
+    return M.period_audit(
+        rows, "year", "source_name", "member", cells, "people",
+        {"people_of_first": own & (F.col("member") == "ALL"), "builders_of_first": own & (F.col("member") == "BUILDING")},
+    )
+
+
 def q_self_total(spark, folder):
     """Derived counts per year and nation beside the ALL cell of the source itself."""
     cells = C.population_cells(spark, folder)
@@ -413,6 +424,18 @@ SUMMARY_CTES = (*OUTCOME_CTES, _SUMMARY)
 QUERIES = {n: f for n, f in list(globals().items()) if n.startswith("q_")}
 
 ORACLES = {
+    "q_period_audit": f"""WITH {C.NATIONS_SQL}, members AS (
+        SELECT DISTINCT CAST(year(o_orderdate) AS INTEGER) AS year, c_custkey, source_name, c_mktsegment
+        FROM orders JOIN customer ON o_custkey = c_custkey JOIN nations ON c_nationkey = n_nationkey),
+      cells AS (SELECT year, source_name, 'ALL' AS member, count(*) AS people FROM members GROUP BY ALL
+        UNION ALL SELECT year, source_name, c_mktsegment, count(*) FROM members GROUP BY ALL),
+      years AS (SELECT year, count(DISTINCT source_name) FILTER (WHERE member <> 'ALL') AS n,
+        max(people) FILTER (WHERE source_name = 'NATION_0' AND member = 'ALL') AS a,
+        max(people) FILTER (WHERE source_name = 'NATION_0' AND member = 'BUILDING') AS b FROM cells GROUP BY year)
+      SELECT 'by_period' AS section, CAST(year AS VARCHAR) AS period, '' AS category, 'entities_with_rows' AS item, CAST(n AS VARCHAR) AS value FROM years
+      UNION ALL SELECT 'by_period', CAST(year AS VARCHAR), '', 'people_of_first', CAST(a AS VARCHAR) FROM years
+      UNION ALL SELECT 'by_period', CAST(year AS VARCHAR), '', 'builders_of_first', CAST(b AS VARCHAR) FROM years
+      UNION ALL SELECT 'by_category', '', member, 'rows', CAST(count(*) AS VARCHAR) FROM cells WHERE member <> 'ALL' GROUP BY member""",
     "q_ratio_ties": """SELECT l_orderkey, l_linenumber, nudge,
         ((l_orderkey * 40000 + 20000 + nudge) * 200 + 4000000) // 8000000 / 100.0::DOUBLE AS ratio
         FROM lineitem, (SELECT CAST(unnest([-1, 0, 1]) AS INTEGER) AS nudge)""",

@@ -323,6 +323,70 @@ def q_resolution_audit(spark, folder):
     return R.resolution_audit(resolution(spark, folder), ["in_sales", "in_stock"])
 
 
+# Without similarity: a threshold that no pair reaches leaves the other rules to decide.
+_NO_SIMILARITY = 1.5
+
+
+def settled(spark, folder) -> R.Resolution:
+    """Names resolved by total rows, a hand-made row, exact and alias keys and places alone."""
+    manual = spark.range(1).select(
+        F.lit("SMALL ROD").alias("name"), F.lit("Small Rod").alias("canonical"), F.lit("Brand#9").alias("group"), F.lit("agreed by hand").alias("note")
+    )
+    return R.resolve_entities(
+        source_names(spark, folder), ["in_sales", "in_stock"], ["in_sales"], register(spark, folder), manual,
+        _RULES, _weights(spark, folder), None, _NO_SIMILARITY,
+    )
+
+
+def q_resolve_settled(spark, folder):
+    return settled(spark, folder).names
+
+
+def q_review_queue_settled(spark, folder):
+    return R.review_queue(settled(spark, folder), K.REFERENCE_ONLY, ["in_sales", "in_stock"])
+
+
+def q_resolution_audit_settled(spark, folder):
+    return R.resolution_audit(settled(spark, folder), ["in_sales", "in_stock"], required_flags=["in_sales"])
+
+
+def _group_names(spark, folder) -> DataFrame:
+    """A crosswalk of the resolved groups: some carried over, one to review."""
+    part = C.table(spark, folder, "part").select((F.length("p_type") % 3 + 1).alias("n")).distinct()
+    name = F.concat(F.lit("Brand#"), F.col("n").cast("string"))
+    return part.filter("n <> 2").select(
+        name.alias("source"), F.concat(F.lit("House "), F.col("n").cast("string")).alias("name"),
+        F.when(F.col("n") == 3, K.NEEDS_REVIEW).otherwise(K.HARMONIZED).alias("status"), F.lit("by list").alias("notes"), F.col("n").alias("seq"),
+    )
+
+
+def q_assign_group(spark, folder):
+    """The resolved names' groups carried over to the common spelling."""
+    names = settled(spark, folder).names.select("name", F.col("group").alias("group_source"))
+    return H.lookup_exact(names, "group_source", _group_names(spark, folder), _CROSSWALK, "seq", ["group", "group_status", "group_note"])
+
+
+_KEYED_RULES = R.NameRules(
+    stop_tokens=["ib"], prefixes=_PART_PREFIXES, count_keys={("red ring", "Brand#1"): "old bolt", ("old ring", "Brand#2"): "no such name"}
+)
+
+
+def q_latest_reference_keyed(spark, folder):
+    """Counts of register entries, two of them looked up by a listed key first."""
+    return R.latest_reference_count(register(spark, folder).distinct(), _counts(spark, folder), _KEYED_RULES)
+
+
+def q_dedup_first(spark, folder):
+    """The first event of each user by type, of equal ones the one that sorts first."""
+    events = C.table(spark, folder, "events").select("user_id", "event_id", "event_type", "value")
+    return dedup(events, ["user_id"], "event_type", "first")
+
+
+def q_dedup_error(spark, folder):
+    """All orders, as no key is repeated."""
+    return dedup(C.table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_totalprice"), ["o_orderkey"], "o_custkey", "error")
+
+
 def q_nearest_magnitude(spark, folder):
     """Per user, the event type whose count is nearest to the user's mean value."""
     events = C.table(spark, folder, "events")
@@ -399,9 +463,72 @@ harmonized AS (SELECT c_custkey, spelling,
       ELSE '{H.CARRIED_NOTE}' END AS note
   FROM keyed LEFT JOIN exact e ON k = e.source LEFT JOIN variants v ON k = v.source LEFT JOIN folded o ON f = o.fold)"""
 
+_SETTLED_SQL = f"""{_REGISTER_SQL}, {_NAMES_SQL},
+folded AS (SELECT *, {sql_fold_name('name', ['ib'])} AS folded FROM names),
+entries AS (SELECT lower(canonical) AS v, min((canonical, "group")) AS lo, max((canonical, "group")) AS hi FROM register GROUP BY 1),
+tried AS (SELECT DISTINCT name, folded, unnest([folded, {_ALIAS_SQL.format('folded')}]) AS v FROM folded),
+hits AS (SELECT name, min(lo) AS lo, max(hi) AS hi, min(lo) FILTER (WHERE v = folded) AS dlo, max(hi) FILTER (WHERE v = folded) AS dhi
+  FROM tried JOIN entries USING (v) GROUP BY name),
+weighed AS (SELECT upper(p_name) AS name, CAST(arg_max(p_size, p_partkey) AS BIGINT) AS weight FROM part GROUP BY 1),
+judged AS (SELECT f.*, w.weight, lo, hi, dlo, dhi,
+    CASE WHEN contains(folded, 'anvil') THEN 'Brand#3' WHEN contains(folded, 'gizmo') THEN 'Brand#4' END AS hint
+  FROM folded f LEFT JOIN weighed w USING (name) LEFT JOIN hits USING (name)),
+branched AS (SELECT *, CASE WHEN folded IN ('red ring', 'hot rod') THEN 'excluded' WHEN name = 'SMALL ROD' THEN 'manual' WHEN dlo = dhi THEN 'exact'
+    WHEN lo = hi THEN 'alias' WHEN hint IS NOT NULL THEN 'hint' ELSE 'review' END AS b FROM judged),
+settled AS (SELECT name, folded, in_sales, in_stock, weight,
+    CASE b WHEN 'excluded' THEN '{K.EXCLUDED}' WHEN 'manual' THEN '{K.MATCHED_MANUAL}' WHEN 'exact' THEN '{K.MATCHED_EXACT}'
+      WHEN 'alias' THEN '{K.MATCHED_RULE}' WHEN 'hint' THEN '{K.MATCHED_GROUP_ONLY}' ELSE '{K.NEEDS_MANUAL_REVIEW}' END AS match_status,
+    CASE b WHEN 'manual' THEN 'Small Rod' WHEN 'exact' THEN dlo[1] WHEN 'alias' THEN lo[1] END AS canonical,
+    CASE b WHEN 'manual' THEN 'Brand#9' WHEN 'exact' THEN dlo[2] WHEN 'alias' THEN lo[2] WHEN 'hint' THEN hint END AS "group",
+    CASE WHEN b IN ('excluded', 'manual', 'exact', 'alias') THEN '1.000' END AS match_confidence,
+    CASE b WHEN 'excluded' THEN 'rule' WHEN 'manual' THEN 'manual' WHEN 'exact' THEN 'register' WHEN 'alias' THEN 'register_alias'
+      WHEN 'hint' THEN 'municipality_location_hint' END AS match_source,
+    CAST(NULL AS VARCHAR) AS size_note,
+    CASE b WHEN 'excluded' THEN 'total or grouped row; no group assigned' WHEN 'manual' THEN 'agreed by hand' WHEN 'exact' THEN 'exact folded name'
+      WHEN 'alias' THEN 'alias rule: slash, parenthesis or prefix form' WHEN 'hint' THEN 'group from a place named in the source; entity uncertain'
+      ELSE 'no exact, rule, place or high-confidence match' END AS note,
+    CASE WHEN b = 'excluded' THEN '{K.EXCLUDED}' WHEN in_sales THEN '{K.REQUIRED}' ELSE '{K.REFERENCE_ONLY}' END AS priority
+  FROM branched)"""
+
 QUERIES = {n: f for n, f in list(globals().items()) if n.startswith("q_")}
 
 ORACLES = {
+    "q_resolve_settled": f"WITH {_SETTLED_SQL} SELECT * FROM settled",
+    "q_review_queue_settled": f"""WITH {_SETTLED_SQL} SELECT name, folded,
+        {', '.join(f'CAST(NULL AS {kind}) AS possible_match_{i}{c}' for i in (1, 2) for c, kind in (('', 'VARCHAR'), ('_group', 'VARCHAR'), ('_score', 'DOUBLE'), ('_count', 'BIGINT')))},
+        weight, CAST(NULL AS VARCHAR) AS size_note, in_sales, in_stock, note || '; reference only, not needed downstream' AS note
+        FROM settled WHERE match_status = '{K.NEEDS_MANUAL_REVIEW}' AND priority = '{K.REFERENCE_ONLY}'""",
+    "q_resolution_audit_settled": f"""WITH {_SETTLED_SQL},
+        totals AS (SELECT count(*) AS total_names, count("group") AS names_with_group, count(*) FILTER (WHERE priority = '{K.REQUIRED}') AS required_total,
+          count(*) FILTER (WHERE priority = '{K.REFERENCE_ONLY}') AS reference_only_total,
+          count(*) FILTER (WHERE priority = '{K.REQUIRED}' OR (priority = '{K.EXCLUDED}' AND in_sales)) AS relevant_total_with_excluded,
+          0 AS groups_harmonized, 0 AS groups_needing_review FROM settled),
+        rates AS ({' UNION ALL '.join(f"""SELECT '{f}' AS f, count(*) FILTER (WHERE {f}) AS n, count(*) FILTER (WHERE {f} AND "group" IS NOT NULL) AS m
+          FROM settled WHERE priority <> '{K.EXCLUDED}'""" for f in ('in_sales', 'in_stock'))}),
+        open_words AS (SELECT array_to_string(string_split(folded, ' ')[1:2], ' ') AS pattern, name FROM settled
+          WHERE match_status = '{K.NEEDS_MANUAL_REVIEW}' AND priority = '{K.REFERENCE_ONLY}'),
+        patterns AS (SELECT pattern, count(*) AS n, min(name) AS first_seen FROM open_words GROUP BY 1 ORDER BY n DESC, first_seen, pattern LIMIT 10)
+        {' UNION ALL '.join(f"SELECT 'summary' AS section, '' AS dataset, '{t}' AS item, CAST({t} AS VARCHAR) AS value FROM totals" for t in (
+            'total_names', 'names_with_group', 'required_total', 'reference_only_total', 'relevant_total_with_excluded', 'groups_harmonized', 'groups_needing_review'))}
+        UNION ALL SELECT 'summary', priority, match_status, CAST(count(*) AS VARCHAR) FROM settled GROUP BY ALL
+        UNION ALL SELECT 'match_rate_by_source', f, 'matched_non_excluded', printf('%d/%d (%.1f%%)', m, n, m * 100.0::DOUBLE / n) FROM rates
+        UNION ALL SELECT 'unresolved_required', '', name, 'weight=' || coalesce(CAST(weight AS VARCHAR), '') || '; possible_match_1=; group=; score='
+          FROM settled WHERE match_status = '{K.NEEDS_MANUAL_REVIEW}' AND priority = '{K.REQUIRED}'
+        UNION ALL SELECT 'common_unmatched_patterns', '', pattern, CAST(n AS VARCHAR) FROM patterns""",
+    "q_assign_group": f"""WITH {_SETTLED_SQL}, listed AS (SELECT DISTINCT 'Brand#' || n AS source, 'House ' || n AS name,
+          CASE WHEN n = 3 THEN 'needs_review' ELSE 'harmonized' END AS status FROM (SELECT length(p_type) % 3 + 1 AS n FROM part) WHERE n <> 2)
+        SELECT s.name, s."group" AS group_source, coalesce(l.name, s."group") AS "group",
+          CASE WHEN s."group" IS NULL THEN NULL ELSE coalesce(l.status, 'unchanged') END AS group_status,
+          CASE WHEN s."group" IS NULL THEN NULL WHEN l.name IS NOT NULL THEN 'by list' ELSE '{H.CARRIED_NOTE}' END AS group_note
+        FROM settled s LEFT JOIN listed l ON s."group" = l.source""",
+    "q_latest_reference_keyed": f"""WITH {_REGISTER_SQL}, latest AS (SELECT p_name AS variant, CAST(p_size * 7 AS BIGINT) AS count
+          FROM part WHERE p_size % 4 <> 0 QUALIFY row_number() OVER (PARTITION BY p_name ORDER BY p_partkey % 9 DESC, p_partkey) = 1),
+        both_of AS (SELECT r.canonical, r."group", coalesce(CASE WHEN lower(r.canonical) = 'red ring' AND r."group" = 'Brand#1' THEN b.count END, l.count) AS count
+          FROM register r LEFT JOIN latest l ON lower(r.canonical) = l.variant LEFT JOIN latest b ON b.variant = 'old bolt')
+        SELECT * FROM both_of WHERE count IS NOT NULL""",
+    "q_dedup_first": """SELECT user_id, event_id, event_type, value FROM events
+        QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_type, event_id, value) = 1""",
+    "q_dedup_error": "SELECT o_orderkey, o_custkey, o_totalprice FROM orders",
     "q_harmonize": f"WITH {_HARMONIZED_SQL} SELECT * FROM harmonized",
     "q_lookup_exact": f"""WITH {_HARMONIZED_SQL} SELECT c_custkey, spelling,
         CASE WHEN e.source IS NOT NULL THEN e.name ELSE nullif(k, '') END AS name,

@@ -5,7 +5,6 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
@@ -27,12 +26,6 @@ def local_session(cores: int | str = "*", app: str = "tallyweave", **extra: str)
     return builder.getOrCreate()
 
 
-def reused(df: DataFrame) -> DataFrame:
-    """Keep a result that several branches of one job read; it spills to disk and is
-    recomputed from its inputs if the executor that held it is lost."""
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
-
-
 def checkpoint_folder(spark: SparkSession) -> str:
     """The shared folder that ``spark.checkpoint.dir`` names.
 

@@ -8,7 +8,6 @@ from itertools import permutations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tallyweave import constants as K
-from tallyweave.functions.notes import sorted_list
 from tallyweave.operators.keys import append_sections
 
 
@@ -34,27 +33,35 @@ def _entries(rows: DataFrame, section: str, items: Sequence[Item]) -> DataFrame:
     return _sections(rows, {section: items})
 
 
+def _line(section: Column, item: Column, value: Column, details: Column | None = None) -> list[Column]:
+    return [section.alias("section"), item.alias("item"), value.cast("string").alias("value"), (F.lit("") if details is None else details).alias("details")]
+
+
 def distinct_lists(df: DataFrame, section: str, items: dict[str, tuple[str, Column | None]]) -> DataFrame:
-    """Count and sorted list of distinct values per item, in one pass.
+    """Number of distinct non-blank values per item, and one row per value.
 
-    ``items`` maps an item to a column and an optional condition. Only distinct values
-    leave each task, so the list grows with the domain and not with the rows.
+    ``items`` maps an item to a column and an optional condition. Counts are rows of
+    ``section``, values rows of ``<section>_member``; distinct values meet by item and
+    value, so no task holds an item's whole list.
     """
-    aggregates = []
+    entries = []
     for item, (column, condition) in items.items():
         text = F.col(column).cast("string")
-        value = F.when((text != "") & (condition if condition is not None else F.lit(True)), text)
-        aggregates.append(F.array_sort(F.collect_set(value)).alias(f"v_{item}"))
-    row = df.agg(*aggregates)
-    return _entries(
-        row, section, [(i, F.size(f"v_{i}"), F.array_join(f"v_{i}", "; ")) for i in items]
+        value = text if condition is None else F.when(condition, text)
+        entries.append(F.struct(F.lit(item).alias("item"), value.alias("value")))
+    members = df.select(F.inline(F.array(*entries))).filter("value <> ''").distinct()
+    every = df.sparkSession.range(1).select(F.explode(F.array(*[F.lit(i) for i in items])).alias("item"))
+    counts = every.join(members.groupBy("item").agg(F.count(F.lit(1)).alias("n")), "item", "left")
+    return append_sections(
+        counts.select(*_line(F.lit(section), F.col("item"), F.coalesce("n", F.lit(0)))),
+        members.select(*_line(F.lit(f"{section}_member"), F.col("item"), F.col("value"))),
     )
 
 
 def extraction_audit(
     df: DataFrame, value: str, domains: Sequence[str], suppressed: str | None = None, issues: DataFrame | None = None
 ) -> DataFrame:
-    """Rows, rows with a value, rows without, distinct domain values, issue count."""
+    """Rows, rows with a value, rows without, distinct domain values, issues and their kinds."""
     no_value = F.col(value).isNull() if suppressed is None else F.col(suppressed)
     counts = df.agg(
         F.count(F.lit(1)).alias("n_rows"),
@@ -73,13 +80,18 @@ def extraction_audit(
     )
     out = append_sections(out, distinct_lists(df, "domain", {d: (d, None) for d in domains}))
     if issues is not None:
-        found = issues.agg(F.count(F.lit(1)).alias("n"), sorted_list("issue", separator=" | ").alias("kinds"))
-        out = append_sections(out, _entries(found, "issues", [("parsing_issues", F.col("n"), F.col("kinds"))]))
+        found = issues.agg(F.count(F.lit(1)).alias("n"))
+        kinds = issues.groupBy("issue").agg(F.count(F.lit(1)).alias("n"))
+        out = append_sections(
+            out,
+            _entries(found, "issues", [("parsing_issues", F.col("n"), blank)]),
+            kinds.select(*_line(F.lit("issue_kind"), F.col("issue"), F.col("n"))),
+        )
     return out
 
 
 def harmonization_audit(df: DataFrame, source: str, name: str, status: str, note: str, order: str) -> DataFrame:
-    """Rows and names per status, names to review, and one line per source name.
+    """Rows and names per status, one line per name to review, and one per source name.
 
     A name's line shows its first row; one grouped pass finds all of them.
     """
@@ -96,7 +108,6 @@ def harmonization_audit(df: DataFrame, source: str, name: str, status: str, note
         F.count(F.lit(1)).alias("n_source"),
         F.count_distinct(name).alias("n_names"),
         *[F.count_if(F.col(status) == s).alias(s) for s in (K.UNCHANGED, K.HARMONIZED, K.NEEDS_REVIEW)],
-        sorted_list(source, F.col(status) == K.NEEDS_REVIEW).alias("open"),
     )
     blank = F.lit("")
     summary = _entries(
@@ -108,7 +119,7 @@ def harmonization_audit(df: DataFrame, source: str, name: str, status: str, note
             ("harmonized_names", F.col("n_names"), blank),
             ("names_unchanged", F.col(K.UNCHANGED), blank),
             ("names_harmonized", F.col(K.HARMONIZED), blank),
-            ("names_needing_review", F.col(K.NEEDS_REVIEW), F.col("open")),
+            ("names_needing_review", F.col(K.NEEDS_REVIEW), blank),
         ],
     )
     lines = per_name.select(
@@ -117,7 +128,8 @@ def harmonization_audit(df: DataFrame, source: str, name: str, status: str, note
         F.concat_ws(" | ", name, status).alias("value"),
         F.coalesce(F.col(note), F.lit("")).alias("details"),
     )
-    return append_sections(summary, by_row, lines)
+    review = per_name.filter(F.col(status) == K.NEEDS_REVIEW).select(*_line(F.lit("to_review"), F.col(source), F.col(name)))
+    return append_sections(summary, by_row, review, lines)
 
 
 def gap_rows(presence: DataFrame, key: str, flags: Sequence[str]) -> DataFrame:
@@ -166,29 +178,32 @@ def classify_gaps(
     return out.withColumn("assessment", assessment)
 
 
-def source_values(sources: dict[str, tuple[DataFrame, str, str]], key: str) -> DataFrame:
-    """Per key one flag per source, and ``label: a; b`` of each source's own spellings.
-
-    Rows shrink to distinct (source, key, spelling) before they meet by key.
-    """
+def source_spellings(sources: dict[str, tuple[DataFrame, str, str]], key: str) -> DataFrame:
+    """Distinct rows ``(key, source, spelling)`` of all sources, blank keys left out."""
     parts = [
-        df.select(
-            F.col(k).cast("string").alias(key), F.lit(label).alias("_source"), F.col(s).cast("string").alias("_spelling")
-        )
+        df.select(F.col(k).cast("string").alias(key), F.lit(label).alias("source"), F.col(s).cast("string").alias("spelling"))
         for label, (df, k, s) in sources.items()
     ]
     rows = parts[0]
     for part in parts[1:]:
         rows = rows.union(part)
-    rows = rows.filter((F.col(key) != "")).distinct()
+    return rows.filter(F.col(key) != "").distinct()
+
+
+def source_values(spellings: DataFrame, key: str, labels: Sequence[str]) -> DataFrame:
+    """Per key one flag per source, and ``label: a`` with the first of each source's spellings
+    and how many more there are."""
     aggregates = []
-    for label in sources:
-        mine = F.col("_source") == label
-        aggregates.append(F.bool_or(mine).alias(label))
-        aggregates.append(sorted_list("_spelling", mine).alias(f"_s_{label}"))
-    grouped = rows.groupBy(key).agg(*aggregates)
-    texts = [F.when(F.col(label), F.concat(F.lit(f"{label}: "), F.col(f"_s_{label}"))) for label in sources]
-    return grouped.select(key, *sources, F.concat_ws(" | ", *texts).alias("source_values"))
+    for label in labels:
+        mine = F.when(F.col("source") == label, F.col("spelling"))
+        aggregates.append(F.bool_or(F.col("source") == label).alias(label))
+        aggregates += [F.min(mine).alias(f"_s_{label}"), F.count(mine).alias(f"_n_{label}")]
+    grouped = spellings.groupBy(key).agg(*aggregates)
+    texts = []
+    for label in labels:
+        more = F.when(F.col(f"_n_{label}") > 1, F.concat(F.lit(" and "), (F.col(f"_n_{label}") - 1).cast("string"), F.lit(" more"))).otherwise("")
+        texts.append(F.when(F.col(label), F.concat(F.lit(f"{label}: "), F.coalesce(f"_s_{label}", F.lit("")), more)))
+    return grouped.select(key, *labels, F.concat_ws(" | ", *texts).alias("source_values"))
 
 
 def classified_gap_audit(
@@ -200,12 +215,14 @@ def classified_gap_audit(
     known_gaps: Sequence[str] = (),
     true_gap_comparisons: dict[str, str] | None = None,
 ) -> DataFrame:
-    """Counts per source, counts per comparison, and every gap with its class.
+    """Counts per source, counts per comparison, every gap with its class, and the
+    spellings of the keys with gaps, one per row.
 
     ``sources`` maps a label to (table, key column, spelling column).
     """
     flags = list(sources)
-    matrix = source_values(sources, key)
+    spellings = source_spellings(sources, key)
+    matrix = source_values(spellings, key, flags)
     gaps = gap_rows(matrix.drop("source_values"), key, flags).filter(F.col("comparison").isin(list(comparisons)))
     classed = classify_gaps(gaps, key, target, outcome_sources, known_gaps, true_gap_comparisons)
     rows = classed.join(matrix.select(key, "source_values"), key).select(
@@ -231,7 +248,12 @@ def classified_gap_audit(
         F.lit("").alias("source_values"),
         "note",
     )
-    return append_sections(heads, rows)
+    blank = F.lit("")
+    spelled = spellings.join(rows.select(key).distinct(), key, "left_semi").select(
+        F.lit("spelling").alias("section"), F.col("source").alias("comparison"), key, *[no_flag.alias(f) for f in flags],
+        blank.alias("gap_type"), blank.alias("assessment"), F.col("spelling").alias("source_values"), blank.alias("note"),
+    )
+    return append_sections(heads, rows, spelled)
 
 
 def coverage_audit(
@@ -251,7 +273,8 @@ def coverage_audit(
     """The long audit of the three analysis tables: ``(section, item, value, details)``.
 
     Row counts, fallback, multi-component and weak-coverage groups, coverage per source,
-    and counts and rows of the gaps between every ordered pair of sources. ``spine`` and
+    and counts and rows of the gaps between every ordered pair of sources. The keys behind
+    each count are rows of section ``member``. ``spine`` and
     ``groups`` together hold all keys; ``sources`` says by which condition on the joined
     row a source covers the key. Each input is read by one aggregate, not one per item.
     """
@@ -276,11 +299,12 @@ def coverage_audit(
     ]
     for label, condition in conditions.items():
         aggregates.append(F.count_if(F.coalesce(condition, F.lit(False))).alias(f"n_{label}"))
-        aggregates.append(sorted_list(name, condition).alias(f"l_{label}"))
     blank = F.lit("")
+    members: list[Column] = []
 
     def listed(item: str, label: str) -> Item:
-        return item, F.col(f"n_{label}"), F.col(f"l_{label}")
+        members.append(F.when(conditions[label], F.lit(item)))
+        return item, F.col(f"n_{label}"), blank
 
     sections: dict[str, Sequence[Item]] = {
         "summary": [
@@ -302,8 +326,11 @@ def coverage_audit(
         name.alias("value"),
         F.concat_ws("; ", *[F.concat(F.lit(f"in_{f}="), F.col(f).cast("string")) for f in flags]).alias("details"),
     )
+    keys_behind = F.explode(F.filter(F.array(*members), lambda m: m.isNotNull()))
+    behind = presence.select(keys_behind.alias("item"), name.alias("value")).select(*_line(F.lit("member"), F.col("item"), F.col("value")))
     return append_sections(
         _sections(presence.agg(*aggregates), sections),
+        behind,
         _entries(entity_count, "summary", [("entity_rows", F.col("n"), blank)]),
         gaps,
     )

@@ -179,8 +179,8 @@ def _per_period(cells: DataFrame, group: str, period: str, source: str) -> DataF
             F.sum("_n").alias("nonmissing"),
             F.sum("_s").alias("total"),
             F.min_by("_first", named_value).alias("first"),
-            F.array_sort(F.collect_set(named_value)).alias("with_value"),
-            F.collect_set(name).alias("names"),
+            F.count(named_value).alias("valued"),
+            F.min(named_value).alias("least"),
         ).alias("_p")
     )
 
@@ -189,43 +189,51 @@ def _averaged(c: str, group: str, period: Column) -> dict[str, Column]:
     """Value, counts, method and note of one selected period held in struct ``c``."""
     part = F.col(c)
     n = F.coalesce(part["nonmissing"], F.lit(0).cast("bigint"))
-    every, alone = F.col("_all"), F.size("_all") <= 1
+    alone = F.col("_every") <= 1
     method = (
         F.when(alone, K.METHOD_DIRECT).when(n == 1, K.METHOD_SINGLE).when(n > 1, K.METHOD_AVERAGE).otherwise(K.METHOD_NONE)
     )
     value = F.when(alone, part["first"]).otherwise(F.try_divide(part["total"], n.cast("double")))
-    listed = F.array_join(every, "; ")
-    only = F.coalesce(F.get(every, 0), F.col(group))
+    of = F.concat(F.lit(" of "), F.col("_every").cast("string"), F.lit(" components"))
+    only = F.coalesce(F.col("_least"), F.col(group))
     note = (
         F.when(alone & (n > 0), F.concat(F.lit("value of "), only))
         .when(alone, F.concat(only, F.lit(" has no value for "), F.coalesce(period, F.lit("any period"))))
-        .when(n == 1, F.concat(F.lit("only "), F.get(part["with_value"], 0), F.lit(" has a value; components: "), listed))
-        .when(n > 1, F.concat(F.lit("unweighted average of "), F.array_join(part["with_value"], "; ")))
-        .otherwise(F.concat(F.lit("no component has a value; components: "), listed))
+        .when(n == 1, F.concat(F.lit("only "), part["least"], F.lit(" has a value"), of))
+        .when(n > 1, F.concat(F.lit("unweighted average of "), part["valued"].cast("string"), of))
+        .otherwise(F.concat(F.lit("no value"), of))
     )
     found = F.coalesce(part["components"], F.lit(0).cast("bigint"))
     return {
         "period": period,
         "value": stable_round(value),
-        "component_count": F.when(found > 0, found).otherwise(F.size("_all").cast("bigint")),
+        "component_count": F.when(found > 0, found).otherwise(F.col("_every")),
         "nonmissing_component_count": n,
         "method": method,
         "note": note,
     }
 
 
-def _every_component() -> Column:
-    """Aggregate: sorted distinct component names over all periods of a group."""
-    return F.array_sort(F.array_distinct(F.flatten(F.collect_set("_p.names"))))
+def _every_component(cells: DataFrame, group: str, source: str) -> DataFrame:
+    """Number of distinct component names over all periods of a group, and the least of them."""
+    named = cells.select(group, F.when(F.col(source) != "", F.col(source)).alias("_name")).distinct()
+    return named.groupBy(group).agg(F.count("_name").alias("_every"), F.min("_name").alias("_least"))
+
+
+def component_rows(df: DataFrame, group: str, period: str, source: str, value: str) -> DataFrame:
+    """The components behind averages as rows: ``(group, period, source, values)``."""
+    return df.filter(F.col(source) != "").groupBy(group, period, source).agg(F.count(value).alias("values"))
 
 
 def component_average(
     df: DataFrame, group: str, period: str, source: str, value: str, order: str | None = None
 ) -> DataFrame:
-    """Per group and period: value, component counts, method and note."""
-    periods = _per_period(_cells(df, group, period, source, value, order), group, period, source)
-    every = periods.groupBy(group).agg(_every_component().alias("_all"))
-    out = periods.join(every, group)
+    """Per group and period: value, component counts, method and note.
+
+    Notes tell how many components there are; ``component_rows`` lists them.
+    """
+    cells = _cells(df, group, period, source, value, order)
+    out = _per_period(cells, group, period, source).join(_every_component(cells, group, source), group)
     columns = _averaged("_p", group, F.col(period))
     columns.pop("period")
     return out.select(group, period, *[c.alias(n) for n, c in columns.items()])
@@ -237,19 +245,21 @@ def strict_and_latest(
     """Per group the value of the newest period of all, and of its own newest period with a value.
 
     Columns come with prefixes ``strict_`` and ``latest_``. The newest period of all is
-    a scalar subquery over the same input; everything else is one chain of aggregates
-    on (group, period, source), (group, period), group.
+    a scalar subquery over the same input; everything else is a chain of aggregates
+    on (group, period, source), (group, period), group. Notes tell how many components
+    there are; ``component_rows`` lists them.
     """
     newest = df.agg(F.max(period).alias("p")).select("p").scalar()
-    periods = _per_period(_cells(df, group, period, source, value, order), group, period, source)
+    cells = _cells(df, group, period, source, value, order)
+    periods = _per_period(cells, group, period, source)
     has_value = F.when(F.col("_p.nonmissing") > 0, F.col(period))
     groups = periods.withColumn("_newest", newest).groupBy(group).agg(
         F.max("_newest").alias("_newest"),
-        _every_component().alias("_all"),
         F.max_by("_p", F.when(F.col(period) == F.col("_newest"), F.col(period))).alias("_strict"),
         F.max_by("_p", has_value).alias("_latest"),
         F.max(has_value).alias("_latest_period"),
     )
+    groups = groups.join(_every_component(cells, group, source), group)
     strict = _averaged("_strict", group, F.col("_newest"))
     latest = _averaged("_latest", group, F.col("_latest_period"))
     latest["note"] = F.when(F.col("_latest").isNull(), F.lit("no value found in any period")).otherwise(latest["note"])

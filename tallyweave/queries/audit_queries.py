@@ -274,7 +274,7 @@ def q_dq_queue(spark, folder):
 
 
 def q_dq_items(spark, folder):
-    audit = q_distinct_list(spark, folder)
+    audit = q_distinct_list(spark, folder).filter("section = 'domain'")
     return Q.expect_items(audit, "audit", "item", "value", {"languages": "4", "foreign_sources": "3", "rows": None})
 
 
@@ -286,6 +286,13 @@ def q_dq_report(spark, folder):
 
 QUERIES = {n: f for n, f in list(globals().items()) if n.startswith("q_")}
 
+_MEMBERS = [
+    ("latest_available_fallback_groups", "strict_value IS NULL AND latest_value IS NOT NULL"),
+    ("multi_component_groups", "strict_component_count > 1"),
+    ("weak_coverage_groups", "in_groups AND coalesce(coverage_share, 0) < 0.9"),
+    *[(f, f) for f in _FLAGS],
+    *[(f"{a}_not_{b}", f"{a} AND NOT {b}") for a, b in _PAIRS],
+]
 _SOURCE_TEXT = "concat_ws(' | ', " + ", ".join(
     f"CASE WHEN {f} THEN '{f}: ' || CASE WHEN k % 4 = 0 THEN lower(name) ELSE name END END" for f in _FLAGS
 ) + ")"
@@ -303,7 +310,7 @@ _AUDIT_FACTS = f"""joined AS (SELECT coalesce(s.name, g.source_name) AS name, st
 
 def _listed(section: str, item: str, condition: str) -> str:
     return f"""SELECT '{section}', '{item}', CAST(count(*) FILTER (WHERE {condition}) AS VARCHAR),
-      coalesce(string_agg(name, '; ' ORDER BY name) FILTER (WHERE {condition}), '') FROM joined"""
+      '' FROM joined"""
 
 
 _COVERAGE_SQL = "WITH " + ", ".join([*MQ.SPINE_CTES, MQ._OUTCOMES, MQ._SUMMARY, _AUDIT_FACTS]) + _union([
@@ -321,6 +328,7 @@ _COVERAGE_SQL = "WITH " + ", ".join([*MQ.SPINE_CTES, MQ._OUTCOMES, MQ._SUMMARY,
         for a, b in _PAIRS
     ],
     "SELECT 'caveat', 'values', 'suppressed cells', 'small cells are NULL'",
+    *[f"SELECT 'member', '{item}', name, '' FROM joined WHERE {condition}" for item, condition in _MEMBERS],
 ])
 
 _LINE_VIOLATIONS = [
@@ -348,15 +356,16 @@ ORACLES = {
           coalesce(why, 'unexpected difference; inspect source and harmonised names') AS note FROM classed
         UNION ALL SELECT 'summary', 'all_sources', '', NULL, NULL, NULL, 'coverage_count', 'summary', '',
           'reading=' || count(*) FILTER (WHERE reading) || '; spending=' || count(*) FILTER (WHERE spending) || '; outcomes=' || count(*) FILTER (WHERE outcomes) FROM presence
+        UNION ALL {_union([f"SELECT 'spelling', '{f}', name, NULL, NULL, NULL, '', '', CASE WHEN k % 4 = 0 THEN lower(name) ELSE name END, '' FROM (SELECT DISTINCT name, k, {f} FROM classed) WHERE {f}" for f in _FLAGS])}
         UNION ALL {_union([f"SELECT 'summary', '{c}', '', NULL, NULL, NULL, 'gap_count', 'summary', '', CAST(count(*) FILTER (WHERE comparison = '{c}') AS VARCHAR) FROM gaps" for c in _COMPARISONS])}""",
     "q_key_union": "SELECT o_custkey AS entity FROM orders UNION SELECT c_custkey FROM customer WHERE c_custkey % 5 <> 2",
     "q_key_difference": "SELECT o_custkey AS entity FROM orders EXCEPT SELECT c_custkey FROM customer WHERE c_custkey % 5 <> 2",
     "q_key_set_equality": """SELECT entity, 'left_only' AS side FROM (SELECT o_custkey AS entity FROM orders EXCEPT SELECT c_custkey FROM customer WHERE c_custkey % 5 <> 2)
         UNION ALL SELECT entity, 'right_only' FROM (SELECT c_custkey AS entity FROM customer WHERE c_custkey % 5 <> 2 EXCEPT SELECT o_custkey FROM orders)""",
-    "q_distinct_list": """SELECT 'domain' AS section, 'languages' AS item, CAST(count(DISTINCT lang) AS VARCHAR) AS value,
-          string_agg(DISTINCT lang, '; ' ORDER BY lang) AS details FROM documents
-        UNION ALL SELECT 'domain', 'foreign_sources', CAST(count(DISTINCT source) AS VARCHAR), string_agg(DISTINCT source, '; ' ORDER BY source)
-          FROM documents WHERE lang <> 'en'""",
+    "q_distinct_list": """SELECT 'domain' AS section, 'languages' AS item, CAST(count(DISTINCT lang) AS VARCHAR) AS value, '' AS details FROM documents
+        UNION ALL SELECT 'domain', 'foreign_sources', CAST(count(DISTINCT source) AS VARCHAR), '' FROM documents WHERE lang <> 'en'
+        UNION ALL SELECT DISTINCT 'domain_member', 'languages', lang, '' FROM documents
+        UNION ALL SELECT DISTINCT 'domain_member', 'foreign_sources', source, '' FROM documents WHERE lang <> 'en'""",
     "q_status_counts": "SELECT o_orderpriority, o_orderstatus, count(*) AS n FROM orders GROUP BY ALL",
     "q_match_rate": f"""WITH {C.NATIONS_SQL}, {MQ._OUTCOMES}, flags AS ({_union([f"SELECT '{f}' AS source, second_grade IS NOT NULL AS ok FROM outcomes WHERE NOT is_excluded AND {f}" for f in ('has_done', 'has_graded', 'has_paired')])}),
         n AS (SELECT source, count(*) AS total, count(*) FILTER (WHERE ok) AS matched FROM flags GROUP BY source)

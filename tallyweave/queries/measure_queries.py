@@ -303,10 +303,9 @@ def _sql(*ctes: str, select: str) -> str:
 
 _AVERAGED = f"""
 per AS (SELECT g, school_year AS p, count(DISTINCT source_name) AS components, count(value_pct) AS n, avg(value_pct) AS mean,
-    string_agg(source_name, '; ' ORDER BY source_name) FILTER (WHERE value_pct IS NOT NULL) AS with_value,
+    count(DISTINCT source_name) FILTER (WHERE value_pct IS NOT NULL) AS valued,
     min(source_name) FILTER (WHERE value_pct IS NOT NULL) AS only_name FROM base GROUP BY ALL),
-every AS (SELECT g, string_agg(source_name, '; ' ORDER BY source_name) AS names, count(*) AS k
-    FROM (SELECT DISTINCT g, source_name FROM base) GROUP BY g)"""
+every AS (SELECT g, min(source_name) AS names, count(DISTINCT source_name) AS k FROM base GROUP BY g)"""
 
 
 def _averaged(prefix: str, period: str, empty_note: str | None = None) -> str:
@@ -314,9 +313,9 @@ def _averaged(prefix: str, period: str, empty_note: str | None = None) -> str:
     n = "coalesce(n, 0)"
     note = f"""CASE WHEN k <= 1 AND {n} > 0 THEN 'value of ' || names
       WHEN k <= 1 THEN names || ' has no value for ' || coalesce({period}, 'any period')
-      WHEN {n} = 1 THEN 'only ' || only_name || ' has a value; components: ' || names
-      WHEN {n} > 1 THEN 'unweighted average of ' || with_value
-      ELSE 'no component has a value; components: ' || names END"""
+      WHEN {n} = 1 THEN 'only ' || only_name || ' has a value of ' || k || ' components'
+      WHEN {n} > 1 THEN 'unweighted average of ' || valued || ' of ' || k || ' components'
+      ELSE 'no value of ' || k || ' components' END"""
     if empty_note:
         note = f"CASE WHEN p IS NULL THEN '{empty_note}' ELSE {note} END"
     return f"""{sql_round('mean')} AS {prefix}value, coalesce(components, k) AS {prefix}component_count,

@@ -543,8 +543,8 @@ ORACLES = {
         UNION ALL SELECT 'summary', 'harmonized_names', CAST(count(DISTINCT name) AS VARCHAR), '' FROM first
         UNION ALL SELECT 'summary', 'names_unchanged', CAST(count(*) FILTER (WHERE status = 'unchanged') AS VARCHAR), '' FROM first
         UNION ALL SELECT 'summary', 'names_harmonized', CAST(count(*) FILTER (WHERE status = 'harmonized') AS VARCHAR), '' FROM first
-        UNION ALL SELECT 'summary', 'names_needing_review', CAST(count(*) FILTER (WHERE status = 'needs_review') AS VARCHAR),
-          coalesce(string_agg(trim(spelling), '; ' ORDER BY trim(spelling)) FILTER (WHERE status = 'needs_review'), '') FROM first
+        UNION ALL SELECT 'summary', 'names_needing_review', CAST(count(*) FILTER (WHERE status = 'needs_review') AS VARCHAR), '' FROM first
+        UNION ALL SELECT 'to_review', spelling, name, '' FROM first WHERE status = 'needs_review'
         UNION ALL SELECT 'rows_by_status', status, CAST(count(*) AS VARCHAR), '' FROM harmonized GROUP BY status
         UNION ALL SELECT 'name', spelling, name || ' | ' || status, note FROM first""",
     "q_first_sample": f"""WITH {_HARMONIZED_SQL} SELECT name, spelling, status FROM harmonized

@@ -409,9 +409,12 @@ ORACLES = {
     "q_extraction_audit": f"""WITH {_SECTION_SQL} SELECT 'summary' AS section, 'rows_extracted' AS item, CAST(count(*) AS VARCHAR) AS value, '' AS details FROM vals
         UNION ALL SELECT 'summary', 'non_null_value_rows', CAST(count(value) AS VARCHAR), '' FROM vals
         UNION ALL SELECT 'summary', 'suppressed_or_missing_value_rows', CAST(count(*) FILTER (WHERE suppressed) AS VARCHAR), '' FROM vals
-        UNION ALL SELECT 'domain', 'year', CAST(count(DISTINCT year) AS VARCHAR), string_agg(DISTINCT year, '; ' ORDER BY year) FROM vals
-        UNION ALL SELECT 'domain', 'period', CAST(count(DISTINCT period) AS VARCHAR), string_agg(DISTINCT period, '; ' ORDER BY period) FROM vals
-        UNION ALL SELECT 'domain', 'metric', CAST(count(DISTINCT metric) AS VARCHAR), string_agg(DISTINCT metric, '; ' ORDER BY metric) FROM vals""",
+        UNION ALL SELECT 'domain', 'year', CAST(count(DISTINCT year) AS VARCHAR), '' FROM vals
+        UNION ALL SELECT DISTINCT 'domain_member', 'year', year, '' FROM vals
+        UNION ALL SELECT 'domain', 'period', CAST(count(DISTINCT period) AS VARCHAR), '' FROM vals
+        UNION ALL SELECT DISTINCT 'domain_member', 'period', period, '' FROM vals
+        UNION ALL SELECT 'domain', 'metric', CAST(count(DISTINCT metric) AS VARCHAR), '' FROM vals
+        UNION ALL SELECT DISTINCT 'domain_member', 'metric', metric, '' FROM vals""",
     "q_source_choice": f"""WITH {_CHOICE_SQL} SELECT source, entities, priority, priority = best AS chosen,
         CASE WHEN priority = best AND entities >= 4 THEN 'first source with enough entities'
           WHEN priority = best THEN 'fallback: no source has enough entities'

@@ -34,8 +34,9 @@ def test_classified_audit(spark):
     b = spark.createDataFrame([("y", "Y"), ("z", "Z")], "k string, s string")
     out = V.classified_gap_audit({"p": (a, "k", "s"), "q": (b, "k", "s")}, "k", ["p_not_q", "q_not_p"], "q", ["p"])
     assert rows(out, "section", "comparison", "k", "source_values", "note") == [
-        ("gap", "p_not_q", "x", "p: X0; X1", "has outcomes but is absent from q"),
+        ("gap", "p_not_q", "x", "p: X0 and 1 more", "has outcomes but is absent from q"),
         ("gap", "q_not_p", "z", "q: Z", "unexpected difference; inspect source and harmonised names"),
+        ("spelling", "p", "x", "X0", ""), ("spelling", "p", "x", "X1", ""), ("spelling", "q", "z", "Z", ""),
         ("summary", "all_sources", "", "", "p=2; q=2"), ("summary", "p_not_q", "", "", "1"), ("summary", "q_not_p", "", "", "1"),
     ]
 
@@ -43,15 +44,18 @@ def test_classified_audit(spark):
 def test_extraction_and_harmonization_audits(spark):
     df = spark.createDataFrame([("2024", "a", 1.0), ("2024", "b", None), ("2023", "a", 2.0)], "y string, e string, v double")
     issues = spark.createDataFrame([("bad",)], "issue string")
-    assert rows(V.extraction_audit(df, "v", ["y", "e"], issues=issues), "item", "value", "details") == [
-        ("e", "2", "a; b"), ("non_null_value_rows", "2", ""), ("parsing_issues", "1", "bad"), ("rows_extracted", "3", ""),
-        ("suppressed_or_missing_value_rows", "1", ""), ("y", "2", "2023; 2024"),
-    ]
+    assert rows(V.extraction_audit(df, "v", ["y", "e"], issues=issues), "section", "item", "value") == sorted([
+        ("domain", "e", "2"), ("domain_member", "e", "a"), ("domain_member", "e", "b"), ("domain", "y", "2"), ("domain_member", "y", "2023"),
+        ("domain_member", "y", "2024"), ("summary", "non_null_value_rows", "2"), ("summary", "rows_extracted", "3"),
+        ("summary", "suppressed_or_missing_value_rows", "1"), ("issues", "parsing_issues", "1"), ("issue_kind", "bad", "1"),
+    ], key=repr)
+    assert rows(V.distinct_lists(df.limit(0), "s", {"y": ("y", None)}), "section", "item", "value") == [("s", "y", "0")]
     named = spark.createDataFrame([("s1", "h", "harmonized", "n", 2), ("s1", "h", "harmonized", "first", 1), ("s2", "s2", "needs_review", None, 3)],
                                   "s string, h string, st string, n string, o int")
     got = {(r["section"], r["item"]): (r["value"], r["details"]) for r in V.harmonization_audit(named, "s", "h", "st", "n", "o").collect()}
     assert got[("name", "s1")] == ("h | harmonized", "first")
-    assert got[("summary", "names_needing_review")] == ("1", "s2")
+    assert got[("summary", "names_needing_review")] == ("1", "")
+    assert got[("to_review", "s2")] == ("s2", "")
     assert got[("rows_by_status", "harmonized")] == ("2", "")
 
 

@@ -34,7 +34,7 @@ def test_strict_and_latest(obs):
     }
     assert all(r["strict_period"] == "2023-2024" for r in got.values())
     assert got["Empty"]["latest_note"] == "no value found in any period"
-    assert got["Three"]["strict_note"] == "only b has a value; components: a; b; c"
+    assert got["Three"]["strict_note"] == "only b has a value of 3 components"
     out = M.strict_and_latest(obs, "g", "p", "s", "v")
     assert rows(M.fallback_used(out), "g") == [("Absent",), ("Older",)]
     assert rows(M.multi_component(out), "g") == [("Absent",), ("Empty",), ("Three",)]
@@ -47,6 +47,11 @@ def test_component_average(obs):
     ]
 
 
+def test_component_rows(obs):
+    got = M.component_rows(obs, "g", "p", "s", "v")
+    assert rows(got.filter("g = 'Three' AND p = '2023-2024'"), "s", "values") == [("a", 0), ("b", 1)]
+
+
 def test_rollup_and_reshape(spark):
     df = spark.createDataFrame(
         [("g", 10, 1, None, "unchanged", "b"), ("g", -4, 2, None, "harmonized", "a"), ("g", None, 3, None, "unchanged", "b"),

@@ -20,7 +20,7 @@ SCHEMAS = {
 
 # Bytes of whole rows that a Python worker takes at once: many usual texts, or one that
 # is longer than that.
-BATCH_BYTES = 6_000_000
+BATCH_BYTES = 1_200_000
 # Rows that Spark hands to a Python worker at once. The session's default of 10,000 suits
 # narrow rows; whole texts of 100,000 characters would fill the worker.
 ROWS_HANDED = "1000"

@@ -205,7 +205,8 @@ def predict(df: DataFrame, learned: dict[str, str], text: str = "text", into: tu
         columns = [pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64())]
         return pa.RecordBatch.from_arrays([*batch.columns, *columns], names=[*batch.schema.names, *into])
 
-    return map_batches(kept, schema, run)
+    # Blocks go in lockstep, so more of them at once cost less each.
+    return map_batches(kept, schema, run, 4_000_000)
 
 
 def identify(

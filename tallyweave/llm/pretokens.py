@@ -24,8 +24,8 @@ _WIDE_SPACE = [chr(c).encode() for c in (0x85, 0xA0, 0x1680, *range(0x2000, 0x20
 _WIDE_BY_LEAD = {lead: [m for m in _WIDE_SPACE if m[0] == lead] for lead in sorted({m[0] for m in _WIDE_SPACE})}
 # Marks that end a word and are a pre-token of their own there.
 _ENDS = frozenset(".,;:!?")
-# Entries kept in a cache, at about 40 bytes each; a full cache starts afresh.
-CACHE_ENTRIES = 1_200_000
+# Entries kept in a cache, at about 60 bytes each; a full cache starts afresh.
+CACHE_ENTRIES = 600_000
 # Longer pieces are encoded without being kept.
 LONGEST_KEPT = 64
 
@@ -39,8 +39,8 @@ def spans(start: np.ndarray, count: np.ndarray) -> np.ndarray:
 class IdCache:
     """Ids by the 128 bits of two hashes of a piece, in arrays with open addressing."""
 
-    def __init__(self, kind: type) -> None:
-        self.kind = kind
+    def __init__(self, kind: type, most: int) -> None:
+        self.kind, self.most = kind, most
         self.clear()
 
     def clear(self) -> None:
@@ -68,7 +68,7 @@ class IdCache:
 
     def add(self, one: np.ndarray, two: np.ndarray, ids: np.ndarray, count: np.ndarray) -> None:
         """New pieces, all distinct and not held yet."""
-        if self.size + len(one) > CACHE_ENTRIES:
+        if self.size + len(one) > self.most:
             self.clear()
         begin = len(self.ids) + np.cumsum(count) - count
         self.keys = np.concatenate([self.keys, np.stack([one, two], axis=1)])
@@ -99,12 +99,14 @@ class PieceEncoder:
     """
 
     def __init__(
-        self, pattern: str, encode_many: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], kind: type, specials: tuple[str, ...] = ()
+        self, pattern: str, encode_many: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], kind: type,
+        specials: tuple[str, ...] = (), entries: int | None = None,
     ) -> None:
         self.matches = regex.compile(pattern).findall
         self.encode_many, self.kind = encode_many, kind
         self.specials = specials
-        self.pieces, self.pretokens = IdCache(kind), IdCache(kind)
+        most = CACHE_ENTRIES if entries is None else entries
+        self.pieces, self.pretokens = IdCache(kind, most), IdCache(kind, most)
 
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts of a column one after the other, and how many each text has."""

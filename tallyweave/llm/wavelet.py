@@ -31,6 +31,8 @@ from tallyweave.llm.pretokens import PieceEncoder
 MAGIC = b"WVM1"
 # A shard ends with the document that brings it to so many tokens.
 SHARD_TOKENS = 1 << 20
+# Entries per cache of the encoder, of which a task slot has one.
+CACHE_ENTRIES = 1_000_000
 # Bits per rank block.
 BLOCK = 512
 
@@ -181,7 +183,7 @@ def _encoder(path: str, pattern: str) -> tuple[PieceEncoder, int]:
         return np.fromiter(chain.from_iterable(encoded), dtype=kind, count=int(counts.sum())), counts
 
     specials = tuple(t.content for t in tokenizer.get_added_tokens_decoder().values())
-    return PieceEncoder(pattern, encode_many, kind, specials), size
+    return PieceEncoder(pattern, encode_many, kind, specials, CACHE_ENTRIES), size
 
 
 SHARDS = "part INT, shard INT, n_docs BIGINT, n_tokens BIGINT, file BINARY"

@@ -1,24 +1,22 @@
-"""Exact similarity join on Ratcliff-Obershelp ratio, without comparing all pairs.
+"""Exact similarity join on Ratcliff-Obershelp ratio.
 
 ratio(a, b) = 2M / (|a| + |b|), M the characters in matching blocks. With S = |a| + |b|
 and ratio >= t:
 
-* M >= tS/2, M cannot exceed either length, and at most S - 2M characters are not shared.
+* M >= tS/2, and M cannot exceed either length, so lengths must be within t / (2 - t) of
+  each other. Strings only meet in classes of compatible lengths.
+* M cannot exceed the characters both strings have, repeats counted.
 * At most S - 2M characters stay unmatched, and one of them lies between any two
   blocks, so there are at most S - 2M + 1 blocks. A block of m characters holds m - 1
   bigrams, hence the strings share at least 3M - S - 1 >= S(1.5t - 1) - 1 bigrams.
 
-So every pair over the threshold shares c bigrams, c growing with S. Order each
-string's bigrams from rare to common over the whole input: the rarest one two such
-strings share lies among the first |bigrams| - c + 1 of both. These are the join keys,
-and a pair counts once, at its rarest shared bigram. Where c falls below 1, in very
-short strings, characters take the place of bigrams.
-
-A key that very many strings share is split: its left rows are spread over salts and
-its right rows copied to each. Inside the join, parity bitmaps of characters and
-bigrams (bits that differ never outnumber the tokens that differ) turn most pairs away
-before any list is compared. Nothing is lost, and the scoring function only sees pairs
-that pass all of these bounds.
+At thresholds where names are worth a review, short strings share common bigrams with
+nearly all others, so joining on bigrams would meet more rows than there are pairs.
+Instead both sides come together in blocks of bounded size, one row per string and
+block: inside a task, counts of characters and of bigrams (hashed into a fixed number of
+bins, which can only raise the bounds) turn most pairs away a whole block at a time, and
+the scoring function sees what is left. A length that very many strings have is cut into
+blocks on both sides. No pair over the threshold is lost and no row is made for the rest.
 
 The scoring function ignores characters that make up more than a hundredth of a right
 string of 200 characters or more, as its usual settings do. That can only lower a ratio,
@@ -30,146 +28,124 @@ from __future__ import annotations
 import math
 from difflib import SequenceMatcher
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tallyweave import constants as K
 
 _EPS = 1e-9
+# Lengths of one class differ by at most this factor.
+_CLASS = 1.15
+# Strings of one side that meet in one task.
+BLOCK = 2_000
+_LETTERS, _PAIRS = 64, 128
+_ROWS = 64
+
+
+def _class(length: Column) -> Column:
+    return F.floor(F.log(length.cast("double")) / math.log(_CLASS) + _EPS).cast("int")
+
+
+def _codes(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.uint64)
+
+
+def _profile(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Length, counts of hashed characters and counts of hashed bigrams of each text."""
+    letters = np.zeros((len(texts), _LETTERS), dtype=np.int32)
+    pairs = np.zeros((len(texts), _PAIRS), dtype=np.int32)
+    for row, text in enumerate(texts):
+        codes = _codes(text)
+        letters[row] = np.bincount((codes % _LETTERS).astype(np.int64), minlength=_LETTERS)
+        mixed = (codes[:-1] * np.uint64(1_000_003) + codes[1:]) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(57)
+        pairs[row] = np.bincount(mixed.astype(np.int64), minlength=_PAIRS)
+    return np.array([len(t) for t in texts], dtype=np.int64), letters, pairs
+
+
+def block_candidates(left: list[str], right: list[str], threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of the pairs that pass every bound."""
+    a_length, a_letters, a_pairs = _profile(left)
+    b_length, b_letters, b_pairs = _profile(right)
+    found = []
+    for low in range(0, len(left), _ROWS):
+        rows = slice(low, low + _ROWS)
+        total = a_length[rows, None] + b_length[None, :]
+        matched = np.ceil(total * (threshold / 2) - _EPS)
+        i, j = np.nonzero(np.minimum(a_length[rows, None], b_length[None, :]) >= matched)
+        i += low
+        # Each bound is worked out for the pairs that the one before it has left.
+        for a, b, least in ((a_letters, b_letters, lambda s, m: m), (a_pairs, b_pairs, lambda s, m: 3 * m - s - 1)):
+            keep = []
+            for start in range(0, len(i), 100_000):
+                p, q = i[start : start + 100_000], j[start : start + 100_000]
+                s = a_length[p] + b_length[q]
+                m = np.ceil(s * (threshold / 2) - _EPS)
+                keep.append(np.minimum(a[p], b[q]).sum(axis=1) >= least(s, m))
+            if keep:
+                kept = np.concatenate(keep)
+                i, j = i[kept], j[kept]
+        found.append((i, j))
+    if not found:
+        return np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64)
+    return np.concatenate([i for i, _ in found]), np.concatenate([j for _, j in found])
+
+
+def _scored(left: list[str], right: list[str], threshold: float) -> list[tuple[str, str, float]]:
+    i, j = block_candidates(left, right, threshold)
+    matcher, out = SequenceMatcher(None), []
+    # The matcher prepares its second string once for all first ones.
+    order = np.argsort(j, kind="stable")
+    held = -1
+    for p, q in zip(i[order].tolist(), j[order].tolist()):
+        if q != held:
+            matcher.set_seq2(right[q])
+            held = q
+        matcher.set_seq1(left[p])
+        score = matcher.ratio()
+        if score >= threshold:
+            out.append((left[p], right[q], score))
+    return out
+
+
+def similar_pairs(
+    left: DataFrame, right: DataFrame, threshold: float = K.SIMILARITY_REVIEW, within: str | None = None
+) -> DataFrame:
+    """Rows ``(a, b, score)`` with score at or over the threshold, unrounded.
 
-
-@F.pandas_udf(T.DoubleType())
-def sequence_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
-    """Ratio of (a, b); the argument order matters, as the measure is not symmetric."""
-    matcher, held, out = SequenceMatcher(None), None, []
-    for left, right in zip(a, b):
-        if right != held:
-            matcher.set_seq2(right)
-            held = right
-        matcher.set_seq1(left)
-        out.append(matcher.ratio())
-    return pd.Series(out, dtype="float64")
-
-
-def _tokens(strings: DataFrame) -> DataFrame:
-    """Rows ``(side, text, token)``: numbered bigrams and characters of each string.
-
-    The second ``ab`` of a string is token ``ab2``, so that sets of tokens count repeats.
-    """
-
-    def grams(n: int, kind: str) -> Column:
-        starts = F.sequence(F.lit(1), F.length("text") - (n - 1))
-        found = F.transform(starts, lambda i: F.concat(F.lit(kind), F.substring("text", i, F.lit(n))))
-        return F.when(F.length("text") >= n, found).otherwise(F.array().cast("array<string>"))
-
-    rows = strings.select("side", "text", F.explode(F.concat(grams(2, "b"), grams(1, "c"))).alias("gram"))
-    counted = rows.groupBy("side", "text", "gram").agg(F.count(F.lit(1)).alias("n"))
-    numbered = counted.select("side", "text", "gram", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("n"))).alias("k"))
-    return numbered.select("side", "text", F.concat("gram", F.col("k").cast("string")).alias("token"))
-
-
-# Left rows of one key that one join task may hold.
-_ROWS_PER_SALT = 5_000
-_BITS = 64
-
-
-def _short_limit(threshold: float) -> float:
-    """Length sum up to which a similar pair need not share a bigram."""
-    slope = 1.5 * threshold - 1
-    return math.floor(1 / slope + _EPS) if slope > 0 else math.inf
-
-
-def _bitmap(tokens: str, word: int) -> Column:
-    """Parity bitmap of the token numbers that fall into one 64-bit word of two."""
-
-    def flip(bits: Column, n: Column) -> Column:
-        one = F.call_function("shiftleft", F.lit(1).cast("bigint"), n % _BITS)
-        return F.when(F.floor(n / _BITS) % 2 == word, bits.bitwiseXOR(one)).otherwise(bits)
-
-    return F.aggregate(tokens, F.lit(0).cast("bigint"), flip)
-
-
-def _ranked(strings: DataFrame) -> DataFrame:
-    """Tokens of each string as numbers from rare to common over all strings, and bitmaps.
-
-    The token table holds one row per distinct numbered bigram or character. That is
-    bounded by the alphabet, not by the strings, so one task may number it.
+    Both inputs have a column ``text``; repeats count once and blanks have no pairs. If
+    both also have a column ``within``, only strings of equal values there are compared:
+    a caller who knows places or other blocks gives it, nothing is assumed by default.
     """
-    tokens = _tokens(strings)
-    frequency = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
-    number = F.row_number().over(Window.orderBy("n", "token"))
-    numbered = tokens.join(frequency.select("token", number.alias("number")), "token")
-    is_bigram = F.startswith(F.col("token"), F.lit("b"))
-    # A string has as many tokens as characters, so these lists are as small as the string.
-    ranked = numbered.groupBy("side", "text").agg(
-        F.array_sort(F.collect_list(F.when(is_bigram, F.col("number")))).alias("bigrams"),
-        F.array_sort(F.collect_list(F.when(~is_bigram, F.col("number")))).alias("chars"),
-    )
-    bitmaps = {f"{t[0]}{w}": _bitmap(t, w) for t in ("bigrams", "chars") for w in (0, 1)}
-    return ranked.withColumns({"len": F.length("text"), **bitmaps})
-
-
-def _keys(threshold: float) -> Column:
-    """Join keys of a string: its rarest bigrams, and its characters if it is very short."""
-    limit, slope = _short_limit(threshold), 1.5 * threshold - 1
-    length = F.col("len")
-    least = length + F.ceil(length * (threshold / (2 - threshold)) - _EPS)
-    most = length + F.floor(length * ((2 - threshold) / threshold) + _EPS)
-
-    def prefix(tokens: str, shared: Column, use: Column) -> Column:
-        size = F.greatest(F.size(tokens) - F.greatest(shared, F.lit(1)) + 1, F.lit(0))
-        return F.when(use, F.slice(tokens, 1, size.cast("int"))).otherwise(F.array().cast("array<int>"))
-
-    chars = prefix("chars", F.ceil(least * (threshold / 2) - _EPS), least <= F.lit(float(limit)))
-    if slope <= 0:
-        return chars
-    shared = F.ceil(F.greatest(least, F.lit(limit + 1)) * slope - 1 - _EPS)
-    return F.concat(chars, prefix("bigrams", shared, most > F.lit(float(limit))))
-
-
-def candidate_pairs(
-    left: DataFrame, right: DataFrame, threshold: float = K.SIMILARITY_REVIEW
-) -> DataFrame:
-    """Pairs ``(a, b)`` that pass every lossless bound; both inputs are one column ``text``."""
-    limit = F.lit(float(_short_limit(threshold)))
-    strings = left.select(F.lit("a").alias("side"), "text").union(right.select(F.lit("b").alias("side"), "text"))
-    ranked = _ranked(strings.filter("text <> ''").distinct())
-    # Characters are only a key for short strings; others leave them behind.
-    short_chars = F.when(F.col("len") <= limit, F.col("chars")).alias("chars")
-    keyed = ranked.select("side", "text", "len", "bigrams", short_chars, "b0", "b1", "c0", "c1", F.explode(_keys(threshold)).alias("key"))
-
-    def side(name: str) -> DataFrame:
-        columns = {c: "" if c == "text" else f"_{c}" for c in ("text", "len", "bigrams", "chars", "b0", "b1", "c0", "c1")}
-        return keyed.filter(F.col("side") == name).select("key", *[F.col(c).alias(name + end) for c, end in columns.items()])
-
-    # One row per key, so as small as the token table.
-    salts = side("a").groupBy("key").agg(F.ceil(F.count(F.lit(1)) / _ROWS_PER_SALT).alias("salts"))
-    spread = side("a").join(salts, "key").withColumn("salt", F.pmod(F.xxhash64("a"), F.col("salts"))).drop("salts")
-    copied = side("b").join(salts, "key").withColumn(
-        "salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("salts") - 1))
-    ).drop("salts")
-
-    total = F.col("a_len") + F.col("b_len")
-    matched = F.ceil(total * (threshold / 2) - _EPS)
-    shared_least = 3 * matched - total - 1
-
-    def differing(kind: str) -> Column:
-        words = [F.bit_count(F.col(f"a_{kind}{w}").bitwiseXOR(F.col(f"b_{kind}{w}"))) for w in (0, 1)]
-        return words[0] + words[1]
-
-    shared = F.array_intersect("a_bigrams", "b_bigrams")
-    rarest = F.when(total <= limit, F.get(F.array_intersect("a_chars", "b_chars"), 0)).otherwise(F.get(shared, 0))
-    met = spread.join(copied, ["key", "salt"]).filter(
-        (F.least("a_len", "b_len") >= matched)
-        & (differing("c") <= total - 2 * matched)
-        & (differing("b") <= total - 2 - 2 * shared_least)
-        & (F.col("key") == rarest)
-        & (F.size(shared) >= shared_least)
-    )
-    return met.select("a", "b")
-
-
-def similar_pairs(left: DataFrame, right: DataFrame, threshold: float = K.SIMILARITY_REVIEW) -> DataFrame:
-    """Rows ``(a, b, score)`` with score at or over the threshold, unrounded."""
-    scored = candidate_pairs(left, right, threshold).withColumn("score", sequence_ratio("a", "b"))
-    return scored.filter(F.col("score") >= threshold)
+    place = [F.col(within).cast("string").alias("place")] if within else [F.lit("").alias("place")]
+    length = F.length("text")
+
+    def side(df: DataFrame) -> DataFrame:
+        return df.select(*place, "text").filter((F.col("text") != "") & F.col("place").isNotNull()).distinct()
+
+    low = _class(F.greatest(F.ceil(length * (threshold / (2 - threshold)) - _EPS), F.lit(1)))
+    high = _class(F.floor(length * ((2 - threshold) / threshold) + _EPS))
+    classes = F.when(low <= high, F.sequence(low, high)).otherwise(F.array().cast("array<int>"))
+    a = side(left).select("place", "text", F.explode(classes).alias("class"))
+    b = side(right).select("place", "text", _class(length).alias("class"))
+
+    def blocks(df: DataFrame, name: str) -> DataFrame:
+        return df.groupBy("place", "class").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias(name))
+
+    sizes = blocks(a, "a_blocks").join(blocks(b, "b_blocks"), ["place", "class"])
+
+    def dealt(df: DataFrame, own: str, other: str) -> DataFrame:
+        mine = F.pmod(F.xxhash64("text"), F.col(f"{own}_blocks")).cast("int").alias(f"{own}_block")
+        copies = F.explode(F.sequence(F.lit(0), F.col(f"{other}_blocks") - 1)).alias(f"{other}_block")
+        return df.join(sizes, ["place", "class"]).select("place", "class", "text", mine, copies)
+
+    def compare(left_rows: pa.Table, right_rows: pa.Table) -> pa.Table:
+        pairs = _scored(left_rows.column("text").to_pylist(), right_rows.column("text").to_pylist(), threshold)
+        kinds = (pa.string(), pa.string(), pa.float64())
+        return pa.Table.from_arrays([pa.array([p[k] for p in pairs], kind) for k, kind in enumerate(kinds)], names=["a", "b", "score"])
+
+    keys = ["place", "class", "a_block", "b_block"]
+    met = dealt(a, "a", "b").groupBy(*keys).cogroup(dealt(b, "b", "a").groupBy(*keys))
+    found = met.applyInArrow(compare, "a STRING, b STRING, score DOUBLE")
+    # A pair may be similar in several places.
+    return found.distinct() if within else found

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from helpers import rows
 from tallyweave import constants as K
 from tallyweave.operators import resolve as R
-from tallyweave.operators.similarity import candidate_pairs, similar_pairs
+from tallyweave.operators import similarity
+from tallyweave.operators.similarity import block_candidates, similar_pairs
 
 
 def _names(seed, count, alphabet="abcd ", longest=14):
@@ -44,12 +45,25 @@ def test_similarity_join_on_tiny_and_long_strings(spark):
     _check(spark, [text, edited, text[::-1]], [edited, text], 0.78)
 
 
-def test_few_pairs_are_scored(spark):
-    names = _names(5, 400, "abcdefghijklmnopqrst ", 18)
-    df = spark.createDataFrame([(t,) for t in names], "text string")
-    pairs = candidate_pairs(df, df)
-    assert pairs.count() == pairs.distinct().count()
-    assert pairs.count() < 0.05 * len(names) ** 2
+def test_small_blocks_and_places(spark, monkeypatch):
+    monkeypatch.setattr(similarity, "BLOCK", 9)
+    left, right = _names(7, 90), _names(8, 110)
+    _check(spark, left, right, 0.7)
+    a, b = (spark.createDataFrame([(t, i % 3) for i, t in enumerate(side)], "text string, place_no int") for side in (left, right))
+    got = {(r["a"], r["b"]) for r in similar_pairs(a, b, 0.7, within="place_no").collect()}
+    want = {(x, y) for i, x in enumerate(left) for j, y in enumerate(right) if i % 3 == j % 3 and SequenceMatcher(None, x, y).ratio() >= 0.7}
+    assert got == want
+    assert similar_pairs(a, b, 1.5).count() == 0
+
+
+def test_few_pairs_are_scored():
+    # Pairs that pass the bounds, per possible pair, as the input grows.
+    shares = []
+    for count in (250, 500, 1000):
+        names = _names(5, count, "abcdefghijklmnopqrst ", 18)
+        i, _ = block_candidates(names, names, K.SIMILARITY_REVIEW)
+        shares.append(len(i) / len(names) ** 2)
+    assert max(shares) < 0.02 and shares[2] <= shares[0]
 
 
 RULES = R.NameRules(magnitude={"vikurskoli": "North"}, count_keys={("vikurskoli", "South"): "vikurskoli sud"})

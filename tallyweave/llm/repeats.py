@@ -30,7 +30,7 @@ from tallyweave.llm.hashing import Words, byte_table, mix, powers, prefix_sums,
 PIECE = 1 << 20
 _PLACE = (1 << 24) - 1
 NO_KEY = -(1 << 63)
-BATCH = 1_500_000
+BATCH = 700_000
 
 
 @dataclass(frozen=True)

@@ -24,7 +24,7 @@ from tallyweave.llm.hashing import byte_table, prefix_sums
 
 LENGTH, SEED = 200, 32
 # Contents of one anchor that may meet in one task; bytes of a task on average.
-CONTENTS, TASK_BYTES = 3_000, 900_000
+CONTENTS, TASK_BYTES = 3_000, 400_000
 
 
 def _order(*keys: np.ndarray) -> np.ndarray:
@@ -64,12 +64,16 @@ def suffix_order(symbols: np.ndarray) -> np.ndarray:
     third = s[np.minimum(sample + 2, n + 2)]
     order = _order(third, pair)
     names = _names(order, third, pair)
+    del pair, third
     if names.max() < len(sample):
+        del order
         # The triples of one residue follow each other; a mark keeps both rows apart.
         reduced = np.concatenate([names[: len(one)], [0], names[len(one) :]])
         sorted_reduced = suffix_order(reduced)
         sorted_reduced = sorted_reduced[sorted_reduced != len(one)]
+        del reduced
         order = np.where(sorted_reduced > len(one), sorted_reduced - 1, sorted_reduced)
+        del sorted_reduced
         names = np.empty(len(sample), dtype=np.int64)
         names[order] = np.arange(1, len(sample) + 1)
     rank = np.zeros(n + 3, dtype=np.int64)

@@ -99,10 +99,13 @@ def test_analysis(spark):
         ("Heild", 99, 0, None, True, ""), ("e1", 10, 2, 4, False, "n1"), ("e2", 30, 0, None, False, "look"), ("e4", None, 1, None, False, "")
     ]
     assert rows(out.groups, "group", "total_weight", "coverage_share", "average_x", "average_y") == [("g1", 40, 0.25, 3.0, None), ("g4", 0, None, None, None)]
-    audit = {(r["section"], r["item"]): (r["value"], r["details"]) for r in out.audit.filter("section <> 'join_gap'").collect()}
+    audit = {(r["section"], r["item"]): (r["value"], r["details"]) for r in out.audit.filter("section NOT IN ('join_gap', 'member')").collect()}
     assert audit[("summary", "spine_rows")] == ("3", "") and audit[("summary", "entity_rows")] == ("4", "") and audit[("summary", "group_summary_rows")] == ("2", "")
-    assert audit[("summary", "latest_available_fallback_groups")] == ("1", "g2")
-    assert audit[("summary", "weak_coverage_groups")] == ("2", "g1; g4")
-    assert audit[("coverage", "outcomes")] == ("2", "g1; g4") and audit[("join_gap_summary", "spending_not_reading")] == ("1", "g3")
+    assert audit[("summary", "latest_available_fallback_groups")] == ("1", "") and audit[("summary", "weak_coverage_groups")] == ("2", "")
+    assert audit[("coverage", "outcomes")] == ("2", "") and audit[("join_gap_summary", "spending_not_reading")] == ("1", "")
+    members = {}
+    for r in out.audit.filter("section = 'member'").collect():
+        members.setdefault(r["item"], set()).add(r["value"])
+    assert members["latest_available_fallback_groups"] == {"g2"} and members["weak_coverage_groups"] == {"g1", "g4"}
+    assert members["outcomes"] == {"g1", "g4"} and members["spending_not_reading"] == {"g3"}
     assert audit[("caveat", "c")] == ("v", "d")
-    out.release()

@@ -14,13 +14,12 @@ so a pre-token of a million characters costs no more per character than a short
 from __future__ import annotations
 
 import base64
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, types as T
 
-from tallyweave.llm.common import map_batches
+from tallyweave.llm.common import held, map_batches
 from tallyweave.llm.pretokens import PieceEncoder, spans
 
 NONE = np.int64(1) << 40
@@ -226,20 +225,31 @@ def _alternate(at: np.ndarray, right: np.ndarray) -> np.ndarray:
     return (place - start) % 2 == 0
 
 
-@lru_cache(maxsize=2)
 def vocabulary(path: str) -> Vocabulary:
     with open(path, "rb") as lines:
         return Vocabulary({base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)})
 
 
-@lru_cache(maxsize=2)
-def _encoder(path: str, pattern: str) -> PieceEncoder:
-    words = vocabulary(path)
+class Coder:
+    """A rank file's vocabulary and, once texts are encoded, its encoder."""
 
-    def encode_many(pretokens: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        return words.encode([p.encode() for p in pretokens])
+    def __init__(self, path: str) -> None:
+        self.words = vocabulary(path)
+        self.encoders: dict[str, PieceEncoder] = {}
 
-    return PieceEncoder(pattern, encode_many, np.int32)
+    def encoder(self, pattern: str) -> PieceEncoder:
+        if pattern not in self.encoders:
+
+            def encode_many(pretokens: list[str]) -> tuple[np.ndarray, np.ndarray]:
+                return self.words.encode([p.encode() for p in pretokens])
+
+            self.encoders[pattern] = PieceEncoder(pattern, encode_many, np.int32)
+        return self.encoders[pattern]
+
+
+def coder(path: str) -> Coder:
+    """The coder of a rank file, kept in the worker."""
+    return held(("bpe", path), lambda: Coder(path))
 
 
 def _offsets(counts: np.ndarray) -> np.ndarray:
@@ -257,7 +267,7 @@ def encode(df: DataFrame, path: str, pattern: str, text: str = "text", into: str
     schema = T.StructType([*kept.schema.fields, T.StructField(into, T.ArrayType(T.IntegerType(), False))])
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        flat, counts = _encoder(path, pattern).encode(batch.column(text))
+        flat, counts = coder(path).encoder(pattern).encode(batch.column(text))
         ids = pa.ListArray.from_arrays(pa.array(_offsets(counts)), pa.array(flat))
         return pa.RecordBatch.from_arrays([*batch.columns, ids], names=[*batch.schema.names, into])
 
@@ -271,7 +281,7 @@ def decode(df: DataFrame, path: str, ids: str = "ids", into: str = "decoded") ->
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         lists = batch.column(ids)
-        flat, lengths = vocabulary(path).decode(lists.flatten().to_numpy(zero_copy_only=False))
+        flat, lengths = coder(path).words.decode(lists.flatten().to_numpy(zero_copy_only=False))
         total = np.concatenate([[0], np.cumsum(lengths)])
         ends = _offsets(lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
         out = pa.Array.from_buffers(pa.binary(), len(lists), [None, pa.py_buffer(total[ends].astype(np.int32)), pa.py_buffer(flat)])

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Iterator
+from typing import TypeVar
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -11,6 +12,8 @@ from pyspark.sql.types import StructType
 
 from tallyweave.session import checkpoint_folder
 
+T = TypeVar("T")
+
 SCHEMAS = {
     "documents": "doc_id BIGINT, text STRING, lang STRING, source STRING, n_chars BIGINT",
     "benchmark": "item_id BIGINT, text STRING",
@@ -68,6 +71,20 @@ def map_batches(
     return df.mapInArrow(run, schema)
 
 
+_held: dict[tuple, object] = {}
+
+
+def held(key: tuple, make: Callable[[], T]) -> T:
+    """What ``make`` gives, kept in a Python worker until another key is asked for.
+
+    Workers outlive stages; keeping one operator's tables at a time bounds their memory.
+    """
+    if key not in _held:
+        _held.clear()
+        _held[key] = make()
+    return _held[key]
+
+
 def texts_of(batch: pa.RecordBatch, column: str = "text") -> list[str]:
     """Texts of a batch, null as empty."""
     return ["" if x is None else x for x in batch.column(column).to_pylist()]

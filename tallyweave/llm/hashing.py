@@ -38,14 +38,16 @@ _powers: dict[int, np.ndarray] = {}
 
 
 def powers(n: int, inverse: bool = False) -> np.ndarray:
-    """The first ``n`` powers of the base, or of its inverse."""
-    held = _powers.get(inverse)
-    if held is None or len(held) < n:
+    """The first ``n`` powers of the base, or of its inverse; a usual number of them is kept."""
+    kept = _powers.get(inverse)
+    if kept is None or len(kept) < n:
         base = pow(_BASE, -1, 1 << 64) if inverse else _BASE
         factors = np.full(max(n, 1 << 16), base, dtype=np.uint64)
         factors[0] = 1
-        _powers[inverse] = held = np.cumprod(factors, dtype=np.uint64)
-    return held[:n]
+        kept = np.cumprod(factors, dtype=np.uint64)
+        if n <= 1 << 21:
+            _powers[inverse] = kept
+    return kept[:n]
 
 
 def prefix_sums(values: np.ndarray) -> np.ndarray:

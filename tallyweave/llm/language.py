@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from tallyweave.llm.common import map_batches, texts_of
+from tallyweave.llm.common import held, map_batches, texts_of
 
 # Characters of a block that is parsed in one run.
 BLOCK = 512
@@ -183,9 +183,6 @@ def samples(labelled: DataFrame, text: str, label: str, bounds: Sample = Sample(
     return out
 
 
-_models: dict[tuple, Model] = {}
-
-
 def predict(df: DataFrame, learned: dict[str, str], text: str = "text", into: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
     """Adds the language and its score (0 to 1), from the whole text, as columns ``into``.
 
@@ -197,16 +194,13 @@ def predict(df: DataFrame, learned: dict[str, str], text: str = "text", into: tu
     shared = df.sparkSession.sparkContext.broadcast(learned)
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        key = tuple(sorted(shared.value.items()))
-        if key not in _models:
-            _models.clear()
-            _models[key] = Model(shared.value)
-        found = _models[key].predict(texts_of(batch, text))
+        key = ("language", *sorted(shared.value.items()))
+        found = held(key, lambda: Model(shared.value)).predict(texts_of(batch, text))
         columns = [pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64())]
         return pa.RecordBatch.from_arrays([*batch.columns, *columns], names=[*batch.schema.names, *into])
 
     # Blocks go in lockstep, so more of them at once cost less each.
-    return map_batches(kept, schema, run, 4_000_000)
+    return map_batches(kept, schema, run, 2_500_000)
 
 
 def identify(

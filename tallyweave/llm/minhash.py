@@ -7,8 +7,9 @@ similar sets together; the counts of greater, lesser and equal registers then te
 maximum likelihood whether a pair can be similar enough, and full sets decide.
 
 Equal sets are one class from the start, so copies never meet. Classes that share a band
-form coarse groups; a group is compared in blocks of bounded size, and inside a block
-pairs that are already connected are skipped, so a block returns fewer links than rows.
+form coarse groups, which are compared in blocks of bounded size; inside a block, pairs
+that are already connected are skipped, so a block returns fewer links than rows. Large
+groups first lose, in rounds, what a few of their sets connect (``_links_of_large``).
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from tallyweave.llm.common import fresh, map_batches, written
 from tallyweave.llm.components import components
@@ -33,6 +34,8 @@ MISS = 1e-6
 MARGIN = 6.0
 # Sets and shingles in one block of a large group.
 BLOCK_SETS, BLOCK_SHINGLES = 1_000, 2_000_000
+# Sets of a large group that all others are compared with at a time, and how often at most.
+HUBS, HUB_ROUNDS = 32, 6
 
 _XOR = mix(np.arange(1, REGISTERS + 1, dtype=np.uint64))
 _TIMES = mix(np.arange(1001, REGISTERS + 1001, dtype=np.uint64)) | np.uint64(1)
@@ -238,32 +241,90 @@ def links(df: DataFrame, classes: DataFrame, key: str, text: str, size: int, per
 
     schema = "coarse BIGINT, node BIGINT, n_shingles BIGINT, registers BINARY, blocks INT, block INT, shingles BINARY"
     sets = map_batches(held, schema, to_sets, 2_000_000)
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    cells = sets.withColumn("other", other).select(
-        F.when(F.col("blocks") == 1, F.pmod(F.col("coarse"), F.lit(packs))).otherwise(F.col("coarse")).alias("cell"),
-        F.when(F.col("blocks") == 1, -1).otherwise(F.least("block", "other")).alias("i"),
-        F.when(F.col("blocks") == 1, -1).otherwise(F.greatest("block", "other")).alias("j"),
-        "coarse", "node", "n_shingles", "registers", "block", "shingles",
+    split = not sizes.filter("blocks > 1").isEmpty()
+    if split:
+        sets = written(sets)
+    together = sets.filter("blocks = 1").select(
+        F.pmod(F.col("coarse"), F.lit(packs)).alias("cell"), F.lit(-1).alias("i"), F.lit(-1).alias("j"), F.lit(BOTH).alias("side"), *SET
     )
+    found = _compared(together, percent)
+    return found.union(_links_of_large(sets.filter("blocks > 1"), percent)) if split else found
+
+
+# Columns of a set, and which side of a comparison it takes in a cell.
+SET = ("coarse", "node", "n_shingles", "registers", "shingles")
+LEFT, RIGHT, BOTH = 0, 1, 2
+
+
+def _compared(cells: DataFrame, percent: int) -> DataFrame:
+    """Links ``(a, b)`` inside the cells ``(cell, i, j)``, between left and right sets of a group."""
 
     def compare(table: pa.Table) -> pa.Table:
-        coarse, nodes, sizes, block = (table.column(c).to_numpy() for c in ("coarse", "node", "n_shingles", "block"))
+        coarse, nodes, sizes, side = (table.column(c).to_numpy() for c in ("coarse", "node", "n_shingles", "side"))
         sketch = np.frombuffer(b"".join(table.column("registers").to_pylist()), dtype=np.uint16).reshape(-1, REGISTERS)
         sets = [np.frombuffer(s, dtype=np.uint64) for s in table.column("shingles").to_pylist()]
-        i, j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
         found = []
         order = np.argsort(coarse, kind="stable")
         for rows in np.split(order, np.flatnonzero(np.diff(coarse[order])) + 1):
-            if i == j:
+            if (side[rows] == BOTH).all():
                 found += block_links(nodes, sizes, sketch, sets, rows, rows, percent)
             else:
-                found += block_links(nodes, sizes, sketch, sets, rows[block[rows] == i], rows[block[rows] == j], percent)
+                found += block_links(nodes, sizes, sketch, sets, rows[side[rows] != RIGHT], rows[side[rows] != LEFT], percent)
         columns = [pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)]
         return pa.Table.from_arrays(columns, names=["a", "b"])
 
     return cells.groupBy("cell", "i", "j").applyInArrow(compare, "a BIGINT, b BIGINT")
 
 
+def _links_of_large(sets: DataFrame, percent: int) -> DataFrame:
+    """Links of the groups that need several blocks.
+
+    First all sets of a group are compared with a few of them (hubs), in rounds, with new
+    hubs among the sets that are not yet connected to the group's largest component. Sets
+    inside that component need no comparison with each other. What is left is compared
+    with everything, block by block.
+    """
+    every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    nodes = written(sets.select("coarse", "node").distinct())
+    members = sets.select(F.col("coarse").alias("cell"), F.col("block").alias("i"), F.lit(-2).alias("j"), F.lit(LEFT).alias("side"), *SET)
+    links = None
+    rest, left = nodes, nodes.count()
+    for turn in range(HUB_ROUNDS):
+        by_hash = Window.partitionBy("coarse").orderBy(F.xxhash64("node", F.lit(turn)), "node")
+        hubs = rest.select("coarse", "node").withColumn("n", F.row_number().over(by_hash)).filter(F.col("n") <= HUBS).drop("n")
+        ahead = sets.join(hubs, ["coarse", "node"]).withColumn("i", every)
+        ahead = ahead.select(F.col("coarse").alias("cell"), "i", F.lit(-2).alias("j"), F.lit(RIGHT).alias("side"), *SET)
+        found = written(_compared(members.union(ahead), percent))
+        links = found if links is None else links.union(found)
+        of = nodes.join(components(links), "node", "left").select("coarse", "node", F.coalesce("component", "node").alias("component"))
+        counts = of.groupBy("coarse", "component").agg(F.count(F.lit(1)).alias("n"))
+        main = counts.groupBy("coarse").agg(F.max_by("component", F.struct("n", "component")).alias("main"))
+        rest = written(of.join(main, "coarse").filter("component <> main").select("coarse", "node"))
+        before, left = left, rest.count()
+        if left <= BLOCK_SETS or left > 0.8 * before:
+            break
+
+    open_ = sets.join(rest, ["coarse", "node"]).drop("blocks", "block")
+    needed = open_.groupBy("coarse").agg(F.count(F.lit(1)).alias("sets"), F.sum("n_shingles").alias("shingles"))
+    strips = F.greatest(F.ceil(F.col("sets") / BLOCK_SETS), F.ceil(F.col("shingles") / BLOCK_SHINGLES)).cast("int")
+    needed = needed.select("coarse", strips.alias("strips"))
+    open_ = open_.join(needed, "coarse").withColumn("strip", F.pmod(F.xxhash64("node"), F.col("strips")).cast("int"))
+    strip = F.explode(F.sequence(F.lit(0), F.col("strips") - 1)).alias("other")
+    cell = F.col("coarse").alias("cell")
+    own, other = F.col("strip"), F.col("other")
+    side = F.when(own == other, BOTH).when(own < other, LEFT).otherwise(RIGHT).alias("side")
+    among = open_.select("*", strip).select(cell, F.least(own, other).alias("i"), F.greatest(own, other).alias("j"), side, *SET)
+    blocks = sets.select("coarse", "blocks").distinct()
+    # Cells of strips and blocks have a number of their own below those of two strips.
+    outward = open_.join(blocks, "coarse").select("*", every.alias("block")).select(
+        cell, F.col("strip").alias("i"), (F.lit(-3) - F.col("block")).alias("j"), F.lit(LEFT).alias("side"), *SET
+    )
+    settled = sets.join(rest, ["coarse", "node"], "left_anti").join(needed, "coarse").select("*", strip).select(
+        cell, F.col("other").alias("i"), (F.lit(-3) - F.col("block")).alias("j"), F.lit(RIGHT).alias("side"), *SET
+    )
+    return links.union(_compared(among.union(outward).union(settled), percent))
+
+
 def _placed(df: DataFrame, key: str, text: str, size: int, percent: int) -> DataFrame:
     """Rows ``(d, h, n_shingles, component)``, one per row of ``df``."""
     rows = written(sketched(df, key, text, size))

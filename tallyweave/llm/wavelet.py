@@ -16,7 +16,6 @@ from __future__ import annotations
 import struct
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -25,7 +24,7 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tallyweave.llm.common import ROWS_HANDED, in_small_batches, map_batches, written
+from tallyweave.llm.common import ROWS_HANDED, held, in_small_batches, map_batches, written
 from tallyweave.llm.pretokens import PieceEncoder
 
 MAGIC = b"WVM1"
@@ -169,7 +168,6 @@ def from_file(data: bytes) -> tuple[WaveletMatrix, list[int | None], np.ndarray]
     return WaveletMatrix(size, planes, zeros), [d if k else None for d, k in zip(ids, known)], counts
 
 
-@lru_cache(maxsize=2)
 def _encoder(path: str, pattern: str) -> tuple[PieceEncoder, int]:
     from tokenizers import Tokenizer
 
@@ -206,7 +204,7 @@ def write_shards(
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ROWS_HANDED)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, size = _encoder(path, pattern)
+        encoder, size = held(("wavelet", path, pattern), lambda: _encoder(path, pattern))
         bits, kind = (16, np.uint16) if size <= 1 << 16 else (32, np.uint32)
         part, shard = TaskContext.get().partitionId(), 0
         keys: list[int | None] = []

@@ -20,7 +20,7 @@ def truth():
 
 
 def encoder():
-    return bpe._encoder(RANKS, public_tokenizers.PATTERN)
+    return bpe.coder(RANKS).encoder(public_tokenizers.PATTERN)
 
 
 def encoded(by, texts):

@@ -3,6 +3,7 @@ import random
 import frames
 import numpy as np
 import pyarrow as pa
+import pytest
 from tallyweave.llm import components, minhash
 
 
@@ -54,10 +55,12 @@ def edited(seed, base, edits):
     return " ".join(words)
 
 
-def test_groups_of_near_copies_and_chains(spark, monkeypatch):
-    # Small blocks, so that groups are split over many cells.
-    monkeypatch.setattr(minhash, "BLOCK_SETS", 7)
-    monkeypatch.setattr(minhash, "BLOCK_SHINGLES", 2_000)
+@pytest.mark.parametrize("sets, shingles, hubs", [(7, 2_000, 2), (1_000, 2_000_000, 32), (3, 10_000, 1)])
+def test_groups_of_near_copies_and_chains(spark, monkeypatch, sets, shingles, hubs):
+    # Small blocks split groups over many cells.
+    monkeypatch.setattr(minhash, "BLOCK_SETS", sets)
+    monkeypatch.setattr(minhash, "BLOCK_SHINGLES", shingles)
+    monkeypatch.setattr(minhash, "HUBS", hubs)
     rows = []
     for g in range(6):
         base = frames.words(100 + g, 150, 5000)

@@ -45,8 +45,7 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, folder: str) -> DataFra
 
 def encode_tokens(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Token ids of every text, with digests of the ids and of the bytes they decode to."""
-    ids = bpe.encode(docs.select("doc_id", "text"), RANKS, public_tokenizers.PATTERN).drop("text")
-    return bpe_digest(bpe.decode(ids, RANKS))
+    return bpe_digest(bpe.encode(docs.select("doc_id", "text"), RANKS, public_tokenizers.PATTERN, decoded="decoded"))
 
 
 STAGES = [

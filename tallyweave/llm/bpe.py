@@ -256,22 +256,35 @@ def _offsets(counts: np.ndarray) -> np.ndarray:
     return np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
 
 
-def encode(df: DataFrame, path: str, pattern: str, text: str = "text", into: str = "ids") -> DataFrame:
+def _as_binary(words: Vocabulary, ids: np.ndarray, counts: np.ndarray) -> pa.Array:
+    """What the ids of each row stand for."""
+    flat, lengths = words.decode(ids)
+    total = np.concatenate([[0], np.cumsum(lengths)])
+    ends = total[_offsets(counts)].astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(counts), [None, pa.py_buffer(ends), pa.py_buffer(flat)])
+
+
+def encode(df: DataFrame, path: str, pattern: str, text: str = "text", into: str = "ids", decoded: str | None = None) -> DataFrame:
     """Adds the token ids of the whole ``text``, as ``array<int>``.
 
     ``path`` names a rank file that every executor can open, ``pattern`` splits text into
     pre-tokens. A null or empty text has no ids. Rows and other columns stay as they are;
-    a column named ``into`` is replaced.
+    a column named ``into`` is replaced. ``decoded`` names one more column, for the bytes
+    that the ids decode to, worked out in the same pass.
     """
-    kept = df.drop(into)
-    schema = T.StructType([*kept.schema.fields, T.StructField(into, T.ArrayType(T.IntegerType(), False))])
+    added = [T.StructField(into, T.ArrayType(T.IntegerType(), False))]
+    added += [T.StructField(decoded, T.BinaryType())] if decoded else []
+    names = [f.name for f in added]
+    kept = df.drop(*names)
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         flat, counts = coder(path).encoder(pattern).encode(batch.column(text))
-        ids = pa.ListArray.from_arrays(pa.array(_offsets(counts)), pa.array(flat))
-        return pa.RecordBatch.from_arrays([*batch.columns, ids], names=[*batch.schema.names, into])
+        columns = [pa.ListArray.from_arrays(pa.array(_offsets(counts)), pa.array(flat))]
+        if decoded:
+            columns.append(_as_binary(coder(path).words, flat, counts))
+        return pa.RecordBatch.from_arrays([*batch.columns, *columns], names=[*batch.schema.names, *names])
 
-    return map_batches(kept, schema, run)
+    return map_batches(kept, T.StructType([*kept.schema.fields, *added]), run)
 
 
 def decode(df: DataFrame, path: str, ids: str = "ids", into: str = "decoded") -> DataFrame:
@@ -281,10 +294,8 @@ def decode(df: DataFrame, path: str, ids: str = "ids", into: str = "decoded") ->
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         lists = batch.column(ids)
-        flat, lengths = coder(path).words.decode(lists.flatten().to_numpy(zero_copy_only=False))
-        total = np.concatenate([[0], np.cumsum(lengths)])
-        ends = _offsets(lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
-        out = pa.Array.from_buffers(pa.binary(), len(lists), [None, pa.py_buffer(total[ends].astype(np.int32)), pa.py_buffer(flat)])
+        counts = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+        out = _as_binary(coder(path).words, lists.flatten().to_numpy(zero_copy_only=False), counts)
         return pa.RecordBatch.from_arrays([*batch.columns, out], names=[*batch.schema.names, into])
 
     return map_batches(kept, schema, run)

@@ -38,7 +38,7 @@ FROM reach LEFT JOIN sizes USING (doc_id) GROUP BY doc_id, n"""
 def op2_bpe(spark: SparkSession, folder: str) -> DataFrame:
     """Token ids of every document and what they decode to."""
     documents = read(spark, folder, "documents").select("doc_id", "text")
-    return bpe_digest(bpe.decode(bpe.encode(documents, RANKS, public_tokenizers.PATTERN).drop("text"), RANKS))
+    return bpe_digest(bpe.encode(documents, RANKS, public_tokenizers.PATTERN, decoded="decoded"))
 
 
 def bpe_digest(coded: DataFrame) -> DataFrame:

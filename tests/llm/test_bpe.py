@@ -82,5 +82,7 @@ def test_round_trip_and_edges(spark, truth):
         numbers = hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
         want.append((-1 if key is None else key, len(ids), numbers, hashlib.sha256((text or "").encode()).hexdigest()))
     assert got == sorted(want)
+    at_once = bpe.encode(df, RANKS, public_tokenizers.PATTERN, decoded="decoded").select("ids", "decoded").collect()
+    assert sorted(map(repr, at_once)) == sorted(map(repr, coded.select("ids", "decoded").collect()))
     assert bpe.encode(frames.documents(spark, []), RANKS, public_tokenizers.PATTERN).count() == 0
     assert coded.filter("h = 'own h' AND score = 'own score'").count() == len(rows)

@@ -147,6 +147,22 @@ def op6_suffix(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+OP6_SQL = """
+WITH doc AS (SELECT doc_id, encode(coalesce(text, '')) AS b, octet_length(encode(coalesce(text, ''))) AS n FROM documents),
+win AS (SELECT doc_id, unnest(range(1, n - 198)) AS pos FROM doc WHERE n >= 200),
+keyed AS (SELECT doc_id, pos, md5(b[pos:pos + 199]) AS k FROM win JOIN doc USING (doc_id)),
+hit AS (SELECT doc_id, pos FROM keyed WHERE k IN (SELECT k FROM keyed GROUP BY k HAVING count(*) > 1)),
+run AS (SELECT doc_id, pos, CASE WHEN pos - lag(pos) OVER w <= 200 THEN 0 ELSE 1 END AS new FROM hit WINDOW w AS (PARTITION BY doc_id ORDER BY pos)),
+span AS (SELECT doc_id, min(pos) AS a, max(pos) + 200 AS z FROM (SELECT *, sum(new) OVER (PARTITION BY doc_id ORDER BY pos) AS g FROM run) GROUP BY doc_id, g),
+gap AS (SELECT doc_id, coalesce(lag(z) OVER (PARTITION BY doc_id ORDER BY a), 1) AS s, a AS e FROM span
+  UNION ALL SELECT doc_id, max(z), max(n) + 1 FROM span JOIN doc USING (doc_id) GROUP BY doc_id
+  UNION ALL SELECT doc_id, 1, n + 1 FROM doc WHERE doc_id NOT IN (SELECT doc_id FROM span)),
+kept AS (SELECT doc_id, string_agg(hex(b[s:e - 1]), '' ORDER BY s) AS h FROM gap JOIN doc USING (doc_id) WHERE e > s GROUP BY doc_id),
+cut AS (SELECT doc_id, count(*) AS n_spans, sum(z - a) AS n_removed FROM span GROUP BY doc_id)
+SELECT doc_id, CAST(n AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
+  sha256(unhex(coalesce(h, ''))) AS kept_sha256 FROM doc LEFT JOIN kept USING (doc_id) LEFT JOIN cut USING (doc_id)"""
+
+
 def op7_language(spark: SparkSession, folder: str) -> DataFrame:
     """Predicted language of every document, learned from those that are not held out."""
     documents = read(spark, folder, "documents").select("doc_id", "text", "lang")
@@ -181,6 +197,17 @@ def op9_neighbours(spark: SparkSession, folder: str) -> DataFrame:
     return ann.nearest(read(spark, folder, "embeddings"), lambda vec_id: vec_id % 100 == 0)
 
 
+# The exact search. The query finds the same wherever its radius misses no neighbour, as on small tables.
+OP9_SQL = """
+WITH good AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+pairs AS (SELECT q.vec_id AS query_id, g.vec_id, sqrt(list_reduce(list_transform(range(1, len(q.v) + 1), lambda i: (q.v[i] - g.v[i]) * (q.v[i] - g.v[i])), lambda x, y: x + y)) AS score
+  FROM good q JOIN good g ON q.vec_id <> g.vec_id AND len(q.v) = len(g.v) WHERE q.vec_id % 100 = 0),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id) AS r FROM pairs)
+SELECT query_id, CAST(r AS INTEGER) AS rank, vec_id, score FROM ranked WHERE r <= 10"""
+
+
 def op10_wavelet(spark: SparkSession, folder: str) -> DataFrame:
     """Place, count and checksum of every document's ids, read back from the shard files."""
     documents = read(spark, folder, "documents").select("doc_id", "text")
@@ -195,4 +222,5 @@ def pipeline(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_minhash, op2_bpe, op3_secrets, op4_decontaminate, op5_chat, op6_suffix, op7_language, op8_debruijn, op9_neighbours, op10_wavelet, pipeline)}
-ORACLES: dict[str, str] = {"op1_minhash": OP1_SQL, "op4_decontaminate": OP4_SQL, "op5_chat": OP5_SQL, "op8_debruijn": OP8_SQL}
+ORACLES: dict[str, str] = {"op1_minhash": OP1_SQL, "op4_decontaminate": OP4_SQL, "op5_chat": OP5_SQL, "op6_suffix": OP6_SQL, "op8_debruijn": OP8_SQL,
+           "op9_neighbours": OP9_SQL}

@@ -23,7 +23,7 @@ SCHEMAS = {
 
 # Bytes of whole rows that a Python worker takes at once: many usual texts, or one that
 # is longer than that.
-BATCH_BYTES = 1_000_000
+BATCH_BYTES = 600_000
 # Rows that Spark hands to a Python worker at once. The session's default of 10,000 suits
 # narrow rows; whole texts of 100,000 characters would fill the worker.
 ROWS_HANDED = "1000"
@@ -67,6 +67,8 @@ def map_batches(
                 yield from out.to_batches()
             else:
                 yield out
+        # The worker lives on; what this task no longer needs goes back to the system.
+        pa.default_memory_pool().release_unused()
 
     return df.mapInArrow(run, schema)
 

@@ -45,7 +45,7 @@ def powers(n: int, inverse: bool = False) -> np.ndarray:
         factors = np.full(max(n, 1 << 16), base, dtype=np.uint64)
         factors[0] = 1
         kept = np.cumprod(factors, dtype=np.uint64)
-        if n <= 1 << 21:
+        if n <= 1 << 20:
             _powers[inverse] = kept
     return kept[:n]
 

@@ -200,7 +200,7 @@ def predict(df: DataFrame, learned: dict[str, str], text: str = "text", into: tu
         return pa.RecordBatch.from_arrays([*batch.columns, *columns], names=[*batch.schema.names, *into])
 
     # Blocks go in lockstep, so more of them at once cost less each.
-    return map_batches(kept, schema, run, 2_500_000)
+    return map_batches(kept, schema, run, 1_500_000)
 
 
 def identify(

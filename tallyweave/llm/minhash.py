@@ -193,7 +193,7 @@ def sketched(df: DataFrame, key: str, text: str, size: int) -> DataFrame:
         columns = [batch.column("d"), batch.column("h"), pa.array([len(s) for s in sets], pa.int64()), pa.array(ids, pa.binary()), pa.array(packed, pa.binary())]
         return pa.RecordBatch.from_arrays(columns, names=["d", "h", "n_shingles", "set_id", "registers"])
 
-    return map_batches(source, "d BIGINT, h BIGINT, n_shingles BIGINT, set_id BINARY, registers BINARY", run, 2_000_000)
+    return map_batches(source, "d BIGINT, h BIGINT, n_shingles BIGINT, set_id BINARY, registers BINARY", run, 700_000)
 
 
 def _bands(classes: DataFrame, rows: int) -> DataFrame:
@@ -240,7 +240,7 @@ def links(df: DataFrame, classes: DataFrame, key: str, text: str, size: int, per
         return pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(sets, pa.binary())], names=[*names, "shingles"])
 
     schema = "coarse BIGINT, node BIGINT, n_shingles BIGINT, registers BINARY, blocks INT, block INT, shingles BINARY"
-    sets = map_batches(held, schema, to_sets, 2_000_000)
+    sets = map_batches(held, schema, to_sets, 700_000)
     split = not sizes.filter("blocks > 1").isEmpty()
     if split:
         sets = written(sets)

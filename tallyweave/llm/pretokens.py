@@ -25,7 +25,7 @@ _WIDE_BY_LEAD = {lead: [m for m in _WIDE_SPACE if m[0] == lead] for lead in sort
 # Marks that end a word and are a pre-token of their own there.
 _ENDS = frozenset(".,;:!?")
 # Entries kept in a cache, at about 60 bytes each; a full cache starts afresh.
-CACHE_ENTRIES = 600_000
+CACHE_ENTRIES = 250_000
 # Longer pieces are encoded without being kept.
 LONGEST_KEPT = 64
 

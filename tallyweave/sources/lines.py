@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
+from functools import partial
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tallyweave import constants as K
 from tallyweave.functions.names import is_small_group
@@ -17,7 +18,7 @@ from tallyweave.functions.numbers import (
     school_year_from_label,
     strip,
 )
-from tallyweave.operators.scan import BLOCK_ROWS, carry_down, ordered_scan
+from tallyweave.operators.scan import BLOCK_ROWS, carry_down, ordered_scan, split_by_length, whole_scan
 
 
 def parse_regex_line(
@@ -106,7 +107,7 @@ def _classified(lines: DataFrame, doc: str, order: str, rules: SectionRules) ->
     )
 
 
-def _placed(lines: DataFrame, doc: str, order: str, rules: SectionRules) -> DataFrame:
+def _placed(lines: DataFrame, doc: str, order: str, rules: SectionRules, scan: Callable[..., DataFrame]) -> DataFrame:
     """Lines of the table with their record number, place in the record and headings.
 
     A record opens at a year line and takes the marks that follow directly, up to one
@@ -117,7 +118,7 @@ def _placed(lines: DataFrame, doc: str, order: str, rules: SectionRules) -> Data
     n = len(rules.metrics)
     kind = F.col("_kind")
     is_year, is_mark = kind == "year", kind == "mark"
-    lines = ordered_scan(
+    lines = scan(
         _classified(lines, doc, order, rules),
         [doc],
         order,
@@ -131,7 +132,6 @@ def _placed(lines: DataFrame, doc: str, order: str, rules: SectionRules) -> Data
             "_marks": (is_mark.cast("bigint"), is_year),
             "_closers": ((~is_year & ~is_mark).cast("bigint"), is_year),
         },
-        block_rows=rules.block_rows,
     ).filter("_stops = 0")
     inline = F.col("_line_inline")
     place = inline + F.col("_marks")
@@ -148,7 +148,7 @@ def _placed(lines: DataFrame, doc: str, order: str, rules: SectionRules) -> Data
     for prefix in rules.not_heading_prefixes:
         numbered = numbered | F.startswith(text, F.lit(prefix))
     is_heading = unclaimed & F.when(seen, ~numbered).otherwise(early)
-    return ordered_scan(
+    return scan(
         lines,
         [doc],
         order,
@@ -158,7 +158,6 @@ def _placed(lines: DataFrame, doc: str, order: str, rules: SectionRules) -> Data
                 kind == "period", F.struct(F.col(order).alias("at"), map_codes(text, rules.periods).alias("code"))
             ),
         },
-        block_rows=rules.block_rows,
     )
 
 
@@ -171,29 +170,45 @@ def parse_sectioned_lines(
     heading stands above that period. Every line of a record that does not, and every
     value that cannot be read, becomes an issue row ``(doc, line, record, issue, text)``,
     one per line, so even an endless broken record never has to be gathered.
+
+    Documents of up to ``block_rows`` lines are read in one pass of windows; longer ones
+    in blocks, with a join for what their records have in common.
     """
+    usual, longer = split_by_length(lines, doc, order, rules.block_rows)
+    rows, issues = _parsed(usual, doc, order, rules, False)
+    more_rows, more_issues = _parsed(longer, doc, order, rules, True)
+    return rows.unionByName(more_rows), issues.unionByName(more_issues)
+
+
+def _parsed(lines: DataFrame, doc: str, order: str, rules: SectionRules, in_blocks: bool) -> tuple[DataFrame, DataFrame]:
     n = len(rules.metrics)
-    placed = _placed(lines, doc, order, rules)
+    placed = _placed(lines, doc, order, rules, partial(ordered_scan, block_rows=rules.block_rows) if in_blocks else whole_scan)
     used = placed.filter((F.col("_kind") == "year") | F.col("_in_record"))
     heading, period = F.col("_heading"), F.col("_period")
     headed = F.coalesce(
         period.isNotNull() & heading.isNotNull() & (heading["at"] < period["at"]), F.lit(False)
     )
     year_line = F.col("_kind") == "year"
-    records = used.groupBy(doc, "record_no").agg(
-        F.sum(F.when(year_line, F.col("_inline")).otherwise(F.lit(1))).alias("_found"),
-        F.max(F.when(year_line, school_year_from_label(rules.text))).alias("year"),
-        F.max(F.when(year_line & headed, heading["text"])).alias("entity"),
-        F.max(F.when(year_line & headed, period["code"])).alias("period"),
-    )
-    lines_of = used.select(
+    common = {
+        "_found": F.sum(F.when(year_line, F.col("_inline")).otherwise(F.lit(1))),
+        "year": F.max(F.when(year_line, school_year_from_label(rules.text))),
+        "entity": F.max(F.when(year_line & headed, heading["text"])),
+        "period": F.max(F.when(year_line & headed, period["code"])),
+    }
+    own = [
         doc,
         order,
         "record_no",
-        rules.text,
+        F.col(rules.text),
         F.when(year_line, F.col("_trailing")).otherwise(F.array(F.col(rules.text))).alias("_values"),
         F.when(year_line, F.lit(0)).otherwise(F.col("_line_inline") + F.col("_marks") - 1).alias("_first"),
-    ).join(records, [doc, "record_no"])
+    ]
+    if in_blocks:
+        records = used.groupBy(doc, "record_no").agg(*[c.alias(name) for name, c in common.items()])
+        lines_of = used.select(*own).join(records, [doc, "record_no"])
+    else:
+        record = Window.partitionBy(doc, "record_no")
+        lines_of = used.select(*own, *[c.over(record).alias(name) for name, c in common.items()])
     good = F.col("entity").isNotNull() & F.col("period").isNotNull() & (F.col("_found") == n)
 
     metric_names = F.array(*[F.lit(m) for m in rules.metrics])

@@ -52,7 +52,8 @@ def powers(n: int, inverse: bool = False) -> np.ndarray:
 
 def prefix_sums(values: np.ndarray) -> np.ndarray:
     out = np.zeros(len(values) + 1, dtype=np.uint64)
-    np.cumsum(values * powers(len(values)), out=out[1:])
+    np.multiply(values, powers(len(values)), out=out[1:])
+    np.cumsum(out[1:], out=out[1:])
     return out
 
 

@@ -24,7 +24,7 @@ _WIDE_SPACE = [chr(c).encode() for c in (0x85, 0xA0, 0x1680, *range(0x2000, 0x20
 _WIDE_BY_LEAD = {lead: [m for m in _WIDE_SPACE if m[0] == lead] for lead in sorted({m[0] for m in _WIDE_SPACE})}
 # Marks that end a word and are a pre-token of their own there.
 _ENDS = frozenset(".,;:!?")
-# Entries kept in a cache, at about 60 bytes each; a full cache starts afresh.
+# Entries kept in a cache, at about 60 bytes each; a full cache keeps its most used half.
 CACHE_ENTRIES = 250_000
 # Longer pieces are encoded without being kept.
 LONGEST_KEPT = 64
@@ -49,6 +49,15 @@ class IdCache:
         self.keys = np.empty((0, 2), dtype=np.uint64)
         self.start, self.count = np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int32)
         self.ids = np.empty(0, dtype=self.kind)
+        self.uses = np.empty(0, dtype=np.int32)
+
+    def _keep_most_used(self, entries: int) -> None:
+        """Drops all but the entries that were found most often."""
+        order = np.sort(np.argsort(-self.uses, kind="stable")[:entries])
+        keys, start, count, uses, ids = self.keys[order], self.start[order], self.count[order], self.uses[order] // 2, self.ids
+        self.clear()
+        self._append(keys, ids[spans(start, count)], count.astype(np.int64))
+        self.uses = uses
 
     def find(self, one: np.ndarray, two: np.ndarray) -> np.ndarray:
         """Entry of each piece, -1 where there is none."""
@@ -64,14 +73,20 @@ class IdCache:
             hit = (self.keys[entry, 0] == one[open_]) & (self.keys[entry, 1] == two[open_])
             out[open_[hit]] = entry[hit]
             open_, slot = open_[~hit], (slot[~hit] + 1) & ((1 << self.bits) - 1)
+        self.uses += np.bincount(out[out >= 0], minlength=self.size).astype(np.int32)
         return out
 
     def add(self, one: np.ndarray, two: np.ndarray, ids: np.ndarray, count: np.ndarray) -> None:
-        """New pieces, all distinct and not held yet."""
+        """New pieces, all distinct and not held yet; a full cache forgets what it used least."""
         if self.size + len(one) > self.most:
-            self.clear()
+            self._keep_most_used(max(0, min(self.most // 2, self.most - len(one))))
+        if len(one) <= self.most:
+            self._append(np.stack([one, two], axis=1), ids, count)
+
+    def _append(self, keys: np.ndarray, ids: np.ndarray, count: np.ndarray) -> None:
         begin = len(self.ids) + np.cumsum(count) - count
-        self.keys = np.concatenate([self.keys, np.stack([one, two], axis=1)])
+        self.keys = np.concatenate([self.keys, keys])
+        self.uses = np.concatenate([self.uses, np.zeros(len(keys), dtype=np.int32)])
         self.start, self.count = np.concatenate([self.start, begin]), np.concatenate([self.count, count.astype(np.int32)])
         self.ids = np.concatenate([self.ids, ids])
         new = np.arange(self.size, len(self.keys))
@@ -201,5 +216,6 @@ def _blanks(data: np.ndarray) -> np.ndarray:
 
 
 def _hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    first, second = (prefix_sums(byte_table(seed)[data]) for seed in (0, 1))
-    return spans_hash(first, start, end), mix(spans_hash(second, start, end))
+    # One after the other, so that the sums of only one are held.
+    first = spans_hash(prefix_sums(byte_table(0)[data]), start, end)
+    return first, mix(spans_hash(prefix_sums(byte_table(1)[data]), start, end))

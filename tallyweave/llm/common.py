@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Callable, Iterator
 from typing import TypeVar
@@ -67,12 +68,20 @@ def map_batches(
                 yield from out.to_batches()
             else:
                 yield out
-        # The worker lives on; what this task no longer needs goes back to the system.
-        pa.default_memory_pool().release_unused()
+        give_back_memory()
 
     return df.mapInArrow(run, schema)
 
 
+def give_back_memory() -> None:
+    """Returns what is free to the system: Python workers outlive tasks, and several of
+    them share an executor's memory with the JVM."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 _held: dict[tuple, object] = {}
 
 

@@ -46,8 +46,8 @@ class Sample:
 
     languages: int = 128
     documents: int = 64
-    excerpt: int = 2_000
-    characters: int = 32_000
+    excerpt: int = 1_000
+    characters: int = 16_000
 
 
 def suffix_automaton(symbols: list[int]) -> list[dict[int, int]]:
@@ -111,17 +111,19 @@ class Model:
         """For state and class: four times the offset of the next state's row, plus the
         phrases that end there. A character that the sample lacks is one of its own."""
         follow = suffix_automaton(codes.tolist())
-        root = np.zeros(CLASSES, dtype=np.int64)
+        root = np.zeros(CLASSES, dtype=np.int32)
         for symbol, target in follow[0].items():
             root[symbol] = target
         table = np.tile(root, (len(follow), 1))
-        ended = np.ones((len(follow), CLASSES), dtype=np.int64)
+        ended = np.ones((len(follow), CLASSES), dtype=np.int32)
         for state, out in enumerate(follow):
             for symbol, target in out.items():
                 table[state, symbol], ended[state, symbol] = target, 0
         unknown = [c for c in range(CLASSES) if c not in follow[0]]
         ended[1:, unknown] = 2
-        return (table * CLASSES * 4 + ended).astype(np.int32).reshape(-1)
+        table *= CLASSES * 4
+        table += ended
+        return table.reshape(-1)
 
     def bits(self, texts: list[str]) -> np.ndarray:
         """Estimated bits per character of each text under each language."""

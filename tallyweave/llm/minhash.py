@@ -35,7 +35,7 @@ MARGIN = 6.0
 # Sets and shingles in one block of a large group.
 BLOCK_SETS, BLOCK_SHINGLES = 1_000, 2_000_000
 # Sets of a large group that all others are compared with at a time, and how often at most.
-HUBS, HUB_ROUNDS = 32, 6
+HUBS, HUB_ROUNDS = 32, 4
 
 _XOR = mix(np.arange(1, REGISTERS + 1, dtype=np.uint64))
 _TIMES = mix(np.arange(1001, REGISTERS + 1001, dtype=np.uint64)) | np.uint64(1)
@@ -279,27 +279,33 @@ def _compared(cells: DataFrame, percent: int) -> DataFrame:
 def _links_of_large(sets: DataFrame, percent: int) -> DataFrame:
     """Links of the groups that need several blocks.
 
-    First all sets of a group are compared with a few of them (hubs), in rounds, with new
-    hubs among the sets that are not yet connected to the group's largest component. Sets
-    inside that component need no comparison with each other. What is left is compared
-    with everything, block by block.
+    First all sets of a group are compared with a few of them (hubs). The hub with most
+    links, what it is linked with, and what shares a linked hub with those are connected,
+    and need no comparison with each other. While that shrinks the rest, further hubs are
+    tried. What is left then is compared with everything, block by block.
     """
     every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     nodes = written(sets.select("coarse", "node").distinct())
     members = sets.select(F.col("coarse").alias("cell"), F.col("block").alias("i"), F.lit(-2).alias("j"), F.lit(LEFT).alias("side"), *SET)
-    links = None
+    links = main = None
     rest, left = nodes, nodes.count()
     for turn in range(HUB_ROUNDS):
         by_hash = Window.partitionBy("coarse").orderBy(F.xxhash64("node", F.lit(turn)), "node")
-        hubs = rest.select("coarse", "node").withColumn("n", F.row_number().over(by_hash)).filter(F.col("n") <= HUBS).drop("n")
+        hubs = rest.withColumn("n", F.row_number().over(by_hash)).filter(F.col("n") <= HUBS).drop("n")
         ahead = sets.join(hubs, ["coarse", "node"]).withColumn("i", every)
         ahead = ahead.select(F.col("coarse").alias("cell"), "i", F.lit(-2).alias("j"), F.lit(RIGHT).alias("side"), *SET)
         found = written(_compared(members.union(ahead), percent))
         links = found if links is None else links.union(found)
-        of = nodes.join(components(links), "node", "left").select("coarse", "node", F.coalesce("component", "node").alias("component"))
-        counts = of.groupBy("coarse", "component").agg(F.count(F.lit(1)).alias("n"))
-        main = counts.groupBy("coarse").agg(F.max_by("component", F.struct("n", "component")).alias("main"))
-        rest = written(of.join(main, "coarse").filter("component <> main").select("coarse", "node"))
+        met = nodes.join(found, nodes["node"] == found["a"]).select("coarse", "node", F.col("b").alias("hub"))
+        if main is None:
+            counts = met.groupBy("coarse", "hub").agg(F.count(F.lit(1)).alias("n"))
+            main = counts.groupBy("coarse").agg(F.max_by("hub", F.struct("n", "hub")).alias("node"))
+        for _ in range(2):
+            # Hubs that are in the connected part or linked with it, and all they are linked with.
+            reached = met.join(main, ["coarse", "node"]).select("coarse", "hub").union(main).distinct()
+            main = met.join(reached, ["coarse", "hub"]).select("coarse", "node").union(reached).union(main).distinct()
+        main = written(main)
+        rest = written(nodes.join(main, ["coarse", "node"], "left_anti"))
         before, left = left, rest.count()
         if left <= BLOCK_SETS or left > 0.8 * before:
             break

@@ -24,7 +24,7 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tallyweave.llm.common import ROWS_HANDED, held, in_small_batches, map_batches, written
+from tallyweave.llm.common import ROWS_HANDED, give_back_memory, held, in_small_batches, map_batches, written
 from tallyweave.llm.pretokens import PieceEncoder
 
 MAGIC = b"WVM1"
@@ -236,6 +236,7 @@ def write_shards(
             parts.append(ids[at:])
         if keys:
             yield flush()
+        give_back_memory()
 
     return written(dealt.mapInArrow(run, SHARDS))
 

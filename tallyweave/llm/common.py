@@ -39,14 +39,29 @@ def written(df: DataFrame) -> DataFrame:
     """``df`` as a Parquet table in the shared folder, read again.
 
     This cuts the lineage, survives lost executors, and tells the planner how large the
-    table really is, so a join broadcasts it only below the session's own limit.
+    table really is, so a join broadcasts it only below the session's own limit. Results
+    may still read it, so it stays until ``remove_written``.
     """
     spark = df.sparkSession
     path = f"{checkpoint_folder(spark)}/table-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _written.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+_written: list[str] = []
+
+
+def remove_written(spark: SparkSession) -> int:
+    """Deletes the intermediate tables of this process and returns how many there were; call
+    it when the results that were built on them are saved."""
+    count = len(_written)
+    while _written:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_written.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return count
+
+
 def in_small_batches(batches: Iterator[pa.RecordBatch], most: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
     """Slices of about ``most`` bytes."""
     for batch in batches:

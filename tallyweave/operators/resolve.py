@@ -16,7 +16,7 @@ from tallyweave.functions.names import (
     name_variants,
     priority_class,
 )
-from tallyweave.functions.numbers import blank_to_null, parse_digits, strip
+from tallyweave.functions.numbers import blank_to_null, parse_digits
 from tallyweave.operators.keys import dedup, latest_per_key
 from tallyweave.operators.measures import match_rate, token_pattern_top_k
 from tallyweave.operators.similarity import similar_pairs

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from tallyweave import constants as K
-from tallyweave.operators import coverage as V, harmonize as H, keys, measures as M, quality as Q
+from tallyweave.operators import coverage as V, keys, measures as M, quality as Q
 from tallyweave.operators.resolve import presence_matrix, review_queue
 from tallyweave.queries import common as C, measure_queries as MQ, name_queries as NQ
 

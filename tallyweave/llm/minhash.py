@@ -34,6 +34,8 @@ MISS = 1e-6
 MARGIN = 6.0
 # Sets and shingles in one block of a large group.
 BLOCK_SETS, BLOCK_SHINGLES = 1_000, 2_000_000
+# Blocks up to which a group is compared as a grid; larger ones go through hubs first.
+LARGE = 8
 # Sets of a large group that all others are compared with at a time, and how often at most.
 HUBS, HUB_ROUNDS = 32, 4
 
@@ -241,14 +243,22 @@ def links(df: DataFrame, classes: DataFrame, key: str, text: str, size: int, per
 
     schema = "coarse BIGINT, node BIGINT, n_shingles BIGINT, registers BINARY, blocks INT, block INT, shingles BINARY"
     sets = map_batches(held, schema, to_sets, 700_000)
-    split = not sizes.filter("blocks > 1").isEmpty()
+    large = F.col("blocks") > LARGE
+    split = not sizes.filter(large).isEmpty()
     if split:
         sets = written(sets)
-    together = sets.filter("blocks = 1").select(
-        F.pmod(F.col("coarse"), F.lit(packs)).alias("cell"), F.lit(-1).alias("i"), F.lit(-1).alias("j"), F.lit(BOTH).alias("side"), *SET
+    # Groups of one block share a cell with others; those of a few are a grid of blocks.
+    alone = F.col("blocks") > 1
+    own, other = F.col("block"), F.col("other")
+    cells = sets.filter(~large).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+        F.when(alone, F.col("coarse")).otherwise(F.pmod(F.col("coarse"), F.lit(packs))).alias("cell"),
+        F.when(alone, F.least(own, other)).otherwise(-1).alias("i"),
+        F.when(alone, F.greatest(own, other)).otherwise(-1).alias("j"),
+        F.when(own == other, BOTH).when(own < other, LEFT).otherwise(RIGHT).alias("side"),
+        *SET,
     )
-    found = _compared(together, percent)
-    return found.union(_links_of_large(sets.filter("blocks > 1"), percent)) if split else found
+    found = _compared(cells, percent)
+    return found.union(_links_of_large(sets.filter(large), percent)) if split else found
 
 
 # Columns of a set, and which side of a comparison it takes in a cell.
@@ -277,7 +287,7 @@ def _compared(cells: DataFrame, percent: int) -> DataFrame:
 
 
 def _links_of_large(sets: DataFrame, percent: int) -> DataFrame:
-    """Links of the groups that need several blocks.
+    """Links of the groups of so many blocks that a grid of them would cost too much.
 
     First all sets of a group are compared with a few of them (hubs). The hub with most
     links, what it is linked with, and what shares a linked hub with those are connected,

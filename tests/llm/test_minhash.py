@@ -55,12 +55,13 @@ def edited(seed, base, edits):
     return " ".join(words)
 
 
-@pytest.mark.parametrize("sets, shingles, hubs", [(7, 2_000, 2), (1_000, 2_000_000, 32), (3, 10_000, 1)])
-def test_groups_of_near_copies_and_chains(spark, monkeypatch, sets, shingles, hubs):
+@pytest.mark.parametrize("sets, shingles, hubs, large", [(7, 2_000, 2, 1), (7, 2_000, 2, 100), (1_000, 2_000_000, 32, 8), (3, 10_000, 1, 3)])
+def test_groups_of_near_copies_and_chains(spark, monkeypatch, sets, shingles, hubs, large):
     # Small blocks split groups over many cells.
     monkeypatch.setattr(minhash, "BLOCK_SETS", sets)
     monkeypatch.setattr(minhash, "BLOCK_SHINGLES", shingles)
     monkeypatch.setattr(minhash, "HUBS", hubs)
+    monkeypatch.setattr(minhash, "LARGE", large)
     rows = []
     for g in range(6):
         base = frames.words(100 + g, 150, 5000)

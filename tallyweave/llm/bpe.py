@@ -23,6 +23,8 @@ from tallyweave.llm.common import held, map_batches
 from tallyweave.llm.pretokens import PieceEncoder, spans
 
 NONE = np.int64(1) << 40
+# Bytes of texts that are encoded at once, and entries per cache of the encoder.
+BATCH, CACHE_ENTRIES = 500_000, 200_000
 
 
 class RankQueue:
@@ -71,7 +73,6 @@ class Vocabulary:
     """Merge ranks of a rank file: token bytes to id, id being the rank."""
 
     def __init__(self, ranks: dict[bytes, int]) -> None:
-        self.ranks = ranks
         self.size = max(ranks.values()) + 1
         tokens = {i: t for t, i in ranks.items()}
         lengths = [len(tokens.get(i, b"")) for i in range(self.size)]
@@ -243,7 +244,7 @@ class Coder:
             def encode_many(pretokens: list[str]) -> tuple[np.ndarray, np.ndarray]:
                 return self.words.encode([p.encode() for p in pretokens])
 
-            self.encoders[pattern] = PieceEncoder(pattern, encode_many, np.int32)
+            self.encoders[pattern] = PieceEncoder(pattern, encode_many, np.int32, entries=CACHE_ENTRIES)
         return self.encoders[pattern]
 
 
@@ -284,7 +285,7 @@ def encode(df: DataFrame, path: str, pattern: str, text: str = "text", into: str
             columns.append(_as_binary(coder(path).words, flat, counts))
         return pa.RecordBatch.from_arrays([*batch.columns, *columns], names=[*batch.schema.names, *names])
 
-    return map_batches(kept, T.StructType([*kept.schema.fields, *added]), run)
+    return map_batches(kept, T.StructType([*kept.schema.fields, *added]), run, BATCH)
 
 
 def decode(df: DataFrame, path: str, ids: str = "ids", into: str = "decoded") -> DataFrame:

@@ -83,3 +83,10 @@ def test_held_out_accuracy(spark):
     truth = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "lang")
     share = op7_language(spark, folder).join(truth, "doc_id").filter("held_out").agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("int"))).first()[0]
     assert share > 0.98
+
+
+def test_sample_takes_its_full_bounds(spark):
+    rows = [(i, frames.words(i, 900), "en", None, None) for i in range(40)]
+    learned = language.samples(frames.documents(spark, rows), "text", "lang")
+    assert len(learned["en"]) == 32_000
+    assert max(map(len, learned["en"].split("\n"))) == 2_000

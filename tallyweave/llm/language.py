@@ -41,8 +41,8 @@ def _is_letter() -> np.ndarray:
 
 @dataclass(frozen=True)
 class Sample:
-    """Bounds of the labelled sample: languages by frequency, documents per language by
-    hash order, characters taken from each document and kept per language."""
+    """Bounds of the labelled sample: languages by frequency, distinct excerpts per
+    language by hash order, characters taken from each document and kept per language."""
 
     languages: int = 128
     documents: int = 64
@@ -170,15 +170,19 @@ def held_out(key: Column) -> Column:
 
 
 def samples(labelled: DataFrame, text: str, label: str, bounds: Sample = Sample()) -> dict[str, str]:
-    """Sampled text per language, at most ``bounds`` in all; the only rows that the driver sees."""
+    """Sampled text per language, at most ``bounds`` in all; the only rows that the driver sees.
+    Equal excerpts of a language count once, however many rows have them."""
     usable = labelled.filter(F.col(label).isNotNull() & (F.length(text) > 0)).select(
-        F.col(label).alias("label"), F.substring(text, 1, bounds.excerpt).alias("excerpt"), F.xxhash64(text).alias("place")
-    )
+        F.col(label).alias("label"), F.substring(text, 1, bounds.excerpt).alias("excerpt")
+    ).withColumn("place", F.xxhash64("excerpt"))
     common = usable.groupBy("label").count().orderBy(F.desc("count"), "label").limit(bounds.languages)
-    by_hash = Window.partitionBy("label").orderBy("place", "excerpt")
-    first = usable.withColumn("n", F.row_number().over(by_hash)).filter(F.col("n") <= bounds.documents)
+    # Only hashes are shuffled; the excerpts of the few that are taken are looked up after.
+    by_hash = Window.partitionBy("label").orderBy("place")
+    places = usable.select("label", "place").distinct().withColumn("n", F.row_number().over(by_hash)).filter(F.col("n") <= bounds.documents)
+    taken = places.join(F.broadcast(common), "label", "left_semi")
+    first = usable.join(F.broadcast(taken), ["label", "place"]).select("label", "n", "excerpt").distinct()
     out: dict[str, str] = {}
-    for row in first.join(F.broadcast(common), "label", "left_semi").orderBy("label", "n").collect():
+    for row in first.orderBy("label", "n", "excerpt").collect():
         before = out.get(row["label"], "")
         if len(before) < bounds.characters:
             out[row["label"]] = f"{before}\n{row['excerpt'].lower()}"[: bounds.characters]

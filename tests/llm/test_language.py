@@ -90,3 +90,12 @@ def test_sample_takes_its_full_bounds(spark):
     learned = language.samples(frames.documents(spark, rows), "text", "lang")
     assert len(learned["en"]) == 32_000
     assert max(map(len, learned["en"].split("\n"))) == 2_000
+
+
+def test_copies_count_once_in_the_sample(spark):
+    texts = [frames.words(i, 60) for i in range(30)]
+    # Copies and, beyond the excerpt, texts with another end.
+    rows = [(i, f"{t} {i % 7}", "en", None, None) for i, t in enumerate(texts * 40)]
+    bounds = language.Sample(documents=30, excerpt=150, characters=32_000)
+    learned = language.samples(frames.documents(spark, rows), "text", "lang", bounds)["en"].split("\n")[1:]
+    assert sorted(learned) == sorted(t[:150] for t in texts)

@@ -12,7 +12,6 @@ in blocks of ``BLOCK`` characters that each start a new phrase, many blocks in l
 from __future__ import annotations
 
 import math
-import re
 from collections import Counter
 from dataclasses import dataclass
 from functools import lru_cache
@@ -31,8 +30,6 @@ CLASSES = 64
 # Characters of evidence that the score counts at most.
 EVIDENCE = 40
 
-_LETTER = re.compile(r"[^\W\d_]")
-
 
 @lru_cache(maxsize=1)
 def _is_letter() -> np.ndarray:
@@ -159,7 +156,7 @@ class Model:
         evidence = np.minimum([len(t) for t in texts], EVIDENCE)[:, None]
         score = 1 / np.exp2(-gap * evidence).sum(axis=1)
         return [
-            (self.languages[b], float(s)) if _LETTER.search(t) else ("und", 0.0)
+            (self.languages[b], float(s)) if any(map(str.isalpha, t)) else ("und", 0.0)
             for t, b, s in zip(texts, best.tolist(), score.tolist())
         ]
 

@@ -99,3 +99,12 @@ def test_copies_count_once_in_the_sample(spark):
     bounds = language.Sample(documents=30, excerpt=150, characters=32_000)
     learned = language.samples(frames.documents(spark, rows), "text", "lang", bounds)["en"].split("\n")[1:]
     assert sorted(learned) == sorted(t[:150] for t in texts)
+
+
+def test_numeric_signs_are_no_letters(spark):
+    signs = ["\u00b2", "\u00bd", "\u2460", "\u2167", "12 \u00b2 + \u00bd = \u2460 \u2167"]
+    rows = [(0, ENGLISH, "en", None, None), (1, GERMAN, "de", None, None)] * 20
+    rows += [(100 + i, t, None, None, None) for i, t in enumerate([*signs, "\u00b2 a"])]
+    got = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in language.identify(frames.documents(spark, rows)).collect()}
+    assert [got[100 + i] for i in range(len(signs))] == [("und", 0.0)] * len(signs)
+    assert got[100 + len(signs)][0] != "und"

@@ -90,3 +90,10 @@ def test_awkward_documents_pass_every_stage(spark, folder):
             out.collect()
             if name != "tokens":
                 assert out.columns == df.columns
+
+
+def test_numeric_signs_have_no_language(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    rows = [(200_001, "\u00b2 \u00bd \u2460 \u2167", "en", "x", 7), (200_002, "12 \u00b2 m", "en", "x", 6)]
+    kept = corpus_pipeline.keep_known_languages(spark, docs.unionByName(frames.documents(spark, rows)), folder)
+    assert [r["doc_id"] for r in kept.filter("doc_id > 200000").collect()] == [200_002]

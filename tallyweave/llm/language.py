@@ -4,6 +4,8 @@ For each language, a suffix automaton of sampled labelled text knows every subst
 it. A text is parsed greedily into phrases, each the longest match in that automaton; the
 number of phrases times the log of the sample's length, per character, estimates the
 cross entropy in bits. The language that needs fewest bits wins.
+Every letter of the samples keeps its identity, whatever its script; a letter that a sample
+lacks is a phrase of its own.
 
 Training is bounded by documented parameters (``Sample``); prediction reads whole texts,
 in blocks of ``BLOCK`` characters that each start a new phrase, many blocks in lockstep.
@@ -13,6 +15,7 @@ from __future__ import annotations
 
 import math
 from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -24,9 +27,8 @@ from tallyweave.llm.common import held, map_batches, texts_of
 
 # Characters of a block that is parsed in one run.
 BLOCK = 512
-# Class 0 is a letter that no sample has often, class 1 anything that is no letter, and the
-# commonest letters have classes of their own.
-CLASSES = 64
+# Blocks that go in lockstep, and places that are tried at once for a state's steps.
+BLOCKS, WINDOW = 8_192, 512
 # Characters of evidence that the score counts at most.
 EVIDENCE = 40
 
@@ -78,18 +80,86 @@ def suffix_automaton(symbols: list[int]) -> list[dict[int, int]]:
     return follow
 
 
+def packed(follow: list[dict[int, int]], classes: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The automaton as ``owner``, ``goto`` and ``start``, of a size that grows with its
+    transitions and the number of classes, not with their product.
+
+    Each state is a number of its own, the start 0. From state s, class c leads on to
+    ``goto[s + c]`` if ``owner[s + c]`` is s. Otherwise the phrase ended, and the next one
+    begins with c in state ``start[c]``, which is 0 if the sample lacks c.
+    """
+    steps = [np.fromiter(out, dtype=np.int64, count=len(out)) for out in follow]
+    degree = np.fromiter(map(len, follow), dtype=np.int64, count=len(follow))
+    degree[0] = 0  # The start needs no steps: all that begins there begins a phrase.
+    number = np.zeros(len(follow), dtype=np.int64)
+    spare = np.ones(2 * len(follow) + WINDOW, dtype=bool)  # numbers that no state has
+    spare[0] = False
+    empty = np.ones(len(spare) + classes, dtype=bool)  # places that no step has
+
+    def grow(least: int) -> None:
+        nonlocal spare, empty
+        if least > len(spare):
+            more = np.ones(max(least, 2 * len(spare)) - len(spare), dtype=bool)
+            spare, empty = np.concatenate([spare, more]), np.concatenate([empty, more])
+
+    # States with most steps first, each at the first number where all of its steps fit.
+    order = np.argsort(-degree, kind="stable")
+    at = 1
+    for state in order[: int((degree > 1).sum())].tolist():
+        while True:
+            grow(at + WINDOW)
+            fits = spare[at : at + WINDOW].copy()
+            for c in steps[state].tolist():
+                fits &= empty[at + c : at + c + WINDOW]
+            first = int(fits.argmax())
+            if fits[first]:
+                break
+            at += WINDOW
+        number[state] = at + first
+        spare[at + first] = False
+        empty[at + first + steps[state]] = False
+    # A single step fits nearly anywhere and fills what is left between.
+    single = np.flatnonzero(degree == 1)
+    by = np.array([steps[state][0] for state in single.tolist()], dtype=np.int64)
+    kinds, counts = np.unique(by, return_counts=True)
+    for k in np.argsort(-counts, kind="stable").tolist():
+        c, states = int(kinds[k]), single[by == kinds[k]]
+        while True:
+            found = np.flatnonzero(spare & empty[c : c + len(spare)])[: len(states)]
+            if len(found) == len(states):
+                break
+            grow(len(spare) + 1)
+        number[states] = found
+        spare[found] = False
+        empty[found + c] = False
+    last = np.flatnonzero(degree[1:] == 0) + 1
+    grow(len(spare) + len(last))
+    number[last] = np.flatnonzero(spare)[: len(last)]
+
+    owner = np.full(int(number.max()) + classes, -1, dtype=np.int32)
+    goto = np.zeros(len(owner), dtype=np.int32)
+    of = np.repeat(number, degree)
+    place = of + np.concatenate([np.zeros(0, dtype=np.int64), *steps[1:]])
+    owner[place] = of
+    goto[place] = number[[target for out in follow[1:] for target in out.values()]]
+    start = np.zeros(classes, dtype=np.int32)
+    start[steps[0]] = number[list(follow[0].values())]
+    return owner, goto, start
+
+
 class Model:
-    """Parsing tables of all languages over one alphabet."""
+    """Parsing tables of all languages. Class 0 is a letter that no sample has, class 1
+    anything that is no letter, and every letter of a sample has a class of its own."""
 
     def __init__(self, samples: dict[str, str]) -> None:
         self.languages = sorted(samples)
         seen = Counter(c for text in samples.values() for c in text if c.isalpha())
-        common = sorted(sorted(seen), key=lambda c: -seen[c])[: CLASSES - 2]
-        self.classes = np.where(_is_letter(), 0, 1).astype(np.uint8)
-        for number, c in enumerate(sorted(common), start=2):
+        self.size = len(seen) + 2
+        self.classes = np.where(_is_letter(), 0, 1).astype(np.min_scalar_type(self.size))
+        for number, c in enumerate(sorted(sorted(seen), key=lambda c: -seen[c]), start=2):
             self.classes[ord(c)] = number
         coded = [self.codes([samples[name]])[0] for name in self.languages]
-        self.tables = [self._table(codes) for codes in coded]
+        self.tables = [packed(suffix_automaton(codes.tolist()), self.size) for codes in coded]
         self.weights = np.array([math.log2(max(2, len(codes))) for codes in coded])
 
     def codes(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -104,24 +174,6 @@ class Model:
         kept = np.concatenate([[0], np.cumsum(stay)])
         return codes[stay], kept[ends] - kept[ends - lengths]
 
-    def _table(self, codes: np.ndarray) -> np.ndarray:
-        """For state and class: four times the offset of the next state's row, plus the
-        phrases that end there. A character that the sample lacks is one of its own."""
-        follow = suffix_automaton(codes.tolist())
-        root = np.zeros(CLASSES, dtype=np.int32)
-        for symbol, target in follow[0].items():
-            root[symbol] = target
-        table = np.tile(root, (len(follow), 1))
-        ended = np.ones((len(follow), CLASSES), dtype=np.int32)
-        for state, out in enumerate(follow):
-            for symbol, target in out.items():
-                table[state, symbol], ended[state, symbol] = target, 0
-        unknown = [c for c in range(CLASSES) if c not in follow[0]]
-        ended[1:, unknown] = 2
-        table *= CLASSES * 4
-        table += ended
-        return table.reshape(-1)
-
     def bits(self, texts: list[str]) -> np.ndarray:
         """Estimated bits per character of each text under each language."""
         codes, lengths = self.codes(texts)
@@ -132,20 +184,33 @@ class Model:
         size = np.minimum(BLOCK, np.repeat(lengths, blocks) - place * BLOCK)
         order = np.argsort(-size, kind="stable")
         start, size, of = start[order], size[order], of[order]
-        # Blocks with more than t characters are the first active[t].
-        active = np.searchsorted(-size, -np.arange(int(size[0]) if len(size) else 0), side="left")
-        state = np.zeros((len(self.tables), len(start)), dtype=np.int32)
-        phrases = np.zeros((len(self.tables), len(start)), dtype=np.int32)
-        for t, n in enumerate(active.tolist()):
-            symbol = codes[start[:n] + t]
-            for table, s, count in zip(self.tables, state, phrases):
-                step = table[s[:n] + symbol]
-                count[:n] += step & 3
-                s[:n] = step >> 2
-        phrases += state != 0
-        sums = np.stack([np.bincount(of, weights=p, minlength=len(texts)) for p in phrases], axis=1)
+        sums = np.zeros((len(texts), len(self.tables)))
+        for low in range(0, len(of), BLOCKS):
+            part = slice(low, low + BLOCKS)
+            found = self._phrases(codes, start[part], size[part])
+            for language, phrases in enumerate(found):
+                sums[:, language] += np.bincount(of[part], weights=phrases, minlength=len(texts))
         return sums * self.weights / np.maximum(lengths, 1)[:, None]
 
+    def _phrases(self, codes: np.ndarray, start: np.ndarray, size: np.ndarray) -> Iterator[np.ndarray]:
+        """For each language, the phrases of blocks that are given longest first."""
+        # Blocks with more than t characters are the first active[t].
+        active = np.searchsorted(-size, -np.arange(int(size[0])), side="left").tolist()
+        line = np.concatenate([codes[start[:n] + t] for t, n in enumerate(active)])
+        for owner, goto, begin in self.tables:
+            fresh = begin[line]
+            state = np.zeros(len(start), dtype=np.int32)
+            phrases = np.zeros(len(start), dtype=np.int32)
+            at = 0
+            for n in active:
+                s = state[:n]
+                place = s + line[at : at + n]
+                ended = owner[place] != s
+                phrases[:n] += ended
+                state[:n] = np.where(ended, fresh[at : at + n], goto[place])
+                at += n
+            yield phrases
+
     def predict(self, texts: list[str]) -> list[tuple[str, float]]:
         """Language and score of each text; ``und`` for a text without a letter."""
         if not self.languages:

@@ -1,3 +1,4 @@
+import random
 import re
 import zlib
 
@@ -8,6 +9,7 @@ from tallyweave.llm.queries import op7_language
 
 ENGLISH = "the quick brown fox jumps over the lazy dog and then the other one runs away from there "
 GERMAN = "der schnelle braune fuchs springt über den faulen hund und dann läuft der andere weg von dort "
+GREEK, CYRILLIC = "αβγδεζηθικλμνξοπρστυφχψωάέήίόύώϊϋ", "абвгдежзийклмнопрстуфхцчшщъыьэюяёіїєґ"
 
 
 def test_automaton_knows_exactly_the_substrings():
@@ -108,3 +110,44 @@ def test_numeric_signs_are_no_letters(spark):
     got = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in language.identify(frames.documents(spark, rows)).collect()}
     assert [got[100 + i] for i in range(len(signs))] == [("und", 0.0)] * len(signs)
     assert got[100 + len(signs)][0] != "und"
+
+
+def han(seed, n, first):
+    """Words of two letters out of 300 words, no letter in two of them."""
+    pick = random.Random(seed)
+    return "".join(chr(c) + chr(c + 1) for c in (first + 2 * pick.randrange(300) for _ in range(n)))
+
+
+def test_scripts_of_many_letters(spark):
+    # Greek and Cyrillic have more than 62 letters that are commoner than any of Han.
+    many = {"aa": 0x4E00, "bb": 0x5E00}
+    rows = [(i, han(i, 200, many[lang]), lang, None, None) for i, lang in enumerate(["aa", "bb"] * 60)]
+    for i in range(200, 260):
+        pick = random.Random(i)
+        rows += [(i + at, "".join(pick.choices(letters, k=800)), lang, None, None) for at, letters, lang in ((0, GREEK, "el"), (100, CYRILLIC, "ru"))]
+    rows += [(400, han(1001, 40, many["aa"]), None, None, None), (401, han(1002, 40, many["bb"]), None, None, None), (402, GREEK, None, None, None)]
+    got = {r["doc_id"]: r["lang_pred"] for r in language.identify(frames.documents(spark, rows)).collect()}
+    assert [got[k] for k in (400, 401, 402)] == ["aa", "bb", "el"]
+    assert all(got[i] == ("aa", "bb")[i % 2] for i in range(120))
+
+
+def test_phrases_of_many_letters_by_brute_force():
+    # The same letters in another order: only phrases tell the labels apart.
+    one = han(1, 1500, 0x4E00)
+    samples = {"one": one, "back": one[::-1], "mixed": ENGLISH + GREEK + CYRILLIC}
+    model = language.Model(samples)
+    texts = [han(2, 300, 0x4E00), one[700:900], samples["mixed"][::-1], "the ωψ дом 漢字 fox", ENGLISH + one[:50]]
+    bits = model.bits(texts)
+    for i, text in enumerate(map(plain, texts)):
+        blocks = [text[k : k + language.BLOCK] for k in range(0, len(text), language.BLOCK)]
+        for j, name in enumerate(model.languages):
+            want = sum(phrases(b, plain(samples[name])) for b in blocks)
+            assert round(bits[i, j] * len(text) / model.weights[j]) == want, (i, name)
+    assert [x[0] for x in model.predict(texts[:2])] == ["one", "one"]
+
+
+def test_tables_grow_with_the_sample_only():
+    samples = {"han": han(1, 16_000, 0x4E00), "en": " ".join(frames.words(i, 100) for i in range(60)), "de": GERMAN * 300}
+    model = language.Model(samples)
+    for arrays, name in zip(model.tables, model.languages):
+        assert sum(x.nbytes for x in arrays) < 60 * len(samples[name])

@@ -2,9 +2,10 @@
 
 Test items are cut into windows of consecutive words. Each window is looked up by its
 rarest term: only the postings (term, row, position) of such terms are taken from the
-training texts, shifted by the term's offset in the window, and the shifted lists meet
-the other terms' places. A candidate counts only if every word of the window stands in
-its place (exact phrase), or within ``slop`` words of it (proximity).
+training texts and shifted by the term's offset in the window. Other terms have no lists to
+intersect: a slice of the text's words is compared with the window. A candidate counts only
+if every word of the window stands in its place (exact phrase), or within ``slop`` words of
+it (proximity).
 
 Everything here is DataFrame functions; no test or training text leaves the JVM.
 """
@@ -18,8 +19,8 @@ from tallyweave.llm.common import lower_ascii, written
 # Fixed value: what separates words; upper-case letters are told apart afterwards.
 SEPARATORS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 WINDOW = 10
-# Windows that may be sent to every task, at about 100 bytes each.
-MOST_SENT = 100_000
+# Windows that may be sent to every task, and their bytes in all.
+MOST_SENT, MOST_SENT_BYTES = 100_000, 10_000_000
 
 
 def words_of(text: Column | str) -> Column:
@@ -43,6 +44,12 @@ def item_windows(items: DataFrame, key: str, text: str = "text", size: int = WIN
     return cut.select("item", F.array_join("window", " ").alias("phrase"), F.size("window").alias("n")).distinct()
 
 
+def may_be_sent(windows: DataFrame) -> bool:
+    """Whether the windows are few and short enough for a copy in every task."""
+    count, size = windows.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("phrase")), F.lit(0))).first()
+    return count <= MOST_SENT and size <= MOST_SENT_BYTES
+
+
 def rarest_terms(windows: DataFrame, rows: DataFrame, sent: bool) -> DataFrame:
     """Rows ``(term, offset, phrase, n)``: each window that can occur, under its rarest term.
 
@@ -87,7 +94,7 @@ def find(
     source = df.select(F.col(key).cast("bigint").alias(key), F.col(text).alias("text")).select(key, "text", *row_key(key, "text"))
     source = source.select(key, "d", "h", words_of("text").alias("words"))
     worded = written(source.withColumn("n_words", F.size("words").cast("bigint")))
-    sent = windows.count() <= MOST_SENT
+    sent = may_be_sent(windows)
     rare = written(rarest_terms(windows, worded, sent))
 
     def exact(words: Column, start: Column, n: Column, phrase: Column) -> Column:

@@ -78,3 +78,17 @@ def test_runs_on_functions_only(spark):
     docs = spark.createDataFrame([(1, "a b")], "doc_id BIGINT, text STRING").filter(F.lit(True))
     plan = decontaminate.report(docs, docs.withColumnRenamed("doc_id", "item_id"))._jdf.queryExecution().toString()
     assert not re.search("Python|Arrow|Pandas", plan)
+
+
+def test_few_long_windows_are_not_sent(spark, monkeypatch):
+    sent, broadcast = [], F.broadcast
+    monkeypatch.setattr(decontaminate.F, "broadcast", lambda df: sent.append(df) or broadcast(df))
+    plain_words = frames.words(40, 30)
+    long_words = " ".join(f"{'x' * 1_200_000}{i}" for i in range(10))
+    docs, items = [(1, "a " + long_words), (2, plain_words), (3, "b")], [(1, long_words), (2, plain_words)]
+    given = spark.createDataFrame(items, "item_id BIGINT, text STRING")
+    rows, _ = decontaminate.find(spark.createDataFrame(docs, "doc_id BIGINT, text STRING"), given)
+    assert not sent
+    assert sorted((r["doc_id"], r["n_hit"]) for r in rows.collect()) == [(1, 10), (2, 30), (3, 0)]
+    decontaminate.find(spark.createDataFrame(docs, "doc_id BIGINT, text STRING"), given.filter("item_id = 2"))
+    assert sent

@@ -21,24 +21,25 @@ WINDOW, SEED = 20, 6
 
 
 def paths(contents: DataFrame) -> DataFrame:
-    """Rows ``(content, path, place)``: nonbranching paths of repeated runs.
+    """Rows ``(anchor, content, path, offset)``: nonbranching paths of repeated runs.
 
     Along such a path all runs occur equally often and, in the first document that has
-    them, one right after the other. ``path`` is the first run's content, ``place`` the
-    windows before a run. One document's runs are read in order, never one content's
+    them, one right after the other. ``path`` is the first run's anchor and content, ``offset``
+    the windows before a run. One document's runs are read in order, never one content's
     occurrences. A link is a proposal; spans are verified by their coordinates.
     """
-    repeated = contents.filter("n > 1").select("content", "n", "d", repeats.tag_of("pack").alias("tag"), *_place("pack"))
+    repeated = contents.filter("n > 1").select("anchor", "content", "n", "d", "tag", *_place())
     after = repeated.select("d", "tag", (F.col("start") + F.col("length")).alias("start"), F.col("n").alias("n_before"))
     linked = repeated.join(after, ["d", "tag", "start"], "left").withColumn("head", F.coalesce(F.col("n_before") != F.col("n"), F.lit(True)))
     order = Window.partitionBy("d", "tag").orderBy("start")
-    island = F.max(F.when(F.col("head"), F.struct("start", "content"))).over(order.rowsBetween(Window.unboundedPreceding, 0))
+    island = F.max(F.when(F.col("head"), F.struct("start", "anchor", "content"))).over(order.rowsBetween(Window.unboundedPreceding, 0))
     named = linked.withColumn("island", island)
-    return named.select("content", F.col("island.content").alias("path"), (F.col("start") - F.col("island.start")).alias("place"))
+    path = F.struct("island.anchor", "island.content").alias("path")
+    return named.select("anchor", "content", path, (F.col("start") - F.col("island.start")).alias("offset"))
 
 
-def _place(packed: str) -> list:
-    return [F.shiftright(packed, 8).bitwiseAND(0xFFFFFFFF).alias("start"), F.col(packed).bitwiseAND(0xFF).alias("length")]
+def _place() -> list:
+    return [repeats.start_of("place").alias("start"), repeats.length_of("place").alias("length")]
 
 
 def repeated_spans(occurrences: DataFrame, contents: DataFrame) -> DataFrame:
@@ -47,11 +48,11 @@ def repeated_spans(occurrences: DataFrame, contents: DataFrame) -> DataFrame:
     Runs of one path at one alignment of one document make a span where their coordinates
     leave no gap, and stay single where they do.
     """
-    first = contents.filter("n > 1").select("content", F.col("d").alias("d0"), F.col("pack").alias("pack0"))
-    known = written(first.join(paths(contents), "content"))
-    later = occurrences.join(known, "content").filter("d <> d0 OR pack <> pack0")
-    placed = later.select("d", repeats.tag_of("pack").alias("tag"), "path", "place", *_place("pack")).distinct()
-    spans = placed.groupBy("d", "tag", "path", (F.col("start") - F.col("place")).alias("shift")).agg(
+    first = contents.filter("n > 1").select("anchor", "content", *[F.col(c).alias(f"{c}0") for c in ("d", "tag", "place")])
+    known = written(first.join(paths(contents), ["anchor", "content"]))
+    later = occurrences.join(known, ["anchor", "content"]).filter("d <> d0 OR tag <> tag0 OR place <> place0")
+    placed = later.select("d", "tag", "path", "offset", *_place()).distinct()
+    spans = placed.groupBy("d", "tag", "path", (F.col("start") - F.col("offset")).alias("shift")).agg(
         F.min("start").alias("low"),
         F.max(F.col("start") + F.col("length")).alias("high"),
         F.sum("length").alias("windows"),
@@ -66,24 +67,28 @@ def repeated_windows(source: DataFrame, contents: DataFrame, unit: repeats.Unit)
     """Rows ``(d, tag, start, length)``: single windows that start earlier elsewhere, in the
     first occurrences of runs whose anchor also has other contents."""
     mixed = contents.groupBy("anchor").agg(F.count(F.lit(1)).alias("contents")).filter("contents > 1").select("anchor")
-    needed = contents.join(mixed, "anchor").select("d", "pack")
+    needed = contents.join(mixed, "anchor").select("d", "tag", "place")
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        sums, at = unit.items(pa.array([b.decode() for b in repeats.unpacked(batch.column("blob"))], pa.string()))
-        hashes, d, packs = [np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty(0, np.int64)]
-        for i, (key, tag, found) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("d", "tag", "runs")))):
-            start, length = repeats.unpack(np.array([r["pack"] for r in found], dtype=np.int64))
+        items, at = unit.items(pa.array([b.decode() for b in repeats.unpacked(batch.column("blob"))], pa.string()))
+        hashes: list[bytes] = []
+        rows, places = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+        for i, found in enumerate(batch.column("runs").to_pylist()):
+            start, length = repeats.unpack(np.array([r["place"] for r in found], dtype=np.int64))
             place = np.repeat(start, length) + np.arange(length.sum()) - np.repeat(np.cumsum(length) - length, length)
-            hashes.append(repeats.window_hashes(sums, at[i] + place, unit.window))
-            d.append(np.full(len(place), key))
-            packs.append(repeats.pack(np.full(len(place), tag), place, np.ones(len(place))))
-        columns = [pa.array(np.concatenate(x), pa.int64()) for x in (hashes, d, packs)]
-        return pa.RecordBatch.from_arrays(columns, names=["hash", "d", "pack"])
+            hashes += repeats.window_hashes(items, at[i] + place, unit)
+            rows.append(np.full(len(place), i))
+            places.append(place)
+        of, place = np.concatenate(rows), np.concatenate(places)
+        d, tag = (batch.column(c).to_numpy(zero_copy_only=False)[of] for c in ("d", "tag"))
+        columns = [pa.array(hashes, pa.binary()), *(pa.array(x, pa.int64()) for x in (d, tag, place))]
+        return pa.RecordBatch.from_arrays(columns, names=["hash", "d", "tag", "start"])
 
-    windows = written(map_batches(repeats.with_texts(source, needed, ["pack"]), "hash BIGINT, d BIGINT, pack BIGINT", run, repeats.BATCH))
-    first = windows.groupBy("hash").agg(F.min(F.struct("d", "pack")).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    later = windows.join(first, "hash").filter("d <> first.d OR pack <> first.pack")
-    return later.select("d", repeats.tag_of("pack").alias("tag"), *_place("pack"))
+    schema = "hash BINARY, d BIGINT, tag BIGINT, start BIGINT"
+    windows = written(map_batches(repeats.with_texts(source, needed, ["place"]), schema, run, repeats.BATCH))
+    first = windows.groupBy("hash").agg(F.min(F.struct("d", "tag", "start")).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    later = windows.join(first, "hash").filter("d <> first.d OR tag <> first.tag OR start <> first.start")
+    return later.select("d", "tag", "start", F.lit(1).cast("bigint").alias("length"))
 
 
 def dedup(df: DataFrame, key: str = "doc_id", text: str = "text", window: int = WINDOW, seed: int = SEED) -> DataFrame:
@@ -93,7 +98,7 @@ def dedup(df: DataFrame, key: str = "doc_id", text: str = "text", window: int =
     earlier: in a document with a smaller key, or before in the same one. ``kept`` holds
     the other words, joined by one blank. Words are what blanks and the control characters
     9 to 13 separate. Null texts have no words. A null key comes first. Rows with equal key
-    and text are one document; equal keys with different texts go by a hash of the text.
+    and text are one document; equal keys with different texts go in an order of their own.
     """
     unit = repeats.Unit(True, window, seed)
     source = repeats.keyed(df, key, text)

@@ -1,17 +1,23 @@
 """Hashes of words and of runs of words or bytes, over whole batches of texts at once.
 
-Sums of table values times powers of an odd base, modulo 2^64: the difference of two
-prefix sums, divided by the power at its start, depends on the content alone.
+No hash here is a polynomial: a word goes through ``mix`` eight bytes at a time, so words
+of one length of up to eight bytes never collide, and long words and whole runs go through
+keyed BLAKE2. ``key`` is drawn anew for each query (``new_key``), so no text can be made
+to collide; 64-bit hashes of different words then agree by chance alone.
 """
 
 from __future__ import annotations
 
+import hashlib
+import secrets
+from collections.abc import Iterable
+
 import numpy as np
 import pyarrow as pa
 
-_BASE = 0x9E3779B97F4A7C15 | 1
-_MASK = (1 << 64) - 1
-_SEEDS = (20, 21)
+_ODD = np.uint64(0x9E3779B97F4A7C15)
+# Bytes of a word beyond which BLAKE2 hashes it.
+LONG = 256
 
 # Fixed value: bytes that separate words.
 SPACES = b"\x20\x09\x0a\x0b\x0c\x0d"
@@ -19,47 +25,85 @@ _IS_SPACE = np.zeros(256, dtype=bool)
 _IS_SPACE[list(SPACES)] = True
 
 
+def new_key() -> int:
+    return secrets.randbits(63)
+
+
 def mix(x: np.ndarray) -> np.ndarray:
-    """Spreads every input bit over all 64."""
+    """Spreads every input bit over all 64; different inputs stay different."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
     return x ^ (x >> np.uint64(31))
 
 
-def _table(seed: int) -> np.ndarray:
-    return mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(_BASE) + np.uint64(seed * 0x1234567))
-
-
-_TABLES = [_table(s) for s in _SEEDS]
-_LOWER = np.arange(256)
+_LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
+# Masks of the first bytes of eight.
+_FIRST = np.array([(1 << 8 * n) - 1 for n in range(9)], dtype=np.uint64)
+
+
+def eights(data: np.ndarray) -> np.ndarray:
+    """The eight bytes from each place as a number, zeros behind the end."""
+    padded = np.zeros(len(data) + 8, dtype=np.uint8)
+    padded[: len(data)] = data
+    return np.ndarray(len(data) + 1, dtype="<u8", buffer=padded, strides=(1,))
+
+
+def spans_hash(data: np.ndarray, start: np.ndarray, end: np.ndarray, key: int = 0) -> np.ndarray:
+    """Hash of the bytes from each ``start`` to ``end``."""
+    wide = eights(data)
+    left = end - start
+    out = mix(left.astype(np.uint64) * _ODD + np.uint64(key))
+    long = np.flatnonzero(left > LONG)
+    at = start + 0
+    open_ = np.arange(len(start))
+    if len(long):
+        open_ = np.flatnonzero(left <= LONG)
+    open_ = open_[left[open_] > 0]
+    while len(open_):
+        part = wide[at[open_]] & _FIRST[np.minimum(left[open_], 8)]
+        out[open_] = mix(out[open_] ^ part)
+        at[open_] += 8
+        left[open_] -= 8
+        open_ = open_[left[open_] > 0]
+    if len(long):
+        out[long] = digests(data, start[long], end[long], key).view(np.uint64)
+    return out
+
 
-_powers: dict[int, np.ndarray] = {}
+def digests(items: np.ndarray, start: Iterable[int], end: Iterable[int], key: int = 0) -> np.ndarray:
+    """Keyed BLAKE2 of the items from each ``start`` to ``end``, 64 bits."""
+    return np.frombuffer(b"".join(_digests(items, start, end, key, 8)), dtype=np.int64)
 
 
-def powers(n: int, inverse: bool = False) -> np.ndarray:
-    """The first ``n`` powers of the base, or of its inverse; a usual number of them is kept."""
-    kept = _powers.get(inverse)
-    if kept is None or len(kept) < n:
-        base = pow(_BASE, -1, 1 << 64) if inverse else _BASE
-        factors = np.full(max(n, 1 << 16), base, dtype=np.uint64)
-        factors[0] = 1
-        kept = np.cumprod(factors, dtype=np.uint64)
-        if n <= 1 << 20:
-            _powers[inverse] = kept
-    return kept[:n]
+def wide_digests(items: np.ndarray, start: Iterable[int], end: Iterable[int], key: int = 0) -> list[bytes]:
+    """The same with 128 bits, as bytes."""
+    return _digests(items, start, end, key, 16)
 
 
-def prefix_sums(values: np.ndarray) -> np.ndarray:
-    out = np.zeros(len(values) + 1, dtype=np.uint64)
-    np.multiply(values, powers(len(values)), out=out[1:])
-    np.cumsum(out[1:], out=out[1:])
+def _digests(items: np.ndarray, start: Iterable[int], end: Iterable[int], key: int, size: int) -> list[bytes]:
+    each = items.dtype.itemsize
+    raw = memoryview(np.ascontiguousarray(items)).cast("B")
+    fresh = hashlib.blake2b(key=key.to_bytes(8, "little"), digest_size=size).copy
+    out = []
+    for a, b in zip(np.asarray(start).tolist(), np.asarray(end).tolist()):
+        h = fresh()
+        h.update(raw[a * each : b * each])
+        out.append(h.digest())
     return out
 
 
-def spans_hash(sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """Hash of the values from each ``start`` to ``end``."""
-    return mix((sums[end] - sums[start]) * powers(len(sums), inverse=True)[start] + (end - start).astype(np.uint64))
+def chained(values: np.ndarray, start: np.ndarray, count: int, left: np.ndarray | None = None) -> np.ndarray:
+    """Hash of ``count`` values from each ``start``, in their order; of only ``left`` where
+    that is fewer."""
+    out = np.full(len(start), _ODD)
+    for k in range(count):
+        if left is None:
+            out = mix(out + values[start + k])
+        else:
+            more = left > k
+            out[more] = mix(out[more] + values[start[more] + k])
+    return out
 
 
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -93,11 +137,10 @@ class Words:
         following[: n - 1] |= ~inside[1:]
         self.end = np.flatnonzero(inside & following) + 1
         self.at = np.searchsorted(self.start, self.offsets)
-        self._fold = _LOWER if lower else np.arange(256)
+        self._lower = lower
 
-    def hashes(self, seed: int = 0) -> np.ndarray:
-        sums = prefix_sums(_TABLES[seed][self._fold][self.data])
-        return spans_hash(sums, self.start, self.end)
+    def hashes(self, key: int = 0) -> np.ndarray:
+        return spans_hash(_LOWER[self.data] if self._lower else self.data, self.start, self.end, key)
 
     def counts(self) -> np.ndarray:
         return np.diff(self.at)
@@ -110,7 +153,3 @@ def window_starts(at: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     first = np.repeat(at[:-1], counts)
     place = np.arange(total) - np.repeat(np.cumsum(counts) - counts, counts)
     return first + place, counts
-
-
-def byte_table(seed: int = 0) -> np.ndarray:
-    return _TABLES[seed]

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from tallyweave.llm.common import fresh, map_batches, written
 from tallyweave.llm.components import components
-from tallyweave.llm.hashing import Words, mix, prefix_sums, spans_hash, window_starts
+from tallyweave.llm.hashing import Words, chained, mix, new_key, window_starts
 
 REGISTERS = 120
 # Scale of the registers: base, rate, and the greatest value (16 bits).
@@ -43,16 +43,16 @@ _XOR = mix(np.arange(1, REGISTERS + 1, dtype=np.uint64))
 _TIMES = mix(np.arange(1001, REGISTERS + 1001, dtype=np.uint64)) | np.uint64(1)
 
 
-def shingle_sets(column: pa.Array, size: int) -> list[np.ndarray]:
+def shingle_sets(column: pa.Array, size: int, key: int = 0) -> list[np.ndarray]:
     """Sorted distinct hashes of each text's runs of ``size`` words, A-Z lower-cased.
 
     A text of fewer words has one run of all its words; one without words has none.
     """
     words = Words(column, lower=True)
-    sums = prefix_sums(words.hashes())
+    values = words.hashes(key)
     start, counts = window_starts(words.at, size)
-    hashes = spans_hash(sums, start, start + size)
-    short = spans_hash(sums, words.at[:-1], words.at[1:])
+    hashes = chained(values, start, size)
+    short = chained(values, words.at[:-1], size - 1, words.counts())
     at = np.concatenate([[0], np.cumsum(counts)])
     return [
         np.unique(hashes[a:b]) if b > a else short[i : i + int(n > 0)]
@@ -182,13 +182,13 @@ def block_links(
     return out
 
 
-def sketched(df: DataFrame, key: str, text: str, size: int) -> DataFrame:
+def sketched(df: DataFrame, key: str, text: str, size: int, secret: int = 0) -> DataFrame:
     """Rows ``(d, h, n_shingles, set_id, registers)``: ``d`` the key, ``h`` a hash of key
     and text; the last two null for a text without words."""
     source = df.select(F.col(key).cast("bigint").alias("d"), F.xxhash64(key, text).alias("h"), F.col(text).alias("text"))
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        sets = shingle_sets(batch.column("text"), size)
+        sets = shingle_sets(batch.column("text"), size, secret)
         sketch = registers(sets)
         ids = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]
         packed = [r.tobytes() if len(s) else None for r, s in zip(sketch, sets)]
@@ -214,7 +214,7 @@ def _bands(classes: DataFrame, rows: int) -> DataFrame:
     return map_batches(classes.select("node", "registers"), "band BIGINT, node BIGINT", run)
 
 
-def links(df: DataFrame, classes: DataFrame, key: str, text: str, size: int, percent: int) -> DataFrame:
+def links(df: DataFrame, classes: DataFrame, key: str, text: str, size: int, percent: int, secret: int = 0) -> DataFrame:
     """Verified links ``(a, b)`` between classes ``(node, h, n_shingles, registers)`` that
     connect whatever is connected by links of at least ``percent``."""
     bands = _bands(classes, rows_per_band(percent / 100))
@@ -237,7 +237,7 @@ def links(df: DataFrame, classes: DataFrame, key: str, text: str, size: int, per
     held = placed.join(source, ["node", "h"])
 
     def to_sets(batch: pa.RecordBatch) -> pa.RecordBatch:
-        sets = [s.tobytes() for s in shingle_sets(batch.column("text"), size)]
+        sets = [s.tobytes() for s in shingle_sets(batch.column("text"), size, secret)]
         names = ["coarse", "node", "n_shingles", "registers", "blocks", "block"]
         return pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(sets, pa.binary())], names=[*names, "shingles"])
 
@@ -343,14 +343,16 @@ def _links_of_large(sets: DataFrame, percent: int) -> DataFrame:
 
 def _placed(df: DataFrame, key: str, text: str, size: int, percent: int) -> DataFrame:
     """Rows ``(d, h, n_shingles, component)``, one per row of ``df``."""
-    rows = written(sketched(df, key, text, size))
+    # Shingles are told apart by 64 bits under a key of this run, which no text can foresee.
+    secret = new_key()
+    rows = written(sketched(df, key, text, size, secret))
     known = rows.filter("set_id IS NOT NULL AND d IS NOT NULL")
     grouped = known.groupBy("set_id").agg(
         F.min(F.struct("d", "h")).alias("rep"), F.first("n_shingles").alias("n_shingles"),
         F.first("registers").alias("registers"), F.count(F.lit(1)).alias("rows"),
     )
     classes = written(grouped.select("set_id", F.col("rep.d").alias("node"), F.col("rep.h").alias("h"), "n_shingles", "registers", "rows"))
-    found = links(df, classes, key, text, size, percent)
+    found = links(df, classes, key, text, size, percent, secret)
     copies = known.join(classes.filter("rows > 1").select("set_id", "node"), "set_id").filter("d <> node")
     of = components(found.union(copies.select(F.col("d").alias("a"), F.col("node").alias("b"))))
     joined = rows.join(of.withColumnRenamed("node", "d"), "d", "left")

@@ -3,8 +3,9 @@
 No match of the rank files' pattern runs from visible text into white space, and what
 follows such a place does not depend on what stands before it. So a text is cut into
 pieces there (white space and the visible text behind it), and equal pieces have equal
-tokens wherever they stand. All pieces of a batch are hashed and looked up at once; only
-unknown pieces go through the pattern, and only unknown pre-tokens through the merges.
+tokens wherever they stand. All pieces of a batch are looked up at once, by their bytes or,
+if there are over 15, by a cryptographic hash; only unknown pieces go through the pattern,
+and only unknown pre-tokens through the merges.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 import regex
 
-from tallyweave.llm.hashing import byte_table, mix, prefix_sums, spans_hash, text_bytes
+from tallyweave.llm.hashing import eights, mix, text_bytes, wide_digests
 
 # White space as UTF-8.
 _ASCII_SPACE = np.zeros(256, dtype=bool)
@@ -37,7 +38,7 @@ def spans(start: np.ndarray, count: np.ndarray) -> np.ndarray:
 
 
 class IdCache:
-    """Ids by the 128 bits of two hashes of a piece, in arrays with open addressing."""
+    """Ids by the 128 bits that stand for a piece, in arrays with open addressing."""
 
     def __init__(self, kind: type, most: int) -> None:
         self.kind, self.most = kind, most
@@ -51,6 +52,9 @@ class IdCache:
         self.ids = np.empty(0, dtype=self.kind)
         self.uses = np.empty(0, dtype=np.int32)
 
+    def _slot(self, one: np.ndarray, two: np.ndarray) -> np.ndarray:
+        return (mix(one ^ mix(two)) >> np.uint64(64 - self.bits)).astype(np.int64)
+
     def _keep_most_used(self, entries: int) -> None:
         """Drops all but the entries that were found most often."""
         order = np.sort(np.argsort(-self.uses, kind="stable")[:entries])
@@ -65,7 +69,7 @@ class IdCache:
         if not self.size:
             return out
         open_ = np.arange(len(one))
-        slot = (one >> np.uint64(64 - self.bits)).astype(np.int64)
+        slot = self._slot(one, two)
         while len(open_):
             entry = self.slots[slot]
             taken = entry >= 0
@@ -95,7 +99,7 @@ class IdCache:
             self.bits = int(self.size * 4 - 1).bit_length()
             self.slots = np.full(1 << self.bits, -1, dtype=np.int32)
             new = np.arange(self.size)
-        slot = (self.keys[new, 0] >> np.uint64(64 - self.bits)).astype(np.int64)
+        slot = self._slot(self.keys[new, 0], self.keys[new, 1])
         while len(new):
             free = np.flatnonzero(self.slots[slot] < 0)
             _, first = np.unique(slot[free], return_index=True)
@@ -136,7 +140,7 @@ class PieceEncoder:
         cut[len(data)] = False
         start = np.flatnonzero(cut)
         end = np.append(start[1:], len(data))
-        one, two = _hashes(data, start, end)
+        one, two = _keys(data, start, end)
         entry = self.pieces.find(one, two)
         at = np.searchsorted(start, offsets)
         count = np.empty(len(start), dtype=np.int64)
@@ -146,7 +150,7 @@ class PieceEncoder:
         table = self.pieces.ids
         if not known.all():
             unknown = np.flatnonzero(~known)
-            _, first, back = np.unique(one[unknown], return_index=True, return_inverse=True)
+            first, back = _distinct(one[unknown], two[unknown])
             new = unknown[first]
             texts = [raw[a:b].decode() for a, b in zip(start[new].tolist(), end[new].tolist())]
             ids, sizes = self._encode_pieces(texts)
@@ -179,7 +183,7 @@ class PieceEncoder:
         tokens = [t for s in split for t in s]
         sizes = np.fromiter(map(len, split), dtype=np.int64, count=len(split))
         data, offsets = text_bytes(pa.array(tokens, pa.string()))
-        one, two = _hashes(data, offsets[:-1], offsets[1:])
+        one, two = _keys(data, offsets[:-1], offsets[1:])
         entry = self.pretokens.find(one, two)
         known = entry >= 0
         count, place = np.zeros(len(tokens), dtype=np.int64), np.zeros(len(tokens), dtype=np.int64)
@@ -187,7 +191,7 @@ class PieceEncoder:
         table = self.pretokens.ids
         if not known.all():
             unknown = np.flatnonzero(~known)
-            _, first, back = np.unique(one[unknown], return_index=True, return_inverse=True)
+            first, back = _distinct(one[unknown], two[unknown])
             new = unknown[first]
             ids, each = self.encode_many([tokens[i] for i in new.tolist()])
             place[unknown] = (len(table) + np.cumsum(each) - each)[back]
@@ -215,7 +219,28 @@ def _blanks(data: np.ndarray) -> np.ndarray:
     return out
 
 
-def _hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    # One after the other, so that the sums of only one are held.
-    first = spans_hash(prefix_sums(byte_table(0)[data]), start, end)
-    return first, mix(spans_hash(prefix_sums(byte_table(1)[data]), start, end))
+def _keys(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """128 bits for each piece: up to 15 bytes and their number as they are, or the hash of
+    more bytes under a number that no short piece has."""
+    wide, size = eights(data), end - start
+    one = wide[start] & _FIRST[np.minimum(size, 8)]
+    two = (wide[np.minimum(start + 8, len(data))] & _FIRST[np.clip(size - 8, 0, 7)]) | (size.astype(np.uint64) << np.uint64(56))
+    long = np.flatnonzero(size > 15)
+    if len(long):
+        found = np.frombuffer(b"".join(wide_digests(data, start[long], end[long])), dtype=np.uint64).reshape(-1, 2)
+        one[long], two[long] = found[:, 0], found[:, 1] | np.uint64(0xFF << 56)
+    return one, two
+
+
+_FIRST = np.array([(1 << 8 * n) - 1 for n in range(9)], dtype=np.uint64)
+
+
+def _distinct(one: np.ndarray, two: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A row of each distinct pair, and for each row the number of its pair."""
+    order = np.lexsort((two, one))
+    a, b = one[order], two[order]
+    new = np.ones(len(order), dtype=bool)
+    new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+    back = np.empty(len(order), dtype=np.int64)
+    back[order] = np.cumsum(new) - 1
+    return order[new], back

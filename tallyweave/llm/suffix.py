@@ -20,7 +20,6 @@ from pyspark.sql import DataFrame, functions as F
 
 from tallyweave.llm import repeats
 from tallyweave.llm.common import map_batches, written
-from tallyweave.llm.hashing import byte_table, prefix_sums
 
 LENGTH, SEED = 200, 32
 # Contents of one anchor that may meet in one task; bytes of a task on average.
@@ -119,44 +118,46 @@ def repeated_starts(strings: list[bytes], length: int) -> np.ndarray:
 
 
 def _strings(source: DataFrame, needed: DataFrame, length: int) -> DataFrame:
-    """``needed`` rows ``(anchor, n, d, pack)`` with the bytes of their runs."""
-    rows = repeats.with_texts(source, needed, ["anchor", "n", "pack"])
+    """``needed`` rows ``(anchor, n, d, tag, place)`` with the bytes of their runs."""
+    rows = repeats.with_texts(source, needed, ["anchor", "n", "place"])
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         out: list[tuple] = []
-        for blob, d, found in zip(repeats.unpacked(batch.column("blob")), batch.column("d").to_pylist(), batch.column("runs").to_pylist()):
-            start, size = repeats.unpack(np.array([r["pack"] for r in found], dtype=np.int64))
+        columns = (batch.column(c).to_pylist() for c in ("d", "tag", "runs"))
+        for blob, d, tag, found in zip(repeats.unpacked(batch.column("blob")), *columns):
+            start, size = repeats.unpack(np.array([r["place"] for r in found], dtype=np.int64))
             for r, a, n in zip(found, start.tolist(), size.tolist()):
-                out.append((r["anchor"], r["n"], d, r["pack"], blob[a : a + n + length - 1]))
-        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
-        columns = [pa.array([x[i] for x in out], kind) for i, kind in enumerate(kinds)]
-        return pa.RecordBatch.from_arrays(columns, names=["anchor", "n", "d", "pack", "bytes"])
+                out.append((r["anchor"], r["n"], d, tag, a, blob[a : a + n + length - 1]))
+        kinds = (*(pa.int64() for _ in range(5)), pa.binary())
+        arrays = [pa.array([x[i] for x in out], kind) for i, kind in enumerate(kinds)]
+        return pa.RecordBatch.from_arrays(arrays, names=["anchor", "n", "d", "tag", "start", "bytes"])
 
-    return map_batches(rows, "anchor BIGINT, n BIGINT, d BIGINT, pack BIGINT, bytes BINARY", run, repeats.BATCH)
+    return map_batches(rows, "anchor BIGINT, n BIGINT, d BIGINT, tag BIGINT, start BIGINT, bytes BINARY", run, repeats.BATCH)
 
 
 SPANS = "d BIGINT, tag BIGINT, start BIGINT, length BIGINT"
 
 
-def _spans(d: np.ndarray, packed: np.ndarray, offset: np.ndarray) -> pa.Table:
+def _spans(table: pa.Table, row: np.ndarray, offset: np.ndarray) -> pa.Table:
     """Flagged windows (row and offset in its run, both in order) as spans of windows."""
-    start, _ = repeats.unpack(packed)
+    d, tag, start = (table.column(c).to_numpy()[row] for c in ("d", "tag", "start"))
     place = start + offset
-    new = np.ones(len(d), dtype=bool)
-    new[1:] = (d[1:] != d[:-1]) | (packed[1:] != packed[:-1]) | (place[1:] != place[:-1] + 1)
+    new = np.ones(len(row), dtype=bool)
+    new[1:] = (row[1:] != row[:-1]) | (place[1:] != place[:-1] + 1)
     cut = np.flatnonzero(new)
-    size = np.diff(np.append(cut, len(d)))
-    arrays = [pa.array(x.astype(np.int64)) for x in (d[cut], packed[cut] >> 40, place[cut], size)]
+    size = np.diff(np.append(cut, len(row)))
+    arrays = [pa.array(x.astype(np.int64)) for x in (d[cut], tag[cut], place[cut], size)]
     return pa.Table.from_arrays(arrays, names=["d", "tag", "start", "length"])
 
 
-def repeated_inside(source: DataFrame, contents: DataFrame, length: int) -> DataFrame:
+def repeated_inside(source: DataFrame, contents: DataFrame, unit: repeats.Unit) -> DataFrame:
     """Rows ``(d, tag, start, length)``: windows of runs that occur once as a whole, but
     whose window occurs under the same anchor in another content."""
+    length = unit.window
     groups = contents.groupBy("anchor").agg(F.count(F.lit(1)).alias("contents"), F.min("n").alias("least"))
     mixed = groups.filter("contents > 1 AND least = 1").select("anchor", (F.col("contents") > CONTENTS).alias("hot"))
-    needed = written(contents.join(mixed, "anchor").select("anchor", "hot", "n", "d", "pack"))
-    total = needed.filter("NOT hot").agg(F.sum(F.col("pack").bitwiseAND(0xFF) + length)).first()[0] or 0
+    needed = written(contents.join(mixed, "anchor").select("anchor", "hot", "n", "d", "tag", "place"))
+    total = needed.filter("NOT hot").agg(F.sum(repeats.length_of("place") + length)).first()[0] or 0
     tasks = 1 + int(total // TASK_BYTES)
 
     def sort(table: pa.Table) -> pa.Table:
@@ -167,27 +168,25 @@ def repeated_inside(source: DataFrame, contents: DataFrame, length: int) -> Data
         row = np.repeat(np.arange(len(strings)), sizes)
         offset = np.arange(len(flagged)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
         flagged &= table.column("n").to_numpy()[row] == 1
-        row, offset = row[flagged], offset[flagged]
-        return _spans(table.column("d").to_numpy()[row], table.column("pack").to_numpy()[row], offset)
+        return _spans(table, row[flagged], offset[flagged])
 
     usual = _strings(source, needed.filter("NOT hot").drop("hot"), length)
     sorted_ = usual.groupBy(F.pmod(F.xxhash64("anchor"), F.lit(tasks)).alias("task")).applyInArrow(sort, SPANS)
 
     def explode(batch: pa.RecordBatch) -> pa.RecordBatch:
         data, at = _bytes_of(batch.column("bytes"))
-        sums = prefix_sums(byte_table()[data])
         counts = np.maximum(np.diff(at) - length + 1, 0)
         row = np.repeat(np.arange(len(counts)), counts)
         offset = np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts)
-        hashes = repeats.window_hashes(sums, at[row] + offset, length)
-        start, _ = repeats.unpack(batch.column("pack").to_numpy()[row])
-        columns = [pa.array(x) for x in (hashes, batch.column("n").to_numpy()[row], batch.column("d").to_numpy()[row], batch.column("pack").to_numpy()[row] >> 40, start + offset)]
+        hashes = pa.array(repeats.window_hashes(data, at[row] + offset, unit), pa.binary())
+        n, d, tag, start = (batch.column(c).to_numpy()[row] for c in ("n", "d", "tag", "start"))
+        columns = [hashes, *(pa.array(x) for x in (n, d, tag, start + offset))]
         return pa.RecordBatch.from_arrays(columns, names=["hash", "n", "d", "tag", "start"])
 
     hot = needed.filter("hot").drop("hot")
     if hot.isEmpty():
         return sorted_
-    windows = written(map_batches(_strings(source, hot, length), "hash BIGINT, n BIGINT, d BIGINT, tag BIGINT, start BIGINT", explode, repeats.BATCH // 4))
+    windows = written(map_batches(_strings(source, hot, length), "hash BINARY, n BIGINT, d BIGINT, tag BIGINT, start BIGINT", explode, repeats.BATCH // 4))
     often = windows.groupBy("hash").agg(F.count(F.lit(1)).alias("times")).filter("times > 1").select("hash")
     split = windows.filter("n = 1").join(often, "hash").select("d", "tag", "start", F.lit(1).cast("bigint").alias("length"))
     return sorted_.union(split)
@@ -210,10 +209,9 @@ def dedup(df: DataFrame, key: str = "doc_id", text: str = "text", length: int =
     unit = repeats.Unit(False, length, seed)
     source = repeats.keyed(df, key, text)
     occurrences, contents = repeats.repeated_runs(source, unit)
-    copies = occurrences.join(contents.filter("n > 1").select("content"), "content")
-    tag = repeats.tag_of("pack").alias("tag")
-    start, size = F.shiftright("pack", 8).bitwiseAND(0xFFFFFFFF).alias("start"), F.col("pack").bitwiseAND(0xFF).alias("length")
-    gone = copies.select("d", tag, start, size).union(repeated_inside(source, contents, length))
+    copies = occurrences.join(contents.filter("n > 1").select("anchor", "content"), ["anchor", "content"])
+    whole = copies.select("d", "tag", repeats.start_of("place").alias("start"), repeats.length_of("place").alias("length"))
+    gone = whole.union(repeated_inside(source, contents, unit))
     by_text = gone.groupBy("d", "tag").agg(F.collect_list("start").alias("starts"), F.collect_list("length").alias("lengths"))
     joined = repeats.packed_texts(source).join(by_text, ["d", "tag"], "left").drop("tag")
 

@@ -92,7 +92,7 @@ def test_pieces_find_the_same_windows(monkeypatch):
     cut = repeats.runs(sums, at, unit)
 
     def windows(found):
-        text, start, length, anchor, _ = found
+        text, start, length, anchor = found
         return {(t, s + k): a for t, s, n, a in zip(text.tolist(), start.tolist(), length.tolist(), anchor.tolist()) for k in range(n)}
 
     assert windows(whole) == windows(cut)

@@ -122,13 +122,13 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 class Words:
     """Words of a batch: where each starts and ends in the bytes, and its hash.
 
-    ``at[i]`` to ``at[i + 1]`` are the words of text ``i``.
+    ``at[i]`` to ``at[i + 1]`` are the words of text ``i``; bytes in ``blanks`` separate them.
     """
 
-    def __init__(self, column: pa.Array, lower: bool = False) -> None:
+    def __init__(self, column: pa.Array, lower: bool = False, blanks: bytes = SPACES) -> None:
         self.data, self.offsets = text_bytes(column)
         n = len(self.data)
-        inside = ~_IS_SPACE[self.data]
+        inside = ~(_IS_SPACE if blanks == SPACES else np.isin(np.arange(256), list(blanks)))[self.data]
         breaks = np.ones(n + 1, dtype=bool)
         breaks[1:n] = ~inside[: n - 1] if n else True
         breaks[self.offsets] = True
@@ -145,6 +145,22 @@ class Words:
     def counts(self) -> np.ndarray:
         return np.diff(self.at)
 
+    def values(self) -> pa.Array:
+        """The words themselves, one after the other, as binary."""
+        data = _LOWER[self.data] if self._lower else self.data
+        size = self.end - self.start
+        ends = np.concatenate([[0], np.cumsum(size)])
+        inside = np.zeros(len(data) + 1, dtype=np.int8)
+        inside[self.start] += 1
+        inside[self.end] -= 1
+        packed = np.ascontiguousarray(data[np.cumsum(inside[:-1], dtype=np.int8).view(bool)])
+        return pa.Array.from_buffers(pa.large_binary(), len(size), [None, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(packed)])
+
+    def codes(self) -> tuple[np.ndarray, pa.Array]:
+        """A number for each word, equal for equal words alone, and the word of each number."""
+        coded = self.values().dictionary_encode()
+        return coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), coded.dictionary
+
 
 def window_starts(at: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     """Starts of all runs of ``size`` items that stay inside one text, and how many each text has."""

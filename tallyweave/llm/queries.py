@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyweave.llm import ann, bpe, chat, debruijn, decontaminate, language, minhash, secret_scan, suffix, wavelet
+from tallyweave.llm import ann, bpe, chat, collocations, debruijn, decontaminate, language, minhash, periodic, secret_scan, suffix, wavelet
 from tallyweave.llm.common import read
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -203,6 +203,102 @@ def op10_wavelet(spark: SparkSession, folder: str) -> DataFrame:
     return wavelet.read_documents(wavelet.write_shards(documents, TOKENIZER, public_tokenizers.PATTERN))
 
 
+def with_planted_periods(documents: DataFrame) -> DataFrame:
+    """A tenth of the texts, by the checksum of their key, repeat some words to their end."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    g = F.floor(h / 10)
+
+    def planted(words):
+        n = F.size(words).cast("bigint")
+        a = g % n
+        p = 1 + F.floor((n - a) / (3 + g % 8))
+        turns = F.flatten(F.array_repeat(F.slice(words, a.cast("int") + 1, p.cast("int")), F.ceil((n - a) / p).cast("int")))
+        return F.array_join(F.concat(F.slice(words, F.lit(1), a.cast("int")), F.slice(turns, F.lit(1), (n - a).cast("int"))), " ")
+
+    words = F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+    # Bound once by the lambda, so that the text is split once.
+    changed = F.transform(F.array(words), lambda w: F.when(F.size(w) > 0, planted(w)).otherwise(""))[0]
+    return documents.withColumn("text", F.when((h % 10 == 0) & F.col("text").isNotNull(), changed).otherwise(F.col("text")))
+
+
+def op11_periodic(spark: SparkSession, folder: str) -> DataFrame:
+    """Periodic runs of every document's words, and the words without the repeats."""
+    found = periodic.collapse(with_planted_periods(read(spark, folder, "documents").select("doc_id", "text"))).drop("text")
+
+    def highest(best, r):
+        return F.when(best.isNull() | (r["length"] * best["period"] > best["length"] * r["period"]), r).otherwise(best)
+
+    none = F.lit(None).cast("struct<start:bigint,length:bigint,period:bigint>")
+    best = F.reduce("runs", none, highest)
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.select("doc_id", "collapsed", F.size("runs").cast("bigint").alias("n_runs"), best.alias("best"), F.array_join(lines, "").alias("lines")).select(
+        "doc_id", "n_runs", "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2("lines", 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+_CRC_STEP = "list_reduce([c] || range(8), lambda x, i: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)"
+
+OP11_SQL = rf"""
+WITH doc AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w0,
+    CASE WHEN text IS NULL OR doc_id IS NULL THEN 1 ELSE xor(4294967295, list_reduce(
+      [CAST(4294967295 AS BIGINT)] || list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda d: CAST(ascii(d) AS BIGINT)),
+      lambda y, b: list_transform([xor(y, b)], lambda c: {_CRC_STEP})[1])) END AS h FROM documents),
+cut AS (SELECT doc_id, w0, len(w0) AS n, h % 10 = 0 AND len(w0) > 0 AS planted, h // 10 AS g FROM doc),
+put AS (SELECT *, CASE WHEN planted THEN g % n END AS a FROM cut),
+per AS (SELECT *, CASE WHEN planted THEN 1 + (n - a) // (3 + g % 8) END AS p FROM put),
+text AS (
+  SELECT doc_id, n, CASE WHEN planted THEN list_transform(range(n), lambda i: w0[CASE WHEN i < a THEN i ELSE a + (i - a) % p END + 1]) ELSE w0 END AS w
+  FROM per),
+word AS (SELECT doc_id, n, unnest(w) AS x, unnest(range(n)) AS i FROM text),
+pair AS (
+  SELECT a.doc_id, a.i, b.i - a.i AS q FROM word a JOIN word b ON a.doc_id = b.doc_id AND a.x = b.x AND b.i > a.i AND 3 * (b.i - a.i) <= a.n),
+island AS (SELECT doc_id, q, min(i) AS s, count(*) + q AS m FROM (SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS k FROM pair)
+  GROUP BY doc_id, q, k),
+run AS (SELECT doc_id, s, m, min(q) AS q FROM island WHERE m >= greatest(24, 3 * q) GROUP BY doc_id, s, m),
+gone AS (SELECT DISTINCT doc_id, unnest(range(s + q, s + m)) AS i FROM run),
+kept AS (SELECT doc_id, string_agg(x, ' ' ORDER BY i) AS t FROM word ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id),
+best AS (SELECT DISTINCT ON (doc_id) doc_id, s, m, q FROM run ORDER BY doc_id, m::DOUBLE / q DESC, s, q),
+said AS (SELECT doc_id, count(*) AS k, string_agg(s || ',' || m || ',' || q || chr(10), '' ORDER BY s, q) AS t FROM run GROUP BY doc_id)
+SELECT doc.doc_id, CAST(coalesce(k, 0) AS BIGINT) AS n_runs, CAST(s AS BIGINT) AS start, CAST(m AS BIGINT) AS length, CAST(q AS BIGINT) AS period,
+  CAST(1000 * m // q AS BIGINT) AS exponent_milli, sha256(coalesce(said.t, '')) AS runs_sha256, sha256(coalesce(kept.t, '')) AS collapsed_sha256
+FROM doc LEFT JOIN said USING (doc_id) LEFT JOIN best USING (doc_id) LEFT JOIN kept USING (doc_id)"""
+
+
+def op12_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    """The phrases of each language that stand out most."""
+    return collocations.mine(read(spark, folder, "documents").select("text", "lang"))
+
+
+OP12_SQL = r"""
+WITH piece AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS t FROM documents),
+words AS (SELECT lang, regexp_extract_all(t, '[^\x20\x09]+') AS w FROM piece),
+total AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM words GROUP BY lang),
+gram AS (
+  SELECT lang, m, array_to_string(list_slice(w, i, i + m - 1), ' ') AS phrase
+  FROM (SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM words, range(1, 6) AS s(m) WHERE len(w) >= m)),
+f AS (SELECT lang, m, phrase, count(*) AS c FROM gram GROUP BY ALL HAVING count(*) >= 100),
+cand AS (SELECT lang, m, phrase, c AS a, string_split(phrase, ' ') AS w FROM f WHERE m >= 2),
+cut AS (
+  SELECT lang, phrase, a, k, array_to_string(w[1:k], ' ') AS x, array_to_string(w[k + 1:], ' ') AS y
+  FROM (SELECT *, unnest(range(1, m)) AS k FROM cand)),
+scored AS (
+  SELECT cut.lang, cut.phrase, a, k, x.c AS l, y.c AS r, n, (1000::HUGEINT * a * n) // (x.c::HUGEINT * y.c) AS score
+  FROM cut JOIN f x ON x.lang = cut.lang AND x.phrase = cut.x JOIN f y ON y.lang = cut.lang AND y.phrase = cut.y JOIN total ON total.lang = cut.lang),
+best AS (SELECT DISTINCT ON (lang, phrase) * FROM scored ORDER BY lang, phrase, score, k),
+inside AS (
+  SELECT lang, array_to_string(w[i:i + s - 1], ' ') AS phrase, max(a) AS longer
+  FROM (SELECT *, unnest(range(1, m - s + 2)) AS i FROM (SELECT *, unnest(range(2, m)) AS s FROM cand)) GROUP BY ALL),
+kept AS (SELECT best.* FROM best LEFT JOIN inside USING (lang, phrase) WHERE longer IS NULL OR 100 * longer < 100 * a),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT lang, rank, phrase, a, l, r, n, CAST(score AS BIGINT) AS score FROM ranked WHERE rank <= 2000"""
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     """The stages of ``corpus_pipeline`` one after the other."""
     import corpus_pipeline
@@ -214,9 +310,10 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_minhash, op2_bpe, op3_secrets, op4_decontaminate, op5_chat, op6_suffix, op7_language, op8_debruijn, op9_neighbours,
-        op10_wavelet, pipeline,
+        op10_wavelet, op11_periodic, op12_collocations, pipeline,
     )
 }
 ORACLES: dict[str, str] = {
     "op1_minhash": OP1_SQL, "op4_decontaminate": OP4_SQL, "op5_chat": OP5_SQL, "op6_suffix": OP6_SQL, "op8_debruijn": OP8_SQL,
+    "op11_periodic": OP11_SQL, "op12_collocations": OP12_SQL,
 }

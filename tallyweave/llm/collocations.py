@@ -8,8 +8,8 @@ out the same way at the end. Spark brings the runs of each prefix (label and the
 words) together and merges them, so a phrase that fills the corpus costs one row per run.
 
 Phrases are counted length by length: one of ``k`` words can only be frequent if both of its
-parts of ``k - 1`` words are. A table of ``FILTER_BITS`` bits, as large for any input, tells
-which phrases may be; bits that two phrases share only let more through, never less.
+parts of ``k - 1`` words are. A table of bits, as large for any input, tells which phrases
+may be; bits that two phrases share only let more through, never less.
 """
 
 from __future__ import annotations
@@ -20,15 +20,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from tallyweave.llm import bits
 from tallyweave.llm.common import ROWS_HANDED, give_back_memory, in_small_batches, written
-from tallyweave.llm.hashing import Words, chained, new_key, spans_hash
+from tallyweave.llm.hashing import Words, chained, mix, new_key, spans_hash
 
 # What ends a piece, and what separates words in it.
 ENDS, BLANKS = b".,;:!?\x0a\x0b\x0c\x0d", b"\x20\x09"
 # Entries of a container before it bursts, of a task's trie before it spills, and words
 # that a task numbers.
 BURST, ENTRIES, WORDS = 4_096, 300_000, 300_000
-FILTER_BITS = 26
 BATCH = 700_000
 RUNS = "label STRING, prefix STRING, phrase STRING, n BIGINT"
 
@@ -145,9 +145,9 @@ class _Counter:
         self.words.clear()
 
 
-def _bit_of(labels: np.ndarray, words: np.ndarray, start: np.ndarray, size: int) -> np.ndarray:
-    """Place in the table of bits of the phrases of ``size`` words from each start."""
-    return chained(words, start, size, None) * np.uint64(3) + labels[start] >> np.uint64(64 - FILTER_BITS)
+def _phrase_hashes(labels: np.ndarray, words: np.ndarray, start: np.ndarray, size: int) -> np.ndarray:
+    """Hash of the phrase of ``size`` words from each start, and of its label."""
+    return mix(chained(words, start, size) ^ labels[start])
 
 
 def _hashes(values: pa.Array, key: int) -> np.ndarray:
@@ -179,12 +179,10 @@ def runs(texts: DataFrame, size: int, key: int, may_be: np.ndarray | None = None
             codes, values = words.codes()
             start = _starts(words, size)
             if shared is not None and len(start):
-                bits = shared.value
                 hashed = _hashes(values, key)[codes]
                 marks = _hashes(pa.array([x.encode() for x in names], pa.large_binary()), key)[label]
                 for offset in (0, 1):
-                    at = _bit_of(marks, hashed, start + offset, size - 1)
-                    start = start[bits[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63)) & np.uint64(1) == 1]
+                    start = start[bits.may_hold(shared.value, _phrase_hashes(marks, hashed, start + offset, size - 1))]
             if not len(start):
                 continue
             first, n = _distinct(label, codes, start, size, len(values))
@@ -234,20 +232,12 @@ def _bits(frequent: DataFrame, size: int, key: int) -> np.ndarray:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            words = Words(batch.column("phrase"), blanks=b" ")
-            _, values = codes = words.codes()
-            hashed = _hashes(values, key)[codes[0]]
+            codes, values = Words(batch.column("phrase"), blanks=b" ").codes()
             marks = np.repeat(_hashes(batch.column("label").cast(pa.large_binary()), key), size)
-            at = _bit_of(marks, hashed, np.arange(0, len(hashed), size), size)
-            columns = [(at >> np.uint64(6)).astype(np.int64), (np.uint64(1) << (at & np.uint64(63))).view(np.int64)]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["place", "bits"])
-
-    found = frequent.select("label", "phrase").mapInArrow(run, "place BIGINT, bits BIGINT")
-    # At most 2^20 rows, however many phrases there are.
-    rows = found.groupBy("place").agg(F.bit_or("bits").alias("bits")).toArrow()
-    out = np.zeros(1 << FILTER_BITS - 6, dtype=np.uint64)
-    out[rows.column("place").to_numpy()] = rows.column("bits").to_numpy().view(np.uint64)
-    return out
+            found = _phrase_hashes(marks, _hashes(values, key)[codes], np.arange(0, len(codes), size), size)
+            yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64))], names=["h"])
+
+    return bits.table(frequent.select("label", "phrase").mapInArrow(run, "h BIGINT"))
 
 
 def frequent_phrases(texts: DataFrame, longest: int, least: int) -> tuple[DataFrame, DataFrame]:
@@ -258,10 +248,10 @@ def frequent_phrases(texts: DataFrame, longest: int, least: int) -> tuple[DataFr
     totals = single.filter("phrase IS NULL").select("label", F.col("n").alias("total"))
     found = here = single.filter("phrase IS NOT NULL").withColumn("size", F.lit(1))
     for size in range(2, longest + 1):
-        bits = _bits(here, size - 1, key)
-        if not bits.any():
+        shorter = _bits(here, size - 1, key)
+        if not shorter.any():
             break
-        here = written(merged(runs(texts, size, key, bits)).filter(F.col("n") >= least)).withColumn("size", F.lit(size))
+        here = written(merged(runs(texts, size, key, shorter)).filter(F.col("n") >= least)).withColumn("size", F.lit(size))
         found = found.union(here)
     return found, totals
 

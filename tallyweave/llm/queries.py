@@ -5,7 +5,9 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyweave.llm import ann, bpe, chat, collocations, debruijn, decontaminate, language, minhash, periodic, secret_scan, suffix, wavelet
+from tallyweave.llm import (
+    ann, bpe, chat, collocations, debruijn, decontaminate, language, minhash, overlap, periodic, secret_scan, suffix, wavelet,
+)
 from tallyweave.llm.common import read
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -299,6 +301,29 @@ ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a
 SELECT lang, rank, phrase, a, l, r, n, CAST(score AS BIGINT) AS score FROM ranked WHERE rank <= 2000"""
 
 
+def op13_overlap(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents connected by a similarity of 0.85 or more of their 4-word shingles."""
+    return overlap.groups(read(spark, folder, "documents").select("doc_id", "text"), size=4, percent=85)
+
+
+OP13_SQL = r"""
+WITH RECURSIVE doc AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS w FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 4 THEN [list_slice(w, i, i + 3) FOR i IN range(1, len(w) - 2)]
+    WHEN len(w) > 0 THEN [w] ELSE [] END) AS s FROM doc),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY 1),
+shared AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM shingles a JOIN shingles b USING (s)
+  WHERE a.doc_id <> b.doc_id GROUP BY 1, 2),
+links AS (
+  SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * k >= 85 * (x.n + y.n - k)),
+reach AS (SELECT doc_id, doc_id AS r FROM doc UNION SELECT reach.doc_id, b FROM reach JOIN links ON r = a)
+SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, min(r) AS component_id
+FROM reach LEFT JOIN sizes USING (doc_id) GROUP BY doc_id, n"""
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     """The stages of ``corpus_pipeline`` one after the other."""
     import corpus_pipeline
@@ -310,10 +335,11 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_minhash, op2_bpe, op3_secrets, op4_decontaminate, op5_chat, op6_suffix, op7_language, op8_debruijn, op9_neighbours,
-        op10_wavelet, op11_periodic, op12_collocations, pipeline,
+        op10_wavelet, op11_periodic, op12_collocations, op13_overlap, pipeline,
     )
 }
 ORACLES: dict[str, str] = {
     "op1_minhash": OP1_SQL, "op4_decontaminate": OP4_SQL, "op5_chat": OP5_SQL, "op6_suffix": OP6_SQL, "op8_debruijn": OP8_SQL,
     "op11_periodic": OP11_SQL, "op12_collocations": OP12_SQL,
+    "op13_overlap": OP13_SQL,
 }

@@ -295,10 +295,13 @@ def slice_rows(df: DataFrame, **equals: str) -> DataFrame:
     return df
 
 
+def leading_tokens(folded: str, tokens: int = 2) -> Column:
+    return F.array_join(F.slice(F.split(folded, " "), 1, tokens), " ")
+
+
 def token_pattern_top_k(df: DataFrame, folded: str, order: str, k: int = 10, tokens: int = 2) -> DataFrame:
     """Most common leading tokens of a folded name; ties go to the first seen."""
-    pattern = F.array_join(F.slice(F.split(folded, " "), 1, tokens), " ")
-    counts = df.groupBy(pattern.alias("pattern")).agg(F.count(F.lit(1)).alias("n"), F.min(order).alias("first_seen"))
+    counts = df.groupBy(leading_tokens(folded, tokens).alias("pattern")).agg(F.count(F.lit(1)).alias("n"), F.min(order).alias("first_seen"))
     return counts.orderBy(F.desc("n"), "first_seen", "pattern").limit(k)
 
 
@@ -353,6 +356,14 @@ def match_rate(df: DataFrame, flags: Sequence[str], matched: Column, counted: Co
     entries = F.array(
         *[F.struct(F.lit(f).alias("source"), F.col(f"n_{f}").alias("total"), F.col(f"m_{f}").alias("matched")) for f in flags]
     )
-    rate = F.coalesce(F.try_divide(F.col("matched"), F.col("total")), F.lit(0.0))
-    text = F.format_string("%d/%d (%.1f%%)", F.col("matched"), F.col("total"), rate * 100)
-    return totals.select(F.inline(entries)).select("source", "total", "matched", rate.alias("rate"), text.alias("rate_text"))
+    matched, total = F.col("matched"), F.col("total")
+    found = totals.select(F.inline(entries))
+    return found.select("source", "total", "matched", _rate(matched, total).alias("rate"), rate_text(matched, total).alias("rate_text"))
+
+
+def _rate(matched: Column, total: Column) -> Column:
+    return F.coalesce(F.try_divide(matched, total), F.lit(0.0))
+
+
+def rate_text(matched: Column, total: Column) -> Column:
+    return F.format_string("%d/%d (%.1f%%)", matched, total, _rate(matched, total) * 100)

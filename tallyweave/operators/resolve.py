@@ -18,9 +18,13 @@ from tallyweave.functions.names import (
 )
 from tallyweave.functions.numbers import blank_to_null, parse_digits
 from tallyweave.operators.keys import dedup, latest_per_key
-from tallyweave.operators.measures import match_rate, token_pattern_top_k
-from tallyweave.operators.similarity import similar_pairs
-from tallyweave.session import cut_lineage
+from tallyweave.operators.measures import leading_tokens, rate_text
+from tallyweave.operators.similarity import best_entries
+from tallyweave.session import shared
+
+
+# Leading words of open names that an audit shows.
+PATTERNS = 10
 
 
 @dataclass(frozen=True)
@@ -174,26 +178,18 @@ def similarity_join(
         name, F.explode(F.array_distinct(F.array(F.col(folded), alias_name(folded, rules.prefixes)))).alias("a")
     )
     first_entries = Window.partitionBy("variant").orderBy("canonical", "group")
-    entries = targets.withColumn("_n", F.row_number().over(first_entries)).filter(F.col("_n") <= k).drop("_n")
-    pairs = similar_pairs(
-        spelled.select(F.col("a").alias("text")), targets.select(F.col("variant").alias("text")), threshold
-    ).withColumn("score", F.bround("score", 3))
-    scored = pairs.join(entries, pairs["b"] == entries["variant"]).groupBy("a", "canonical", "group").agg(
-        F.max("score").alias("score")
-    )
+    entries = targets.withColumn("_n", F.row_number().over(first_entries)).filter(F.col("_n") <= k)
+    register = entries.groupBy(F.col("variant").alias("text")).agg(F.collect_list(F.struct("canonical", "group")).alias("entries"))
+    found = best_entries(spelled.select(F.col("a").alias("text")), register, threshold, k).withColumn("score", F.bround("score", 3))
+    scored = found.groupBy("a", "canonical", "group").agg(F.max("score").alias("score"))
     best = rank_candidates(scored, "a", k).drop("rank")
     per_name = spelled.join(best, "a").groupBy(name, "canonical", "group").agg(F.max("score").alias("score"))
     return rank_candidates(per_name, name, k).select(name, "rank", "canonical", "group", "score")
 
 
-def best_and_second(candidates: DataFrame, name: str, columns: Sequence[str]) -> DataFrame:
-    """Columns of rank 1 and 2 side by side as ``first_`` and ``second_``."""
-    picked = [
-        F.max(F.when(F.col("rank") == r, F.col(c))).alias(f"{label}_{c}")
-        for r, label in ((1, "first"), (2, "second"))
-        for c in columns
-    ]
-    return candidates.filter("rank <= 2").groupBy(name).agg(*picked)
+def best_and_second(candidates: Column, columns: Sequence[str]) -> list[Column]:
+    """Columns of rank 1 and 2 of an array of candidates, as ``first_`` and ``second_``."""
+    return [F.get(candidates, i)[c].alias(f"{label}_{c}") for i, label in ((0, "first"), (1, "second")) for c in columns]
 
 
 def similarity_accepted(
@@ -206,46 +202,70 @@ def similarity_accepted(
     return F.coalesce((first >= accept) & ahead & agrees, F.lit(False))
 
 
-def nearest_magnitude(
-    candidates: DataFrame, names: DataFrame, name: str, rules: NameRules, min_gap: int = K.MAGNITUDE_GAP
-) -> DataFrame:
-    """Pick among namesakes by size: ``(name, canonical, group, note)``.
+def magnitude_choice(candidates: Column, folded: Column, weight: Column, rules: NameRules, min_gap: int = K.MAGNITUDE_GAP) -> Column:
+    """Pick among namesakes by size: a struct ``(canonical, group, note)``, or NULL.
 
     Applies to names with a ``magnitude`` rule, among candidates whose folded name is
     the same and that have a count. The nearest count wins if the next one is at least
-    ``min_gap`` further away and the winner is in the expected group.
+    ``min_gap`` further away and the winner is in the expected group. ``candidates`` is a
+    name's array of ``(rank, canonical, group, count)``.
     """
-    schema = "name string, canonical string, `group` string, size_note string"
+    none = F.lit(None).cast("struct<canonical:string,group:string,note:string>")
     if not rules.magnitude:
-        return names.sparkSession.createDataFrame([], schema).withColumnRenamed("name", name)
-    ruled = names.filter(F.col("folded").isin(list(rules.magnitude)) & F.col("weight").isNotNull())
-    pairs = [F.lit(x) for item in rules.magnitude.items() for x in item]
-    expected = F.try_element_at(F.create_map(*pairs), F.col("folded"))
-    namesakes = candidates.join(ruled.select(name, "folded", "weight", expected.alias("_expected")), name).filter(
-        (rules.fold("canonical") == F.col("folded")) & F.col("count").isNotNull()
-    )
-    # At most the kept candidates per name, so this window is short.
-    order = Window.partitionBy(name).orderBy("_gap", "rank")
-    ranked = (
-        namesakes.withColumn("_gap", F.abs(F.col("count") - F.col("weight")))
-        .withColumn("_place", F.row_number().over(order))
-        .withColumn("_next_gap", F.lead("_gap").over(order))
-        .withColumn("_next_count", F.lead("count").over(order))
-    )
-    note = F.format_string(
-        "observed count %d is nearer to %d than to %d, the next namesake", "weight", "count", "_next_count"
+        return none
+    expected = F.try_element_at(F.create_map(*[F.lit(x) for item in rules.magnitude.items() for x in item]), folded)
+    same = F.filter(candidates, lambda c: (rules.fold(c["canonical"]) == folded) & c["count"].isNotNull())
+    near = F.array_sort(
+        F.transform(
+            same,
+            lambda c: F.struct(
+                F.abs(c["count"] - weight).alias("gap"), c["rank"].alias("rank"), c["canonical"].alias("canonical"),
+                c["group"].alias("group"), c["count"].alias("count"),
+            ),
+        )
     )
-    return ranked.filter(
-        (F.col("_place") == 1) & (F.col("_next_gap") - F.col("_gap") >= min_gap) & (F.col("group") == F.col("_expected"))
-    ).select(name, "canonical", "group", note.alias("size_note"))
+
+    def choice(ranked: Column) -> Column:
+        first, second = F.get(ranked, F.lit(0)), F.get(ranked, F.lit(1))
+        note = F.format_string(
+            "observed count %d is nearer to %d than to %d, the next namesake", weight, first["count"], second["count"]
+        )
+        clear = (second["gap"] - first["gap"] >= min_gap) & (first["group"] == expected)
+        return F.when(clear, F.struct(first["canonical"].alias("canonical"), first["group"].alias("group"), note.alias("note")))
+
+    # Bound once by the lambda; names without a rule or a weight are not looked into.
+    return F.when(expected.isNotNull() & weight.isNotNull(), F.transform(F.array(near), choice)[0]).otherwise(none)
+
+
+def listed_candidates(candidates: DataFrame, name: str) -> DataFrame:
+    """``(name, candidates)``: the at most ``k`` kept candidates of each name, by rank."""
+    kept = F.struct("rank", "canonical", "group", "score", "count")
+    return candidates.groupBy(name).agg(F.array_sort(F.collect_list(kept)).alias("candidates"))
+
+
+def nearest_magnitude(
+    candidates: DataFrame, names: DataFrame, name: str, rules: NameRules, min_gap: int = K.MAGNITUDE_GAP
+) -> DataFrame:
+    """``magnitude_choice`` of ranked candidates: rows ``(name, canonical, group, size_note)``."""
+    scored = candidates if "score" in candidates.columns else candidates.withColumn("score", F.lit(None).cast("double"))
+    listed = listed_candidates(scored, name).join(names.select(name, "folded", "weight"), name)
+    chosen = listed.select(name, magnitude_choice(F.col("candidates"), F.col("folded"), F.col("weight"), rules, min_gap).alias("_c"))
+    return chosen.filter(F.col("_c").isNotNull()).select(name, "_c.canonical", "_c.group", F.col("_c.note").alias("size_note"))
 
 
 @dataclass(frozen=True)
 class Resolution:
-    """One row per name, and the ranked candidates of open names; queues and audit read both."""
+    """One row per name, with the array of its ranked candidates where it was open."""
+
+    rows: DataFrame
 
-    names: DataFrame
-    candidates: DataFrame
+    @property
+    def names(self) -> DataFrame:
+        return self.rows.drop("candidates")
+
+    @property
+    def candidates(self) -> DataFrame:
+        return self.rows.select("name", F.inline("candidates"))
 
 
 def resolve_entities(
@@ -264,9 +284,8 @@ def resolve_entities(
     Excluded total or group row; hand-made mapping; unique exact key; unique alias;
     nearest size among namesakes; high-confidence similarity; place hint, which gives
     the group only; else review. Candidates are scored only for names that the first
-    four leave open. The names with their exact matches, and then the candidates, are
-    checkpointed: later steps read them several times, and a lost executor costs none
-    of the work before them.
+    four leave open. The plan is lazy: building it starts no job. The names with their exact
+    matches are dealt by name once, and all later steps reuse that exchange.
 
     ``universe`` has ``name`` and the flags; ``register`` canonical, group; ``manual``
     name, canonical, group, note; ``weights`` name, weight; ``counts`` variant, count.
@@ -278,26 +297,25 @@ def resolve_entities(
     named = named.join(weights, "name", "left") if weights is not None else named.withColumn(
         "weight", F.lit(None).cast("bigint")
     )
-    targets = register_variants(register, rules)
+    targets = shared(register_variants(register, rules), "variant")
     matches = unique_matches(named, "name", "folded", rules.variants("name"), unique_index(targets))
 
     def pair(df: DataFrame, label: str, *extra: str) -> DataFrame:
         return df.select("name", F.struct("canonical", "group", *extra).alias(label))
 
-    base = cut_lineage(named.join(pair(manual, "_manual", "note"), "name", "left").join(matches, "name", "left"))
+    base = shared(named.join(pair(manual, "_manual", "note"), "name", "left").join(matches, "name", "left"), "name")
     is_open = ~F.col("excluded") & F.col("_manual").isNull() & F.col("_direct").isNull() & F.col("_alias").isNull()
     open_names = base.filter(is_open).select("name", "folded", "weight")
     candidates = similarity_join(open_names, "name", "folded", targets, rules, threshold)
     if counts is not None:
-        # Counts are looked up for register entries that became candidates, each once.
-        entries = candidates.select("canonical", "group").distinct()
+        entries = targets.select("canonical", "group").distinct()
         candidates = candidates.join(latest_reference_count(entries, counts, rules), ["canonical", "group"], "left")
     else:
         candidates = candidates.withColumn("count", F.lit(None).cast("bigint"))
-    candidates = cut_lineage(candidates.select("name", "rank", "canonical", "group", "score", "count"))
-    sized = nearest_magnitude(candidates, open_names, "name", rules)
-    top = best_and_second(candidates, "name", ["canonical", "group", "score"])
-    joined = base.join(pair(sized, "_sized", "size_note"), "name", "left").join(top, "name", "left")
+    joined = base.join(listed_candidates(candidates, "name"), "name", "left")
+    listed = F.col("candidates")
+    chosen = magnitude_choice(listed, F.col("folded"), F.col("weight"), rules)
+    joined = joined.select("*", chosen.alias("_sized"), *best_and_second(listed, ["canonical", "group", "score"]))
 
     hint = contains_hint("folded", rules.hints)
     joined = joined.withColumn("_hint", hint)
@@ -343,22 +361,23 @@ def resolve_entities(
             excluded=F.lit("rule"), manual=F.lit("manual"), exact=F.lit("register"), alias=F.lit("register_alias"),
             size=F.lit("name_plus_size_rule"), fuzzy=F.lit("register"), hint=F.lit("municipality_location_hint"),
         ).alias("match_source"),
-        F.col("_sized.size_note").alias("size_note"),
+        F.col("_sized.note").alias("size_note"),
         by_branch(
             excluded=F.lit("total or grouped row; no group assigned"),
             manual=F.col("_manual.note"),
             exact=F.lit("exact folded name"),
             alias=F.lit("alias rule: slash, parenthesis or prefix form"),
-            size=F.col("_sized.size_note"),
+            size=F.col("_sized.note"),
             fuzzy=F.lit("high-confidence similar name; review optional"),
             hint=F.lit("group from a place named in the source; entity uncertain"),
             review=F.lit("no exact, rule, place or high-confidence match"),
         ).alias("note"),
+        "candidates",
     )
     required = F.lit(False)
     for flag in required_flags:
         required = required | F.coalesce(F.col(flag), F.lit(False))
-    return Resolution(out.withColumn("priority", priority_class("match_status", required)), candidates)
+    return Resolution(out.withColumn("priority", priority_class("match_status", required)))
 
 
 _BRANCH = {
@@ -375,10 +394,8 @@ _BRANCH = {
 
 def review_queue(resolution: Resolution, priority: str, flags: Sequence[str]) -> DataFrame:
     """Unresolved names of one priority with their two best candidates side by side."""
-    top = best_and_second(resolution.candidates, "name", ["canonical", "group", "score", "count"])
-    rows = resolution.names.filter(
-        (F.col("match_status") == K.NEEDS_MANUAL_REVIEW) & (F.col("priority") == priority)
-    ).join(top, "name", "left")
+    rows = resolution.rows.filter((F.col("match_status") == K.NEEDS_MANUAL_REVIEW) & (F.col("priority") == priority))
+    rows = rows.select("*", *best_and_second(F.col("candidates"), ["canonical", "group", "score", "count"]))
     evidence = F.coalesce(
         "size_note",
         F.when(
@@ -406,55 +423,60 @@ def resolution_audit(
     ``required_flags`` (all ``flags`` by default) make an excluded name count towards the
     relevant total; ``group_status`` is the column that says how a group was carried over.
     """
-    names = resolution.names
     wanted = F.lit(False)
     for flag in flags if required_flags is None else required_flags:
         wanted = wanted | F.coalesce(F.col(flag), F.lit(False))
     carried = F.col(group_status) if group_status else F.lit(None).cast("string")
-    text = F.lit("").alias("dataset")
-    counts = names.groupBy("priority", "match_status").agg(F.count(F.lit(1)).alias("n")).select(
-        F.lit("summary").alias("section"),
-        F.col("priority").alias("dataset"),
-        F.col("match_status").alias("item"),
-        F.col("n").cast("string").alias("value"),
-    )
-    totals = names.agg(
-        F.count(F.lit(1)).alias("total_names"),
-        F.count_if(F.col(group).isNotNull()).alias("names_with_group"),
-        F.count_if(F.col("priority") == K.REQUIRED).alias("required_total"),
-        F.count_if(F.col("priority") == K.REFERENCE_ONLY).alias("reference_only_total"),
-        F.count_if((F.col("priority") == K.REQUIRED) | ((F.col("priority") == K.EXCLUDED) & wanted)).alias("relevant_total_with_excluded"),
-        F.count_if(carried == K.HARMONIZED).alias("groups_harmonized"),
-        F.count_if(carried == K.NEEDS_REVIEW).alias("groups_needing_review"),
-    )
-    totals = totals.unpivot([], totals.columns, "item", "n").select(
-        F.lit("summary").alias("section"), text, "item", F.col("n").cast("string").alias("value")
-    )
-    rates = match_rate(names, flags, F.col(group).isNotNull(), F.col("priority") != K.EXCLUDED).select(
-        F.lit("match_rate_by_source").alias("section"),
-        F.col("source").alias("dataset"),
-        F.lit("matched_non_excluded").alias("item"),
-        F.col("rate_text").alias("value"),
-    )
-    unresolved = review_queue(resolution, K.REQUIRED, []).select(
-        F.lit("unresolved_required").alias("section"),
-        text,
-        F.col("name").alias("item"),
-        F.concat_ws(
-            "; ",
-            F.concat(F.lit("weight="), F.coalesce(F.col("weight").cast("string"), F.lit(""))),
-            F.concat(F.lit("possible_match_1="), F.coalesce("possible_match_1", F.lit(""))),
-            F.concat(F.lit("group="), F.coalesce("possible_match_1_group", F.lit(""))),
-            F.concat(F.lit("score="), F.coalesce(F.col("possible_match_1_score").cast("string"), F.lit(""))),
-        ).alias("value"),
-    )
-    open_reference = names.filter(
-        (F.col("match_status") == K.NEEDS_MANUAL_REVIEW) & (F.col("priority") == K.REFERENCE_ONLY)
+    review = F.col("match_status") == K.NEEDS_MANUAL_REVIEW
+    text, none = F.lit(""), F.lit(None).cast("string")
+
+    def line(section: str, dataset: Column, item: Column, counts: Column, of: Column | None = None, value: Column = none) -> Column:
+        """What one name adds to a line of the audit: to its count, and to how many there could be."""
+        return F.struct(
+            F.lit(section).alias("section"), dataset.alias("dataset"), item.alias("item"),
+            F.coalesce(counts, F.lit(False)).cast("bigint").alias("n"), F.coalesce(counts if of is None else of, F.lit(False)).cast("bigint").alias("of"),
+            value.alias("value"), F.col(order).alias("first"),
+        )
+
+    totals = {
+        "total_names": F.lit(True),
+        "names_with_group": F.col(group).isNotNull(),
+        "required_total": F.col("priority") == K.REQUIRED,
+        "reference_only_total": F.col("priority") == K.REFERENCE_ONLY,
+        "relevant_total_with_excluded": (F.col("priority") == K.REQUIRED) | ((F.col("priority") == K.EXCLUDED) & wanted),
+        "groups_harmonized": carried == K.HARMONIZED,
+        "groups_needing_review": carried == K.NEEDS_REVIEW,
+    }
+    asked = F.col("priority") != K.EXCLUDED
+    best = F.get("candidates", F.lit(0))
+    described = F.concat_ws(
+        "; ",
+        F.concat(F.lit("weight="), F.coalesce(F.col("weight").cast("string"), text)),
+        F.concat(F.lit("possible_match_1="), F.coalesce(best["canonical"], text)),
+        F.concat(F.lit("group="), F.coalesce(best["group"], text)),
+        F.concat(F.lit("score="), F.coalesce(best["score"].cast("string"), text)),
     )
-    patterns = token_pattern_top_k(open_reference, "folded", order).select(
-        F.lit("common_unmatched_patterns").alias("section"),
-        text,
-        F.col("pattern").alias("item"),
-        F.col("n").cast("string").alias("value"),
+    pattern = leading_tokens("folded")
+    lines = [line("summary", text, F.lit(item), counts) for item, counts in totals.items()]
+    lines += [line("summary", F.col("priority"), F.col("match_status"), F.lit(True))]
+    lines += [
+        line("match_rate_by_source", F.lit(f), F.lit("matched_non_excluded"), F.col(f) & asked & F.col(group).isNotNull(), F.col(f) & asked)
+        for f in flags
+    ]
+    lines += [F.when(review & (F.col("priority") == K.REQUIRED), line("unresolved_required", text, F.col("name"), F.lit(True), value=described))]
+    lines += [F.when(review & (F.col("priority") == K.REFERENCE_ONLY), line("common_unmatched_patterns", text, pattern, F.lit(True)))]
+    # All lines of all names in one pass, added up with a map-side step.
+    told = resolution.rows.select(F.explode(F.array(*lines)).alias("l")).filter("l IS NOT NULL").select("l.*")
+    added = told.groupBy("section", "dataset", "item").agg(
+        F.sum("n").alias("n"), F.sum("of").alias("of"), F.max("value").alias("value"), F.min("first").alias("first")
     )
-    return totals.unionByName(counts).unionByName(rates).unionByName(unresolved).unionByName(patterns)
+    # A table without names still has its totals and rates.
+    always = [("summary", "", item) for item in totals] + [("match_rate_by_source", f, "matched_non_excluded") for f in flags]
+    empty = resolution.rows.sparkSession.createDataFrame(always, "section string, dataset string, item string")
+    added = added.join(empty.withColumn("_always", F.lit(True)), ["section", "dataset", "item"], "full")
+    n, of = F.coalesce("n", F.lit(0)), F.coalesce("of", F.lit(0))
+    place = F.row_number().over(Window.partitionBy("section").orderBy(F.desc("n"), "first", "item"))
+    top = F.when(F.col("section") == "common_unmatched_patterns", place).otherwise(0)
+    value = F.when(F.col("section") == "match_rate_by_source", rate_text(n, of)).otherwise(F.coalesce("value", n.cast("string")))
+    ranked = added.withColumn("_place", top).filter(F.col("_place") <= PATTERNS)
+    return ranked.select("section", "dataset", "item", value.alias("value"))

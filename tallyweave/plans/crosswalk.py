@@ -45,14 +45,14 @@ def build_crosswalk(
     accepted = H.accepted_overrides(manual, "status", "group").select("name", "canonical", "group", "note")
     resolution = R.resolve_entities(universe, flags, required, register, accepted, rules, weight_rows, count_rows)
     grouped = H.lookup_exact(
-        resolution.names.withColumnRenamed("group", "group_source"), "group_source", group_crosswalk,
+        resolution.rows.withColumnRenamed("group", "group_source"), "group_source", group_crosswalk,
         ["source", "name", "status", "notes"], "ordinal", ["group", "group_status", "group_note"],
     )
-    resolved = R.Resolution(grouped, resolution.candidates)
-    unresolved = grouped.filter((F.col("priority") == K.REQUIRED) & (F.col("match_status") == K.NEEDS_MANUAL_REVIEW))
+    resolved = R.Resolution(grouped)
+    unresolved = resolved.names.filter((F.col("priority") == K.REQUIRED) & (F.col("match_status") == K.NEEDS_MANUAL_REVIEW))
     template = H.review_template(manual, unresolved, "name", "folded", ["group", "canonical", "status", "note"])
     return CrosswalkTables(
-        grouped,
+        resolved.names,
         R.review_queue(resolved, K.REQUIRED, flags),
         R.review_queue(resolved, K.REFERENCE_ONLY, flags),
         template,

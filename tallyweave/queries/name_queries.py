@@ -10,6 +10,7 @@ from tallyweave.operators import harmonize as H, measures as M, resolve as R
 from tallyweave.operators.coverage import harmonization_audit
 from tallyweave.operators.keys import dedup, first_sample, latest_per_key
 from tallyweave.queries import common as C
+from tallyweave.queries.similarity_sql import ratio_ctes
 
 _CROSSWALK = ["source", "name", "status", "notes"]
 _OUT = ["name", "status", "note"]
@@ -463,45 +464,89 @@ harmonized AS (SELECT c_custkey, spelling,
       ELSE '{H.CARRIED_NOTE}' END AS note
   FROM keyed LEFT JOIN exact e ON k = e.source LEFT JOIN variants v ON k = v.source LEFT JOIN folded o ON f = o.fold)"""
 
-_SETTLED_SQL = f"""{_REGISTER_SQL}, {_NAMES_SQL},
+_TRIED_SQL = f"""{_REGISTER_SQL}, {_NAMES_SQL},
 folded AS (SELECT *, {sql_fold_name('name', ['ib'])} AS folded FROM names),
 entries AS (SELECT lower(canonical) AS v, min((canonical, "group")) AS lo, max((canonical, "group")) AS hi FROM register GROUP BY 1),
-tried AS (SELECT DISTINCT name, folded, unnest([folded, {_ALIAS_SQL.format('folded')}]) AS v FROM folded),
+tried AS (SELECT DISTINCT name, folded, unnest([folded, {_ALIAS_SQL.format('folded')}]) AS v FROM folded)"""
+
+_JUDGED_SQL = f"""{_TRIED_SQL},
 hits AS (SELECT name, min(lo) AS lo, max(hi) AS hi, min(lo) FILTER (WHERE v = folded) AS dlo, max(hi) FILTER (WHERE v = folded) AS dhi
   FROM tried JOIN entries USING (v) GROUP BY name),
 weighed AS (SELECT upper(p_name) AS name, CAST(arg_max(p_size, p_partkey) AS BIGINT) AS weight FROM part GROUP BY 1),
 judged AS (SELECT f.*, w.weight, lo, hi, dlo, dhi,
     CASE WHEN contains(folded, 'anvil') THEN 'Brand#3' WHEN contains(folded, 'gizmo') THEN 'Brand#4' END AS hint
   FROM folded f LEFT JOIN weighed w USING (name) LEFT JOIN hits USING (name)),
-branched AS (SELECT *, CASE WHEN folded IN ('red ring', 'hot rod') THEN 'excluded' WHEN name = 'SMALL ROD' THEN 'manual' WHEN dlo = dhi THEN 'exact'
-    WHEN lo = hi THEN 'alias' WHEN hint IS NOT NULL THEN 'hint' ELSE 'review' END AS b FROM judged),
-settled AS (SELECT name, folded, in_sales, in_stock, weight,
+settled_first AS (SELECT *, CASE WHEN folded IN ('red ring', 'hot rod') THEN 'excluded' WHEN name = 'SMALL ROD' THEN 'manual' WHEN dlo = dhi THEN 'exact'
+    WHEN lo = hi THEN 'alias' END AS first_b FROM judged)"""
+
+
+def _outcome_sql(source: str) -> str:
+    """The resolution's columns from rows with a branch ``b``, the best candidate and the size evidence."""
+    return f"""SELECT name, folded, in_sales, in_stock, weight,
     CASE b WHEN 'excluded' THEN '{K.EXCLUDED}' WHEN 'manual' THEN '{K.MATCHED_MANUAL}' WHEN 'exact' THEN '{K.MATCHED_EXACT}'
-      WHEN 'alias' THEN '{K.MATCHED_RULE}' WHEN 'hint' THEN '{K.MATCHED_GROUP_ONLY}' ELSE '{K.NEEDS_MANUAL_REVIEW}' END AS match_status,
-    CASE b WHEN 'manual' THEN 'Small Rod' WHEN 'exact' THEN dlo[1] WHEN 'alias' THEN lo[1] END AS canonical,
-    CASE b WHEN 'manual' THEN 'Brand#9' WHEN 'exact' THEN dlo[2] WHEN 'alias' THEN lo[2] WHEN 'hint' THEN hint END AS "group",
-    CASE WHEN b IN ('excluded', 'manual', 'exact', 'alias') THEN '1.000' END AS match_confidence,
+      WHEN 'alias' THEN '{K.MATCHED_RULE}' WHEN 'size' THEN '{K.MATCHED_RULE}' WHEN 'fuzzy' THEN '{K.MATCHED_FUZZY}'
+      WHEN 'hint' THEN '{K.MATCHED_GROUP_ONLY}' ELSE '{K.NEEDS_MANUAL_REVIEW}' END AS match_status,
+    CASE b WHEN 'manual' THEN 'Small Rod' WHEN 'exact' THEN dlo[1] WHEN 'alias' THEN lo[1] WHEN 'size' THEN size_canonical WHEN 'fuzzy' THEN c1 END AS canonical,
+    CASE b WHEN 'manual' THEN 'Brand#9' WHEN 'exact' THEN dlo[2] WHEN 'alias' THEN lo[2] WHEN 'size' THEN size_group WHEN 'fuzzy' THEN g1
+      WHEN 'hint' THEN hint END AS "group",
+    CASE WHEN b IN ('excluded', 'manual', 'exact', 'alias') THEN '1.000' WHEN b = 'size' THEN '0.950' ELSE printf('%.3f', s1) END AS match_confidence,
     CASE b WHEN 'excluded' THEN 'rule' WHEN 'manual' THEN 'manual' WHEN 'exact' THEN 'register' WHEN 'alias' THEN 'register_alias'
-      WHEN 'hint' THEN 'municipality_location_hint' END AS match_source,
-    CAST(NULL AS VARCHAR) AS size_note,
+      WHEN 'size' THEN 'name_plus_size_rule' WHEN 'fuzzy' THEN 'register' WHEN 'hint' THEN 'municipality_location_hint' END AS match_source,
+    size_note,
     CASE b WHEN 'excluded' THEN 'total or grouped row; no group assigned' WHEN 'manual' THEN 'agreed by hand' WHEN 'exact' THEN 'exact folded name'
-      WHEN 'alias' THEN 'alias rule: slash, parenthesis or prefix form' WHEN 'hint' THEN 'group from a place named in the source; entity uncertain'
+      WHEN 'alias' THEN 'alias rule: slash, parenthesis or prefix form' WHEN 'size' THEN size_note
+      WHEN 'fuzzy' THEN 'high-confidence similar name; review optional' WHEN 'hint' THEN 'group from a place named in the source; entity uncertain'
       ELSE 'no exact, rule, place or high-confidence match' END AS note,
     CASE WHEN b = 'excluded' THEN '{K.EXCLUDED}' WHEN in_sales THEN '{K.REQUIRED}' ELSE '{K.REFERENCE_ONLY}' END AS priority
-  FROM branched)"""
-
-QUERIES = {n: f for n, f in list(globals().items()) if n.startswith("q_")}
-
-ORACLES = {
-    "q_resolve_settled": f"WITH {_SETTLED_SQL} SELECT * FROM settled",
-    "q_review_queue_settled": f"""WITH {_SETTLED_SQL} SELECT name, folded,
-        {', '.join(f'CAST(NULL AS {kind}) AS possible_match_{i}{c}' for i in (1, 2) for c, kind in (('', 'VARCHAR'), ('_group', 'VARCHAR'), ('_score', 'DOUBLE'), ('_count', 'BIGINT')))},
-        weight, CAST(NULL AS VARCHAR) AS size_note, in_sales, in_stock, note || '; reference only, not needed downstream' AS note
-        FROM settled WHERE match_status = '{K.NEEDS_MANUAL_REVIEW}' AND priority = '{K.REFERENCE_ONLY}'""",
-    "q_resolution_audit_settled": f"""WITH {_SETTLED_SQL},
+  FROM {source}"""
+
+
+_SETTLED_SQL = f"""{_JUDGED_SQL},
+branched AS (SELECT *, coalesce(first_b, CASE WHEN hint IS NOT NULL THEN 'hint' ELSE 'review' END) AS b, CAST(NULL AS VARCHAR) AS c1, CAST(NULL AS VARCHAR) AS g1,
+    CAST(NULL AS DOUBLE) AS s1, CAST(NULL AS VARCHAR) AS size_canonical, CAST(NULL AS VARCHAR) AS size_group, CAST(NULL AS VARCHAR) AS size_note FROM settled_first),
+settled AS ({_outcome_sql('branched')})"""
+
+
+def _candidates_sql(names: str) -> str:
+    """CTEs up to ``candidates(name, rank, canonical, group, score)`` of a query of names."""
+    return f"""spelled AS (SELECT name, v AS a FROM tried WHERE name IN ({names}) AND v <> ''),
+{ratio_ctes('SELECT a FROM spelled', 'SELECT v FROM entries', K.SIMILARITY_REVIEW)},
+scored AS (SELECT s.name, r.canonical, r."group", max(round_even(x.score, 3)) AS score FROM spelled s JOIN ratio x USING (a) JOIN register r ON lower(r.canonical) = x.b GROUP BY ALL),
+candidates AS (SELECT * FROM (SELECT name, CAST(row_number() OVER (PARTITION BY name ORDER BY score DESC, canonical, "group") AS INTEGER) AS rank, canonical, "group", score FROM scored)
+  WHERE rank <= {K.CANDIDATES_KEPT})"""
+
+
+_SIMILAR_SQL = f"{_TRIED_SQL}, {_candidates_sql('SELECT name FROM names')}"
+
+_RESOLVED_SQL = f"""{_JUDGED_SQL},
+{_candidates_sql('SELECT name FROM settled_first WHERE first_b IS NULL')},
+latest AS (SELECT p_name AS variant, CAST(p_size * 7 AS BIGINT) AS count FROM part WHERE p_size % 4 <> 0
+  QUALIFY row_number() OVER (PARTITION BY p_name ORDER BY p_partkey % 9 DESC, p_partkey) = 1),
+counted AS (SELECT c.*, l.count FROM candidates c LEFT JOIN latest l ON lower(c.canonical) = l.variant),
+namesakes AS (SELECT c.*, j.weight, abs(c.count - j.weight) AS gap FROM counted c JOIN settled_first j USING (name)
+  WHERE j.first_b IS NULL AND j.weight IS NOT NULL AND c.count IS NOT NULL AND folded IN ('old ring', 'old bolt', 'new plate') AND lower(c.canonical) = folded),
+nearest AS (SELECT *, row_number() OVER w AS place, lead(gap) OVER w AS next_gap, lead(count) OVER w AS next_count FROM namesakes
+  WINDOW w AS (PARTITION BY name ORDER BY gap, rank)),
+sized AS (SELECT name, canonical AS size_canonical, "group" AS size_group,
+    'observed count ' || weight || ' is nearer to ' || count || ' than to ' || next_count || ', the next namesake' AS size_note
+  FROM nearest WHERE place = 1 AND next_gap - gap >= {K.MAGNITUDE_GAP} AND "group" = 'Brand#2'),
+top AS (SELECT name, {', '.join(f'max({c}) FILTER (WHERE rank = {r}) AS {a}{r}' for r in (1, 2) for c, a in (('canonical', 'c'), ('"group"', 'g'), ('score', 's'), ('count', 'n')))}
+  FROM counted GROUP BY name),
+branched AS (SELECT *, coalesce(first_b, CASE WHEN size_note IS NOT NULL THEN 'size'
+    WHEN s1 >= {K.SIMILARITY_ACCEPT} AND (s2 IS NULL OR s1 - s2 >= {K.SIMILARITY_GAP}) AND (hint IS NULL OR g1 = hint) THEN 'fuzzy'
+    WHEN hint IS NOT NULL THEN 'hint' ELSE 'review' END) AS b FROM settled_first LEFT JOIN sized USING (name) LEFT JOIN top USING (name)),
+settled AS ({_outcome_sql('branched')}),
+queue AS (SELECT s.name, s.folded, {', '.join(f'{a}{r} AS possible_match_{r}{c}' for r in (1, 2) for a, c in (('c', ''), ('g', '_group'), ('s', '_score'), ('n', '_count')))}, s.weight,
+    coalesce(s.size_note, CASE WHEN s.weight IS NOT NULL AND n1 IS NOT NULL AND n2 IS NOT NULL THEN 'counts are shown for context; size alone did not decide' END) AS size_note,
+    s.in_sales, s.in_stock, s.note, s.priority
+  FROM settled s LEFT JOIN top USING (name) WHERE match_status = '{K.NEEDS_MANUAL_REVIEW}')"""
+
+
+def _audit_sql(ctes: str, required: str, unresolved: str) -> str:
+    return f"""WITH RECURSIVE {ctes},
         totals AS (SELECT count(*) AS total_names, count("group") AS names_with_group, count(*) FILTER (WHERE priority = '{K.REQUIRED}') AS required_total,
           count(*) FILTER (WHERE priority = '{K.REFERENCE_ONLY}') AS reference_only_total,
-          count(*) FILTER (WHERE priority = '{K.REQUIRED}' OR (priority = '{K.EXCLUDED}' AND in_sales)) AS relevant_total_with_excluded,
+          count(*) FILTER (WHERE priority = '{K.REQUIRED}' OR (priority = '{K.EXCLUDED}' AND {required})) AS relevant_total_with_excluded,
           0 AS groups_harmonized, 0 AS groups_needing_review FROM settled),
         rates AS ({' UNION ALL '.join(f"""SELECT '{f}' AS f, count(*) FILTER (WHERE {f}) AS n, count(*) FILTER (WHERE {f} AND "group" IS NOT NULL) AS m
           FROM settled WHERE priority <> '{K.EXCLUDED}'""" for f in ('in_sales', 'in_stock'))}),
@@ -511,10 +556,32 @@ ORACLES = {
         {' UNION ALL '.join(f"SELECT 'summary' AS section, '' AS dataset, '{t}' AS item, CAST({t} AS VARCHAR) AS value FROM totals" for t in (
             'total_names', 'names_with_group', 'required_total', 'reference_only_total', 'relevant_total_with_excluded', 'groups_harmonized', 'groups_needing_review'))}
         UNION ALL SELECT 'summary', priority, match_status, CAST(count(*) AS VARCHAR) FROM settled GROUP BY ALL
-        UNION ALL SELECT 'match_rate_by_source', f, 'matched_non_excluded', printf('%d/%d (%.1f%%)', m, n, m * 100.0::DOUBLE / n) FROM rates
-        UNION ALL SELECT 'unresolved_required', '', name, 'weight=' || coalesce(CAST(weight AS VARCHAR), '') || '; possible_match_1=; group=; score='
-          FROM settled WHERE match_status = '{K.NEEDS_MANUAL_REVIEW}' AND priority = '{K.REQUIRED}'
-        UNION ALL SELECT 'common_unmatched_patterns', '', pattern, CAST(n AS VARCHAR) FROM patterns""",
+        UNION ALL SELECT 'match_rate_by_source', f, 'matched_non_excluded', printf('%d/%d (%.1f%%)', m, n, CASE WHEN n = 0 THEN 0.0::DOUBLE ELSE m * 100.0::DOUBLE / n END) FROM rates
+        UNION ALL {unresolved}
+        UNION ALL SELECT 'common_unmatched_patterns', '', pattern, CAST(n AS VARCHAR) FROM patterns"""
+
+
+QUERIES = {n: f for n, f in list(globals().items()) if n.startswith("q_")}
+
+ORACLES = {
+    "q_resolve_settled": f"WITH {_SETTLED_SQL} SELECT * FROM settled",
+    "q_review_queue_settled": f"""WITH {_SETTLED_SQL} SELECT name, folded,
+        {', '.join(f'CAST(NULL AS {kind}) AS possible_match_{i}{c}' for i in (1, 2) for c, kind in (('', 'VARCHAR'), ('_group', 'VARCHAR'), ('_score', 'DOUBLE'), ('_count', 'BIGINT')))},
+        weight, CAST(NULL AS VARCHAR) AS size_note, in_sales, in_stock, note || '; reference only, not needed downstream' AS note
+        FROM settled WHERE match_status = '{K.NEEDS_MANUAL_REVIEW}' AND priority = '{K.REFERENCE_ONLY}'""",
+    "q_resolution_audit_settled": _audit_sql(_SETTLED_SQL, "in_sales", f"""SELECT 'unresolved_required', '', name,
+          'weight=' || coalesce(CAST(weight AS VARCHAR), '') || '; possible_match_1=; group=; score='
+          FROM settled WHERE match_status = '{K.NEEDS_MANUAL_REVIEW}' AND priority = '{K.REQUIRED}'"""),
+    "q_similarity_top5": f"""WITH RECURSIVE {_SIMILAR_SQL} SELECT * FROM candidates""",
+    "q_resolve": f"""WITH RECURSIVE {_RESOLVED_SQL} SELECT * FROM settled""",
+    "q_review_queue": f"""WITH RECURSIVE {_RESOLVED_SQL} SELECT * EXCLUDE (priority) FROM queue WHERE priority = '{K.REQUIRED}'""",
+    "q_resolution_audit": _audit_sql(_RESOLVED_SQL, "(in_sales OR in_stock)", f"""SELECT 'unresolved_required', '', name,
+          'weight=' || coalesce(CAST(weight AS VARCHAR), '') || '; possible_match_1=' || coalesce(possible_match_1, '') || '; group=' || coalesce(possible_match_1_group, '')
+          || '; score=' || coalesce(CAST(possible_match_1_score AS VARCHAR), '') FROM queue WHERE priority = '{K.REQUIRED}'"""),
+    "q_dq_queue": f"""WITH RECURSIVE {_RESOLVED_SQL}, both_of AS (SELECT name, name || CASE WHEN name LIKE 'Very hot%' THEN '!' ELSE '' END AS other FROM queue WHERE priority = '{K.REQUIRED}')
+        SELECT 'queue' AS "check", 'review' AS "table", name AS row_key, 'name' AS "column", '' AS observed, 'queued but resolved' AS message
+        FROM both_of WHERE name NOT IN (SELECT other FROM both_of)
+        UNION ALL SELECT 'queue', 'review', other, 'name', '', 'unresolved but not queued' FROM both_of WHERE other NOT IN (SELECT name FROM both_of)""",
     "q_assign_group": f"""WITH {_SETTLED_SQL}, listed AS (SELECT DISTINCT 'Brand#' || n AS source, 'House ' || n AS name,
           CASE WHEN n = 3 THEN 'needs_review' ELSE 'harmonized' END AS status FROM (SELECT length(p_type) % 3 + 1 AS n FROM part) WHERE n <> 2)
         SELECT s.name, s."group" AS group_source, coalesce(l.name, s."group") AS "group",

@@ -1,10 +1,7 @@
-"""Session defaults and the checkpoint folder rule."""
+"""Session defaults, the checkpoint folder rule, and parts of a plan that are computed once."""
 
 from __future__ import annotations
 
-import os
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
@@ -27,26 +24,23 @@ def local_session(cores: int | str = "*", app: str = "tallyweave", **extra: str)
 
 
 def checkpoint_folder(spark: SparkSession) -> str:
-    """The shared folder that ``spark.checkpoint.dir`` names.
-
-    Only a local session that names none gets a temporary one; a cluster session must
-    name storage that all executors share.
-    """
-    folder = spark.conf.get("spark.checkpoint.dir", None) or _own_folders.get(spark.sparkContext.applicationId)
+    """The shared folder that ``spark.checkpoint.dir`` names; without one, nothing is written."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder is None:
-        if not spark.sparkContext.master.startswith("local["):
-            raise RuntimeError("set spark.checkpoint.dir to a shared folder")
-        folder = tempfile.mkdtemp(prefix="checkpoint-", dir=os.environ.get("TMPDIR"))
-        _own_folders[spark.sparkContext.applicationId] = folder
+        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
     return folder
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the shared folder, written when the first job needs it."""
-    context = df.sparkSession.sparkContext
-    if not context.getCheckpointDir():
-        context.setCheckpointDir(checkpoint_folder(df.sparkSession))
-    return df.checkpoint(eager=False)
+def shared(df: DataFrame, *keys: str) -> DataFrame:
+    """``df`` dealt by ``keys`` in one exchange that all its readers use.
+
+    Spark reuses an exchange where two plans below it are equal, but it moves each reader's
+    choice of columns and filters below the exchange first, which makes them differ. Nothing
+    moves past the step behind this exchange, so it is computed once in a query, lazily, and
+    a lost executor costs only the lost blocks.
+    """
+    return df.repartition(*keys).mapInArrow(_unchanged, df.schema)
 
 
-_own_folders: dict[str, str] = {}
+def _unchanged(batches):
+    return batches

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import math
 import sys
+import tempfile
 import time
 from pathlib import Path
 
@@ -63,7 +64,8 @@ def main():
 
     folder = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     wanted = sys.argv[2:]
-    spark = local_session(8, **{"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "12g"})
+    shared = tempfile.mkdtemp(prefix="check-oracles-")
+    spark = local_session(8, **{"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "12g", "spark.checkpoint.dir": shared})
     spark.sparkContext.setLogLevel("ERROR")
     connection = duckdb.connect()
     for t in TABLES:

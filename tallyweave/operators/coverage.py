@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tallyweave import constants as K
 from tallyweave.operators.keys import append_sections
+from tallyweave.session import shared
 
 
 Item = tuple[str, Column, Column]
@@ -276,13 +277,15 @@ def coverage_audit(
     and counts and rows of the gaps between every ordered pair of sources. The keys behind
     each count are rows of section ``member``. ``spine`` and
     ``groups`` together hold all keys; ``sources`` says by which condition on the joined
-    row a source covers the key. Each input is read by one aggregate, not one per item.
+    row a source covers the key. Each input is read once.
     """
     flags = list(sources)
     joined = spine.withColumn("_in_spine", F.lit(True)).join(
         groups.select(key, share, F.lit(True).alias("_in_groups")), key, "full_outer"
     )
     presence = joined.withColumns({f: F.coalesce(c, F.lit(False)) for f, c in sources.items()})
+    # The counts, the keys behind them and the gaps all read this exchange.
+    presence = shared(presence.select(key, *flags, newest_period, strict, latest, components, share, "_in_spine", "_in_groups"), key)
     name = F.col(key)
     pairs = list(permutations(flags, 2))
     conditions = {

@@ -94,32 +94,6 @@ def ordered_scan(
     return joined.select(*kept, *[c.alias(n) for n, c in out.items()])
 
 
-def whole_scan(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: str,
-    last: dict[str, Column] | None = None,
-    sums: dict[str, Column] | None = None,
-    since: dict[str, tuple[Column, Column]] | None = None,
-) -> DataFrame:
-    """What ``ordered_scan`` gives, for ``keys`` whose rows fit one task: plain windows."""
-    last, sums, since = last or {}, sums or {}, since or {}
-    frame = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    running = {n: F.last(c, ignorenulls=True).over(frame) for n, c in last.items()}
-    running |= {n: F.sum(F.coalesce(c, F.lit(0))).over(frame) for n, c in sums.items()}
-    running |= {f"_cnt_{n}": F.sum(F.coalesce(c, F.lit(0))).over(frame) for n, (c, _) in since.items()}
-    rows = df.withColumns({f"_mark_{n}": m for n, (_, m) in since.items()}).withColumns(running)
-    at = {f"_at_{n}": F.last(F.when(F.col(f"_mark_{n}"), F.col(f"_cnt_{n}")), ignorenulls=True).over(frame) for n in since}
-    rows = rows.withColumns(at).withColumns({n: F.col(f"_cnt_{n}") - F.col(f"_at_{n}") for n in since})
-    return rows.drop(*[f"_{p}_{n}" for p in ("cnt", "mark", "at") for n in since])
-
-
-def split_by_length(df: DataFrame, key: str, order: str, block_rows: int = BLOCK_ROWS) -> tuple[DataFrame, DataFrame]:
-    """Rows of keys whose order numbers stay inside one block, and all other rows."""
-    longer = df.filter(F.col(order) >= block_rows).select(key).distinct()
-    return df.join(longer, key, "left_anti"), df.join(longer, key, "left_semi")
-
-
 def carry_down(
     df: DataFrame, keys: Sequence[str], order: str, value: Column, out: str, block_rows: int = BLOCK_ROWS
 ) -> DataFrame:

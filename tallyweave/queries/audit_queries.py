@@ -8,6 +8,7 @@ from tallyweave import constants as K
 from tallyweave.operators import coverage as V, keys, measures as M, quality as Q
 from tallyweave.operators.resolve import presence_matrix, review_queue
 from tallyweave.queries import common as C, measure_queries as MQ, name_queries as NQ
+from tallyweave.session import shared
 
 
 def _nation_sources(spark, folder) -> dict[str, DataFrame]:
@@ -110,8 +111,8 @@ def q_top_k(spark, folder):
 def q_coverage_audit(spark, folder):
     """The long audit of spine, entity table and group summary."""
     spine = MQ.spine(spark, folder)
-    entities = MQ.entity_outcomes(spark, folder)
-    groups = MQ.summary(spark, folder).withColumnRenamed("source_name", "name")
+    entities = shared(MQ.entity_outcomes(spark, folder), "entity")
+    groups = MQ.summary(spark, folder, entities).withColumnRenamed("source_name", "name")
     sources = {
         "reading": F.col("strict_period").isNotNull(),
         "spending": F.col("net_amount").isNotNull(),

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tallyweave.functions.numbers import school_year, stable_round
 from tallyweave.operators.measures import typed_entity_rows, unpivot_measures
+from tallyweave.session import shared
 
 METRICS = ["pct_urgent", "pct_high", "pct_rest", "pct_urgent_high"]
 MEASURES = ["gross", "net", "returned"]
@@ -95,7 +96,7 @@ def observation_cells(spark: SparkSession, folder: str) -> DataFrame:
 
 def observations(spark: SparkSession, folder: str) -> DataFrame:
     """Long observations; a cell much smaller than the mean cell is suppressed."""
-    cells = observation_cells(spark, folder)
+    cells = shared(observation_cells(spark, folder), "c_nationkey")
     least = cells.agg((F.avg("n") * 0.8).alias("least")).select("least").scalar()
 
     def percent(count: Column) -> Column:

@@ -9,6 +9,7 @@ from tallyweave.operators import joins, measures as M
 from tallyweave.operators.keys import dedup
 from tallyweave.queries import common as C
 from tallyweave.queries.common import sql_ratio, sql_round
+from tallyweave.session import shared
 
 
 def q_obs_long(spark: SparkSession, folder: str) -> DataFrame:
@@ -95,10 +96,10 @@ def q_cond_totals(spark, folder):
     return population(spark, folder)
 
 
-def denominated(spark, folder) -> DataFrame:
+def denominated(spark, folder, people: DataFrame | None = None) -> DataFrame:
     """One denominator row per year and region: the last nation's, as a keyed lookup gives."""
     return M.attach_denominators(
-        spending(spark, folder), ["year", "group_name"], "amount", population(spark, folder), "n_nationkey",
+        spending(spark, folder), ["year", "group_name"], "amount", people or population(spark, folder), "n_nationkey",
         own={"quantity": "per_source_unit"}, looked_up={"total": "per_person", "band": "per_band_person"},
     )
 
@@ -145,12 +146,13 @@ def spine(spark, folder) -> DataFrame:
     reading = M.strict_and_latest(
         obs.withColumn("own", _but("NATION_3")), "own", "school_year", "source_name", "value_pct"
     ).withColumnRenamed("own", "name")
-    money = denominated(spark, folder).filter("year = 1998").withColumn("source_name", _but("NATION_7"))
+    population_rows = shared(population(spark, folder), "n_nationkey")
+    money = denominated(spark, folder, population_rows).filter("year = 1998").withColumn("source_name", _but("NATION_7"))
     wide = M.pivot_metrics(
         money, ["source_name"], "metric", ["net", "gross"], ["amount", "per_person", "total"]
     ).withColumnRenamed("source_name", "name")
     people = dedup(
-        population(spark, folder).filter("year = 1998").select(
+        population_rows.filter("year = 1998").select(
             F.col("source_name").alias("name"), "total", "band", "n_nationkey"
         ),
         ["name"], "n_nationkey",
@@ -231,8 +233,8 @@ def q_entity_outer(spark, folder):
     return entity_outcomes(spark, folder)
 
 
-def summary(spark, folder) -> DataFrame:
-    rows = M.analysis_rows(entity_outcomes(spark, folder), "priority", "is_excluded", "source_name")
+def summary(spark, folder, entities: DataFrame | None = None) -> DataFrame:
+    rows = M.analysis_rows(entities or entity_outcomes(spark, folder), "priority", "is_excluded", "source_name")
     return joins.group_summary(
         rows, "source_name", "entity", "graduates", ["first_grade", "second_grade"],
         ["has_done", "has_graded", "has_paired"],

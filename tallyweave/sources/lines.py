@@ -6,7 +6,7 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 from functools import partial
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tallyweave import constants as K
 from tallyweave.functions.names import is_small_group
@@ -18,7 +18,8 @@ from tallyweave.functions.numbers import (
     school_year_from_label,
     strip,
 )
-from tallyweave.operators.scan import BLOCK_ROWS, carry_down, ordered_scan, split_by_length, whole_scan
+from tallyweave.operators.scan import BLOCK_ROWS, carry_down, ordered_scan
+from tallyweave.session import shared
 
 
 def parse_regex_line(
@@ -171,18 +172,21 @@ def parse_sectioned_lines(
     value that cannot be read, becomes an issue row ``(doc, line, record, issue, text)``,
     one per line, so even an endless broken record never has to be gathered.
 
-    Documents of up to ``block_rows`` lines are read in one pass of windows; longer ones
-    in blocks, with a join for what their records have in common.
+    All documents take one plan: lines are scanned in blocks of ``block_rows``, whose states
+    are carried across, so a document of any length spreads over many tasks. The lines are
+    dealt once by document and block, and once more, read, by record; records, rows and
+    issues all use that exchange.
     """
-    usual, longer = split_by_length(lines, doc, order, rules.block_rows)
-    rows, issues = _parsed(usual, doc, order, rules, False)
-    more_rows, more_issues = _parsed(longer, doc, order, rules, True)
-    return rows.unionByName(more_rows), issues.unionByName(more_issues)
+    block = F.floor(F.col(order) / rules.block_rows)
+    own = shared(lines.select(doc, order, F.col(rules.text)).withColumn("_own_block", block), doc, "_own_block").drop("_own_block")
+    placed = _placed(own, doc, order, rules, partial(ordered_scan, block_rows=rules.block_rows))
+    kept = [doc, order, "record_no", rules.text, "_kind", "_in_record", "_inline", "_trailing", "_line_inline", "_marks", "_heading", "_period"]
+    placed = shared(placed.filter((F.col("_kind").isin("year", "period")) | F.col("_in_record")).select(*kept), doc, "record_no")
+    return _parsed(placed, doc, order, rules)
 
 
-def _parsed(lines: DataFrame, doc: str, order: str, rules: SectionRules, in_blocks: bool) -> tuple[DataFrame, DataFrame]:
+def _parsed(placed: DataFrame, doc: str, order: str, rules: SectionRules) -> tuple[DataFrame, DataFrame]:
     n = len(rules.metrics)
-    placed = _placed(lines, doc, order, rules, partial(ordered_scan, block_rows=rules.block_rows) if in_blocks else whole_scan)
     used = placed.filter((F.col("_kind") == "year") | F.col("_in_record"))
     heading, period = F.col("_heading"), F.col("_period")
     headed = F.coalesce(
@@ -203,12 +207,9 @@ def _parsed(lines: DataFrame, doc: str, order: str, rules: SectionRules, in_bloc
         F.when(year_line, F.col("_trailing")).otherwise(F.array(F.col(rules.text))).alias("_values"),
         F.when(year_line, F.lit(0)).otherwise(F.col("_line_inline") + F.col("_marks") - 1).alias("_first"),
     ]
-    if in_blocks:
-        records = used.groupBy(doc, "record_no").agg(*[c.alias(name) for name, c in common.items()])
-        lines_of = used.select(*own).join(records, [doc, "record_no"])
-    else:
-        record = Window.partitionBy(doc, "record_no")
-        lines_of = used.select(*own, *[c.over(record).alias(name) for name, c in common.items()])
+    # A broken record may be endless, so its lines are joined with what they share.
+    records = used.groupBy(doc, "record_no").agg(*[c.alias(name) for name, c in common.items()])
+    lines_of = used.select(*own).join(records, [doc, "record_no"])
     good = F.col("entity").isNotNull() & F.col("period").isNotNull() & (F.col("_found") == n)
 
     metric_names = F.array(*[F.lit(m) for m in rules.metrics])

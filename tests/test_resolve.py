@@ -1,15 +1,17 @@
 import itertools
 import random
+from decimal import ROUND_HALF_EVEN, Decimal
 from difflib import SequenceMatcher
 
 import pytest
 from pyspark.sql import functions as F
 
-from helpers import rows
+from helpers import jobs_of, rows
 from tallyweave import constants as K
 from tallyweave.operators import resolve as R
 from tallyweave.operators import similarity
-from tallyweave.operators.similarity import block_candidates, similar_pairs
+from tallyweave.operators.similarity import best_entries, pairs_looked_at, similar_pairs
+from tallyweave.queries import name_queries
 
 
 def _names(seed, count, alphabet="abcd ", longest=14):
@@ -56,14 +58,72 @@ def test_small_blocks_and_places(spark, monkeypatch):
     assert similar_pairs(a, b, 1.5).count() == 0
 
 
-def test_few_pairs_are_scored():
-    # Pairs that pass the bounds, per possible pair, as the input grows.
-    shares = []
-    for count in (250, 500, 1000):
-        names = _names(5, count, "abcdefghijklmnopqrst ", 18)
-        i, _ = block_candidates(names, names, K.SIMILARITY_REVIEW)
-        shares.append(len(i) / len(names) ** 2)
-    assert max(shares) < 0.02 and shares[2] <= shares[0]
+def _wide_names(spark, folder="/root/testdata/sf0.01"):
+    """Part names with type and brand, which grow with the table."""
+    part = spark.read.parquet(f"{folder}/part.parquet")
+    return sorted(r[0] for r in part.select(F.lower(F.concat_ws(" ", "p_name", "p_type", "p_brand"))).distinct().collect())
+
+
+def _misspelled(names, seed):
+    pick = random.Random(seed)
+    out = []
+    for name in names:
+        at = pick.randrange(len(name))
+        out.append(name[:at] + pick.choice("xyz") + name[at + 1 :])
+    return out
+
+
+def _entry_tables(spark, left, right):
+    a = spark.createDataFrame([(t,) for t in left], "text string")
+    b = spark.createDataFrame([(t, [(t.title(), "g")]) for t in right], "text string, entries array<struct<canonical:string,`group`:string>>")
+    return a, b
+
+
+def test_pairs_looked_at_grow_slower_than_the_square(spark):
+    names = _wide_names(spark)
+    looked = []
+    for count in (400, 800, 1600):
+        right = random.Random(1).sample(names, count)
+        a, b = _entry_tables(spark, _misspelled(right, 2)[::4], right)
+        found = pairs_looked_at(a, b, K.SIMILARITY_REVIEW, 5).first()
+        assert found["possible"] == len(set(_misspelled(right, 2)[::4])) * count
+        looked.append(found["looked_at"])
+    assert looked[1] < 3.2 * looked[0] and looked[2] < 3.2 * looked[1] and looked[2] < 0.5 * found["possible"]
+
+
+@pytest.mark.parametrize("pivots, block", [(32, 2_000), (5, 7)])
+def test_best_entries_against_all_pairs(spark, monkeypatch, pivots, block):
+    monkeypatch.setattr(similarity, "PIVOTS", pivots)
+    monkeypatch.setattr(similarity, "BLOCK", block)
+    monkeypatch.setattr(similarity, "STRINGS_A_PIVOT", 10)
+    right = _names(11, 150) + random.Random(2).sample(_wide_names(spark), 120)
+    left = _names(12, 60) + _misspelled(right[-60:], 4)
+    a, _ = _entry_tables(spark, left, [])
+    # Some entries have several spellings, some spellings several entries.
+    entries = {t: sorted({(f"N{i % 97}", "g"), (f"N{i % 89}", "h")}) for i, t in enumerate(right)}
+    b = spark.createDataFrame(list(entries.items()), "text string, entries array<struct<canonical:string,`group`:string>>")
+    found = best_entries(a, b, 0.7, 4).withColumn("score", F.bround("score", 3)).groupBy("a", "canonical", "group").agg(F.max("score").alias("score"))
+    got = {tuple(r) for r in R.rank_candidates(found, "a", 4).select("a", "rank", "canonical", "group", "score").collect()}
+    want = set()
+    for x in set(left):
+        best = {}
+        for t, e in entries.items():
+            score = SequenceMatcher(None, x, t).ratio()
+            for name in e if score >= 0.7 else ():
+                best[name] = max(best.get(name, 0), score)
+        rounded = sorted((-_bround(s), name) for name, s in best.items())
+        want |= {(x, i + 1, *name, -s) for i, (s, name) in enumerate(rounded[:4])}
+    assert got == want and len(want) > 100
+
+
+def _bround(x):
+    return float(Decimal(repr(x)).quantize(Decimal("0.001"), ROUND_HALF_EVEN))
+
+
+def test_building_a_resolution_starts_no_job(spark):
+    folder = "/root/testdata/sf0.001"
+    for query in (name_queries.q_resolve, name_queries.q_resolution_audit, name_queries.q_similarity_top5):
+        assert jobs_of(spark, lambda: query(spark, folder)) == 0
 
 
 RULES = R.NameRules(magnitude={"vikurskoli": "North"}, count_keys={("vikurskoli", "South"): "vikurskoli sud"})

@@ -9,6 +9,7 @@ random model becomes one more span.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -73,7 +74,7 @@ def count_transitions(df: DataFrame, text: str = "text", documents: int = SAMPLE
         counts = np.zeros((2, SIZE, SIZE), dtype=np.int64)
         for document in texts_of(batch):
             spans = base_spans(document)
-            words = (m for m in TRAINING_WORD.finditer(document) if not _meets(m.start(), m.end(), spans))
+            words = _outside(TRAINING_WORD.finditer(document), spans)
             ordinary = [m[0] for m, _ in zip(words, range(SAMPLE_WORDS))]
             for label, values in ((0, ordinary), (1, _secret_values(document))):
                 for value in values:
@@ -107,17 +108,24 @@ def log_ratios(counts: np.ndarray) -> np.ndarray:
     return np.pad(np.log2(random / ordinary), ((0, 0), (0, 1)))
 
 
-def _meets(start: int, end: int, spans: list[tuple[int, int, int]]) -> bool:
-    return any(a < end and start < b for a, _, b in spans)
+def _outside(words: Iterable[re.Match], spans: list[tuple[int, int, int]]) -> Iterator[re.Match]:
+    """Words that meet no span; both are in order, so each is passed once."""
+    covered = _merged([(a, b) for a, _, b in spans])
+    i = 0
+    for m in words:
+        while i < len(covered) and covered[i][1] <= m.start():
+            i += 1
+        if i == len(covered) or covered[i][0] >= m.end():
+            yield m
 
 
 def all_spans(text: str, ratios: np.ndarray) -> list[tuple[int, int, int, float]]:
     """Base spans and words that the models call random; score in bits, 0 for base spans."""
     base = base_spans(text)
     found = [(a, kind, b, 0.0) for a, kind, b in base]
-    for m in WORD.finditer(text):
+    for m in _outside(WORD.finditer(text), base):
         word = m[0]
-        if _meets(m.start(), m.end(), base) or word.isdigit() or len(set(word)) < 6:
+        if word.isdigit() or len(set(word)) < 6:
             continue
         bits = float(ratios[_pairs(word)].sum())
         if bits >= LEAST_BITS and bits >= LEAST_BITS_EACH * len(word):

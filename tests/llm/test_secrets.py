@@ -82,3 +82,19 @@ def test_query(spark):
         assert r["base_sha256"] == hashlib.sha256(digest.encode()).hexdigest()
         assert [r["n_assign"], r["n_access"], r["n_hex"]] == [sum(k == i for _, k, _ in base) for i in range(3)]
         assert [x for x in r["spans"].split(",") if x and not x.startswith("random")] == [x for x in digest.split(",") if x]
+
+
+def test_many_spans_in_one_text():
+    import time
+
+    pick = random.Random(8)
+    word = "".join(pick.choice("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789") for _ in range(40))
+    text = " ".join(f'token="{word[i % 20 :]}" {word} plain words' for i in range(4_000))
+    ratios = S.log_ratios(np.zeros((2, S.SIZE, S.SIZE)))
+    ratios[:, :-1] = 3.0
+    start = time.perf_counter()
+    found = S.all_spans(text, ratios)
+    assert time.perf_counter() - start < 2
+    base = S.base_spans(text)
+    assert len(base) == 4_000 and sum(kind == 3 for _, kind, _, _ in found) == 4_000
+    assert not any(a < y and x < b for (a, _, b), (x, kind, y, _) in zip(base, [f for f in found if f[1] == 3]))

@@ -109,3 +109,12 @@ def test_analysis(spark):
     assert members["latest_available_fallback_groups"] == {"g2"} and members["weak_coverage_groups"] == {"g1", "g4"}
     assert members["outcomes"] == {"g1", "g4"} and members["spending_not_reading"] == {"g3"}
     assert audit[("caveat", "c")] == ("v", "d")
+
+
+def test_shared_inputs_are_read_once(spark):
+    from helpers import parquet_reads
+    from tallyweave.queries import audit_queries, registry
+
+    folder = "/root/testdata/sf0.001"
+    assert parquet_reads(registry.QUERIES["q_sectioned_lines"](spark, folder), "orders") == 1
+    assert parquet_reads(audit_queries.q_coverage_audit(spark, folder)) < 20

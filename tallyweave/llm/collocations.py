@@ -4,25 +4,31 @@ Each task counts the phrases of its texts in a HAT-trie: the label and the first
 through nodes to hash containers of the words that follow; a container that grows too large
 bursts into a node with containers of its own. When the trie has as many entries as a task
 may hold, whole subtrees, the largest first, are spilled as sorted runs; what is left goes
-out the same way at the end. Spark brings the runs of each prefix (label and the first two
-words) together and merges them, so a phrase that fills the corpus costs one row per run.
-
-Phrases are counted length by length: one of ``k`` words can only be frequent if both of its
-parts of ``k - 1`` words are. A table of bits, as large for any input, tells which phrases
-may be; bits that two phrases share only let more through, never less.
+out the same way at the end. Spark brings the runs of each part of the prefixes (label and
+the first two words) together and merges them, so a phrase that fills the corpus costs one
+entry per run.
+
+Most phrases are rare, and need not be told apart. Before the tries, passes over the texts
+count 40-bit hashes of phrases, length by length, as one of ``k`` words can only be frequent
+if both of its parts of ``k - 1`` words are: packed sorted runs of a few bytes a phrase, merged
+per range of hashes. A table of bits, as large for any input, then tells which phrases may be
+frequent; hashes that phrases share only let more of them into the tries, never fewer.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
+import zstandard
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tallyweave.llm import bits
 from tallyweave.llm.common import ROWS_HANDED, give_back_memory, in_small_batches, written
-from tallyweave.llm.hashing import Words, chained, mix, new_key, spans_hash
+from tallyweave.llm.hashing import Words, mix, new_key, spans_hash
 
 # What ends a piece, and what separates words in it.
 ENDS, BLANKS = b".,;:!?\x0a\x0b\x0c\x0d", b"\x20\x09"
@@ -30,7 +36,11 @@ ENDS, BLANKS = b".,;:!?\x0a\x0b\x0c\x0d", b"\x20\x09"
 # that a task numbers.
 BURST, ENTRIES, WORDS = 4_096, 300_000, 300_000
 BATCH = 700_000
-RUNS = "label STRING, prefix STRING, phrase STRING, n BIGINT"
+# Phrases in one run of hashes, and characters of all texts for each range of hashes.
+RUN, RANGE_CHARACTERS = 2_000_000, 8_000_000
+HASH_BITS = 40
+RUNS = "part BIGINT, run BINARY"
+_RUN = pa.schema([("label", pa.string()), ("phrase", pa.string()), ("n", pa.int64())])
 
 
 class _Node(dict):
@@ -115,8 +125,8 @@ def _paths(child: dict, path: tuple[int, ...]) -> Iterator[tuple[tuple[int, ...]
 class _Counter:
     """A task's trie, the numbers of its words, and what it spills."""
 
-    def __init__(self, burst: int, entries: int) -> None:
-        self.trie, self.entries = HatTrie(burst), entries
+    def __init__(self, burst: int, entries: int, parts: int) -> None:
+        self.trie, self.entries, self.parts = HatTrie(burst), entries, parts
         self.numbers: dict[bytes, int] = {}
         self.words: list[bytes] = []
 
@@ -135,85 +145,172 @@ class _Counter:
         for _, word in self.trie.subtrees():
             if not everything and self.trie.size <= self.entries // 2:
                 return
-            rows = sorted((tuple(map(self.words.__getitem__, path)), n) for path, n in self.trie.take(word))
-            columns = [
-                [r[0][0] for r in rows], [b" ".join(r[0][1:3]) for r in rows], [b" ".join(r[0][1:]) for r in rows], [r[1] for r in rows],
-            ]
-            texts = [pa.array(c, pa.binary()).cast(pa.string()) for c in columns[:3]]
-            yield pa.RecordBatch.from_arrays([*texts, pa.array(columns[3], pa.int64())], names=["label", "prefix", "phrase", "n"])
+            runs: dict[int, list[tuple]] = {}
+            for path, n in self.trie.take(word):
+                words = tuple(map(self.words.__getitem__, path))
+                # A prefix is a label and at most two words; its phrases all go to one part.
+                runs.setdefault(zlib.crc32(b" ".join(words[:3])) % self.parts, []).append((words[0], b" ".join(words[1:]), n))
+            yield _run_rows({part: sorted(run) for part, run in runs.items()})
         self.numbers.clear()
         self.words.clear()
 
 
-def _phrase_hashes(labels: np.ndarray, words: np.ndarray, start: np.ndarray, size: int) -> np.ndarray:
-    """Hash of the phrase of ``size`` words from each start, and of its label."""
-    return mix(chained(words, start, size) ^ labels[start])
-
-
 def _hashes(values: pa.Array, key: int) -> np.ndarray:
     offsets = np.frombuffer(values.buffers()[1], dtype=np.int64)[values.offset : values.offset + len(values) + 1]
     data = np.frombuffer(values.buffers()[2] or b"", dtype=np.uint8)
     return spans_hash(data, offsets[:-1], offsets[1:], key)
 
 
-def runs(texts: DataFrame, size: int, key: int, may_be: np.ndarray | None = None) -> DataFrame:
-    """Rows ``(label, prefix, phrase, n)``: counts of phrases of ``size`` words of ``(label,
-    text)`` rows, once or more often for each phrase. For ``size`` 1 also rows with a null
-    phrase, which count all words. ``may_be`` has the bits of shorter phrases that count."""
+def _run_rows(runs: dict[int, list[tuple]]) -> pa.RecordBatch:
+    """Rows ``(part, run)``: sorted ``(label, phrase, n)`` entries, packed and compressed."""
+    packed = []
+    for run in runs.values():
+        columns = [pa.array([r[i] for r in run], pa.binary()).cast(pa.string()) for i in (0, 1)]
+        batch = pa.RecordBatch.from_arrays([*columns, pa.array([r[2] for r in run], pa.int64())], schema=_RUN)
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, _RUN, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+            out.write_batch(batch)
+        packed.append(sink.getvalue().to_pybytes())
+    return pa.RecordBatch.from_arrays([pa.array(list(runs), pa.int64()), pa.array(packed, pa.binary())], names=["part", "run"])
+
+
+class _Phrases:
+    """Phrases of a batch of ``(label, text)`` rows."""
+
+    def __init__(self, batch: pa.RecordBatch, key: int) -> None:
+        labels = batch.column("label").dictionary_encode()
+        self.names = [x.encode() for x in labels.dictionary.to_pylist()]
+        self.words = Words(batch.column("text"), lower=True, blanks=ENDS + BLANKS)
+        self.label = np.repeat(labels.indices.to_numpy(zero_copy_only=False).astype(np.int64), self.words.counts())
+        self.codes, self.values = self.words.codes()
+        self.marks = _hashes(pa.array(self.names, pa.large_binary()), key)
+        self.hashed = _hashes(self.values, key)
+        ends = np.cumsum(np.isin(np.arange(256), list(ENDS))[self.words.data])
+        text = np.repeat(np.arange(len(batch)), self.words.counts())
+        # What changes where a piece or a text ends.
+        self.piece = ends[self.words.start] + text if len(text) else text
+
+    def starts(self, size: int) -> np.ndarray:
+        """Words from which ``size`` words stand in one piece of one text."""
+        n = max(len(self.piece) - size + 1, 0)
+        return np.flatnonzero(self.piece[:n] == self.piece[size - 1 :][:n])
+
+    def hashes(self, start: np.ndarray, size: int) -> np.ndarray:
+        """40-bit hashes of the phrases of ``size`` words from each start, with their labels."""
+        out = mix(self.marks[self.label[start]] + np.uint64(size))
+        for k in range(size):
+            out = mix(out + self.hashed[self.codes[start + k]])
+        return out >> np.uint64(64 - HASH_BITS)
+
+    def that_may_be(self, table: np.ndarray, start: np.ndarray, size: int) -> np.ndarray:
+        """Those of the starts whose phrase may be in the table."""
+        return start[bits.may_hold(table, mix(self.hashes(start, size)))]
+
+
+def _packed(values: np.ndarray, counts: np.ndarray) -> bytes:
+    """A sorted run: differences and counts, byte by byte, compressed."""
+    steps = np.diff(values, prepend=np.uint64(0))
+    planes = [steps.view(np.uint8).reshape(-1, 8).T.tobytes(), counts.astype(np.uint32).view(np.uint8).reshape(-1, 4).T.tobytes()]
+    return zstandard.ZstdCompressor(level=1).compress(b"".join(planes))
+
+
+def _unpacked(run: bytes) -> tuple[np.ndarray, np.ndarray]:
+    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(run), dtype=np.uint8)
+    n = len(raw) // 12
+    steps = np.ascontiguousarray(raw[: 8 * n].reshape(8, n).T).view(np.uint64).reshape(-1)
+    return np.cumsum(steps, dtype=np.uint64), np.ascontiguousarray(raw[8 * n :].reshape(4, n).T).view(np.uint32).reshape(-1)
+
+
+def may_be_frequent(texts: DataFrame, sizes: list[int], least: int, ranges: int, key: int, shorter: np.ndarray | None) -> list[np.ndarray]:
+    """A table of bits for each of the ``sizes``: phrases whose hash occurs ``least`` times or
+    more. ``shorter`` has those of one word less than the first size."""
     spark = texts.sparkSession
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ROWS_HANDED)
-    shared = None if may_be is None else spark.sparkContext.broadcast(may_be)
+    shared = None if shorter is None else spark.sparkContext.broadcast(shorter)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, list[np.ndarray]] = {k: [] for k in sizes}
+
+        def flush(size: int) -> pa.RecordBatch:
+            values, n = np.unique(np.concatenate(held[size]), return_counts=True)
+            held[size] = []
+            part = (values * np.uint64(ranges) >> np.uint64(HASH_BITS)).astype(np.int64)
+            parts, first = np.unique(part, return_index=True)
+            edges = [*first.tolist(), len(values)]
+            packed = [_packed(values[a:b], n[a:b]) for a, b in zip(edges, edges[1:])]
+            columns = [pa.array([size] * len(parts), pa.int32()), pa.array(parts), pa.array(packed, pa.binary())]
+            return pa.RecordBatch.from_arrays(columns, names=["size", "part", "run"])
+
+        for batch in in_small_batches(batches, BATCH):
+            phrases = _Phrases(batch, key)
+            for size in sizes:
+                start = phrases.starts(size)
+                if shared is not None:
+                    for offset in (0, 1):
+                        start = phrases.that_may_be(shared.value, start + offset, size - 1) - offset
+                if len(start):
+                    held[size].append(phrases.hashes(start, size))
+                if sum(map(len, held[size])) > RUN:
+                    yield flush(size)
+        for size in sizes:
+            if held[size]:
+                yield flush(size)
+        give_back_memory()
+
+    def merge(table: pa.Table) -> pa.Table:
+        found = [_unpacked(r) for r in table.column("run").to_pylist()]
+        values, counts = (np.concatenate(x) for x in zip(*found))
+        order = np.argsort(values, kind="stable")
+        values = values[order]
+        first = np.flatnonzero(np.concatenate([[True], values[1:] != values[:-1]]))
+        often = values[first][np.add.reduceat(counts[order].astype(np.int64), first) >= least]
+        sizes = pa.array(np.full(len(often), table.column("size")[0].as_py(), dtype=np.int32))
+        return pa.Table.from_arrays([sizes, pa.array(mix(often).view(np.int64))], names=["size", "h"])
+
+    packed = texts.select("label", "text").mapInArrow(run, "size INT, part BIGINT, run BINARY")
+    found = written(packed.groupBy("size", "part").applyInArrow(merge, "size INT, h BIGINT"))
+    return [bits.table(found.filter(F.col("size") == k).select("h")) for k in sizes]
+
+
+def runs(texts: DataFrame, key: int, may_be: list[np.ndarray], parts: int) -> DataFrame:
+    """Rows ``(part, run)`` of ``(label, text)`` rows: sorted runs of counts of the phrases of
+    ``k`` words that ``may_be[k - 1]`` lets through, dealt by their prefix, and of entries with
+    a null phrase, which count all words."""
+    spark = texts.sparkSession
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ROWS_HANDED)
+    shared = [spark.sparkContext.broadcast(table) for table in may_be]
     burst, entries = BURST, ENTRIES
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = _Counter(burst, entries)
-        totals: dict[str, int] = {}
+        counter = _Counter(burst, entries, parts)
+        totals: dict[bytes, int] = {}
         for batch in in_small_batches(batches, BATCH):
-            labels = batch.column("label").dictionary_encode()
-            names = labels.dictionary.to_pylist()
-            words = Words(batch.column("text"), lower=True, blanks=ENDS + BLANKS)
-            of_text = labels.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-            label = np.repeat(of_text, words.counts())
-            for name, n in zip(names, np.bincount(label, minlength=len(names)).tolist()):
+            phrases = _Phrases(batch, key)
+            codes, values = phrases.codes, phrases.values
+            for name, n in zip(phrases.names, np.bincount(phrases.label, minlength=len(phrases.names)).tolist()):
                 totals[name] = totals.get(name, 0) + n
-            codes, values = words.codes()
-            start = _starts(words, size)
-            if shared is not None and len(start):
-                hashed = _hashes(values, key)[codes]
-                marks = _hashes(pa.array([x.encode() for x in names], pa.large_binary()), key)[label]
-                for offset in (0, 1):
-                    start = start[bits.may_hold(shared.value, _phrase_hashes(marks, hashed, start + offset, size - 1))]
-            if not len(start):
-                continue
-            first, n = _distinct(label, codes, start, size, len(values))
+            names_at = np.array([counter.number(x) for x in phrases.names], dtype=np.int64)
             numbers = np.full(len(values), -1, dtype=np.int64)
-            used = np.unique(codes[first[:, None] + np.arange(size)])
-            numbers[used] = [counter.number(w) for w in values.take(pa.array(used)).to_pylist()]
-            names_at = np.array([counter.number(x.encode()) for x in names], dtype=np.int64)
-            paths = np.column_stack([names_at[label[first]], *(numbers[codes[first + k]] for k in range(size))])
-            for path, count in zip(map(tuple, paths.tolist()), n.tolist()):
-                counter.trie.add(path, count)
+            for size, table in enumerate(shared, start=1):
+                start = phrases.that_may_be(table.value, phrases.starts(size), size)
+                if not len(start):
+                    continue
+                first, n = _distinct(phrases.label, codes, start, size, len(values))
+                used = np.unique(codes[first[:, None] + np.arange(size)])
+                used = used[numbers[used] < 0]
+                numbers[used] = [counter.number(w) for w in values.take(pa.array(used)).to_pylist()]
+                paths = np.column_stack([names_at[phrases.label[first]], *(numbers[codes[first + k]] for k in range(size))])
+                for path, count in zip(map(tuple, paths.tolist()), n.tolist()):
+                    counter.trie.add(path, count)
             yield from counter.spilled()
         yield from counter.spilled(True)
-        if size == 1 and totals:
-            none = pa.nulls(len(totals), pa.string())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(list(totals), pa.string()), none, none, pa.array(list(totals.values()), pa.int64())], names=["label", "prefix", "phrase", "n"]
-            )
+        if totals:
+            yield _run_rows({0: [(label, None, n) for label, n in totals.items()]})
         give_back_memory()
 
     return texts.select("label", "text").mapInArrow(run, RUNS)
 
 
-def _starts(words: Words, size: int) -> np.ndarray:
-    """Words from which ``size`` words stand in one piece of one text."""
-    ends = np.cumsum(np.isin(np.arange(256), list(ENDS))[words.data])
-    text = np.repeat(np.arange(len(words.offsets) - 1), words.counts())
-    piece = ends[words.start] + text if len(words.start) else text
-    n = max(len(piece) - size + 1, 0)
-    return np.flatnonzero(piece[:n] == piece[size - 1 :][:n])
-
-
 def _distinct(label: np.ndarray, codes: np.ndarray, start: np.ndarray, size: int, many: int) -> tuple[np.ndarray, np.ndarray]:
     """A start of each distinct phrase, and how often it is there."""
     name = label[start]
@@ -222,38 +319,33 @@ def _distinct(label: np.ndarray, codes: np.ndarray, start: np.ndarray, size: int
     return start[first], n
 
 
-def merged(found: DataFrame) -> DataFrame:
-    """Rows ``(label, phrase, n)``: the runs of each prefix brought together and added up."""
-    return found.repartition("label", "prefix").groupBy("label", "prefix", "phrase").agg(F.sum("n").alias("n")).drop("prefix")
-
+def merged(found: DataFrame, least: int) -> DataFrame:
+    """Rows ``(label, phrase, n)``: the runs of each part merged, counts of ``least`` or more,
+    and all words of a label under a null phrase."""
 
-def _bits(frequent: DataFrame, size: int, key: int) -> np.ndarray:
-    """The table of bits of all phrases of ``(label, phrase)`` rows."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            codes, values = Words(batch.column("phrase"), blanks=b" ").codes()
-            marks = np.repeat(_hashes(batch.column("label").cast(pa.large_binary()), key), size)
-            found = _phrase_hashes(marks, _hashes(values, key)[codes], np.arange(0, len(codes), size), size)
-            yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64))], names=["h"])
+    def merge(table: pa.Table) -> pa.Table:
+        read = [pa.ipc.open_stream(r).read_all() for r in table.column("run").to_pylist()]
+        added = pa.concat_tables(read).group_by(["label", "phrase"]).aggregate([("n", "sum")])
+        added = added.select(["label", "phrase", "n_sum"]).rename_columns(["label", "phrase", "n"])
+        keep = pa.compute.or_(pa.compute.greater_equal(added["n"], least), pa.compute.is_null(added["phrase"]))
+        return added.filter(keep)
 
-    return bits.table(frequent.select("label", "phrase").mapInArrow(run, "h BIGINT"))
+    return found.groupBy("part").applyInArrow(merge, "label STRING, phrase STRING, n BIGINT")
 
 
 def frequent_phrases(texts: DataFrame, longest: int, least: int) -> tuple[DataFrame, DataFrame]:
     """Rows ``(label, phrase, size, n)`` of all phrases of up to ``longest`` words that occur
     ``least`` times or more under their label, and rows ``(label, total)`` of all words."""
     key = new_key()
-    single = written(merged(runs(texts, 1, key)).filter((F.col("n") >= least) | F.col("phrase").isNull()))
-    totals = single.filter("phrase IS NULL").select("label", F.col("n").alias("total"))
-    found = here = single.filter("phrase IS NOT NULL").withColumn("size", F.lit(1))
-    for size in range(2, longest + 1):
-        shorter = _bits(here, size - 1, key)
-        if not shorter.any():
-            break
-        here = written(merged(runs(texts, size, key, shorter)).filter(F.col("n") >= least)).withColumn("size", F.lit(size))
-        found = found.union(here)
-    return found, totals
+    characters = texts.agg(F.sum(F.length("text").cast("bigint"))).first()[0] or 0
+    ranges = 1 + characters // RANGE_CHARACTERS
+    may_be = may_be_frequent(texts, [1, 2][:longest], least, ranges, key, None)
+    while len(may_be) < longest and may_be[-1].any():
+        may_be += may_be_frequent(texts, [len(may_be) + 1], least, ranges, key, may_be[-1])
+    counted = written(merged(runs(texts, key, may_be, ranges), least))
+    totals = counted.filter("phrase IS NULL").select("label", F.col("n").alias("total"))
+    size = F.size(F.split("phrase", " ", -1))
+    return counted.filter("phrase IS NOT NULL").withColumn("size", size), totals
 
 
 def _exact(*factors: Column | str) -> Column:

@@ -25,6 +25,7 @@ from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame, types as T
 
 from tallyweave.llm.common import map_batches

@@ -22,6 +22,7 @@ from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, functions as F
 
 from tallyweave.llm import bits
@@ -37,8 +38,8 @@ FREQUENT, MOST_FREQUENT = 300, 1 << 18
 BLOCK, TASK_ROWS = 1_000, 4_000
 # Least and greatest bits of a signature.
 SIGNATURE = (256, 1 << 16)
-# Entries of a connected part in the lists of a query from which one of it is tried first.
-LARGE_PART = 500
+# Entries of the short lists beyond which all lists of a query are counted at once.
+HEAP = 2_000
 BATCH = 700_000
 
 
@@ -121,42 +122,38 @@ class Index:
 
     def similar(self, query: np.ndarray, percent: int, open_: np.ndarray, connected: np.ndarray) -> list[int]:
         """Members among ``open_`` similar to the query, one of each part that ``connected``
-        numbers alike."""
+        numbers alike.
+
+        ``L`` is chosen by what it costs, as DivideSkip does: where even the short lists are
+        long, no list is set aside, and all of them are merged by counting.
+        """
         a = len(query)
         least = int(least_overlap(np.int64(a), percent))
         at = np.minimum(np.searchsorted(self.grams, query), len(self.grams) - 1)
         lists = at[self.grams[at] == query]
         if len(lists) < least:
             return []
+        open_ = open_ & (100 * np.minimum(self.sizes, a) >= percent * np.maximum(self.sizes, a))
         lists = lists[np.argsort(self.length[lists], kind="stable")]
         # T - L: how many of the short lists a member must be in.
         few = 1 + least // 16
         short, long = lists[: len(lists) - least + few], lists[len(lists) - least + few :]
+        if int(self.length[short].sum()) > HEAP:
+            shared = np.bincount(self.members[spans(self.first[lists], self.length[lists])], minlength=len(self.sets))
+            good = np.flatnonzero(open_ & (100 * shared >= percent * (a + self.sizes - shared)))
+            return good[np.unique(connected[good], return_index=True)[1]].tolist()
         place = spans(self.first[short], self.length[short])
         of = np.repeat(np.arange(len(short)), self.length[short])
-        found = []
-        open_ = open_ & (100 * np.minimum(self.sizes, a) >= percent * np.maximum(self.sizes, a))
-
-        def enough(member: int, seen: int) -> bool:
-            shared = seen + self.overlap(long, member)
-            return 100 * shared >= percent * (a + int(self.sizes[member]) - shared)
-
-        # One member of a large part is tried before the merge, which it may spare all others.
-        held = open_[self.members[place]]
-        place, of = place[held], of[held]
-        parts, one, n = np.unique(connected[self.members[place]], return_index=True, return_counts=True)
-        for part, i in zip(parts[n >= LARGE_PART].tolist(), one[n >= LARGE_PART].tolist()):
-            member = int(self.members[place[i]])
-            if enough(member, self.overlap(short, member)):
-                found.append(member)
-                open_ &= connected != part
         held = open_[self.members[place]]
         place, of = place[held], of[held]
         runs = [r.tolist() for r in np.split(self.members[place], np.flatnonzero(np.diff(of)) + 1)] if len(place) else []
-        done = set()
+        found, done = [], set()
         for member, seen in groupby(heapq.merge(*runs)):
-            seen = sum(1 for _ in seen)
-            if seen >= few and connected[member] not in done and enough(member, seen):
+            shared = sum(1 for _ in seen)
+            if shared < few or connected[member] in done:
+                continue
+            shared += self.overlap(long, member)
+            if 100 * shared >= percent * (a + int(self.sizes[member]) - shared):
                 found.append(member)
                 done.add(connected[member])
         return found
@@ -268,21 +265,34 @@ def memberships(source: DataFrame, size: int, percent: int, secret: int) -> Data
     shared = spark.sparkContext.broadcast(bits.table(lists.select("gram")))
     step = np.log(100 / percent) * (1 + 1e-9) if percent < 100 else 1.0
 
-    def listed(batch: pa.RecordBatch) -> pa.RecordBatch:
-        grams, text, sizes, sets = _prefixes(batch.column("text"), size, percent, secret, frequent.value)
-        may = bits.may_hold(shared.value, grams)
-        grams, text = grams[may], text[may]
-        own = np.array([_number(_set_id(s)) for s in sets], dtype=np.int64)[text]
-        # Similar sets are in one class of sizes or in neighbouring ones.
-        kind = np.floor(np.log(np.maximum(sizes, 1)) / step ).astype(np.int64)[text]
-        keys = np.concatenate([mix(grams ^ mix((kind + up).astype(np.uint64))) for up in (0, 1)])
-        columns = [pa.array(x) for x in (keys.view(np.int64), np.concatenate([kind, kind + 1]), np.concatenate([own, own]))]
-        return pa.RecordBatch.from_arrays(columns, names=["list", "kind", "number"])
+    def entries(table: Broadcast, of_lists: Broadcast | None = None) -> DataFrame:
+        """Rows ``(list, kind, number)`` of n-grams that may be shared, and of lists that may be."""
+
+        def listed(batch: pa.RecordBatch) -> pa.RecordBatch:
+            grams, text, sizes, sets = _prefixes(batch.column("text"), size, percent, secret, frequent.value)
+            may = bits.may_hold(table.value, grams)
+            grams, text = grams[may], text[may]
+            own = np.array([_number(_set_id(s)) for s in sets], dtype=np.int64)[text]
+            # Similar sets are in one class of sizes or in neighbouring ones.
+            kind = np.floor(np.log(np.maximum(sizes, 1)) / step).astype(np.int64)[text]
+            kind, own, grams = np.concatenate([kind, kind + 1]), np.concatenate([own, own]), np.concatenate([grams, grams])
+            keys = mix(grams ^ mix(kind.astype(np.uint64)))
+            if of_lists is not None:
+                may = bits.may_hold(of_lists.value, keys)
+                keys, kind, own = keys[may], kind[may], own[may]
+            columns = [pa.array(x) for x in (keys.view(np.int64), kind, own)]
+            return pa.RecordBatch.from_arrays(columns, names=["list", "kind", "number"])
+
+        return map_batches(texts, "list BIGINT, kind BIGINT, number BIGINT", listed, BATCH)
+
+    def with_several(rows: DataFrame) -> DataFrame:
+        least = rows.groupBy("list").agg(F.min("number").alias("least"), F.max("number").alias("last"))
+        return least.filter("least < last").select("list", "least")
 
-    entries = written(map_batches(texts, "list BIGINT, kind BIGINT, number BIGINT", listed, BATCH))
-    least = entries.groupBy("list").agg(F.min("number").alias("least"), F.max("number").alias("last")).filter("least < last")
-    met = entries.join(least.select("list", "least"), "list")
-    return met.select(F.xxhash64("kind", "least").alias("cell"), "number").distinct()
+    # Most lists of a class of sizes hold one set; only the others are brought together.
+    several = spark.sparkContext.broadcast(bits.table(with_several(entries(shared)).select("list")))
+    met = written(entries(shared, several))
+    return met.join(with_several(met), "list").select(F.xxhash64("kind", "least").alias("cell"), "number").distinct()
 
 
 LINKS = "a BIGINT, b BIGINT"
@@ -311,10 +321,9 @@ def _links_in_cells(rows: DataFrame, keys: list[str], size: int, percent: int, s
 def links(source: DataFrame, classes: DataFrame, size: int, percent: int, secret: int) -> DataFrame:
     """Links ``(a, b)`` between classes ``(node, h, number, n_shingles, signature)`` that
     connect whatever is connected by links of at least ``percent``."""
-    members = written(memberships(source, size, percent, secret).join(classes, "number"))
+    members = written(memberships(source, size, percent, secret))
     counts = members.groupBy("cell").agg(F.count(F.lit(1)).alias("sets"))
-    counts = counts.select("cell", F.ceil(F.col("sets") / BLOCK).cast("int").alias("blocks"))
-    placed = members.join(counts, "cell")
+    placed = members.join(counts.select("cell", F.ceil(F.col("sets") / BLOCK).cast("int").alias("blocks")), "cell")
     tasks = 1 + members.count() // TASK_ROWS
     task = F.pmod(F.xxhash64("cell"), F.lit(tasks)).alias("task")
 
@@ -327,9 +336,10 @@ def links(source: DataFrame, classes: DataFrame, size: int, percent: int, secret
             good.append(here[with_a_partner(sizes[here], [signs[i] for i in here.tolist()], percent)])
         return table.select(["cell", "node", "h"]).take(pa.array(np.concatenate(good)))
 
-    few = placed.filter("blocks = 1").select(task, "cell", "node", "h", "n_shingles", "signature")
+    few = placed.filter("blocks = 1").join(classes, "number").select(task, "cell", "node", "h", "n_shingles", "signature")
     small = few.groupBy("task").applyInArrow(keep, "cell BIGINT, node BIGINT, h BIGINT").withColumn("blocks", F.lit(1))
-    needed = written(small.union(placed.filter("blocks > 1").select("cell", "node", "h", "blocks")))
+    many = placed.filter("blocks > 1").join(classes, "number").select("cell", "node", "h", "blocks")
+    needed = written(small.union(many))
     # Texts of sets without a possible partner stay where they are.
     wanted = bits.table(needed.select(F.xxhash64("node", "h").alias("w")))
     sent = source.sparkSession.sparkContext.broadcast(wanted)

@@ -37,12 +37,12 @@ def near_copies():
     return rows
 
 
-@pytest.mark.parametrize("block, frequent, part", [(1_000, 300, 500), (6, 4, 3)])
-def test_groups_chains_and_common_passages(spark, monkeypatch, block, frequent, part):
+@pytest.mark.parametrize("block, frequent, heap", [(1_000, 300, 2_000), (6, 4, 0)])
+def test_groups_chains_and_common_passages(spark, monkeypatch, block, frequent, heap):
     # Small blocks take the way of large cells.
     monkeypatch.setattr(overlap, "BLOCK", block)
     monkeypatch.setattr(overlap, "FREQUENT", frequent)
-    monkeypatch.setattr(overlap, "LARGE_PART", part)
+    monkeypatch.setattr(overlap, "HEAP", heap)
     check(spark, near_copies(), clash=False)
 
 
@@ -52,7 +52,9 @@ def test_other_sizes_and_thresholds(spark):
     check(spark, rows[:60] + rows[:9], 3, 100, clash=False)
 
 
-def test_search_finds_all_connected():
+@pytest.mark.parametrize("heap", [2_000, 0])
+def test_search_finds_all_connected(monkeypatch, heap):
+    monkeypatch.setattr(overlap, "HEAP", heap)
     pick = np.random.default_rng(3)
     for trial in range(60):
         base = [np.unique(pick.integers(0, 60, 30)) for _ in range(3)]

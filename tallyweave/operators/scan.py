@@ -7,6 +7,23 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 BLOCK_ROWS = 65_536
+_BUCKETS = 1024
+
+
+def keys_among(df: DataFrame, keys: Sequence[str]) -> Column:
+    """Condition that holds for all rows whose ``keys`` occur in ``df``, and for few others.
+
+    The keys are known by their bucket of 1,024, so what is sent to the tasks is bounded.
+    """
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(_BUCKETS))
+    return F.array_contains(df.agg(F.collect_set(bucket).alias("buckets")).select("buckets").scalar(), bucket)
+
+
+def in_several_blocks(df: DataFrame, keys: Sequence[str], order: str, block_rows: int = BLOCK_ROWS) -> Column:
+    """Condition that holds for all rows whose ``keys`` have more than one block, and for few others."""
+    block = F.floor(F.col(order) / block_rows)
+    spans = df.groupBy(*keys).agg(F.min(block).alias("_first_block"), F.max(block).alias("_last_block"))
+    return keys_among(spans.filter("_first_block < _last_block"), keys)
 
 
 def ordered_scan(
@@ -17,6 +34,7 @@ def ordered_scan(
     sums: dict[str, Column] | None = None,
     since: dict[str, tuple[Column, Column]] | None = None,
     block_rows: int = BLOCK_ROWS,
+    several: Column | None = None,
 ) -> DataFrame:
     """Running values per ``keys`` in ``order``, the current row included.
 
@@ -30,8 +48,9 @@ def ordered_scan(
     state across, and the two are joined: a document that holds a third of all rows
     spreads over as many tasks as it has blocks. ``order`` is a unique, roughly dense
     line number and ``keys`` are not NULL. The join keeps the partitioning of the
-    windows, so the rows themselves are shuffled once; the block summary reads the same
-    exchange again.
+    windows, so the rows themselves are shuffled once. Only keys of several blocks have
+    a state to carry: ``several`` is ``in_several_blocks`` of the keys, worked out here if
+    it is not given, and the windows of all others run once.
     """
     last, sums, since = last or {}, sums or {}, since or {}
     keys = list(keys)
@@ -45,18 +64,20 @@ def ordered_scan(
     inputs |= {f"_sum_{n}": F.coalesce(c, zero) for n, c in sums.items()}
     inputs |= {f"_cnt_{n}": F.coalesce(c, zero) for n, (c, _) in since.items()}
     inputs |= {f"_mark_{n}": m for n, (_, m) in since.items()}
-    rows = df.withColumns({block: F.floor(F.col(order) / block_rows), **inputs})
+    if several is None:
+        several = in_several_blocks(df, keys, order, block_rows)
 
     local = {f"_in_last_{n}": F.last(f"_last_{n}", ignorenulls=True).over(inside) for n in last}
     local |= {f"_in_sum_{n}": F.sum(f"_sum_{n}").over(inside) for n in sums}
     local |= {f"_in_cnt_{n}": F.sum(f"_cnt_{n}").over(inside) for n in since}
-    rows = rows.withColumns(local)
     marks = {
         f"_at_{n}": F.last(F.when(F.col(f"_mark_{n}"), F.col(f"_in_cnt_{n}")), ignorenulls=True).over(inside)
         for n in since
     }
-    if marks:
-        rows = rows.withColumns(marks)
+
+    def scanned(part: DataFrame) -> DataFrame:
+        part = part.withColumns({block: F.floor(F.col(order) / block_rows), **inputs}).withColumns(local)
+        return part.withColumns(marks) if marks else part
 
     totals: list[Column] = []
     for n in last:
@@ -66,7 +87,7 @@ def ordered_scan(
     for n in since:
         totals.append(F.sum(f"_cnt_{n}").alias(f"_t_cnt_{n}"))
         totals.append(F.max(f"_at_{n}").alias(f"_t_at_{n}"))
-    blocks = rows.groupBy(*keys, block).agg(*totals)
+    blocks = scanned(df.filter(several)).groupBy(*keys, block).agg(*totals)
     carry = {f"_c_last_{n}": F.last(f"_t_last_{n}", ignorenulls=True).over(before) for n in last}
     carry |= {f"_c_sum_{n}": F.coalesce(F.sum(f"_t_sum_{n}").over(before), zero) for n in sums}
     carry |= {f"_p_cnt_{n}": F.coalesce(F.sum(f"_t_cnt_{n}").over(before), zero) for n in since}
@@ -81,7 +102,7 @@ def ordered_scan(
             }
         )
     carried = [c for c in blocks.columns if c.startswith("_c_")]
-    joined = rows.join(blocks.select(*keys, block, *carried), [*keys, block], "left")
+    joined = scanned(df).join(blocks.select(*keys, block, *carried), [*keys, block], "left")
     out = {n: F.coalesce(F.col(f"_in_last_{n}"), F.col(f"_c_last_{n}")) for n in last}
     out |= {n: F.col(f"_in_sum_{n}") + F.coalesce(F.col(f"_c_sum_{n}"), zero) for n in sums}
     out |= {

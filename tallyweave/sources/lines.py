@@ -6,7 +6,7 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 from functools import partial
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tallyweave import constants as K
 from tallyweave.functions.names import is_small_group
@@ -18,7 +18,7 @@ from tallyweave.functions.numbers import (
     school_year_from_label,
     strip,
 )
-from tallyweave.operators.scan import BLOCK_ROWS, carry_down, ordered_scan
+from tallyweave.operators.scan import BLOCK_ROWS, carry_down, in_several_blocks, keys_among, ordered_scan
 from tallyweave.session import shared
 
 
@@ -174,82 +174,84 @@ def parse_sectioned_lines(
 
     All documents take one plan: lines are scanned in blocks of ``block_rows``, whose states
     are carried across, so a document of any length spreads over many tasks. The lines are
-    dealt once by document and block, and once more, read, by record; records, rows and
-    issues all use that exchange.
+    dealt once by document and block, and once more, read, by record. A record of at most as
+    many values as metrics is counted where its lines meet; one that prints too many on its
+    year line may go on without end, so its lines are joined with their count, in a pass
+    over the documents that have such a line.
     """
-    block = F.floor(F.col(order) / rules.block_rows)
-    own = shared(lines.select(doc, order, F.col(rules.text)).withColumn("_own_block", block), doc, "_own_block").drop("_own_block")
-    placed = _placed(own, doc, order, rules, partial(ordered_scan, block_rows=rules.block_rows))
+    n = len(rules.metrics)
+    own = lines.select(doc, order, F.col(rules.text))
+    several = in_several_blocks(own, [doc], order, rules.block_rows)
+    scan = partial(ordered_scan, block_rows=rules.block_rows, several=several)
+    used = (F.col("_kind") == "year") | F.col("_in_record")
     kept = [doc, order, "record_no", rules.text, "_kind", "_in_record", "_inline", "_trailing", "_line_inline", "_marks", "_heading", "_period"]
-    placed = shared(placed.filter((F.col("_kind").isin("year", "period")) | F.col("_in_record")).select(*kept), doc, "record_no")
-    return _parsed(placed, doc, order, rules)
 
+    # A period line is no part of a record and meets no other line.
+    placed = _placed(own, doc, order, rules, scan).filter((F.col("_kind") == "period") | (used & (F.col("_line_inline") <= n)))
+    record = Window.partitionBy(doc, "record_no", "_alone")
+    alone = F.when(F.col("_kind") == "period", F.col(order))
+    counted = placed.select(*kept).withColumn("_alone", alone).withColumns({k: c.over(record) for k, c in _of_record(rules).items()})
 
-def _parsed(placed: DataFrame, doc: str, order: str, rules: SectionRules) -> tuple[DataFrame, DataFrame]:
-    n = len(rules.metrics)
-    used = placed.filter((F.col("_kind") == "year") | F.col("_in_record"))
-    heading, period = F.col("_heading"), F.col("_period")
-    headed = F.coalesce(
-        period.isNotNull() & heading.isNotNull() & (heading["at"] < period["at"]), F.lit(False)
-    )
+    long_docs = keys_among(_classified(own, doc, order, rules).filter(F.col("_inline") > n), [doc])
+    endless = _placed(own.filter(long_docs), doc, order, rules, scan).filter(used & (F.col("_line_inline") > n))
+    endless = shared(endless.select(*kept), doc, "record_no")
+    counts = endless.groupBy(doc, "record_no").agg(*[c.alias(k) for k, c in _of_record(rules).items()])
+    return _parsed(counted, endless.join(counts, [doc, "record_no"]), doc, order, rules)
+
+
+def _of_record(rules: SectionRules) -> dict[str, Column]:
+    """What the lines of a record share: the number of its values and its year."""
     year_line = F.col("_kind") == "year"
-    common = {
+    return {
         "_found": F.sum(F.when(year_line, F.col("_inline")).otherwise(F.lit(1))),
-        "year": F.max(F.when(year_line, school_year_from_label(rules.text))),
-        "entity": F.max(F.when(year_line & headed, heading["text"])),
-        "period": F.max(F.when(year_line & headed, period["code"])),
+        "_year_text": F.max(F.when(year_line, F.col(rules.text))),
     }
-    own = [
-        doc,
-        order,
-        "record_no",
-        F.col(rules.text),
-        F.when(year_line, F.col("_trailing")).otherwise(F.array(F.col(rules.text))).alias("_values"),
-        F.when(year_line, F.lit(0)).otherwise(F.col("_line_inline") + F.col("_marks") - 1).alias("_first"),
-    ]
-    # A broken record may be endless, so its lines are joined with what they share.
-    records = used.groupBy(doc, "record_no").agg(*[c.alias(name) for name, c in common.items()])
-    lines_of = used.select(*own).join(records, [doc, "record_no"])
-    good = F.col("entity").isNotNull() & F.col("period").isNotNull() & (F.col("_found") == n)
 
+
+def _parsed(
+    counted: DataFrame, endless: DataFrame, doc: str, order: str, rules: SectionRules
+) -> tuple[DataFrame, DataFrame]:
+    n = len(rules.metrics)
+    heading, period, text = F.col("_heading"), F.col("_period"), F.col(rules.text)
+    period_line, year_line = F.col("_kind") == "period", F.col("_kind") == "year"
+    # No heading or period line stands between a year line and the marks of its record.
+    headed = F.coalesce(
+        period.isNotNull() & heading.isNotNull() & (heading["at"] < period["at"]), F.lit(False)
+    )
+    complete = headed & heading["text"].isNotNull() & period["code"].isNotNull()
+    good = ~period_line & complete & (F.col("_found") == n)
+    texts = F.when(year_line, F.col("_trailing")).otherwise(F.array(text))
+    first = F.when(year_line, F.lit(0)).otherwise(F.col("_line_inline") + F.col("_marks") - 1)
     metric_names = F.array(*[F.lit(m) for m in rules.metrics])
-    values = (
-        lines_of.filter(good)
-        .select("*", F.posexplode("_values").alias("_i", "raw_value"))
+    rows = (
+        counted.filter(good)
+        .select("*", first.alias("_first"), F.posexplode(texts).alias("_i", "raw_value"))
         .select(
             doc,
-            order,
             "record_no",
-            "year",
-            "period",
-            "entity",
+            school_year_from_label("_year_text").alias("year"),
+            period["code"].alias("period"),
+            heading["text"].alias("entity"),
             F.get(metric_names, F.col("_first") + F.col("_i")).alias("metric"),
             percent_value("raw_value").alias("value"),
             percent_suppressed("raw_value").alias("suppressed"),
-            percent_issue("raw_value").alias("_issue"),
-            "raw_value",
         )
     )
-    reason = F.when(
-        F.col("entity").isNull() | F.col("period").isNull(), F.lit("record without entity or period")
-    ).otherwise(F.concat(F.lit("unexpected value count: "), F.col("_found").cast("string")))
-    issues = (
-        lines_of.filter(~good)
-        .select(doc, order, "record_no", reason.alias("issue"), F.col(rules.text).alias("raw_text"))
-        .unionByName(
-            values.filter("_issue IS NOT NULL").select(
-                doc, order, "record_no", F.col("_issue").alias("issue"), F.col("raw_value").alias("raw_text")
-            )
-        )
+
+    def issue(message: Column, raw: Column) -> Column:
+        return F.struct(message.alias("issue"), raw.alias("raw_text"))
+
+    none = F.array().cast("array<struct<issue:string,raw_text:string>>")
+    reason = F.when(~complete, F.lit("record without entity or period")).otherwise(
+        F.concat(F.lit("unexpected value count: "), F.col("_found").cast("string"))
     )
-    issues = issues.unionByName(
-        placed.filter((F.col("_kind") == "period") & heading.isNull()).select(
-            doc,
-            order,
-            "record_no",
-            F.lit("period line without entity").alias("issue"),
-            F.col(rules.text).alias("raw_text"),
-        )
+    unread = F.transform(F.filter(texts, lambda v: percent_issue(v).isNotNull()), lambda v: issue(percent_issue(v), v))
+    found = (
+        F.when(period_line, F.when(heading.isNull(), F.array(issue(F.lit("period line without entity"), text))).otherwise(none))
+        .when(good, unread)
+        .otherwise(F.array(issue(reason, text)))
+    )
+    issues = counted.select(doc, order, "record_no", F.inline(found)).unionByName(
+        endless.select(doc, order, "record_no", reason.alias("issue"), text.alias("raw_text"))
     )
-    rows = values.select(doc, "record_no", "year", "period", "entity", "metric", "value", "suppressed")
     return rows, issues

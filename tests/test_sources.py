@@ -219,6 +219,30 @@ def test_sectioned_lines(spark, block_rows):
     assert {r["issue"] for r in found if r["doc"] == 2 and r["raw_text"] == "Maí"} == {"period line without entity"}
 
 
+@pytest.mark.parametrize("block_rows", [4, 1000])
+def test_endless_record_and_its_neighbours(spark, block_rows):
+    texts = ["Town", "Maí", "2020–2021 1% 2% 3% 4%", *["5%"] * 30, "2021–2022", "6%", "7%", "x", "2022–2023", "6%", "7%", "8%"]
+    df = spark.createDataFrame([(1, i, t) for i, t in enumerate(texts)], "doc int, n long, text string")
+    rules = lines.SectionRules(metrics=["m1", "m2", "m3"], periods={"Maí": "vor"}, block_rows=block_rows)
+    got, issues = lines.parse_sectioned_lines(df, "doc", "n", rules)
+    found = sorted((r["n"], r["record_no"], r["issue"]) for r in issues.collect())
+    assert found[:31] == [(n, 1, "unexpected value count: 34") for n in range(2, 33)]
+    assert found[31:34] == [(n, 2, "unexpected value count: 2") for n in range(33, 36)]
+    assert [f[2] for f in found[34:]] == ["record without entity or period"] * 4
+    assert got.count() == 0
+
+
+def test_sectioned_documents_of_one_block_are_scanned_once(spark):
+    """No second pass runs over the lines where no state is carried."""
+    from tallyweave.queries import registry
+
+    for name in ("q_sectioned_lines", "q_extraction_audit", "q_sectioned_issues"):
+        df = registry.QUERIES[name](spark, "/root/testdata/sf0.001")
+        df.collect()
+        ran = df._jdf.queryExecution().executedPlan().toString().split("+- == Initial Plan ==")[0]
+        assert sum("Window [" in line and "AS _in_sum_record_no" in line for line in ran.splitlines()) == 1, name
+
+
 def test_source_choice(spark):
     data = [("a", 1, e) for e in "xyz"] + [("b", 2, e) for e in "vwxyz"] + [("c", 3, e) for e in "uvwxyz"]
     df = spark.createDataFrame(data, "source string, priority int, entity string")

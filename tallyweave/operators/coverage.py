@@ -64,10 +64,13 @@ def extraction_audit(
 ) -> DataFrame:
     """Rows, rows with a value, rows without, distinct domain values, issues and their kinds."""
     no_value = F.col(value).isNull() if suppressed is None else F.col(suppressed)
-    counts = df.agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        F.count(value).alias("with_value"),
-        F.count_if(no_value).alias("without_value"),
+    # Rows are counted per members first, so the input is worked out once for all sections.
+    members = df.groupBy(*domains).agg(
+        F.count(F.lit(1)).alias("_rows"), F.count(value).alias("_with"), F.count_if(no_value).alias("_without")
+    )
+    members = shared(members, *domains)
+    counts = members.agg(
+        *[F.coalesce(F.sum(c), F.lit(0)).alias(n) for c, n in (("_rows", "n_rows"), ("_with", "with_value"), ("_without", "without_value"))]
     )
     blank = F.lit("")
     out = _entries(
@@ -79,7 +82,7 @@ def extraction_audit(
             ("suppressed_or_missing_value_rows", F.col("without_value"), blank),
         ],
     )
-    out = append_sections(out, distinct_lists(df, "domain", {d: (d, None) for d in domains}))
+    out = append_sections(out, distinct_lists(members, "domain", {d: (d, None) for d in domains}))
     if issues is not None:
         found = issues.agg(F.count(F.lit(1)).alias("n"))
         kinds = issues.groupBy("issue").agg(F.count(F.lit(1)).alias("n"))

@@ -59,13 +59,15 @@ def remove_accents(c: Column) -> Column:
     """
     letters, plain, longer = accent_rule()
     low = F.lower(c)
-    # Few texts hold a letter with a longer form; those go through one replacement each.
-    spelled = F.aggregate(
-        F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a, b in longer]),
+    # Letters with a longer form take one replacement for each that the text holds, not one for each there is.
+    # A class of all of them would be tried letter by letter at each character; outside ASCII is one comparison.
+    forms = F.create_map(*[F.lit(v) for pair in longer for v in pair])
+    held = F.array_distinct(F.regexp_extract_all(low, F.lit(r"([^\x00-\x7F])"), F.lit(1)))
+    text = F.aggregate(
+        F.filter(held, lambda letter: F.map_contains_key(forms, letter)),
         low,
-        lambda text, pair: F.replace(text, pair["a"], pair["b"]),
+        lambda text, letter: F.replace(text, letter, F.element_at(forms, letter)),
     )
-    text = F.when(low.rlike("[" + "".join(a for a, _ in longer) + "]"), spelled).otherwise(low)
     return F.when(F.octet_length(low) == F.char_length(low), low).otherwise(F.translate(text, letters, plain))
 
 
@@ -101,7 +103,9 @@ def fold_name(
     text = _remove_accents_exact(text) if exact else remove_accents(text)
     if stop_tokens:
         edge = r"[\p{L}\p{N}_]"
-        text = F.regexp_replace(text, f"(?<!{edge})({'|'.join(stop_tokens)})(?!{edge})", " ")
+        # Most characters begin no token; looking behind them is left out.
+        first = f"(?=[{''.join(sorted({t[0] for t in stop_tokens}))}])" if all(t.isalnum() for t in stop_tokens) else ""
+        text = F.regexp_replace(text, f"{first}(?<!{edge})({'|'.join(stop_tokens)})(?!{edge})", " ")
     return _words(text)
 
 

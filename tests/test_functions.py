@@ -143,3 +143,15 @@ def test_unescape_matches_the_standard_library(spark):
     for r in df.select("t", unescape("t").alias("a"), unescape("t", exact=True).alias("b")).collect():
         assert r["a"] == html.unescape(r["t"]), r["t"]
         assert r["b"] == html.unescape(r["t"])
+
+
+def test_letters_with_longer_forms_are_looked_up(spark):
+    """Only letters that a text holds are replaced, and no class of all of them is tried at each character."""
+    letters, _, longer = N.accent_rule()
+    text = "".join(f"x{a}" for a, _ in longer) + "ж" + "é"
+    df = spark.createDataFrame([(text,), (None,), ("",), ("straße",)], "c string").select(N.remove_accents(F.col("c")).alias("r"))
+    assert [r["r"] for r in df.collect()] == ["".join(f"x{b}" for _, b in longer) + "ж" + "e", None, "", "strasse"]
+    assert "RLIKE" not in df._jdf.queryExecution().optimizedPlan().toString().upper()
+    folded = [("the lost los_ ,les,them und.", "lost los them"), ("théthe the", "thethe"), ("theж the", "the")]
+    for given, want in folded:
+        assert one(spark, given, lambda c: N.fold_name(c, ["the", "und", "les", "los"])) == want

@@ -99,7 +99,8 @@ def q_embedded_urls(spark, folder):
 
 def _words(spark, folder) -> DataFrame:
     """Every word of every document at a place on paper: its number across, its line down."""
-    documents = C.table(spark, folder, "documents")
+    # Whole texts are dealt, as they are far smaller than their placed words; lines then meet where they are.
+    documents = C.table(spark, folder, "documents").select("doc_id", "text").repartition("doc_id")
     lines = documents.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line", "line_text"))
     words = F.filter(F.split("line_text", " "), lambda w: w != "")
     placed = lines.select("doc_id", "line", F.posexplode(words).alias("word", "text"))

@@ -243,6 +243,18 @@ def test_sectioned_documents_of_one_block_are_scanned_once(spark):
         assert sum("Window [" in line and "AS _in_sum_record_no" in line for line in ran.splitlines()) == 1, name
 
 
+def test_words_of_documents_are_not_dealt_again(spark):
+    """Texts are dealt once by document; their words, several times as large, are not shuffled."""
+    from tallyweave.queries import registry
+
+    for name in ("q_words_to_lines", "q_layout_columns"):
+        df = registry.QUERIES[name](spark, "/root/testdata/sf0.001")
+        df.collect()
+        ran = df._jdf.queryExecution().executedPlan().toString().split("+- == Initial Plan ==")[0]
+        dealt = [line for line in ran.splitlines() if "Exchange hashpartitioning" in line]
+        assert len(dealt) == 1 and "doc_id" in dealt[0] and "top" not in dealt[0], name
+
+
 def test_source_choice(spark):
     data = [("a", 1, e) for e in "xyz"] + [("b", 2, e) for e in "vwxyz"] + [("c", 3, e) for e in "uvwxyz"]
     df = spark.createDataFrame(data, "source string, priority int, entity string")

@@ -23,7 +23,6 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute
-import zstandard
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tallyweave.llm import bits
@@ -38,7 +37,6 @@ BURST, ENTRIES, WORDS = 4_096, 300_000, 300_000
 BATCH = 700_000
 # Phrases in one run of hashes, and characters of all texts for each range of hashes.
 RUN, RANGE_CHARACTERS = 2_000_000, 8_000_000
-HASH_BITS = 40
 RUNS = "part BIGINT, run BINARY"
 _RUN = pa.schema([("label", pa.string()), ("phrase", pa.string()), ("n", pa.int64())])
 
@@ -200,27 +198,13 @@ class _Phrases:
         out = mix(self.marks[self.label[start]] + np.uint64(size))
         for k in range(size):
             out = mix(out + self.hashed[self.codes[start + k]])
-        return out >> np.uint64(64 - HASH_BITS)
+        return out >> np.uint64(64 - bits.HASH_BITS)
 
     def that_may_be(self, table: np.ndarray, start: np.ndarray, size: int) -> np.ndarray:
         """Those of the starts whose phrase may be in the table."""
         return start[bits.may_hold(table, mix(self.hashes(start, size)))]
 
 
-def _packed(values: np.ndarray, counts: np.ndarray) -> bytes:
-    """A sorted run: differences and counts, byte by byte, compressed."""
-    steps = np.diff(values, prepend=np.uint64(0))
-    planes = [steps.view(np.uint8).reshape(-1, 8).T.tobytes(), counts.astype(np.uint32).view(np.uint8).reshape(-1, 4).T.tobytes()]
-    return zstandard.ZstdCompressor(level=1).compress(b"".join(planes))
-
-
-def _unpacked(run: bytes) -> tuple[np.ndarray, np.ndarray]:
-    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(run), dtype=np.uint8)
-    n = len(raw) // 12
-    steps = np.ascontiguousarray(raw[: 8 * n].reshape(8, n).T).view(np.uint64).reshape(-1)
-    return np.cumsum(steps, dtype=np.uint64), np.ascontiguousarray(raw[8 * n :].reshape(4, n).T).view(np.uint32).reshape(-1)
-
-
 def may_be_frequent(texts: DataFrame, sizes: list[int], least: int, ranges: int, key: int, shorter: np.ndarray | None) -> list[np.ndarray]:
     """A table of bits for each of the ``sizes``: phrases whose hash occurs ``least`` times or
     more. ``shorter`` has those of one word less than the first size."""
@@ -234,10 +218,10 @@ def may_be_frequent(texts: DataFrame, sizes: list[int], least: int, ranges: int,
         def flush(size: int) -> pa.RecordBatch:
             values, n = np.unique(np.concatenate(held[size]), return_counts=True)
             held[size] = []
-            part = (values * np.uint64(ranges) >> np.uint64(HASH_BITS)).astype(np.int64)
+            part = (values * np.uint64(ranges) >> np.uint64(bits.HASH_BITS)).astype(np.int64)
             parts, first = np.unique(part, return_index=True)
             edges = [*first.tolist(), len(values)]
-            packed = [_packed(values[a:b], n[a:b]) for a, b in zip(edges, edges[1:])]
+            packed = [bits.packed(values[a:b], n[a:b]) for a, b in zip(edges, edges[1:])]
             columns = [pa.array([size] * len(parts), pa.int32()), pa.array(parts), pa.array(packed, pa.binary())]
             return pa.RecordBatch.from_arrays(columns, names=["size", "part", "run"])
 
@@ -258,7 +242,7 @@ def may_be_frequent(texts: DataFrame, sizes: list[int], least: int, ranges: int,
         give_back_memory()
 
     def merge(table: pa.Table) -> pa.Table:
-        found = [_unpacked(r) for r in table.column("run").to_pylist()]
+        found = [bits.unpacked(r) for r in table.column("run").to_pylist()]
         values, counts = (np.concatenate(x) for x in zip(*found))
         order = np.argsort(values, kind="stable")
         values = values[order]

@@ -9,15 +9,18 @@ Lists are held where they are needed. By the same count, similar sets also share
 the first n-grams of both, in any one order of all n-grams; here frequent ones come last,
 others by their hash. All sets that have an n-gram so early form a list of it, and go to
 the cell of the list's least set, among sets of compatible sizes; most lists of one group
-of similar sets have the same least set, so a set goes to few cells. In a cell, sets whose
-bit signatures differ in more places than similar sets can are turned away; the rest are
-searched in blocks of bounded size. Equal sets are one class from the start.
+of similar sets have the same least set, so a set goes to few cells. The smaller of two
+similar sets has the n-gram even earlier, so a list without one that early needs no cell.
+In a cell, sets whose bit signatures differ in more places than similar sets can are turned
+away; parts of the rest that signatures connect are searched once, however many cells have
+them, in blocks of bounded size. Equal sets are one class from the start.
 """
 
 from __future__ import annotations
 
 import hashlib
 import heapq
+from collections.abc import Callable, Iterator
 from itertools import groupby
 
 import numpy as np
@@ -26,7 +29,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, functions as F
 
 from tallyweave.llm import bits
-from tallyweave.llm.common import map_batches, written
+from tallyweave.llm.common import ROWS_HANDED, give_back_memory, in_small_batches, map_batches, written
 from tallyweave.llm.components import components
 from tallyweave.llm.hashing import Words, chained, mix, new_key, window_starts
 from tallyweave.llm.pretokens import spans
@@ -41,6 +44,11 @@ SIGNATURE = (256, 1 << 16)
 # Entries of the short lists beyond which all lists of a query are counted at once.
 HEAP = 2_000
 BATCH = 700_000
+# Entries that a task packs at once, and entries of one range of hashes, about.
+RUN, RANGE = 2_000_000, 600_000
+# What a set is to a list: its n-gram comes early enough for the smaller of two similar
+# sets, and the list is of its own class of sizes.
+EARLY, OWN = 1, 2
 
 
 def gram_sets(column: pa.Array, size: int, key: int) -> tuple[np.ndarray, np.ndarray]:
@@ -68,10 +76,22 @@ def least_overlap(sizes: np.ndarray, percent: int) -> np.ndarray:
     return -(-sizes * percent // 100)
 
 
-def signature(grams: np.ndarray) -> bytes:
-    """Bits of which each n-gram turns one over: two signatures of one length differ in at
-    most as many places as the sets have n-grams of their own."""
-    size = int(np.clip(1 << (2 * len(grams) - 1).bit_length(), *SIGNATURE))
+def least_overlap_of_smaller(sizes: np.ndarray, percent: int) -> np.ndarray:
+    """N-grams that a set shares at least with any similar set of its size or a greater one."""
+    return -(-2 * sizes * percent // (100 + percent))
+
+
+def signature_room(percent: int) -> float:
+    """Bits for an n-gram with which signatures of sets that share nothing differ in half as
+    many places again as those of similar sets may; 2 at most."""
+    apart = 2 * (100 - percent) / (100 + percent)
+    return next((room for room in (0.5, 1.0) if room / 2 * -np.expm1(-4 / room) >= 1.5 * apart), 2.0)
+
+
+def signature(grams: np.ndarray, room: float = 2.0) -> bytes:
+    """Bits, ``room`` or more for an n-gram, of which each n-gram turns one over: two signatures
+    of one length differ in at most as many places as the sets have n-grams of their own."""
+    size = int(np.clip(1 << (int(np.ceil(room * len(grams))) - 1).bit_length(), *SIGNATURE))
     odd = np.bincount((mix(grams) >> np.uint64(48)).astype(np.int64) % size, minlength=size) & 1
     return np.packbits(odd.astype(np.uint8)).tobytes()
 
@@ -83,9 +103,9 @@ def _folded(signatures: list[bytes]) -> np.ndarray:
     return np.stack(rows)
 
 
-def with_a_partner(sizes: np.ndarray, signatures: list[bytes], percent: int) -> np.ndarray:
-    """Which sets may be similar to another one, by sizes and signatures."""
-    out = np.zeros(len(sizes), dtype=bool)
+def _may_be_similar(sizes: np.ndarray, signatures: list[bytes], percent: int) -> np.ndarray:
+    """For each two sets whether they differ and may be similar, by sizes and signatures."""
+    out = np.zeros((len(sizes), len(sizes)), dtype=bool)
     folded = _folded(signatures)
     width = max(1, 2_000_000 // max(1, folded.size))
     for low in range(0, len(sizes), width):
@@ -93,13 +113,35 @@ def with_a_partner(sizes: np.ndarray, signatures: list[bytes], percent: int) ->
         apart = np.bitwise_count(folded[low : low + width, None, :] ^ folded[None, :, :]).sum(axis=2, dtype=np.int64)
         # 100 I >= percent U, with U + I the sum of sizes and U - I what only one has.
         good = apart * (100 + percent) <= (a + b) * (100 - percent)
-        good &= 100 * np.minimum(a, b) >= percent * np.maximum(a, b)
-        good[np.arange(len(good)), np.arange(low, low + len(good))] = False
-        out[low : low + width] |= good.any(axis=1)
-        out |= good.any(axis=0)
+        out[low : low + width] = good & (100 * np.minimum(a, b) >= percent * np.maximum(a, b))
+    np.fill_diagonal(out, False)
     return out
 
 
+def with_a_partner(sizes: np.ndarray, signatures: list[bytes], percent: int) -> np.ndarray:
+    """Which sets may be similar to another one, by sizes and signatures."""
+    return _may_be_similar(sizes, signatures, percent).any(axis=1)
+
+
+def parts(sizes: np.ndarray, signatures: list[bytes], percent: int) -> list[np.ndarray]:
+    """The sets that may be similar to another one, in parts: none may be similar to a set of
+    another part."""
+    good = _may_be_similar(sizes, signatures, percent)
+    used = np.flatnonzero(good.any(axis=1))
+    if not len(used):
+        return []
+    good = good[np.ix_(used, used)]
+    label = np.arange(len(used))
+    while True:
+        least = np.minimum(label, np.where(good, label, len(used)).min(axis=1))
+        least = least[least]
+        if (least == label).all():
+            break
+        label = least
+    order = np.argsort(label, kind="stable")
+    return np.split(used[order], np.flatnonzero(np.diff(label[order])) + 1)
+
+
 class Index:
     """Inverted lists over sets; a list holds the numbers of the sets that have an n-gram."""
 
@@ -190,14 +232,15 @@ def search(nodes: np.ndarray, sets: list[np.ndarray], left: np.ndarray, right: n
     return out
 
 
-def _set_rows(source: DataFrame, size: int, secret: int) -> DataFrame:
+def _set_rows(source: DataFrame, size: int, percent: int, secret: int) -> DataFrame:
     """Rows ``(d, h, n_shingles, set_id, number, signature)``; the last three null without words."""
+    room = signature_room(percent)
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         grams, at = gram_sets(batch.column("text"), size, secret)
         sets = [grams[a:b] for a, b in zip(at, at[1:])]
         ids = [_set_id(s) if len(s) else None for s in sets]
-        signs = [signature(s) if len(s) else None for s in sets]
+        signs = [signature(s, room) if len(s) else None for s in sets]
         numbers = [_number(i) if i else None for i in ids]
         columns = [pa.array(np.diff(at)), pa.array(ids, pa.binary()), pa.array(numbers, pa.int64()), pa.array(signs, pa.binary())]
         names = ["d", "h", "n_shingles", "set_id", "number", "signature"]
@@ -206,20 +249,44 @@ def _set_rows(source: DataFrame, size: int, secret: int) -> DataFrame:
     return map_batches(source, "d BIGINT, h BIGINT, n_shingles BIGINT, set_id BINARY, number BIGINT, signature BINARY", run, BATCH)
 
 
-def _prefixes(column: pa.Array, size: int, percent: int, secret: int, frequent: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]:
-    """First n-grams of each text's set: n-grams, their texts, the sets' sizes, and the sets."""
-    grams, at = gram_sets(column, size, secret)
-    sizes = np.diff(at)
-    text = np.repeat(np.arange(len(sizes)), sizes)
-    if len(frequent):
-        # Within a text by hash already; frequent ones go behind the others.
-        late = frequent[np.minimum(np.searchsorted(frequent, grams), len(frequent) - 1)] == grams
-        order = np.lexsort((late, text))
-        ordered = grams[order]
-    else:
-        ordered = grams
-    early = np.arange(len(grams)) - at[text] <= (sizes - least_overlap(sizes, percent))[text]
-    return ordered[early], text[early], sizes, [grams[a:b] for a, b in zip(at, at[1:])]
+def _short(hashes: np.ndarray) -> np.ndarray:
+    """The first bits of hashes that are spread over all of them."""
+    return hashes >> np.uint64(64 - bits.HASH_BITS)
+
+
+class _Prefixes:
+    """First n-grams of each text's set, ``frequent`` ones (as ``_often`` gives them, sorted) behind
+    the others.
+
+    ``text`` has their texts, ``early`` whether they are among the first ones of the smaller
+    of two similar sets; ``sizes`` and ``sets`` are of all texts.
+    """
+
+    def __init__(self, column: pa.Array, size: int, percent: int, secret: int, frequent: np.ndarray) -> None:
+        grams, at = gram_sets(column, size, secret)
+        self.sizes = np.diff(at)
+        self.sets = [grams[a:b] for a, b in zip(at, at[1:])]
+        text = np.repeat(np.arange(len(self.sizes)), self.sizes)
+        place = np.arange(len(grams)) - at[text]
+        if len(frequent):
+            # Within a text by hash already.
+            short = mix(_short(mix(grams)))
+            late = frequent[np.minimum(np.searchsorted(frequent, short), len(frequent) - 1)] == short
+            grams = grams[np.lexsort((late, text))]
+        first = place <= (self.sizes - least_overlap(self.sizes, percent))[text]
+        self.grams, self.text = grams[first], text[first]
+        self.early = (place <= (self.sizes - least_overlap_of_smaller(self.sizes, percent))[text])[first]
+
+    def entries(self, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Lists, their classes of sizes, the texts, and what these are to the lists."""
+        # Similar sets are in one class of sizes or in neighbouring ones.
+        step = np.log(100 / percent) * (1 + 1e-9) if percent < 100 else 1.0
+        kind = np.floor(np.log(np.maximum(self.sizes, 1)) / step).astype(np.int64)[self.text]
+        early = self.early
+        role = np.concatenate([np.where(early, EARLY | OWN, OWN), np.full(int(early.sum()), EARLY)]).astype(np.int8)
+        kind = np.concatenate([kind, kind[early] + 1])
+        grams = np.concatenate([self.grams, self.grams[early]])
+        return mix(grams ^ mix(kind.astype(np.uint64))), kind, np.concatenate([self.text, self.text[early]]), role
 
 
 def _set_id(s: np.ndarray) -> bytes:
@@ -231,68 +298,91 @@ def _number(set_id: bytes) -> int:
     return int.from_bytes(set_id[:8], "little", signed=True)
 
 
-def _frequent(source: DataFrame, size: int, percent: int, secret: int) -> np.ndarray:
-    """The n-grams that come early in most texts, sorted."""
-
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        found, n = np.unique(_prefixes(batch.column("text"), size, percent, secret, np.empty(0, np.uint64))[0], return_counts=True)
-        return pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(n)], names=["gram", "n"])
-
-    counts = map_batches(source.select("text"), "gram BIGINT, n BIGINT", run, BATCH).groupBy("gram").agg(F.sum("n").alias("n"))
-    rows = counts.filter(F.col("n") > FREQUENT).orderBy(F.desc("n"), "gram").limit(MOST_FREQUENT).select("gram").toArrow()
-    return np.sort(rows.column("gram").to_numpy().view(np.uint64))
+def _often(source: DataFrame, emit: Callable[[pa.RecordBatch], tuple[np.ndarray, np.ndarray]], ranges: int, least: int, roles: int) -> DataFrame:
+    """Rows ``(h, n)``: the short hashes, mixed, that ``emit`` gives ``least`` times or more, and
+    under each of the ``roles`` at least once.
 
-
-def memberships(source: DataFrame, size: int, percent: int, secret: int) -> DataFrame:
+    Tasks pack them as sorted runs, a few bytes for each, which are merged by range.
+    """
+    source.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ROWS_HANDED)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            hashes, role = (np.concatenate(x) for x in zip(*held))
+            held.clear()
+            for r in np.unique(role).tolist():
+                values, n = np.unique(hashes[role == r], return_counts=True)
+                here, first = np.unique((values * np.uint64(ranges) >> np.uint64(bits.HASH_BITS)).astype(np.int64), return_index=True)
+                edges = [*first.tolist(), len(values)]
+                runs = [bits.packed(values[a:b], n[a:b]) for a, b in zip(edges, edges[1:])]
+                columns = [pa.array(here), pa.array([r] * len(here), pa.int32()), pa.array(runs, pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, names=["range", "role", "run"])
+
+        for batch in in_small_batches(batches, BATCH):
+            held.append(emit(batch))
+            if sum(len(x) for x, _ in held) > RUN:
+                yield from flush()
+        if held:
+            yield from flush()
+        give_back_memory()
+
+    def merge(table: pa.Table) -> pa.Table:
+        found = [bits.unpacked(r) for r in table.column("run").to_pylist()]
+        values, counts = (np.concatenate(x) for x in zip(*found))
+        role = np.repeat(table.column("role").to_numpy(), [len(x) for x, _ in found])
+        order = np.argsort(values, kind="stable")
+        values = values[order]
+        first = np.flatnonzero(np.concatenate([[True], values[1:] != values[:-1]]))
+        n = np.add.reduceat(counts[order].astype(np.int64), first)
+        good = (n >= least) & (np.bitwise_or.reduceat(role[order], first) & roles == roles)
+        return pa.Table.from_arrays([pa.array(x) for x in (mix(values[first][good]).view(np.int64), n[good])], names=["h", "n"])
+
+    return source.mapInArrow(run, "range BIGINT, role INT, run BINARY").groupBy("range").applyInArrow(merge, "h BIGINT, n BIGINT")
+
+
+def memberships(source: DataFrame, classes: DataFrame, size: int, percent: int, secret: int) -> DataFrame:
     """Rows ``(cell, number)``: the cells of sets, told by 64 bits of their id. Similar sets
     that differ share a cell."""
     spark = source.sparkSession
-    frequent = spark.sparkContext.broadcast(_frequent(source, size, percent, secret))
-    texts = source.select("text")
+    total = classes.agg(F.sum("n_shingles")).first()[0] or 0
+    ranges = 1 + total * (100 - percent) // 100 // RANGE
+    # Of equal sets, one text is enough; a few others may pass.
+    one = spark.sparkContext.broadcast(bits.table(classes.select(F.xxhash64("node", "h").alias("w"))))
+    texts = source.select(F.xxhash64("d", "h").alias("w"), "text")
 
-    def ends(batch: pa.RecordBatch) -> pa.RecordBatch:
-        grams, text, _, sets = _prefixes(batch.column("text"), size, percent, secret, frequent.value)
-        own = np.array([_number(_set_id(s)) for s in sets], dtype=np.int64)[text]
-        order = np.lexsort((own, grams))
-        grams, own = grams[order], own[order]
-        first = np.flatnonzero(np.concatenate([[True], grams[1:] != grams[:-1]]))[: len(grams)]
-        last = np.append(first[1:], len(grams)) - 1
-        columns = [pa.array(x) for x in (grams[first].view(np.int64), own[first], own[last] if len(first) else own)]
-        return pa.RecordBatch.from_arrays(columns, names=["gram", "low", "high"])
-
-    lists = map_batches(texts, "gram BIGINT, low BIGINT, high BIGINT", ends, BATCH)
-    lists = lists.groupBy("gram").agg(F.min("low").alias("low"), F.max("high").alias("high")).filter("low < high")
-    shared = spark.sparkContext.broadcast(bits.table(lists.select("gram")))
-    step = np.log(100 / percent) * (1 + 1e-9) if percent < 100 else 1.0
-
-    def entries(table: Broadcast, of_lists: Broadcast | None = None) -> DataFrame:
-        """Rows ``(list, kind, number)`` of n-grams that may be shared, and of lists that may be."""
-
-        def listed(batch: pa.RecordBatch) -> pa.RecordBatch:
-            grams, text, sizes, sets = _prefixes(batch.column("text"), size, percent, secret, frequent.value)
-            may = bits.may_hold(table.value, grams)
-            grams, text = grams[may], text[may]
-            own = np.array([_number(_set_id(s)) for s in sets], dtype=np.int64)[text]
-            # Similar sets are in one class of sizes or in neighbouring ones.
-            kind = np.floor(np.log(np.maximum(sizes, 1)) / step).astype(np.int64)[text]
-            kind, own, grams = np.concatenate([kind, kind + 1]), np.concatenate([own, own]), np.concatenate([grams, grams])
-            keys = mix(grams ^ mix(kind.astype(np.uint64)))
-            if of_lists is not None:
-                may = bits.may_hold(of_lists.value, keys)
-                keys, kind, own = keys[may], kind[may], own[may]
-            columns = [pa.array(x) for x in (keys.view(np.int64), kind, own)]
-            return pa.RecordBatch.from_arrays(columns, names=["list", "kind", "number"])
-
-        return map_batches(texts, "list BIGINT, kind BIGINT, number BIGINT", listed, BATCH)
-
-    def with_several(rows: DataFrame) -> DataFrame:
-        least = rows.groupBy("list").agg(F.min("number").alias("least"), F.max("number").alias("last"))
-        return least.filter("least < last").select("list", "least")
-
-    # Most lists of a class of sizes hold one set; only the others are brought together.
-    several = spark.sparkContext.broadcast(bits.table(with_several(entries(shared)).select("list")))
-    met = written(entries(shared, several))
-    return met.join(with_several(met), "list").select(F.xxhash64("kind", "least").alias("cell"), "number").distinct()
+    def prefixes(batch: pa.RecordBatch, frequent: np.ndarray) -> _Prefixes:
+        may = bits.may_hold(one.value, batch.column("w").to_numpy().view(np.uint64))
+        return _Prefixes(batch.column("text").filter(pa.array(may)), size, percent, secret, frequent)
+
+    def first_grams(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+        grams = _short(mix(prefixes(batch, np.empty(0, np.uint64)).grams))
+        return grams, np.zeros(len(grams), dtype=np.int8)
+
+    rows = _often(texts, first_grams, ranges, FREQUENT + 1, 0).orderBy(F.desc("n"), "h").limit(MOST_FREQUENT).select("h").toArrow()
+    frequent = spark.sparkContext.broadcast(np.sort(rows.column("h").to_numpy().view(np.uint64)))
+
+    def lists(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+        keys, _, _, role = prefixes(batch, frequent.value).entries(percent)
+        return _short(keys), role
+
+    # Most lists hold one set, or none early enough, or none of their own class of sizes;
+    # only the others are brought together.
+    several = spark.sparkContext.broadcast(bits.table(_often(texts, lists, ranges, 2, EARLY | OWN).select("h")))
+
+    def listed(batch: pa.RecordBatch) -> pa.RecordBatch:
+        found = prefixes(batch, frequent.value)
+        keys, kind, text, role = found.entries(percent)
+        may = bits.may_hold(several.value, mix(_short(keys)))
+        own = np.array([_number(_set_id(s)) for s in found.sets], dtype=np.int64)[text]
+        columns = [pa.array(x[may]) for x in (keys.view(np.int64), kind, own, role)]
+        return pa.RecordBatch.from_arrays(columns, names=["list", "kind", "number", "role"])
+
+    met = written(map_batches(texts, "list BIGINT, kind BIGINT, number BIGINT, role TINYINT", listed, BATCH))
+    ends = met.groupBy("list").agg(F.min("number").alias("least"), F.max("number").alias("last"), F.bit_or("role").alias("roles"))
+    ends = ends.filter((F.col("least") < F.col("last")) & (F.col("roles") == (EARLY | OWN))).select("list", "least")
+    return met.drop("role").join(ends, "list").select(F.xxhash64("kind", "least").alias("cell"), "number").distinct()
 
 
 LINKS = "a BIGINT, b BIGINT"
@@ -321,7 +411,7 @@ def _links_in_cells(rows: DataFrame, keys: list[str], size: int, percent: int, s
 def links(source: DataFrame, classes: DataFrame, size: int, percent: int, secret: int) -> DataFrame:
     """Links ``(a, b)`` between classes ``(node, h, number, n_shingles, signature)`` that
     connect whatever is connected by links of at least ``percent``."""
-    members = written(memberships(source, size, percent, secret))
+    members = written(memberships(source, classes, size, percent, secret))
     counts = members.groupBy("cell").agg(F.count(F.lit(1)).alias("sets"))
     placed = members.join(counts.select("cell", F.ceil(F.col("sets") / BLOCK).cast("int").alias("blocks")), "cell")
     tasks = 1 + members.count() // TASK_ROWS
@@ -330,14 +420,21 @@ def links(source: DataFrame, classes: DataFrame, size: int, percent: int, secret
     def keep(table: pa.Table) -> pa.Table:
         cell, sizes = table.column("cell").to_numpy(), table.column("n_shingles").to_numpy()
         signs = table.column("signature").to_pylist()
+        ids = np.column_stack([table.column(c).to_numpy() for c in ("node", "h")])
         order = np.argsort(cell, kind="stable")
-        good = [np.empty(0, np.int64)]
+        names, kept = [], [np.empty((0, 2), np.int64)]
         for here in np.split(order, np.flatnonzero(np.diff(cell[order])) + 1):
-            good.append(here[with_a_partner(sizes[here], [signs[i] for i in here.tolist()], percent)])
-        return table.select(["cell", "node", "h"]).take(pa.array(np.concatenate(good)))
+            for part in parts(sizes[here], [signs[i] for i in here.tolist()], percent):
+                own = ids[here[part]]
+                own = own[np.lexsort((own[:, 1], own[:, 0]))]
+                # Named by its sets, a part that many cells have is one.
+                names += [_number(_set_id(own))] * len(own)
+                kept.append(own)
+        node, h = np.ascontiguousarray(np.concatenate(kept).T)
+        return pa.Table.from_arrays([pa.array(names, pa.int64()), pa.array(node), pa.array(h)], names=["cell", "node", "h"])
 
     few = placed.filter("blocks = 1").join(classes, "number").select(task, "cell", "node", "h", "n_shingles", "signature")
-    small = few.groupBy("task").applyInArrow(keep, "cell BIGINT, node BIGINT, h BIGINT").withColumn("blocks", F.lit(1))
+    small = few.groupBy("task").applyInArrow(keep, "cell BIGINT, node BIGINT, h BIGINT").distinct().withColumn("blocks", F.lit(1))
     many = placed.filter("blocks > 1").join(classes, "number").select("cell", "node", "h", "blocks")
     needed = written(small.union(many))
     # Texts of sets without a possible partner stay where they are.
@@ -396,7 +493,7 @@ def groups(df: DataFrame, key: str = "doc_id", text: str = "text", size: int = 4
     """
     secret = new_key()
     source = df.select(F.col(key).cast("bigint").alias("d"), F.xxhash64(key, text).alias("h"), F.col(text).alias("text"))
-    rows = written(_set_rows(source, size, secret))
+    rows = written(_set_rows(source, size, percent, secret))
     known = rows.filter("set_id IS NOT NULL AND d IS NOT NULL")
     grouped = known.groupBy("set_id").agg(
         F.min(F.struct("d", "h")).alias("rep"), F.first("n_shingles").alias("n_shingles"), F.first("signature").alias("signature"),

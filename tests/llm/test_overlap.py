@@ -98,3 +98,71 @@ def test_table_of_bits(spark):
     assert bits.may_hold(table, hashes).all()
     assert bits.may_hold(table, overlap.mix(hashes)).mean() < 0.01
     assert not bits.table(spark.createDataFrame([], "any BIGINT")).any()
+
+
+def shuffled(spark):
+    """Bytes of all stages so far that are known."""
+    sc = spark.sparkContext
+    sc._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    none = sc._gateway.new_array(sc._jvm.double, 0)
+    stages = sc._jsc.sc().statusStore().stageList(None, False, False, none, None)
+    return {stages.apply(i).stageId(): stages.apply(i).shuffleWriteBytes() for i in range(stages.size())}
+
+
+def test_few_bytes_are_shuffled(spark):
+    # Half of the words come from one passage of their own topic, so many n-grams are shared.
+    topics = [frames.words(t, 2_000, 3000).split() for t in range(40)]
+    rows = []
+    for i in range(1_600):
+        at = random.Random(i).randrange(1_700)
+        rows.append((i, f"{frames.words(i, 150, 100_000)} {' '.join(topics[i % 40][at : at + 150])}"))
+    before = shuffled(spark)
+    overlap.groups(spark.createDataFrame(rows, "doc_id BIGINT, text STRING").repartition(4).cache()).collect()
+    moved = sum(n for stage, n in shuffled(spark).items() if stage not in before)
+    assert moved < 1.5 * sum(len(t) for _, t in rows)
+
+
+@pytest.mark.parametrize("frequent", [300, 4])
+def test_similar_sets_share_a_cell(spark, monkeypatch, frequent):
+    monkeypatch.setattr(overlap, "FREQUENT", frequent)
+    monkeypatch.setattr(overlap, "RANGE", 700)
+    rows = [r for r in near_copies() if r[1]]
+    for percent in (60, 85):
+        df = spark.createDataFrame(rows, "d BIGINT, text STRING").selectExpr("d", "xxhash64(d, text) AS h", "text")
+        sets = overlap._set_rows(df, 4, percent, 5)
+        classes = sets.groupBy("set_id").agg({"d": "min"}).withColumnRenamed("min(d)", "d").join(sets.drop("set_id"), "d")
+        cells = {}
+        for r in overlap.memberships(df, classes.withColumnRenamed("d", "node"), 4, percent, 5).collect():
+            cells.setdefault(r.number, set()).add(r.cell)
+        number = {r.d: r.number for r in sets.collect()}
+        grams = {d: shingles(t, 4) for d, t in rows}
+        similar = 0
+        for d, _ in rows:
+            for e, _ in rows:
+                shared = len(grams[d] & grams[e])
+                if d < e and number[d] != number[e] and 100 * shared >= percent * len(grams[d] | grams[e]):
+                    similar += 1
+                    assert cells[number[d]] & cells[number[e]]
+        assert similar > 100
+
+
+@pytest.mark.parametrize("percent", [30, 60, 85, 95])
+def test_parts_hold_all_similar_pairs(percent):
+    pick = np.random.default_rng(percent)
+    sets = []
+    for n in (3, 90, 700):
+        base = overlap.mix(pick.integers(0, 1 << 60, n).astype(np.uint64))
+        sets += [np.unique(base[pick.random(n) < 0.97]) for _ in range(6)] + [np.unique(overlap.mix(base))]
+    sets = [s for s in sets if len(s)]
+    room = overlap.signature_room(percent)
+    signs = [overlap.signature(s, room) for s in sets]
+    found = overlap.parts(np.array([len(s) for s in sets]), signs, percent)
+    part = {i: k for k, p in enumerate(found) for i in p.tolist()}
+    assert all(len(p) > 1 for p in found) and sum(map(len, found)) == len(part)
+    for i, x in enumerate(sets):
+        for j, y in enumerate(sets[:i]):
+            if 100 * len(np.intersect1d(x, y)) >= percent * len(np.union1d(x, y)):
+                assert part[i] == part[j]
+    if percent >= 85:
+        assert all(len(sets[i]) > 50 and i % 7 < 6 or len(sets[i]) < 50 for i in part)
+        assert max(map(len, signs)) * 8 <= 1024
